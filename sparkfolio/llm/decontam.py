@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkfolio.llm.text import alnum_words, row_slices
+from sparkfolio.session import ship_package
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -177,6 +178,7 @@ def find_contamination(
     (a longer item is its own block): a benchmark of any size is matched
     whole, one more pass over the documents for each block.
     """
+    ship_package(docs.sparkSession)
     spark = docs.sparkSession
     sizes = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n_blocks = max(1, -(-sizes // block_chars))

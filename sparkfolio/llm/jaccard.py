@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkfolio.llm.text import row_slices, space_words
+from sparkfolio.session import ship_package
 from sparkfolio.storage import materialise
 
 SHINGLE = 5
@@ -103,12 +104,16 @@ def _classes(batches) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(batches, hot, share) -> Iterator[pa.RecordBatch]:
-    """Rows (token, gid, cid, n, pos): the prefix of each class, rarest tokens first; gid: a prefix and a size."""
+    """Index rows (token, gid, n, pos) of each group's prefix, rarest tokens first, and a row (gid, cid, n) per class.
+
+    gid stands for a prefix and a size. Class rows have pos -1 and the gid as token, which spreads them.
+    """
     part_, whole = share
     values, counts = hot.value
-    cache, seen = _WordHash(), set()
+    cache, seen, known = _WordHash(), set(), set()
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
     for part in _slices(batches):
-        tok, gid, cid, size, pos = [], [], [], [], []
+        tok, gid, size, pos, classes = [], [], [], [], []
         for s in shingle_sets(part.column("text").to_pylist(), cache):
             c = class_of(s)
             if c is None or c in seen:
@@ -124,80 +129,94 @@ def _prefixes(batches, hot, share) -> Iterator[pa.RecordBatch]:
             p = n - -(-part_ * n // whole) + 1
             prefix = s[:p]
             g = int.from_bytes(hashlib.md5(prefix.tobytes() + n.to_bytes(8, "little")).digest()[:8], "little", signed=True)
-            tok.append(prefix)
-            gid.append(np.full(p, g))
-            cid.append(np.full(p, c))
-            size.append(np.full(p, n))
-            pos.append(np.arange(p))
+            classes.append((g, g, c, n, -1))
+            if g not in known:
+                known.add(g)
+                tok.append(prefix)
+                gid.append(np.full(p, g))
+                size.append(np.full(p, n))
+                pos.append(np.arange(p))
         if len(seen) > 500_000:
             seen.clear()
+            known.clear()
+        names = ["token", "gid", "cid", "n", "pos"]
+        if classes:
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*classes, strict=True), kinds, strict=True)], names)
         if tok:
+            t, g, n, q = (np.concatenate(x) for x in (tok, gid, size, pos))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(tok).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (gid, cid, size, pos))],
-                ["token", "gid", "cid", "n", "pos"],
+                [pa.array(t.view(np.int64)), pa.array(g), pa.nulls(len(t), pa.int64()), pa.array(n, pa.int32()), pa.array(q, pa.int32())], names
             )
 
 
 def fits(n1, p1, n2, p2, share=SHARE):
-    """Length and positional filters for sets of n1 and n2 with a common token at places p1 and p2 (arrays or ints)."""
+    """Length and positional filters for sets of n1 and n2 with their first common token at p1 and p2 (arrays or ints).
+
+    Every pair that links passes at its first common token, where the tokens
+    from there on bound the overlap; at later ones it need not.
+    """
     part, whole = share
     small, large = np.minimum(n1, n2), np.maximum(n1, n2)
-    most = np.minimum(n1 - p1, n2 - p2) + np.minimum(p1, p2)  # tokens from there on, and at best all before
+    most = np.minimum(n1 - p1, n2 - p2)
     return (whole * small >= part * large) & ((part + whole) * most >= part * (n1 + n2))
 
 
 def _runs(batches, share) -> Iterator[pa.RecordBatch]:
-    """From index rows sorted by (token, gid, cid): trial pairs, and the rows of tokens with two groups or more.
+    """From rows sorted by (token, gid): trial pairs of groups, index rows of tokens with two groups or more, class rows.
 
-    Each group's least class stands for it. A token's first group is tried
-    with all its others, and neighbours with each other; rows stream, only the
-    first and the last of a token are held.
+    A token's first group is tried with all its others, and neighbours with
+    each other; rows stream, only the first and the last of a token are held.
     """
     first = last = None
     given = False  # whether the held last row has gone out
-    names = ["a", "b", "token", "gid", "n", "pos"]
+    names = ["a", "b", "token", "gid", "cid", "n", "pos"]
+
+    def rows(a=(), b=(), token=(), gid=(), cid=(), n=(), pos=()):
+        size = max(map(len, (a, gid)))
+        kinds = (pa.int64(),) * 5 + (pa.int32(),) * 2
+        columns = (a, b, token, gid, cid, n, pos)
+        return pa.RecordBatch.from_arrays([pa.array(x, k) if len(x) else pa.nulls(size, k) for x, k in zip(columns, kinds, strict=True)], names)
+
     for batch in batches:
-        t, g, c, n, p = (x.to_numpy() for x in batch.columns)
+        pos = batch.column("pos").to_numpy()
+        own = batch.filter(pa.array(pos < 0))
+        if own.num_rows:
+            yield rows(gid=own.column("gid").to_numpy(), cid=own.column("cid").to_numpy(), n=own.column("n").to_numpy())
+        batch = batch.filter(pa.array(pos >= 0)).select(["token", "gid", "n", "pos"])
+        t, g, n, p = (x.to_numpy().astype(np.int64) for x in batch.columns)
+        if not len(t):
+            continue
         fresh = np.ones(len(t), bool)
         fresh[1:] = (t[1:] != t[:-1]) | (g[1:] != g[:-1])
-        if last is not None and len(t):
+        if last is not None:
             fresh[0] = (t[0], g[0]) != last[:2]
-        t, g, c, n, p = (x[fresh] for x in (t, g, c, n, p))
-        if not len(t):
-            continue
+        t, g, n, p = (x[fresh] for x in (t, g, n, p))
         if last is not None:
-            t, g, c, n, p = (np.concatenate([[y], x]) for x, y in zip((t, g, c, n, p), last, strict=True))
+            t, g, n, p = (np.concatenate([[y], x]) for x, y in zip((t, g, n, p), last, strict=True))
         same = t[1:] == t[:-1]
-        at = np.arange(len(t))
-        head = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), at, 0))
-        ht, hg, hc, hn, hp = (x[head] for x in (t, g, c, n, p))
-        if first is not None and last is not None and first[0] == t[0]:
-            mine = head == 0
-            hc, hn, hp = (np.where(mine, y, x) for x, y in zip((hc, hn, hp), first[2:], strict=True))
+        head = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), np.arange(len(t)), 0))
+        hg, hn, hp = (x[head] for x in (g, n, p))
+        if first is not None and first[0] == t[0]:
+            hg, hn, hp = (np.where(head == 0, y, x) for x, y in zip((hg, hn, hp), first[1:], strict=True))
         i = np.flatnonzero(same) + 1
-        pairs = [np.stack([c[i - 1], c[i]])[:, fits(n[i - 1], p[i - 1], n[i], p[i], share)]]
-        pairs.append(np.stack([hc[i], c[i]])[:, fits(hn[i], hp[i], n[i], p[i], share)])
+        pairs = [np.stack([g[i - 1], g[i]])[:, fits(n[i - 1], p[i - 1], n[i], p[i], share)]]
+        pairs.append(np.stack([hg[i], g[i]])[:, fits(hn[i], hp[i], n[i], p[i], share)])
         both = np.concatenate(pairs, axis=1)
-        both = both[:, both[0] != both[1]]
-        both = np.unique(np.sort(both, axis=0), axis=1) if both.shape[1] else both
-        # Rows of runs: an element with an equal neighbour; the held element was given out if its run went on before.
+        both = np.sort(both[:, both[0] != both[1]], axis=0)
+        if both.shape[1]:
+            both = np.unique(both, axis=1)
+            yield rows(a=both[0], b=both[1])
+        # Rows of runs have an equal neighbour.
         member = np.zeros(len(t), bool)
         member[1:] |= same
         member[:-1] |= same
-        if given:
-            member[0] = False
-        k, m = both.shape[1], int(member.sum())
-        if k or m:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(pa.concat_arrays([pa.array(x), pa.nulls(m, pa.int64())]) for x in both),
-                    *(pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(x[member])]) for x in (t, g, n, p)),
-                ],
-                names,
-            )
+        out = member.copy()
+        out[0] &= not given
+        if out.any():
+            yield rows(token=t[out], gid=g[out], n=n[out], pos=p[out])
         given = bool(member[-1]) or (len(t) == 1 and given)
-        last = (t[-1], g[-1], c[-1], n[-1], p[-1])
-        first = (t[-1], hg[-1], hc[-1], hn[-1], hp[-1])
+        last = (t[-1], g[-1], n[-1], p[-1])
+        first = (t[-1], hg[-1], hn[-1], hp[-1])
 
 
 def _cross(batches, share, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
@@ -327,6 +346,7 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFram
     share the least doc_id that is not null. Empty input: no rows. Extra
     columns are ignored.
     """
+    ship_package(docs.sparkSession)
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
     d = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
@@ -340,16 +360,18 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFram
     values, counts = top.column("hot").to_numpy().view(_U), top.column("seen").to_numpy()
     order = np.argsort(values)
     frequent = spark.sparkContext.broadcast((values[order], counts[order]))
-    index = d.mapInArrow(lambda b: _prefixes(b, frequent, share), "token long, gid long, cid long, n long, pos long")
-    index = materialise(index, "nj-index")
-
-    ran = index.repartition("token").sortWithinPartitions("token", "gid", "cid")
-    ran = ran.mapInArrow(lambda b: _runs(b, share), "a long, b long, token long, gid long, n long, pos long")
+    index = d.mapInArrow(lambda b: _prefixes(b, frequent, share), "token long, gid long, cid long, n int, pos int")
+    ran = index.repartition("token").sortWithinPartitions("token", "gid")
+    ran = ran.mapInArrow(lambda b: _runs(b, share), "a long, b long, token long, gid long, cid long, n int, pos int")
     ran = materialise(ran, "nj-runs")
-    members = materialise(index.filter("pos = 0").select("gid", "cid", "n").distinct(), "nj-members")
-    lead = members.groupBy("gid").agg(F.min("cid").alias("lead"), F.count("*").alias("k")).filter("k > 1")
-    inside = members.join(lead, "gid").filter("cid <> lead").select(F.least("lead", "cid").alias("a"), F.greatest("lead", "cid").alias("b"))
-    trial = materialise(ran.filter("a is not null").select("a", "b").union(inside).distinct(), "nj-trial")
+    members = ran.filter("cid is not null").select("gid", "cid", "n").distinct()
+    lead = materialise(members.groupBy("gid").agg(F.min("cid").alias("lead"), F.count("*").alias("k")), "nj-lead")
+    inside = members.join(lead.filter("k > 1"), "gid").filter("cid <> lead").select("lead", "cid")
+    pairs = ran.filter("a is not null").select("a", "b").distinct()
+    for c in ("a", "b"):
+        pairs = pairs.join(lead.select(F.col("gid").alias(c), F.col("lead").alias(f"lead_{c}")), c)
+    trial = pairs.select("lead_a", "lead_b").union(inside).toDF("a", "b").filter("a <> b")
+    trial = materialise(trial.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "nj-trial")
     links = materialise(links_among(docs, classes, trial, share), "nj-links")
     label = materialise(components(links), "nj-label")
 
@@ -357,12 +379,12 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFram
     known = members.join(label, members["cid"] == label["node"], "left")
     known = materialise(known.select("gid", "cid", "n", F.coalesce("label", "cid").alias("label")), "nj-known")
     span = known.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    index_rows = ran.filter("token is not null").select("token", "gid", "n", "pos").distinct()
+    index_rows = ran.filter("token is not null").select("token", "gid", "n", "pos")
     mixed = index_rows.join(span, "gid").groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi")
     open_rows = index_rows.join(mixed.select("token"), "token", "left_semi").join(known.drop("n"), "gid")
     open_rows = open_rows.select("token", "label", "n", "pos", "cid")
     own = known.join(span.filter("lo <> hi").select("gid"), "gid", "left_semi")
-    own = own.select(F.col("gid").alias("token"), "label", "n", F.lit(0).cast("long").alias("pos"), "cid")
+    own = own.select(F.col("gid").alias("token"), "label", "n", F.lit(0).alias("pos"), "cid")
     rest = open_rows.union(own).repartition("token").sortWithinPartitions("token", "label", "n", "pos", "cid")
     rest = rest.mapInArrow(lambda b: _cross(b, share), "a long, b long").distinct()
     rest = materialise(rest.join(trial, ["a", "b"], "left_anti"), "nj-rest")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkfolio.llm.text import alnum_words, row_slices
+from sparkfolio.session import ship_package
 
 PHRASES = {
     "gnu general public license": "gpl",
@@ -144,6 +145,7 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, share:
     phrases are parameters of a few entries; the frequency table has at most
     as many rows as templates have words.
     """
+    ship_package(docs.sparkSession)
     wanted = frozenset(w for _, t in templates for w in alnum_words(t.encode()))
     text = docs.select(F.col("text").cast("binary").alias("text"))
     rows = text.mapInArrow(lambda b: _count(b, wanted), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))

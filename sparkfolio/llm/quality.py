@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkfolio.llm.text import fold_of, row_slices
+from sparkfolio.session import ship_package
 
 FEATURES = (
     "log_bytes log_words mean_word words_per_line upper_share digit_share symbol_share punct_share bang_share pipe_share "
@@ -128,6 +129,7 @@ def train_quality(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000) -
     Labels whose quality is null are left out; of several labels of an id,
     one row each is used. Without any row the forest scores 0.5.
     """
+    ship_package(docs.sparkSession)
     marks = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id"), 5) != 0))
     marks = marks.select(F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("y"))
     marks = marks.orderBy(F.xxhash64("_id", F.lit(7)), "_id", "y").limit(most_rows)
@@ -159,6 +161,7 @@ def score_quality(docs: DataFrame, forest: Forest, keep: tuple[str, ...] = ("doc
     which has defined statistics. Repeated rows each get a row, equal texts
     equal scores. Empty input: no rows. Extra columns are ignored.
     """
+    ship_package(docs.sparkSession)
     kinds = dict(docs.dtypes)
     d = docs.select(*(F.col(c).alias(f"_keep_{c}") for c in keep), F.col("text").cast("binary").alias("text"))
     d = d.mapInArrow(lambda b: _score_rows(b, forest), ", ".join(f"`_keep_{c}` {kinds[c]}" for c in keep) + ", _score double")

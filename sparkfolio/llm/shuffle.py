@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkfolio.session import ship_package
 from sparkfolio.storage import materialise
 
 #: Bytes counted for a row besides its text.
@@ -59,6 +60,7 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 40, seed: int = 17, buc
     Null text: 16 bytes, crc of empty text. Repeated rows each have a slot.
     Empty input: no rows. Reruns on the same input splits give the same order.
     """
+    ship_package(docs.sparkSession)
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).cast("long")
     total = docs.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     n_buckets = min(_MAX_BUCKETS, max(1, -(-total // bucket_bytes)))
