@@ -75,7 +75,7 @@ def _classes(batches) -> Iterator[pa.RecordBatch]:
     def frequent():
         if pool:
             values, counts = np.unique(np.concatenate(pool), return_counts=True)
-            keep = counts >= 4
+            keep = counts >= 2
             k = int(keep.sum())
             if k:
                 yield pa.RecordBatch.from_arrays(
@@ -356,7 +356,7 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFram
 
     hot = told.filter("hot is not null").groupBy("hot").agg(F.sum("seen").alias("seen"))
     total = told.agg(F.coalesce(F.sum("seen"), F.lit(0))).first()[0]
-    top = hot.filter(F.col("seen") >= max(16, total >> 18)).toArrow()  # at most 2**18 rows
+    top = hot.filter(F.col("seen") >= max(8, total >> 20)).toArrow()  # at most 2**20 rows
     values, counts = top.column("hot").to_numpy().view(_U), top.column("seen").to_numpy()
     order = np.argsort(values)
     frequent = spark.sparkContext.broadcast((values[order], counts[order]))
