@@ -1,6 +1,589 @@
-"""All queries of the library with their SQL oracles."""
+"""Queries of every operator over the star-schema tables, each with the SQL it must agree with.
+
+Roles: orders are parents (id, source, title, city, start_date, url), lineitem
+children, events the run log, documents text records, pages fetched pages.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sparkfolio.functions import html as H
+from sparkfolio.functions import scalars as X
+from sparkfolio.operators import analytics as A
+from sparkfolio.operators import extraction as V
+from sparkfolio.operators import quality as Q
+from sparkfolio.operators import runlog as R
+from sparkfolio.operators import store as W
+from sparkfolio.session import load_table
+from sparkfolio.sources import files as S
+from sparkfolio.sources.sites import sites
+from sparkfolio.streaming import runs as ST
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+#: The roles' definitions; the same text is valid in both engines.
+PARENTS = """SELECT o_orderkey AS id, o_orderpriority AS source, concat('Customer ', CAST(o_custkey % 500 AS string)) AS title,
+ CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN '' ELSE concat('City ', CAST(o_custkey % 40 AS string)) END AS city,
+ CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE substr(CAST(o_orderdate AS string), 1, 10) END AS start_date,
+ CASE WHEN o_orderkey % 17 = 0 THEN '' ELSE substr(CAST(o_orderdate AS string), 1, 4) END AS end_date,
+ concat('https://example.org/exhibitions/', CAST(o_orderkey % 9000 AS string)) AS url,
+ CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE lower(substr(o_orderpriority, 3)) END AS parser_key,
+ CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE concat('Order of status ', o_orderstatus, ' for ', o_orderpriority, CASE WHEN o_orderkey % 3 = 0 THEN ' with a longer closing remark' ELSE '' END) END AS concept,
+ CASE WHEN o_orderkey % 4 = 0 THEN '[]' ELSE '["A","B"]' END AS curators FROM orders"""
+CHILDREN = """SELECT l_orderkey * 100 + l_linenumber AS id, l_orderkey AS exhibition_id, l_linenumber AS line, s_name AS artist_name,
+ CASE WHEN l_partkey % 50 = 0 THEN '' WHEN l_partkey % 51 = 0 THEN s_name ELSE p_name END AS work_title,
+ CASE WHEN l_partkey % 9 = 0 THEN '' ELSE concat(p_type, ' ', l_returnflag) END AS medium
+ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey"""
+RUNS = """SELECT event_id AS id, concat(event_type, '-', CAST(user_id % 30 AS string)) AS parser_key, ts AS started_at,
+ CAST(floor(value) AS bigint) AS urls_discovered, CASE WHEN event_id % 6 = 0 THEN CAST(0 AS bigint) ELSE CAST(floor(value / 2) AS bigint) END AS saved,
+ CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN 'failed' ELSE '' END AS error_message,
+ CASE WHEN event_id % 9 = 0 THEN 'dry_run' ELSE 'full' END AS run_type FROM events"""
+_TABLES = {PARENTS: ("orders",), CHILDREN: ("lineitem", "supplier", "part"), RUNS: ("events",)}
+
+
+def role(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
+    return spark.sql(
+        text.replace("FROM orders", "FROM {orders}").replace("FROM lineitem JOIN supplier", "FROM {lineitem} JOIN {supplier}")
+        .replace("JOIN part ON", "JOIN {part} ON").replace("FROM events", "FROM {events}"),
+        **{t: load_table(spark, sf_dir, t) for t in _TABLES[text]},
+    )
+
+
+def query(oracle: str | None = None, with_: dict[str, str] | None = None):
+    """Register a function of (spark, sf_dir) under its name, with its oracle over named roles."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            roles = {"parents": PARENTS, "children": CHILDREN, "runs": RUNS} | (with_ or {})
+            used = [f"{k} AS ({v})" for k, v in roles.items() if f" {k}" in oracle.replace("(", " ").replace(",", " ") or k in (with_ or {})]
+            ORACLE_SQL[f.__name__] = (f"WITH {', '.join(used)} " if used else "") + oracle
+        return f
+
+    return add
+
+
+def parents(s, d):
+    return role(s, d, PARENTS)
+
+
+def children(s, d):
+    return role(s, d, CHILDREN)
+
+
+def run_log(s, d):
+    return role(s, d, RUNS)
+
+
+_NAMED = "artist_name <> '' AND lower(artist_name) NOT LIKE '%various%' AND lower(artist_name) NOT LIKE '%unknown%' AND lower(artist_name) NOT LIKE '%multiple%'"
+_YEAR = "CAST(nullif(regexp_extract(start_date, '\\b(19[0-9]{2}|20[0-9]{2})\\b', 1), '') AS INTEGER)"
+
+
+# --- analytics -------------------------------------------------------------------------------------------------------
+@query("SELECT (SELECT count(*) FROM parents) AS parents, (SELECT count(*) FROM children) AS children")
+def stats_totals(s, d):
+    return A.totals(load_table(s, d, "orders"), load_table(s, d, "lineitem"))
+
+
+@query("SELECT source AS name, count(*) AS n FROM parents GROUP BY source")
+def source_distribution(s, d):
+    return A.count_by(parents(s, d), "source")
+
+
+@query(f"SELECT artist_name AS name, count(*) AS n FROM children WHERE {_NAMED} GROUP BY 1 ORDER BY n DESC, name LIMIT 15")
+def top_artists(s, d):
+    return A.top_artists(children(s, d))
+
+
+@query("SELECT medium AS name, count(*) AS n FROM children WHERE medium <> '' GROUP BY 1 ORDER BY n DESC, name LIMIT 12")
+def medium_distribution(s, d):
+    return A.top_mediums(children(s, d))
+
+
+@query("SELECT city AS name, count(*) AS n FROM parents WHERE city <> '' GROUP BY 1")
+def city_distribution(s, d):
+    return A.by_city(parents(s, d))
+
+
+@query(
+    f"SELECT y.year, s.source, coalesce(c.n, 0)::BIGINT AS n FROM (SELECT DISTINCT {_YEAR} AS year FROM parents WHERE start_date <> '' AND {_YEAR} BETWEEN 1920 AND 2026) y "
+    f"CROSS JOIN (SELECT DISTINCT source FROM parents WHERE start_date <> '') s LEFT JOIN (SELECT source, {_YEAR} AS year, count(*) AS n FROM parents GROUP BY 1, 2) c ON c.year = y.year AND c.source = s.source"
+)
+def timeline_long(s, d):
+    return A.timeline(parents(s, d))
+
+
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+@query(
+    f"SELECT {_YEAR} AS year, " + ", ".join(f"count(*) FILTER (source = '{p}') AS s{i}" for i, p in enumerate(_PRIORITIES)) + f" FROM parents WHERE {_YEAR} BETWEEN 1920 AND 2026 GROUP BY 1"
+)
+def timeline_pivot(s, d):
+    return A.timeline_wide(parents(s, d), _PRIORITIES)
+
+
+_LINKS = f"""SELECT a.artist_name AS source, b.artist_name AS target, count(*) AS weight FROM children a JOIN children b
+ ON a.exhibition_id = b.exhibition_id AND a.artist_name < b.artist_name
+ WHERE a.artist_name IN (SELECT artist_name FROM top40) AND b.artist_name IN (SELECT artist_name FROM top40)
+ GROUP BY 1, 2 HAVING count(*) >= 2 ORDER BY weight DESC, source, target LIMIT 300"""
+_TOP40 = f"SELECT artist_name FROM children WHERE {_NAMED} GROUP BY 1 ORDER BY count(*) DESC, artist_name LIMIT 40"
+
+
+@query(_LINKS, {"children": CHILDREN, "top40": _TOP40})
+def cooccurrence_links(s, d):
+    return A.cooccurrence_links(children(s, d))
+
+
+@query(
+    "SELECT name, n, round(greatest(6.0, least(22.0, 6 + sqrt(n))), 4) AS size, round(8 + 36 * CASE WHEN hi = lo THEN 0.5 ELSE (n - lo)::DOUBLE / (hi - lo) END, 4) AS radius, "
+    "CASE WHEN n >= 30 THEN 3 WHEN n >= 15 THEN 2 WHEN n >= 8 THEN 1 ELSE 0 END AS bucket FROM (SELECT *, min(n) OVER () AS lo, max(n) OVER () AS hi FROM "
+    f"(SELECT artist_name AS name, count(*) AS n FROM children WHERE {_NAMED} AND artist_name IN (SELECT source FROM links UNION SELECT target FROM links) GROUP BY 1))",
+    {"children": CHILDREN, "top40": _TOP40, "links": _LINKS},
+)
+def cooccurrence_nodes(s, d):
+    kids = children(s, d)
+    return A.cooccurrence_nodes(kids, A.cooccurrence_links(kids))
+
+
+_SEARCH = "SELECT id FROM parents WHERE lower(title) LIKE '%customer 12%' OR lower(city) LIKE '%customer 12%' OR lower(source) LIKE '%customer 12%' UNION SELECT exhibition_id FROM children WHERE lower(artist_name) LIKE '%customer 12%' OR lower(work_title) LIKE '%customer 12%'"
+
+
+@query(_SEARCH)
+def search_union(s, d):
+    return A.search(parents(s, d), children(s, d), "CUSTOMER 12").select("id")
+
+
+@query("SELECT id, source FROM parents WHERE source = '1-URGENT' AND CAST(substr(start_date, 1, 4) AS INTEGER) BETWEEN 1996 AND 1998")
+def search_year_range(s, d):
+    return A.search(parents(s, d), children(s, d), source="1-URGENT", year_from=1996, year_to=1998).select("id", "source")
+
+
+@query(
+    "SELECT p.id, p.title, p.start_date, coalesce(c.n, 0)::BIGINT AS artwork_count, t.total FROM (SELECT * FROM parents WHERE source = '2-HIGH' ORDER BY start_date DESC NULLS LAST, id DESC LIMIT 20 OFFSET 40) p "
+    "LEFT JOIN (SELECT exhibition_id, count(*) AS n FROM children GROUP BY 1) c ON c.exhibition_id = p.id CROSS JOIN (SELECT count(*) AS total FROM parents WHERE source = '2-HIGH') t"
+)
+def exhibitions_page(s, d):
+    hits = A.search(parents(s, d), children(s, d), source="2-HIGH")
+    shown = A.with_child_count(A.page(hits, 20, 40), children(s, d))
+    return shown.join(F.broadcast(hits.agg(F.count("*").alias("total")))).select("id", "title", "start_date", "artwork_count", "total")
+
+
+@query("SELECT p.id, p.title, c.artist_name, c.work_title FROM parents p LEFT JOIN children c ON c.exhibition_id = p.id WHERE p.id = 5")
+def exhibition_detail(s, d):
+    return A.detail(parents(s, d), children(s, d), 5).select("id", "title", "artist_name", "work_title")
+
+
+@query("SELECT p.id, coalesce(c.n, 0)::BIGINT AS artwork_count FROM parents p LEFT JOIN (SELECT exhibition_id, count(*) AS n FROM children GROUP BY 1) c ON c.exhibition_id = p.id")
+def artwork_count(s, d):
+    return A.with_child_count(parents(s, d), children(s, d)).select("id", "artwork_count")
+
+
+# --- quality ---------------------------------------------------------------------------------------------------------
+def _rules():
+    every = Q.missing_rules()
+    return {c: every[c] for c in ("title", "concept", "city", "start_date", "end_date", "curators")}
+
+
+_MISS = {
+    "title": "title IS NULL OR title = ''", "concept": "concept IS NULL OR concept = ''", "city": "city IS NULL OR city = ''",
+    "start_date": "start_date IS NULL", "end_date": "end_date IS NULL", "curators": "curators IS NULL OR curators = '[]'",
+}
+_MISS_SUMS = ", ".join(f"count(*) FILTER ({w}) AS missing_{c}, round(count(*) FILTER ({w}) * 100.0::DOUBLE / count(*), 2) AS pct_{c}" for c, w in _MISS.items())
+
+
+@query(f"SELECT parser_key, count(*) AS total, {_MISS_SUMS} FROM parents GROUP BY parser_key")
+def missing_fields_by_key(s, d):
+    return Q.missing_profile(parents(s, d), "parser_key", _rules())
+
+
+@query(f"SELECT count(*) AS total, {_MISS_SUMS} FROM parents")
+def missing_fields_overall(s, d):
+    return Q.missing_profile(parents(s, d), None, _rules())
+
+
+@query("SELECT parser_key, count(*) AS total, grouping(parser_key)::INTEGER AS is_total, " + ", ".join(f"count(*) FILTER ({w}) AS missing_{c}" for c, w in _MISS.items()) + " FROM parents GROUP BY ROLLUP (parser_key)")
+def missing_fields_rollup(s, d):
+    return Q.missing_cube(parents(s, d), "parser_key", _rules())
+
+
+_DUP = "count(*) AS cnt, min(id) AS first_id, string_agg(id::VARCHAR, ',' ORDER BY id) AS ids FROM parents"
+
+
+@query(f"SELECT parser_key, title, {_DUP} GROUP BY 1, 2 HAVING count(*) > 1")
+def dup_exact(s, d):
+    return Q.duplicate_groups(parents(s, d), ["parser_key", "title"])
+
+
+@query(f"SELECT parser_key, title, start_date, {_DUP} WHERE start_date IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) > 1")
+def dup_near(s, d):
+    return Q.duplicate_groups(parents(s, d).filter("start_date is not null"), ["parser_key", "title", "start_date"])
+
+
+@query(f"SELECT url, {_DUP} GROUP BY 1 HAVING count(*) > 1")
+def dup_url(s, d):
+    return Q.duplicate_groups(parents(s, d), ["url"])
+
+
+@query("SELECT md5(text) AS text_md5, count(*) AS cnt, min(doc_id) AS first_id, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS ids FROM documents GROUP BY text HAVING count(*) > 1")
+def dup_documents(s, d):
+    keyed = load_table(s, d, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+    return Q.duplicate_groups(keyed, ["text_md5"], "doc_id")
+
+
+_RAWDATE = "CASE id % 4 WHEN 0 THEN start_date WHEN 1 THEN substr(start_date, 1, 4) WHEN 2 THEN substr(start_date, 1, 7) ELSE concat(CAST(CAST(substr(start_date, 6, 2) AS INTEGER) AS string), '/', substr(start_date, 9, 2), '/', substr(start_date, 1, 4)) END"
+
+
+@query("SELECT id, raw, CASE WHEN raw IS NULL THEN NULL WHEN id % 4 = 0 THEN start_date WHEN id % 4 = 1 THEN concat(substr(start_date, 1, 4), '-01-01') WHEN id % 4 = 2 THEN concat(substr(start_date, 1, 7), '-01') ELSE start_date END AS value, coalesce(id % 4 <> 0 AND start_date IS NOT NULL, false) AS changed "
+       f"FROM (SELECT *, CASE WHEN start_date IS NULL THEN NULL ELSE {_RAWDATE} END AS raw FROM parents)")
+def normalize_dates(s, d):
+    p = parents(s, d).withColumn("raw", F.when(F.col("start_date").isNotNull(), F.expr(_RAWDATE)))
+    return p.select("id", "raw", X.normalize_date("raw").alias("n")).select("id", "raw", "n.value", "n.changed")
+
+
+_ISSUES = """SELECT id, source, parser_key, unnest(list_filter([
+ CASE WHEN length(trim(coalesce(title, ''))) < 3 THEN {'field': 'title', 'severity': 'error'} END,
+ CASE WHEN lower(trim(coalesce(title, ''))) IN ('home', 'about', 'news', 'contact', '404') THEN {'field': 'title', 'severity': 'warn'} END,
+ CASE WHEN NOT (start_date IS NULL OR start_date = '' OR regexp_matches(start_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$')) THEN {'field': 'start_date', 'severity': 'warn'} END,
+ CASE WHEN NOT (end_date IS NULL OR end_date = '' OR regexp_matches(end_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$')) THEN {'field': 'end_date', 'severity': 'warn'} END,
+ CASE WHEN start_date <> '' AND end_date <> '' AND start_date > end_date THEN {'field': 'dates', 'severity': 'error'} END,
+ CASE WHEN trim(coalesce(concept, '')) = '' THEN {'field': 'concept', 'severity': 'warn'} END,
+ CASE WHEN trim(coalesce(concept, '')) <> '' AND length(trim(concept)) < 50 THEN {'field': 'concept', 'severity': 'info'} END,
+ CASE WHEN coalesce(city, '') = '' THEN {'field': 'city', 'severity': 'warn'} END,
+ CASE WHEN coalesce(parser_key, '') = '' THEN {'field': 'parser_key', 'severity': 'error'} END], lambda x: x IS NOT NULL)) AS i FROM parents"""
+
+
+def _validated(s, d):
+    return Q.validate(parents(s, d), Q.record_checks())
+
+
+@query("SELECT id, i.field AS field, i.severity AS severity FROM issues", {"parents": PARENTS, "issues": _ISSUES})
+def validate_records(s, d):
+    return _validated(s, d).select("id", F.explode("issues").alias("i")).select("id", "i.field", "i.severity")
+
+
+@query("SELECT i.field AS field, i.severity AS severity, count(*) AS n FROM issues GROUP BY 1, 2", {"parents": PARENTS, "issues": _ISSUES})
+def issue_counts(s, d):
+    return Q.issue_counts(_validated(s, d))
+
+
+@query(
+    "SELECT p.source, count(*) AS total, count(c.id) AS with_issues, count(*) FILTER (c.errors > 0) AS with_errors, round(count(c.id) * 100.0::DOUBLE / count(*), 2) AS issue_rate "
+    "FROM parents p LEFT JOIN (SELECT id, count(*) FILTER (i.severity = 'error') AS errors FROM issues GROUP BY id) c ON c.id = p.id GROUP BY 1",
+    {"parents": PARENTS, "issues": _ISSUES},
+)
+def source_issue_rate(s, d):
+    return Q.issue_rates(_validated(s, d))
+
+
+@query(
+    "SELECT source, records, mean_issues, CASE WHEN mean_issues = 0 THEN 'PASS' WHEN mean_issues <= 2 THEN 'WARN' ELSE 'FAIL' END AS verdict FROM "
+    "(SELECT p.source, count(*) AS records, round(avg(coalesce(c.n, 0)), 4) AS mean_issues FROM parents p LEFT JOIN (SELECT id, count(*) AS n FROM issues GROUP BY id) c ON c.id = p.id GROUP BY 1)",
+    {"parents": PARENTS, "issues": _ISSUES},
+)
+def llm_verdict(s, d):
+    return Q.verdicts(_validated(s, d), "source")
+
+
+@query("SELECT exhibition_id, count(*) AS n FROM children WHERE exhibition_id NOT IN (SELECT id FROM parents WHERE id % 3 <> 0) GROUP BY 1 ORDER BY 1 LIMIT 100")
+def artworks_orphaned(s, d):
+    few = parents(s, d).filter("id % 3 <> 0").select(F.col("id").alias("exhibition_id"))
+    kids = children(s, d).join(few, "exhibition_id", "left_anti")
+    return kids.groupBy("exhibition_id").agg(F.count("*").alias("n")).orderBy("exhibition_id").limit(100)
+
+
+_KINDS = "SELECT *, unnest(list_filter([CASE WHEN trim(artist_name) = '' OR trim(work_title) = '' THEN 'missing' END, CASE WHEN artist_name <> '' AND artist_name = work_title THEN 'same_name' END], lambda x: x IS NOT NULL)) AS kind FROM children"
+
+
+@query("SELECT exhibition_id, line, artist_name FROM kinds WHERE kind = 'missing'", {"children": CHILDREN, "kinds": _KINDS})
+def artworks_missing(s, d):
+    return Q.child_issues(children(s, d)).filter("kind = 'missing'").select("exhibition_id", "line", "artist_name")
+
+
+@query("SELECT kind, count(*) AS n FROM kinds GROUP BY 1", {"children": CHILDREN, "kinds": _KINDS})
+def artworks_suspicious(s, d):
+    return Q.child_issues(children(s, d)).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+_COUNTED = "SELECT p.id, coalesce(c.n, 0)::BIGINT AS artwork_count FROM parents p LEFT JOIN (SELECT exhibition_id, count(*) AS n FROM children GROUP BY 1) c ON c.exhibition_id = p.id"
+
+
+@query("SELECT * FROM counted WHERE artwork_count = 0", {"parents": PARENTS, "children": CHILDREN, "counted": _COUNTED})
+def artworks_zero(s, d):
+    return Q.child_count_outliers(parents(s, d), children(s, d), 1, 1 << 40).select("id", "artwork_count")
+
+
+@query("SELECT * FROM counted WHERE artwork_count > 8", {"parents": PARENTS, "children": CHILDREN, "counted": _COUNTED})
+def artworks_excessive(s, d):
+    return Q.child_count_outliers(parents(s, d), children(s, d), 0, 8).select("id", "artwork_count")
+
+
+@query("SELECT exhibition_id, line, min(artist_name) AS artist_name FROM children GROUP BY 1, 2")
+def artworks_keep_first(s, d):
+    return Q.keep_first(children(s, d), ["exhibition_id", "line"], "artist_name").select("exhibition_id", "line", "artist_name")
+
+
+@query("SELECT light, count(*) AS n FROM (SELECT CASE WHEN urls_discovered >= 5 OR (run_type <> 'full' AND urls_discovered > 0) THEN 'PASS' WHEN urls_discovered > 0 THEN 'WARN' ELSE 'FAIL' END AS light FROM runs) GROUP BY 1")
+def traffic_lights(s, d):
+    r = run_log(s, d)
+    light = Q.traffic_light(F.col("urls_discovered"), F.col("run_type") == "full", F.col("error_message"))
+    return r.groupBy(light.alias("light")).agg(F.count("*").alias("n"))
+
+
+_LOG = "concat('saved: ', CAST(saved AS string), chr(10), '\"HTTP/1.1 ', CASE WHEN id % 3 = 0 THEN '403' ELSE '200' END, chr(10), 'Error: code ', CAST(id % 5 AS string))"
+
+
+@query("SELECT id, saved, CASE WHEN id % 3 = 0 THEN 403 ELSE 200 END AS http_status, concat('code ', CAST(id % 5 AS string)) AS last_error, CASE WHEN id % 3 = 0 THEN 'BLOCKED' ELSE 'ERROR' END AS status, false AS fixable FROM runs")
+def log_diagnosis(s, d):
+    r = run_log(s, d).withColumn("log", F.expr(_LOG))
+    out = r.select("id", Q.log_counters(F.col("log")).alias("c"), Q.diagnose_log(F.col("log")).alias("g"))
+    return out.select("id", "c.saved", "c.http_status", "c.last_error", "g.status", "g.fixable")
+
+
+# --- run log ---------------------------------------------------------------------------------------------------------
+@query("SELECT id, parser_key FROM runs WHERE error_message <> '' ORDER BY started_at DESC, id DESC LIMIT 20")
+def run_failures(s, d):
+    return R.failures(run_log(s, d)).select("id", "parser_key")
+
+
+_REAL = "SELECT * FROM runs WHERE run_type <> 'dry_run'"
+
+
+@query("SELECT r.id, r.parser_key FROM alive r JOIN (SELECT parser_key, max(started_at) AS t FROM alive GROUP BY 1) m ON m.parser_key = r.parser_key AND m.t = r.started_at WHERE urls_discovered > 0 AND saved = 0", {"runs": RUNS, "alive": _REAL})
+def run_zero_saves(s, d):
+    return R.zero_saves(run_log(s, d)).select("id", "parser_key")
+
+
+@query(
+    "SELECT parser_key, current, previous, round((previous - current) * 100.0::DOUBLE / previous, 2) AS drop_pct FROM (SELECT parser_key, urls_discovered AS current, lead(urls_discovered) OVER w AS previous, row_number() OVER w AS rn FROM alive WINDOW w AS (PARTITION BY parser_key ORDER BY started_at DESC, id DESC)) WHERE rn = 1 AND previous > 0 AND current < 0.8 * previous",
+    {"runs": RUNS, "alive": _REAL},
+)
+def run_regression(s, d):
+    return R.regressions(run_log(s, d))
+
+
+@query("SELECT parser_key, max(started_at) AS last_run FROM runs GROUP BY 1 HAVING max(started_at) < TIMESTAMP '2024-01-29 00:00:00'")
+def run_stale(s, d):
+    return R.stale(run_log(s, d), "2024-01-29 00:00:00")
+
+
+@query(
+    "SELECT id, parser_key, CASE WHEN urls_discovered % 3 = 0 THEN 'running...' WHEN urls_discovered < 60 THEN concat(urls_discovered::VARCHAR, 's') ELSE concat(printf('%.1f', urls_discovered / 60.0), 'm') END AS duration FROM runs WHERE started_at >= TIMESTAMP '2024-01-20 00:00:00' ORDER BY started_at DESC, id DESC LIMIT 50"
+)
+def run_history(s, d):
+    end = F.when(F.col("urls_discovered") % 3 != 0, F.timestamp_add("SECOND", F.col("urls_discovered"), F.col("started_at")))
+    return R.history(run_log(s, d).withColumn("finished_at", end), since="2024-01-20 00:00:00").select("id", "parser_key", "duration")
+
+
+@query("SELECT parser_key, max(id) AS id, arg_max(urls_discovered, id) AS urls_discovered FROM runs GROUP BY 1")
+def last_run_per_key(s, d):
+    return R.last_run(run_log(s, d)).select("parser_key", "id", "urls_discovered")
+
+
+@query("SELECT count(*) FILTER (saved > 0) AS saved, count(*) FILTER (saved = 0 AND error_message = '') AS skipped, count(*) FILTER (saved = 0 AND error_message <> '') AS failed, count(*) AS discovered FROM runs")
+def run_counters(s, d):
+    status = F.when(F.col("saved") > 0, "saved").when(F.col("error_message") != "", "failed").otherwise("skipped")
+    return R.counters(run_log(s, d), status)
+
+
+@query("SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def window_counts(s, d):
+    return ST.windowed_counts(load_table(s, d, "events"))
+
+
+@query(
+    "SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n FROM (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT *, CASE WHEN ts <= lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, s"
+)
+def session_counts(s, d):
+    return ST.sessions(load_table(s, d, "events"))
+
+
+# --- writes ----------------------------------------------------------------------------------------------------------
+_STORED = "SELECT id, url, title, source FROM parents WHERE id % 10 = 0"
+_FIRSTS = "SELECT id, url, title, source FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY id) AS rn FROM parents) WHERE rn = 1 AND url NOT IN (SELECT url FROM stored)"
+
+
+def _stored(s, d):
+    return Q.keep_first(parents(s, d).filter("id % 10 = 0"), ["url"], "id").select("id", "url", "title", "source")
+
+
+_STORED1 = "SELECT id, url, title, source FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY id) AS rn FROM parents WHERE id % 10 = 0) WHERE rn = 1"
+
+
+@query("SELECT * FROM stored UNION ALL SELECT * FROM firsts", {"parents": PARENTS, "stored": _STORED1, "firsts": _FIRSTS})
+def insert_or_ignore(s, d):
+    return W.insert_or_ignore(_stored(s, d), parents(s, d).select("id", "url", "title", "source"), "id")
+
+
+@query("SELECT c.exhibition_id, c.artist_name, c.work_title FROM children c WHERE c.exhibition_id IN (SELECT id FROM firsts) GROUP BY 1, 2, 3", {"parents": PARENTS, "children": CHILDREN, "stored": _STORED1, "firsts": _FIRSTS})
+def insert_children(s, d):
+    added = W.new_parents(_stored(s, d), parents(s, d).select("id", "url", "title", "source"), "id")
+    return W.new_children(children(s, d), added).select("exhibition_id", "artist_name", "work_title")
+
+
+@query("SELECT exhibition_id, count(*) AS n FROM children WHERE exhibition_id NOT IN (SELECT id FROM parents WHERE url IN (SELECT url FROM parents WHERE source = '5-LOW')) GROUP BY 1")
+def cascade_delete(s, d):
+    _, kids = W.delete_cascade(parents(s, d), children(s, d), parents(s, d).filter("source = '5-LOW'").select("url").distinct())
+    return kids.groupBy("exhibition_id").agg(F.count("*").alias("n"))
+
+
+@query("SELECT id, title FROM parents WHERE url NOT IN (SELECT url FROM parents WHERE regexp_matches(title, ' 1[0-9]$'))")
+def delete_by_pattern(s, d):
+    left, _ = W.delete_where(parents(s, d), children(s, d), F.rlike("title", F.lit(" 1[0-9]$")))
+    return left.select("id", "title")
+
+
+@query("SELECT id, source, CASE WHEN id % 10 = 0 THEN 'new' ELSE title END AS title FROM parents")
+def force_upsert(s, d):
+    p = parents(s, d).select("id", "source", "title")
+    return W.upsert(p, p.filter("id % 10 = 0").withColumn("title", F.lit("new")), "id")
+
+
+@query("SELECT id, parser_key, r_regionkey AS new_r_regionkey FROM parents LEFT JOIN region ON r_name = upper(parser_key)")
+def backfill_series(s, d):
+    out = W.map_by(parents(s, d).withColumn("k", F.upper("parser_key")), "k", load_table(s, d, "region"), "r_name", "r_regionkey")
+    return out.select("id", "parser_key", "new_r_regionkey")
+
+
+@query("SELECT id, replace(replace(replace(lower(source), ' ', '_'), '''', ''), '.', '') AS parser_key FROM parents WHERE parser_key IS NULL")
+def backfill_parser_key(s, d):
+    _, changed = W.backfill(parents(s, d), "parser_key", W.parser_key_from_source())
+    return changed.select("id", "parser_key")
+
+
+@query("SELECT count(*) FILTER (url NOT IN (SELECT url FROM stored)) AS fresh, count(*) FILTER (url IN (SELECT url FROM stored)) AS skipped FROM parents", {"parents": PARENTS, "stored": _STORED})
+def skip_existing(s, d):
+    fresh, skipped = W.skip_existing(parents(s, d), _stored(s, d))
+    return fresh.agg(F.count("*").alias("fresh")).join(F.broadcast(skipped.agg(F.count("*").alias("skipped"))))
+
+
+@query("SELECT id, sha256(concat(url, ':', length(concept)::VARCHAR, ':', substr(sha256(concept), 1, 16))) AS cache_key FROM parents WHERE concept <> ''")
+def cache_key(s, d):
+    return parents(s, d).filter("concept <> ''").select("id", X.cache_key("url", "concept").alias("cache_key"))
+
+
+@query("SELECT url, arg_max(title, id) AS title, max(id) AS id FROM parents GROUP BY 1")
+def cache_upsert(s, d):
+    return W.last_writer_wins(parents(s, d).select("url", "title", "id"), "url", "id").select("url", "title", "id")
+
+
+@query("SELECT id, city, CASE WHEN id % 5 = 0 THEN 'A concept that is long enough' WHEN length(concept) < 50 THEN 'A concept that is long enough' ELSE concept END AS concept FROM parents")
+def enrich_guarded(s, d):
+    return W.fill_guarded(parents(s, d), {"concept": F.lit("A concept that is long enough")}).select("id", "city", "concept")
+
+
+# --- ingestion -------------------------------------------------------------------------------------------------------
+@query("SELECT o_custkey::VARCHAR AS exhibition_id, arg_min(concat('Show ', o_orderstatus), o_orderkey) AS title, min(o_orderkey) AS first_pos, count(*) FILTER (o_orderkey % 3 <> 0) AS n_artworks, count(DISTINCT o_orderstatus) FILTER (o_orderkey % 3 = 0) AS n_curators FROM orders GROUP BY 1")
+def csv_fold(s, d):
+    o = load_table(s, d, "orders")
+    rows = o.select(
+        F.col("o_custkey").cast("string").alias("ExhibitionID"),
+        F.concat(F.lit("Show "), "o_orderstatus").alias("ExhibitionTitle"),
+        F.date_format("o_orderdate", "M/d/yyyy").alias("ExhibitionBeginDate"),
+        F.lit("").alias("ExhibitionEndDate"),
+        F.lit("").alias("ExhibitionURL"),
+        F.col("o_orderstatus").alias("DisplayName"),
+        F.when(F.col("o_orderkey") % 3 == 0, "Curator").otherwise("Artist").alias("ExhibitionRole"),
+        F.lit("").alias("Nationality"),
+        F.lit("").alias("ConstituentBeginDate"),
+        F.lit("").alias("ConstituentEndDate"),
+        F.col("o_orderkey").alias("pos"),
+    )
+    out = S.fold_exhibitions(rows)
+    return out.select("exhibition_id", "title", F.col("pos").alias("first_pos"), F.size("artworks").cast("long").alias("n_artworks"), F.size("curators").cast("long").alias("n_curators"))
+
+
+@query("SELECT o.o_orderkey::VARCHAR AS objectid, coalesce(f.s_name, 'Unknown') AS artist_name FROM orders o LEFT JOIN (SELECT l_orderkey, arg_min(s_name, l_linenumber * 1000000 + l_suppkey) AS s_name FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1) f ON f.l_orderkey = o.o_orderkey")
+def primary_artist_join(s, d):
+    objects = load_table(s, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("objectid"), F.lit("t").alias("title"), F.lit("1999").alias("beginyear"),
+        F.lit("").alias("displaydate"), F.lit("").alias("medium"), F.lit("").alias("dimensions"), F.lit("").alias("classification"),
+    )
+    links = load_table(s, d, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("objectid"), F.col("l_suppkey").alias("constituentid"), (F.col("l_linenumber") * 1000000 + F.col("l_suppkey")).alias("pos")
+    )
+    people = load_table(s, d, "supplier").select(
+        F.col("s_suppkey").alias("constituentid"), F.col("s_name").alias("displayname"), F.lit("").alias("nationality"), F.lit("").alias("beginyear"), F.lit("").alias("endyear"), F.col("s_suppkey").alias("pos")
+    )
+    return S.artworks_with_artists(objects, links, people).select("objectid", "artist_name")
+
+
+@query("SELECT id, a.artist AS artist_name, CASE WHEN a.place = 0 THEN 'w' ELSE title END AS work_title FROM parents, (VALUES (0, 'x'), (1, 'y')) a(place, artist)")
+def positional_zip(s, d):
+    p = parents(s, d).withColumns({"artist_titles": F.array(F.lit("x"), F.lit("y")), "artwork_titles": F.array(F.lit("w"))})
+    return S.zip_artworks(p).select("id", "artist_name", "work_title")
+
+
+@query(
+    "SELECT p.id, CASE WHEN length(trim(concept)) >= 50 THEN substr(trim(replace(concept, chr(10), ' ')), 1, 300) WHEN a.names IS NULL OR a.names = '' THEN trim(title) ELSE concat(trim(title), ' presents works by ', a.names, '.') END AS concept FROM parents p LEFT JOIN "
+    "(SELECT exhibition_id, concat(array_to_string(list_slice(l, 1, 15), ', '), CASE WHEN len(l) > 15 THEN ' and others' ELSE '' END) AS names FROM (SELECT exhibition_id, list_sort(list_distinct(list(artist_name))) AS l FROM children GROUP BY 1)) a ON a.exhibition_id = p.id"
+)
+def concept_synthesis(s, d):
+    names = children(s, d).groupBy(F.col("exhibition_id").alias("id")).agg(F.array_sort(F.collect_set("artist_name")).alias("names"))
+    p = parents(s, d).join(names, "id", "left")
+    empty = F.array().cast("array<string>")
+    return p.select("id", X.synthesize_concept("title", "concept", F.coalesce("names", empty)).alias("concept"))
+
+
+# --- pages and extraction --------------------------------------------------------------------------------------------
+@query()
+def page_links(s, d):
+    p = load_table(s, d, "pages")
+    return p.select("page_id", F.explode(H.page_links(F.col("html"), F.col("url"), [], ["/"])).alias("link"))
+
+
+@query()
+def page_clean_text(s, d):
+    return load_table(s, d, "pages").select("page_id", H.clean_html("html").alias("text"))
+
+
+@query()
+def page_images(s, d):
+    return load_table(s, d, "pages").select("page_id", H.page_images(F.col("html"), F.col("url")).alias("images"))
+
+
+@query()
+def page_fields(s, d):
+    return load_table(s, d, "pages").select("page_id", H.page_fields(F.col("html")).alias("f")).select("page_id", "f.*")
+
+
+@query("SELECT conv_id, turn, CASE WHEN turn % 4 = 3 THEN NULL ELSE concat(role, ' ', conv_id::VARCHAR) END AS title, turn % 4 <> 3 AS ok FROM conversations")
+def llm_response_parse(s, d):
+    c = load_table(s, d, "conversations")
+    body = F.to_json(F.struct(F.concat_ws(" ", "role", F.col("conv_id").cast("string")).alias("title"), F.col("text").alias("concept")))
+    numeric = F.to_json(F.struct(F.concat_ws(" ", "role", "conv_id").alias("title"), F.col("turn").alias("concept")))
+    raw = (
+        F.when(F.col("turn") % 4 == 0, body)
+        .when(F.col("turn") % 4 == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
+        .when(F.col("turn") % 4 == 2, F.concat(F.lit("["), body, F.lit("]")))
+        .otherwise(numeric)
+    )
+    return c.select("conv_id", "turn", V.parse_response(raw).alias("r")).select("conv_id", "turn", "r.record.title", "r.ok")
+
+
+@query("SELECT id, (coalesce(start_date, '') <> '' OR coalesce(end_date, '') <> '' OR length(trim(concat_ws(' ', '', coalesce(concept, '')))) >= 30) AND (coalesce(concept, '') = '' OR length(concept) >= 20) AS valid FROM parents")
+def llm_validity(s, d):
+    p = parents(s, d)
+    ok = V.valid_result(F.col("title"), F.col("start_date"), F.col("end_date"), F.lit(None).cast("string"), F.col("concept"))
+    return p.select("id", ok.alias("valid"))
+
+
+@query("SELECT id, CASE WHEN start_date IS NULL OR start_date = '' THEN 1 WHEN concept IS NULL OR concept = '' OR length(concept) < 50 THEN 2 ELSE 0 END AS tier FROM parents")
+def enrichment_tiers(s, d):
+    p = parents(s, d).withColumns({"preface": F.lit("set"), "images": F.lit('["a"]')})
+    return V.enrichment_tiers(p).select("id", "tier")
+
+
+@query()
+def site_capabilities(s, d):
+    return sites(s)
+
+
+@query("SELECT id, 'https://example.org/exhibitions/' || (id % 9000)::VARCHAR AS url, id % 9000 AS number FROM parents")
+def id_from_url(s, d):
+    return parents(s, d).select("id", "url", X.last_number_in_path("url", "/exhibitions/").alias("number"))
