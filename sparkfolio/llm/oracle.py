@@ -1,3 +1,113 @@
 """SQL for DuckDB that returns what the queries return, where SQL can express the operator."""
 
-ORACLES: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+_LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def _escaped(c: str) -> str:
+    return rf"replace(replace(replace({c}, '\', '\b'), '<', '\l'), '>', '\g')"
+
+
+OP1 = rf"""
+WITH t0 AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+t1 AS (SELECT *, len(regexp_extract_all(text, '{_WORD}')) + 3 AS tok,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS ord FROM t0),
+t2 AS (SELECT *, ord = 1 AND role = 'system' AS lead,
+  max(CASE WHEN ord = 1 AND role = 'system' THEN tok ELSE 0 END) OVER (PARTITION BY conv_id) AS sys_tok FROM t1),
+t3 AS (SELECT *, CASE WHEN lead THEN 0 ELSE tok END AS body, greatest(1, 2048 - 256 - sys_tok) AS span FROM t2),
+t4 AS (SELECT *, sum(body) OVER (PARTITION BY conv_id ORDER BY ord) AS stop FROM t3),
+t5 AS (SELECT *, stop - body AS before, least(256, span) AS reach,
+  length({_escaped('role')}) + length({_escaped('text')}) + 15 AS chars FROM t4),
+t6 AS (SELECT *, CASE WHEN before // span = greatest(stop - 1, before) // span THEN 2 * (before // span) ELSE 2 * (before // span) + 1 END AS cut FROM t5),
+wins AS (SELECT conv_id, cut, min(before) AS start, min(cut) OVER (PARTITION BY conv_id) AS first_cut FROM t6 GROUP BY conv_id, cut),
+again AS (SELECT w.conv_id, sum(t.chars) AS chars FROM wins w JOIN t6 t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND w.cut > w.first_cut
+  AND t.cut < w.cut AND (t.lead OR t.before >= w.start - t.reach) GROUP BY 1)
+SELECT t.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY ord)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY ord) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  (sum(t.chars) + coalesce(max(a.chars), 0))::BIGINT AS formatted_chars
+FROM t6 t LEFT JOIN again a ON a.conv_id IS NOT DISTINCT FROM t.conv_id GROUP BY t.conv_id
+"""
+
+OP2 = rf"""
+WITH sized AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size FROM documents),
+s1 AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS source_id FROM sized GROUP BY source),
+s2 AS (SELECT *, (source_id - 1) % 3 + 1 AS weight, (sum(source_size) OVER ())::BIGINT AS total, 3 * source_size AS cap FROM s1),
+s3 AS (SELECT *, cap::DOUBLE / weight AS ratio FROM s2),
+s4 AS (SELECT *, coalesce(sum(cap) OVER w, 0)::BIGINT AS cap_before,
+  (sum(weight) OVER () - coalesce(sum(weight) OVER w, 0))::BIGINT AS weight_left FROM s3
+  WINDOW w AS (ORDER BY ratio, source_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+s5 AS (SELECT *, ratio <= (total - cap_before)::DOUBLE / weight_left AS capped FROM s4),
+s6 AS (SELECT *, CASE WHEN capped THEN cap::DOUBLE ELSE (total - coalesce(sum(cap) FILTER (capped) OVER (), 0)::BIGINT)::DOUBLE
+  / nullif(sum(weight) FILTER (NOT capped) OVER (), 0)::BIGINT * weight END AS target FROM s5),
+s7 AS (SELECT *, greatest(1, (source_size + slot_words - 1) // slot_words) AS b0 FROM
+  (SELECT *, least(1048576, greatest(1, total // 65536)) AS slot_words FROM s6)),
+s8 AS (SELECT *, greatest(1, (source_size + block_words - 1) // block_words) AS blocks FROM
+  (SELECT *, greatest(1, (source_size + b0 - 1) // b0) AS block_words FROM s7)),
+s9 AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE ceil(target * blocks / source_size)::BIGINT END AS slots FROM s8),
+plan AS (SELECT *, (sum(slots) OVER (ORDER BY source_id) - slots)::BIGINT AS first_slot, (sum(slots) OVER ())::BIGINT AS n FROM s9),
+points AS (SELECT r.i AS slot, ((r.i * 2654435769) % 4294967296 * m.n) >> 32 AS place FROM (SELECT max(n) AS n FROM plan) m, LATERAL (SELECT unnest(range(m.n)) AS i) r),
+ranked AS (SELECT p.source_id, p.blocks, row_number() OVER (PARTITION BY p.source_id ORDER BY slot) - 1 AS rank
+  FROM points ASOF JOIN (SELECT * FROM plan WHERE slots > 0) p ON points.place >= p.first_slot),
+reads AS (SELECT source_id, rank % blocks AS block, count(*) AS reads FROM ranked WHERE rank < 3 * blocks GROUP BY 1, 2),
+d1 AS (SELECT d.doc_id, d.size, p.source_size, p.target, p.source_id, p.block_words, md5(coalesce(doc_id::VARCHAR, '')) AS h FROM sized d JOIN plan p ON p.source IS NOT DISTINCT FROM d.source),
+d2 AS (SELECT *, row_number() OVER w AS nth, (sum(size) OVER w - size)::BIGINT AS start FROM d1
+  WINDOW w AS (PARTITION BY source_id ORDER BY ('0x' || substr(h, 1, 8))::BIGINT % 256, h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+d3 AS (SELECT *, unnest(range(start // block_words, greatest(start, start + size - 1) // block_words + 1)) AS block FROM d2)
+SELECT doc_id, size, source_size, target,
+  coalesce(sum(greatest(0, least(start + size, (d3.block + 1) * block_words) - greatest(start, d3.block * block_words)) * coalesce(r.reads, 0)), 0)::BIGINT AS taken
+FROM d3 LEFT JOIN reads r ON r.source_id = d3.source_id AND r.block = d3.block GROUP BY d3.source_id, nth, doc_id, size, source_size, target
+"""
+
+OP5 = rf"""
+WITH dw AS (SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all({_LOW.format('text')}, '{_ALNUM}'), []) AS w FROM documents),
+iw AS (SELECT DISTINCT item_id::VARCHAR AS item, regexp_extract_all({_LOW.format('text')}, '{_ALNUM}') AS w FROM benchmark),
+grams AS (SELECT DISTINCT item, least(10, len(w)) AS m, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS g
+  FROM iw, LATERAL (SELECT unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT m FROM grams),
+hits AS (SELECT row, i, dg.m, grams.item FROM (SELECT row, i, m, array_to_string(w[i : i + m - 1], ' ') AS g FROM dw, sizes, LATERAL (SELECT unnest(range(1, len(w) - m + 2)) AS i)) dg JOIN grams ON grams.g = dg.g AND grams.m = dg.m),
+words AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(range(i, i + m)) AS p FROM hits) GROUP BY row),
+items AS (SELECT row, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM hits GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN words USING (row) LEFT JOIN items USING (row)
+"""
+
+OP6 = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '{_WORD}'), []) AS w FROM documents),
+tri AS (SELECT row, i, array_to_string(w[i : i + 2], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, len(w) - 1)) AS i)),
+rep AS (SELECT row, i FROM (SELECT *, count(*) OVER (PARTITION BY row, g) AS c FROM tri) WHERE c > 1),
+rw AS (SELECT row, count(DISTINCT p) AS n FROM (SELECT row, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY row),
+ln AS (SELECT row, count(*) - count(DISTINCT l) AS n FROM (SELECT row, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY row),
+s AS (SELECT d.row, doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(ln.n, 0)::BIGINT AS n_dup_lines, coalesce(rw.n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN rw USING (row) LEFT JOIN ln USING (row)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s),
+h AS (SELECT source, count(*)::DOUBLE AS n, (count(*) FILTER (base_failed))::DOUBLE AS f FROM b GROUP BY source),
+m AS (SELECT sum(n) AS n, sum(f) AS f, count(*) AS k, sum(f * f / n) AS q, sum(n * n) AS nn FROM h),
+v AS (SELECT *, f / n AS mean, (f / n) * (1 - f / n) AS noise FROM m),
+bt AS (SELECT *, CASE WHEN n - nn / n > 0 THEN (q - n * mean * mean - (k - 1) * noise) / (n - nn / n) ELSE 0 END AS between_ FROM v),
+p AS (SELECT *, CASE WHEN between_ > 0 AND noise / between_ > 1 THEN noise / between_ - 1 ELSE n / k END AS weight FROM bt),
+r AS (SELECT h.source, (h.f + greatest(p.mean * p.weight, 1e-9)) / (h.n + greatest(p.mean * p.weight, 1e-9) + greatest((1 - p.mean) * p.weight, 1e-9)) AS rate FROM h, p)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept
+FROM b JOIN r ON r.source IS NOT DISTINCT FROM b.source
+"""
+
+OP8 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '{_WORD}') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i) WHERE len(w) > 0),
+sz AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+links AS (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+  JOIN sz u ON u.doc_id = p.a JOIN sz v ON v.doc_id = p.b WHERE 100 * c >= 75 * (u.n + v.n - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+SELECT d.doc_id, coalesce(sz.n, 0) AS n_shingles, c.component_id FROM d LEFT JOIN sz USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) c USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_chat_windows": OP1,
+    "op2_source_mix": OP2,
+    "op5_decontamination": OP5,
+    "op6_host_rules": OP6,
+    "op8_jaccard_join": OP8,
+}
