@@ -122,7 +122,7 @@ def test_lm_tokens_are_a_probability():
         np.full((lmscore.N_GATES, lmscore.N_CTX), 0.2), np.full((lmscore.N_GATES, lmscore.APM_BINS), 0.4),
     )
     # All continuations of "a" by one byte, closed or open, share out the mass of the prefix.
-    owner, flat, ctx, position = lmscore._contexts([b"a"], 0)
+    _, _, ctx, position, _ = lmscore._contexts([b"a"], 0)
     ctx = lmscore._of_kind(ctx, 1)
     total = 0.0
     for byte in range(256):
