@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkfolio.llm.text import row_slices, space_words
+from sparkfolio.llm.text import row_slices
 from sparkfolio.session import ship_package
 from sparkfolio.storage import materialise
 
@@ -23,32 +24,73 @@ _HOT_BUFFER = 1 << 22  # shingles counted together when looking for frequent one
 _BITS = 22  # of the hashed set of documents that candidates name
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BYTE_CODE = np.random.default_rng(5).integers(0, 1 << 64, 256, _U)
+_POWER = np.cumprod(np.full((1 << 16) + 1, 0xD1342543DE82EF95, _U))
 
 
-def shingle_sets(texts: list[bytes | None], cache: _WordHash) -> list[np.ndarray]:
+def _word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of each word of a lower-cased text: a polynomial of its bytes, mixed with its length.
+
+    Works in blocks that end after a blank, so memory beyond the text is bounded but for longer words.
+    """
+    data = np.frombuffer(text, np.uint8)
+    block = len(_POWER) - 1
+    starts, hashes, at = [], [], 0
+    while at < len(data):
+        stop = min(at + block, len(data))
+        if stop < len(data) or stop - at == block:
+            gaps = np.flatnonzero(_SPACE[data[at:stop]])
+            if len(gaps):
+                stop = at + int(gaps[-1]) + 1
+            else:  # a word as long as a block or longer stands alone
+                more = re.compile(rb"[\x20\x09-\x0D]").search(text, stop)
+                stop = more.start() if more else len(data)
+                word = text[at:stop]
+                starts.append(np.array([at]))
+                hashes.append(np.array([xxhash.xxh64_intdigest(word)], _U))
+                at = stop
+                continue
+        part = data[at:stop]
+        edge = np.diff(_SPACE[part].view(np.int8), prepend=1, append=1)
+        first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        if len(first):
+            sums = np.zeros(len(part) + 1, _U)
+            np.cumsum(_BYTE_CODE[part] * _POWER[: len(part)], out=sums[1:])
+            # The power that all words share makes the sum independent of the word's place.
+            h = (sums[last] - sums[first]) * _POWER[block - first] + (last - first).astype(_U)
+            h = (h ^ h >> _U(32)) * _U(0xD6E8FEB86659FD93)
+            starts.append(first + at)
+            hashes.append(h ^ h >> _U(32))
+        at = stop
+    if not starts:
+        return np.zeros(0, np.int64), np.zeros(0, _U)
+    return np.concatenate(starts), np.concatenate(hashes)
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's word 5-grams; fewer words: of the whole sequence."""
-    docs = [space_words(t) for t in texts]
-    ids = np.fromiter((cache[w] for d in docs for w in d), _U, sum(map(len, docs)))
+    sizes = np.fromiter((len(t) + 1 if t else 1 for t in texts), np.int64, len(texts))
+    starts, ids = _word_hashes(b" ".join(t or b"" for t in texts).lower())
+    cuts = np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)])).tolist()
     h = np.zeros(max(0, len(ids) - SHINGLE + 1), _U)
     for j in range(SHINGLE):
         h = (h + ids[j : j + len(h)]) * _U(0x9E3779B97F4A7C15)
         h ^= h >> _U(29)
-    out, at = [], 0
-    for d in docs:
-        n = len(d)
+    out = []
+    for at, end in zip(cuts, cuts[1:]):
+        n = end - at
         if n >= SHINGLE:
-            out.append(np.unique(h[at : at + n - SHINGLE + 1]))
+            out.append(_distinct(h[at : end - SHINGLE + 1]))
         elif n:
-            out.append(np.array([xxhash.xxh64_intdigest(b" ".join(d), seed=n)], _U))
+            out.append(np.array([xxhash.xxh64_intdigest(ids[at:end].tobytes(), seed=n)], _U))
         else:
             out.append(h[:0])
-        at += n
     return out
 
 
@@ -68,7 +110,7 @@ def _slices(batches):
 
 def _classes(batches) -> Iterator[pa.RecordBatch]:
     """A row per document (doc_id, cid, n), and rows of shingles frequent among documents met together (hot, seen)."""
-    cache, pool, pooled, seen = _WordHash(), [], 0, set()
+    pool, pooled, seen = [], 0, set()
     names = ["doc_id", "cid", "n", "hot", "seen"]
     kind = None
 
@@ -85,7 +127,7 @@ def _classes(batches) -> Iterator[pa.RecordBatch]:
 
     for part in _slices(batches):
         kind = part.schema.field("doc_id").type
-        sets = shingle_sets(part.column("text").to_pylist(), cache)
+        sets = shingle_sets(part.column("text").to_pylist())
         cids = [class_of(s) for s in sets]
         n = len(sets)
         yield pa.RecordBatch.from_arrays(
@@ -104,17 +146,17 @@ def _classes(batches) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(batches, hot, share) -> Iterator[pa.RecordBatch]:
-    """Index rows (token, gid, n, pos) of each group's prefix, rarest tokens first, and a row (gid, cid, n) per class.
+    """Index rows (token, gid, n, pos) of each group's prefix, rarest tokens first, and a row per class.
 
-    gid stands for a prefix and a size. Class rows have pos -1 and the gid as token, which spreads them.
+    gid stands for a prefix and a size. Class rows have pos -1, the gid as token, which spreads them, and the cid as gid.
     """
     part_, whole = share
     values, counts = hot.value
-    cache, seen, known = _WordHash(), set(), set()
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    seen, known = set(), set()
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
     for part in _slices(batches):
         tok, gid, size, pos, classes = [], [], [], [], []
-        for s in shingle_sets(part.column("text").to_pylist(), cache):
+        for s in shingle_sets(part.column("text").to_pylist()):
             c = class_of(s)
             if c is None or c in seen:
                 continue
@@ -129,7 +171,7 @@ def _prefixes(batches, hot, share) -> Iterator[pa.RecordBatch]:
             p = n - -(-part_ * n // whole) + 1
             prefix = s[:p]
             g = int.from_bytes(hashlib.md5(prefix.tobytes() + n.to_bytes(8, "little")).digest()[:8], "little", signed=True)
-            classes.append((g, g, c, n, -1))
+            classes.append((g, c, n, -1))
             if g not in known:
                 known.add(g)
                 tok.append(prefix)
@@ -139,13 +181,13 @@ def _prefixes(batches, hot, share) -> Iterator[pa.RecordBatch]:
         if len(seen) > 500_000:
             seen.clear()
             known.clear()
-        names = ["token", "gid", "cid", "n", "pos"]
+        names = ["token", "gid", "n", "pos"]
         if classes:
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*classes, strict=True), kinds, strict=True)], names)
         if tok:
             t, g, n, q = (np.concatenate(x) for x in (tok, gid, size, pos))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(t.view(np.int64)), pa.array(g), pa.nulls(len(t), pa.int64()), pa.array(n, pa.int32()), pa.array(q, pa.int32())], names
+                [pa.array(t.view(np.int64)), pa.array(g), pa.array(n, pa.int32()), pa.array(q, pa.int32())], names
             )
 
 
@@ -181,7 +223,7 @@ def _runs(batches, share) -> Iterator[pa.RecordBatch]:
         pos = batch.column("pos").to_numpy()
         own = batch.filter(pa.array(pos < 0))
         if own.num_rows:
-            yield rows(gid=own.column("gid").to_numpy(), cid=own.column("cid").to_numpy(), n=own.column("n").to_numpy())
+            yield rows(gid=own.column("token").to_numpy(), cid=own.column("gid").to_numpy(), n=own.column("n").to_numpy())
         batch = batch.filter(pa.array(pos >= 0)).select(["token", "gid", "n", "pos"])
         t, g, n, p = (x.to_numpy().astype(np.int64) for x in batch.columns)
         if not len(t):
@@ -219,53 +261,87 @@ def _runs(batches, share) -> Iterator[pa.RecordBatch]:
         first = (t[-1], hg[-1], hn[-1], hp[-1])
 
 
-def _cross(batches, share, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """From rows (token, label, n, pos, cid) sorted so: all pairs of different labels that pass the filters."""
-    run: list[tuple[int, int, int, int]] = []
-    token = None
-    made: set[tuple[int, int]] = set()
-
-    def pairs():
-        groups: dict[tuple[int, int, int], list[int]] = {}
-        for label, n, p, c in run:
-            groups.setdefault((label, n, p), []).append(c)
-        keys = np.array(list(groups), np.int64).reshape(-1, 3)
-        lists = list(groups.values())
-        for i in range(len(keys) - 1):
-            label, n, p = keys[i]
-            rest = keys[i + 1 :]
-            ok = (rest[:, 0] != label) & fits(n, p, rest[:, 1], rest[:, 2], share)
-            for j in np.flatnonzero(ok).tolist():
-                for a in lists[i]:
-                    for b in lists[i + 1 + j]:
-                        made.add((min(a, b), max(a, b)))
-            if len(made) > most:
-                yield flush()
+def _long_run(label, n, p, c, share) -> Iterator[np.ndarray]:
+    """Pairs of one token's rows with different labels that pass the filters, rows of equal (label, n, pos) taken together."""
+    order = np.lexsort((p, n, label))
+    label, n, p, c = (x[order] for x in (label, n, p, c))
+    new = np.ones(len(c), bool)
+    new[1:] = (label[1:] != label[:-1]) | (n[1:] != n[:-1]) | (p[1:] != p[:-1])
+    at = np.append(np.flatnonzero(new), len(c))
+    label, n, p = (x[at[:-1]] for x in (label, n, p))
+    for i in range(len(label) - 1):
+        ok = (label[i + 1 :] != label[i]) & fits(n[i], p[i], n[i + 1 :], p[i + 1 :], share)
+        for j in (np.flatnonzero(ok) + i + 1).tolist():
+            mine, other = c[at[i] : at[i + 1]], c[at[j] : at[j + 1]]
+            for k in range(0, len(mine), 1000):
+                cut = mine[k : k + 1000]
+                yield np.stack([np.repeat(cut, len(other)), np.tile(other, len(cut))])
+
+
+def _cross(batches, share, most: int = 1 << 20, short: int = 64) -> Iterator[pa.RecordBatch]:
+    """From rows (token, label, n, pos, cid) sorted by token: all pairs of different labels that pass the filters.
+
+    Tokens with up to ``short`` rows are compared at each distance at once, others one by one.
+    """
+    made: list[np.ndarray] = []
+    held: list[list[np.ndarray]] = []  # rows of the last token met
 
     def flush():
-        rows = np.array(list(made), np.int64).reshape(-1, 2)
+        both = np.sort(np.concatenate(made, axis=1), axis=0)
         made.clear()
-        return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["a", "b"])
+        both = both[:, np.lexsort(both[::-1])]
+        keep = np.ones(both.shape[1], bool)
+        keep[1:] = (both[:, 1:] != both[:, :-1]).any(0)
+        a, b = both[:, keep]
+        for i in range(0, len(a), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(a[i : i + 100_000]), pa.array(b[i : i + 100_000])], ["a", "b"])
+
+    def compare(t, label, n, p, c):
+        first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
+        length = np.diff(np.append(first, len(t)))
+        brief = np.repeat(length <= short, length)
+        for d in range(1, min(short, int(length.max()))):
+            i = np.flatnonzero((t[d:] == t[:-d]) & brief[d:])
+            i = i[(label[i] != label[i + d]) & fits(n[i], p[i], n[i + d], p[i + d], share)]
+            if len(i):
+                yield np.stack([c[i], c[i + d]])
+        for at, m in zip(first[length > short].tolist(), length[length > short].tolist(), strict=True):
+            yield from _long_run(*(x[at : at + m] for x in (label, n, p, c)), share)
+
+    def take(pieces):
+        total = sum(x.shape[1] for x in made)
+        for piece in pieces:
+            made.append(piece)
+            total += piece.shape[1]
+            if total > most:
+                yield from flush()
+                total = 0
 
     for batch in batches:
-        for t, *row in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-            if t != token:
-                yield from pairs()
-                token, run = t, []
-            run.append(tuple(row))
-    yield from pairs()
+        rows = [x.to_numpy().astype(np.int64) for x in batch.columns]
+        if not len(rows[0]):
+            continue
+        if held and rows[0][-1] == held[0][0][-1]:
+            held.append(rows)
+            continue
+        rows = [np.concatenate(x) for x in zip(*held, rows, strict=True)]
+        cut = int(np.flatnonzero(rows[0] != rows[0][-1])[-1]) + 1 if rows[0][0] != rows[0][-1] else 0
+        if cut:
+            yield from take(compare(*(x[:cut] for x in rows)))
+        held = [[x[cut:] for x in rows]]
+    if held:
+        yield from take(compare(*(np.concatenate(x) for x in zip(*held, strict=True))))
     if made:
-        yield flush()
+        yield from flush()
 
 
 def _sets(batches, wanted) -> Iterator[pa.RecordBatch]:
     """(doc_id, cid, shingles) of documents whose hashed id is in the bitmap ``wanted``."""
-    cache = _WordHash()
     for part in _slices(batches):
         part = part.filter(pa.array(wanted.value[part.column("h").to_numpy()]))
         for i in range(0, part.num_rows, 2000):
             cut = part.slice(i, 2000)
-            sets = shingle_sets(cut.column("text").to_pylist(), cache)
+            sets = shingle_sets(cut.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [cut.column("doc_id"), pa.array([class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                 ["doc_id", "cid", "shingles"],
@@ -360,7 +436,7 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFram
     values, counts = top.column("hot").to_numpy().view(_U), top.column("seen").to_numpy()
     order = np.argsort(values)
     frequent = spark.sparkContext.broadcast((values[order], counts[order]))
-    index = d.mapInArrow(lambda b: _prefixes(b, frequent, share), "token long, gid long, cid long, n int, pos int")
+    index = d.mapInArrow(lambda b: _prefixes(b, frequent, share), "token long, gid long, n int, pos int")
     ran = index.repartition("token").sortWithinPartitions("token", "gid")
     ran = ran.mapInArrow(lambda b: _runs(b, share), "a long, b long, token long, gid long, cid long, n int, pos int")
     ran = materialise(ran, "nj-runs")
@@ -385,7 +461,7 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFram
     open_rows = open_rows.select("token", "label", "n", "pos", "cid")
     own = known.join(span.filter("lo <> hi").select("gid"), "gid", "left_semi")
     own = own.select(F.col("gid").alias("token"), "label", "n", F.lit(0).alias("pos"), "cid")
-    rest = open_rows.union(own).repartition("token").sortWithinPartitions("token", "label", "n", "pos", "cid")
+    rest = open_rows.union(own).repartition("token").sortWithinPartitions("token")
     rest = rest.mapInArrow(lambda b: _cross(b, share), "a long, b long").distinct()
     rest = materialise(rest.join(trial, ["a", "b"], "left_anti"), "nj-rest")
     if not rest.isEmpty():
