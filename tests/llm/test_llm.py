@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,6 +251,49 @@ def brute_components(data):
     return Counter((d, len(sets[i]), least.get(find(i), d) if sets[i] else d) for i, (d, *_rest) in enumerate(data))
 
 
+def test_shingles_of_words_around_a_block():
+    block = len(jaccard._POWER) - 1
+    rng = random.Random(4)
+    for size in (block - 1, block, block + 1, 2 * block):
+        for lead in (0, 1, 5, block - 2):
+            text = b"r" * lead + b" " + b"Q" * size + b"\n\x0b tail\x1cend of it here"
+            for t in (text, text[:-1] + b" " + b"q" * size):
+                starts, hashes = jaccard._word_hashes(t.lower())
+                words = t.lower().split()
+                assert starts.tolist() == [m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)]
+                assert len(set(hashes.tolist())) == len(set(words))
+                by_word = dict(zip(words, hashes.tolist(), strict=True))
+                assert all(by_word[w] == h for w, h in zip(words, hashes.tolist(), strict=True))
+    texts = [None, b"", b" "] + [b"".join(rng.choice((b"a", b"B", b"b", b"cc")) + rng.choice((b" ", b"\n", b"\x1c")) for _ in range(rng.randint(0, 60))) for _ in range(80)]
+    brute = []
+    for t in texts:
+        w = (t or b"").lower().split()
+        brute.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    got = [set(s.tolist()) for s in jaccard.shingle_sets(texts)]
+    assert [len(s) for s in got] == [len(s) for s in brute]
+    assert all(len(got[i] & got[j]) == len(brute[i] & brute[j]) for i in range(len(texts)) for j in range(i))
+
+
+@pytest.mark.parametrize("rows_a_batch", [7, 1000])
+def test_pairs_of_a_token_in_short_and_long_runs(rows_a_batch):
+    rng = random.Random(rows_a_batch)
+    rows = sorted(
+        (token, rng.randrange(5), rng.randrange(20, 40), rng.randrange(8), rng.randrange(300))
+        for token in range(60)
+        for _ in range(rng.choice((1, 2, 5, 64, 65, 150)))
+    )
+    want = {
+        (min(x[4], y[4]), max(x[4], y[4]))
+        for i, x in enumerate(rows)
+        for y in rows[i + 1 :]
+        if x[0] == y[0] and x[1] != y[1] and jaccard.fits(x[2], x[3], y[2], y[3])
+    }
+    columns = ["token", "label", "n", "pos", "cid"]
+    batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[i : i + rows_a_batch], strict=True)], columns) for i in range(0, len(rows), rows_a_batch)]
+    got = [pair for b in jaccard._cross(batches, jaccard.SHARE, most=500) for pair in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert set(got) == want
+
+
 @pytest.mark.parametrize("seed", [3, 11])
 def test_near_duplicates(spark, empty, seed):
     data = corpus(seed, 250)
