@@ -21,6 +21,8 @@ SHINGLE = 5
 SHARE = (75, 100)
 _U = np.uint64
 _HOT_BUFFER = 1 << 22  # shingles counted together when looking for frequent ones
+SHORT = 64  # rows of a token that are compared with each other at once
+PARTNERS = (2, 32)  # neighbours tried in longer ones, in rounds, before all are
 _BITS = 22  # of the hashed set of documents that candidates name
 
 
@@ -278,10 +280,21 @@ def _long_run(label, n, p, c, share) -> Iterator[np.ndarray]:
                 yield np.stack([np.repeat(cut, len(other)), np.tile(other, len(cut))])
 
 
-def _cross(batches, share, most: int = 1 << 20, short: int = 64) -> Iterator[pa.RecordBatch]:
-    """From rows (token, label, n, pos, cid) sorted by token: all pairs of different labels that pass the filters.
+def _partners(t, label, n, p, c, share, partners: int) -> Iterator[np.ndarray]:
+    """Pairs of one token's rows that are neighbours up to ``partners`` places apart in an order that differs by token."""
+    h = (c.astype(_U) ^ t.astype(_U) * _U(0x9E3779B97F4A7C15)) * _U(0xFF51AFD7ED558CCD)
+    order = np.argsort(h ^ h >> _U(32), kind="stable")
+    label, n, p, c = (x[order] for x in (label, n, p, c))
+    for d in range(1, partners + 1):
+        ok = (label[d:] != label[:-d]) & fits(n[:-d], p[:-d], n[d:], p[d:], share)
+        yield np.stack([c[:-d][ok], c[d:][ok]])
+
 
-    Tokens with up to ``short`` rows are compared at each distance at once, others one by one.
+def _cross(batches, share, partners: int | None = None, most: int = 1 << 20, short: int = SHORT) -> Iterator[pa.RecordBatch]:
+    """From rows (token, label, n, pos, cid) sorted by token: pairs of different labels that pass the filters.
+
+    Tokens with up to ``short`` rows are compared at each distance at once and
+    give all pairs; others give all, one by one, or those of a few partners.
     """
     made: list[np.ndarray] = []
     held: list[list[np.ndarray]] = []  # rows of the last token met
@@ -306,7 +319,10 @@ def _cross(batches, share, most: int = 1 << 20, short: int = 64) -> Iterator[pa.
             if len(i):
                 yield np.stack([c[i], c[i + d]])
         for at, m in zip(first[length > short].tolist(), length[length > short].tolist(), strict=True):
-            yield from _long_run(*(x[at : at + m] for x in (label, n, p, c)), share)
+            if partners:
+                yield from _partners(*(x[at : at + m] for x in (t, label, n, p, c)), share, partners)
+            else:
+                yield from _long_run(*(x[at : at + m] for x in (label, n, p, c)), share)
 
     def take(pieces):
         total = sum(x.shape[1] for x in made)
@@ -412,9 +428,10 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFram
     prefix and size form a group; an inverted index of prefix tokens,
     frequent ones last, gives groups that share a token. First, each token's
     groups are tried along a star and a chain, and members with their group's
-    least; then every pair that shares a token, passes the length and
-    positional filters and is not yet in one component is compared. So no
-    pair is lost, and a large group of true copies needs few comparisons.
+    least, and classes with a few neighbours of each frequent token; then every
+    pair that shares a token, passes the length and positional filters and is
+    not yet in one component is compared. So no pair is lost, and a large
+    group of copies needs few comparisons.
 
     Returns doc_id, n_shingles, class_id, component_id, a row per input row;
     class_id is null for the empty set. Null or wordless text: no shingles,
@@ -451,23 +468,32 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFram
     links = materialise(links_among(docs, classes, trial, share), "nj-links")
     label = materialise(components(links), "nj-label")
 
-    # Tokens and groups that still see more than one component.
-    known = members.join(label, members["cid"] == label["node"], "left")
-    known = materialise(known.select("gid", "cid", "n", F.coalesce("label", "cid").alias("label")), "nj-known")
-    span = known.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    index_rows = ran.filter("token is not null").select("token", "gid", "n", "pos")
-    mixed = index_rows.join(span, "gid").groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi")
-    open_rows = index_rows.join(mixed.select("token"), "token", "left_semi").join(known.drop("n"), "gid")
-    open_rows = open_rows.select("token", "label", "n", "pos", "cid")
-    own = known.join(span.filter("lo <> hi").select("gid"), "gid", "left_semi")
-    own = own.select(F.col("gid").alias("token"), "label", "n", F.lit(0).alias("pos"), "cid")
-    rest = open_rows.union(own).repartition("token").sortWithinPartitions("token")
-    rest = rest.mapInArrow(lambda b: _cross(b, share), "a long, b long").distinct()
-    rest = materialise(rest.join(trial, ["a", "b"], "left_anti"), "nj-rest")
-    if not rest.isEmpty():
-        more = materialise(links_among(docs, classes, rest, share), "nj-more")
-        if not more.isEmpty():
-            label = materialise(components(links.union(more)), "nj-label")
+    # Tokens and groups that still see more than one component. The long ones first try a few partners, since
+    # most of their classes then meet in one component, and are compared whole only where they do not.
+    tried, index_rows = trial, ran.filter("token is not null").select("token", "gid", "n", "pos")
+    for i, partners in enumerate((*PARTNERS, None)):
+        known = members.join(label, members["cid"] == label["node"], "left")
+        known = materialise(known.select("gid", "cid", "n", F.coalesce("label", "cid").alias("label")), "nj-known")
+        span = known.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("k"))
+        mixed = index_rows.join(span, "gid").groupBy("token")
+        mixed = mixed.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("k").alias("k")).filter("lo <> hi")
+        mixed = materialise(mixed.select("token", "k"), "nj-mixed")
+        own = span.filter((F.col("lo") != F.col("hi")) & (F.lit(i == 0) | (F.col("k") > SHORT)))
+        own = known.join(own.select("gid"), "gid", "left_semi")
+        own = own.select(F.col("gid").alias("token"), "label", "n", F.lit(0).alias("pos"), "cid")
+        open_rows = index_rows.join(mixed.select("token"), "token", "left_semi").join(known.drop("n"), "gid")
+        rest = open_rows.select("token", "label", "n", "pos", "cid").union(own)
+        rest = rest.repartition("token").sortWithinPartitions("token")
+        rest = rest.mapInArrow(lambda b, partners=partners: _cross(b, share, partners), "a long, b long").distinct()
+        rest = materialise(rest.join(tried, ["a", "b"], "left_anti"), "nj-rest")
+        if not rest.isEmpty():
+            more = materialise(links_among(docs, classes, rest, share), "nj-more")
+            if not more.isEmpty():
+                links = links.union(more)
+                label = materialise(components(links), "nj-label")
+        tried, index_rows = tried.union(rest), index_rows.join(mixed.filter(F.col("k") > SHORT).select("token"), "token", "left_semi")
+        if mixed.filter(F.col("k") > SHORT).isEmpty() and span.filter(F.col("k") > SHORT).isEmpty():
+            break
 
     whole = classes.join(label, classes["cid"] == label["node"], "left").select("cid", "rep", F.coalesce("label", "cid").alias("label"))
     least = whole.groupBy("label").agg(F.min("rep").alias("component_id"))
