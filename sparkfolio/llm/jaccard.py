@@ -351,33 +351,37 @@ def _cross(batches, share, partners: int | None = None, most: int = 1 << 20, sho
         yield from flush()
 
 
-def _sets(batches, wanted) -> Iterator[pa.RecordBatch]:
-    """(doc_id, cid, shingles) of documents whose hashed id is in the bitmap ``wanted``."""
+def _wanted_texts(batches, wanted) -> Iterator[pa.RecordBatch]:
+    """(doc_id, cid, text) of documents whose hashed id is in the bitmap ``wanted``."""
     for part in _slices(batches):
         part = part.filter(pa.array(wanted.value[part.column("h").to_numpy()]))
-        for i in range(0, part.num_rows, 2000):
-            cut = part.slice(i, 2000)
-            sets = shingle_sets(cut.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [cut.column("doc_id"), pa.array([class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                ["doc_id", "cid", "shingles"],
-            )
+        if part.num_rows:
+            cids = [class_of(s) for s in shingle_sets(part.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cids, pa.int64()), part.column("text")], ["doc_id", "cid", "text"])
 
 
 def _verify(batches, share) -> Iterator[pa.RecordBatch]:
     part, whole = share
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-            u, v = np.frombuffer(x.as_buffer(), _U), np.frombuffer(y.as_buffer(), _U)
-            both = np.sort(np.concatenate([u, v]), kind="stable")
-            shared = int((both[1:] == both[:-1]).sum())
-            keep.append(whole * shared >= part * (len(u) + len(v) - shared))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+        texts = batch.column("ta"), batch.column("tb")
+        for rows in row_slices(batch, 4 << 20, lambda i: 64 + sum(x[i].as_buffer().size for x in texts)):  # noqa: B023
+            place = {c: (x, i) for i in rows for c, x in ((a[i], texts[0]), (b[i], texts[1]))}
+            sets = dict(zip(place, shingle_sets([x[i].as_py() for x, i in place.values()]), strict=True))
+            keep = []
+            for i in rows:
+                u, v = sets[a[i]], sets[b[i]]
+                both = np.sort(np.concatenate([u, v]), kind="stable")
+                shared = int((both[1:] == both[:-1]).sum())
+                keep.append(whole * shared >= part * (len(u) + len(v) - shared))
+            yield batch.slice(rows.start, len(rows)).select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
 def links_among(docs: DataFrame, classes: DataFrame, pairs: DataFrame, share=SHARE) -> DataFrame:
-    """Those of the class pairs (a, b) whose sets reach the similarity, by comparing the whole sets."""
+    """Those of the class pairs (a, b) whose sets reach the similarity, by comparing the whole sets.
+
+    Texts move rather than their sets, which take several times the space.
+    """
     spark = docs.sparkSession
     named = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cid")
     named = materialise(named.join(classes, "cid").select("cid", "rep"), "nj-named")
@@ -386,12 +390,12 @@ def links_among(docs: DataFrame, classes: DataFrame, pairs: DataFrame, share=SHA
     bits[named.select(slot("rep").alias("h")).distinct().toArrow().column("h").to_numpy()] = True
     wanted = spark.sparkContext.broadcast(bits)
     kind = dict(docs.dtypes)["doc_id"]
-    sets = docs.select("doc_id", slot("doc_id").alias("h"), F.col("text").cast("binary").alias("text"))
-    sets = sets.mapInArrow(lambda b: _sets(b, wanted), f"doc_id {kind}, cid long, shingles binary")
-    sets = sets.join(named, "cid").filter(F.col("doc_id").eqNullSafe(F.col("rep"))).select("cid", "shingles")
-    one = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb"))
-    both = pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
+    texts = docs.select("doc_id", slot("doc_id").alias("h"), F.col("text").cast("binary").alias("text"))
+    texts = texts.mapInArrow(lambda b: _wanted_texts(b, wanted), f"doc_id {kind}, cid long, text binary")
+    texts = texts.join(named, "cid").filter(F.col("doc_id").eqNullSafe(F.col("rep"))).select("cid", "text")
+    one = texts.select(F.col("cid").alias("a"), F.col("text").alias("ta"))
+    two = texts.select(F.col("cid").alias("b"), F.col("text").alias("tb"))
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb")
     return both.mapInArrow(lambda b: _verify(b, share), "a long, b long").distinct()
 
 
