@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: (label, short notice). A block holds a notice if it has the stated share of its distinct words.
+#: (label, short notice). A line or a window of words holds a notice if it has the stated share of its distinct words.
 TEMPLATES = (
     ("gpl", "this work is licensed under the gnu general public license version 3"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
@@ -44,6 +45,8 @@ class Templates:
         self.labels = [label for label, _ in templates]
         self.sets = [sorted(set(alnum_words(text.encode())), key=rank) for _, text in templates]
         self.need = [math.ceil(share * len(s) - 1e-9) for s in self.sets]
+        #: Words in a window: as long as the notice, with room for foreign words in the same share.
+        self.reach = [int(len(alnum_words(text.encode())) / (share or 1) + 1e-9) for _, text in templates]
         self.order = {w: i for i, w in enumerate(sorted(set().union(*map(set, self.sets)), key=rank))} if self.sets else {}
         self.index: dict[bytes, list[tuple[int, int]]] = {}
         for t, (words, need) in enumerate(zip(self.sets, self.need, strict=True)):
@@ -70,6 +73,47 @@ class Templates:
                 out[t] = n / len(self.sets[t])
         return out
 
+    def windows(self, words: list[bytes], t: int) -> list[tuple[int, float]]:
+        """(first word, containment) of the best window of each run of overlapping windows that hold template t."""
+        wanted = set(self.sets[t])
+        at = [i for i, w in enumerate(words) if w in wanted]
+        inside: Counter[bytes] = Counter()
+        runs: list[list[int]] = []  # last word, distinct words, length less than 0, first word
+        left = 0
+        for right in at:
+            inside[words[right]] += 1
+            while right - at[left] >= self.reach[t] or inside[words[at[left]]] > 1:
+                w = words[at[left]]
+                inside[w] -= 1
+                if not inside[w]:
+                    del inside[w]
+                left += 1
+            if len(inside) >= max(1, self.need[t]):
+                found = [right, len(inside), at[left] - right, at[left]]
+                if runs and at[left] <= runs[-1][0]:
+                    runs[-1] = [right, *max(runs[-1][1:], found[1:])]
+                else:
+                    runs.append(found)
+        return [(first, n / len(wanted)) for _, n, _, first in runs]
+
+    def blocks(self, text: bytes, words: list[bytes]) -> list[tuple[int, int, float]]:
+        """(line, template, containment) of every line and window of words that holds a template; windows count at their first line."""
+        whole = self.match(words)
+        if not whole:
+            return []
+        found: dict[tuple[int, int], float] = {}
+        ends, total = [], 0
+        for number, line in enumerate(text.split(b"\n")):
+            own = alnum_words(line)
+            total += len(own)
+            ends.append(total)
+            found |= {(number, t): share for t, share in self.match(own).items()}
+        for t in whole:
+            for first, share in self.windows(words, t):
+                key = bisect_right(ends, first), t
+                found[key] = max(share, found.get(key, 0.0))
+        return [(line, t, share) for (line, t), share in sorted(found.items())]
+
 
 def places(words: list[bytes], phrases: list[tuple[list[bytes], str]]) -> list[tuple[int, int]]:
     """(start word, phrase number) of every place where a phrase's words stand consecutively."""
@@ -105,12 +149,8 @@ def _scan(batches, templates: Templates, phrases) -> Iterator[pa.RecordBatch]:
                 words = alnum_words(text)
                 hits = places(words, phrases)
                 base = {phrases[k][1] for _, k in hits}
-                blocks, best = [], 0.0
-                if not templates.prefix.isdisjoint(words):
-                    for number, line in enumerate(text.split(b"\n")):
-                        for t, share in templates.match(alnum_words(line)).items():
-                            blocks.append({"line": number, "label": templates.labels[t], "share": share})
-                            best = max(best, share)
+                blocks = [{"line": line, "label": templates.labels[t], "share": share} for line, t, share in templates.blocks(text, words)]
+                best = max((b["share"] for b in blocks), default=0.0)
                 labels = base | {b["label"] for b in blocks}
                 starts = [p for p, _ in hits]
                 for c, v in (
@@ -134,12 +174,15 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, share:
 
     A first pass counts in how many documents each template word occurs, over
     all documents; that order puts rare words first. A second pass looks at
-    every line: words of a template's prefix find candidates, length and
-    positions bound the overlap, and a set comparison decides, so every line
-    with at least ``share`` of a template's distinct words is found.
+    every text, then at its lines: words of a template's prefix find
+    candidates, length and positions bound the overlap, and a set comparison
+    decides. Templates that the text as a whole holds are also looked for in
+    every window of its words, across lines, so every line and every window
+    (as long as the notice divided by ``share``) with at least ``share`` of a
+    template's distinct words is found, however the notice is wrapped.
 
     Returns doc_id, n_words, n_base, first_word, last_word, base_labels,
-    labels, score and blocks (line, label, share), a row per input row.
+    labels, score and blocks (first line, label, share), a row per input row.
     ``score`` is 1 with a phrase, else the best share, else 0. Null text:
     empty. Empty input: no rows. Extra columns are ignored. Templates and
     phrases are parameters of a few entries; the frequency table has at most

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -228,6 +229,34 @@ def test_licenses(spark, empty):
         assert set(index.match(line)) == want
 
 
+@pytest.mark.parametrize("columns", [70, 30])
+def test_wrapped_license_notices(spark, columns):
+    notices = [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by",
+        "Licensed under the Apache License, Version 2.0; you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
+    ]
+    texts = [(i, "int main;\n" * 3 + textwrap.fill(x, columns, initial_indent=" * ", subsequent_indent=" * ") + "\n\nmore words") for i, x in enumerate(notices)]
+    far = (" filler" * 20 + "\n").join(notices[0].split(" "))
+    d = spark.createDataFrame([*texts, (9, far)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in rows_of(licenses.scan_licenses(d, phrases={"no such phrase": "none"}))}
+    assert [got[i]["labels"] for i in (0, 1, 2, 3, 9)] == [["bsd"], ["gpl"], ["apache"], ["mit"], []]
+    assert all(got[i]["score"] >= 0.8 and {b["line"] for b in got[i]["blocks"]} <= {3, 4, 5} for i in range(4))
+
+
+def test_license_windows_against_brute_force():
+    rng = random.Random(6)
+    index = licenses.Templates(licenses.TEMPLATES, {b"license": 9, b"the": 7}, 0.8)
+    for _ in range(300):
+        t = rng.randrange(len(index.sets))
+        words = [w for _ in range(rng.randint(1, 6)) for w in [*rng.sample(index.sets[t], rng.randint(1, len(index.sets[t]))), *[b"other"] * rng.randint(0, 9)]]
+        most = max(len(set(index.sets[t]) & set(words[i : i + index.reach[t]])) for i in range(len(words)))
+        got = index.windows(words, t)
+        assert bool(got) == (most >= index.need[t])
+        assert not got or max(share for _, share in got) == most / len(index.sets[t])
+
+
 def brute_components(data):
     sets = []
     for _, t, *_rest in data:
