@@ -10,6 +10,8 @@ from sparkfolio.storage import materialise
 
 #: 2**32 divided by the golden ratio: slot i sits at the point i * GOLDEN mod 2**32.
 GOLDEN = 2654435769
+#: Least blocks of a source (one per word if it has fewer); sources with no more get exactly their slots.
+MIN_BLOCKS = 64
 
 
 def source_plan(sized: DataFrame, most_repeats: int, min_slots: int, max_block: int) -> DataFrame:
@@ -34,7 +36,8 @@ def source_plan(sized: DataFrame, most_repeats: int, min_slots: int, max_block:
     level = (F.col("total") - cap_sum).cast("double") / F.nullif(weight_sum, F.lit(0))
     s = s.withColumn("target", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(level * F.col("weight")))
     s = s.withColumn("slot_words", F.expr(f"least({max_block}L, greatest(1L, total div {min_slots}))"))
-    s = s.withColumn("blocks", F.expr("greatest(1L, (source_size + slot_words - 1) div slot_words)"))
+    least = f"least(source_size, {MIN_BLOCKS}L)"
+    s = s.withColumn("blocks", F.expr(f"greatest(1L, {least}, (source_size + slot_words - 1) div slot_words)"))
     s = s.withColumn("block_words", F.expr("greatest(1L, (source_size + blocks - 1) div blocks)"))
     s = s.withColumn("blocks", F.expr("greatest(1L, (source_size + block_words - 1) div block_words)"))
     s = s.withColumn(
@@ -51,13 +54,18 @@ def schedule(plan: DataFrame, most_repeats: int, n_slots: int, chunk: int = 1024
     Slot i falls at the golden-ratio point of i among the cumulative slot
     weights; its rank among its source's slots picks the block. Ranks come
     from counts per chunk of slots, so no task sees all slots of a source.
-    Slots beyond ``most_repeats`` passes stay empty.
+    Slots beyond ``most_repeats`` passes stay empty. The points can miss a
+    short range by a few slots, so a source of at most ``MIN_BLOCKS`` blocks
+    leaves slots beyond its own number empty and reads those that it is short
+    of after all others.
     """
     spark = plan.sparkSession
     span = 65536
+    plan = plan.withColumn("most", F.expr(f"case when blocks <= {MIN_BLOCKS} then slots else {most_repeats} * blocks end"))
     places = plan.filter("slots > 0").select(
         "source_id",
         "blocks",
+        "most",
         "first_slot",
         "slots",
         F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {span}"))).alias("part"),
@@ -65,6 +73,7 @@ def schedule(plan: DataFrame, most_repeats: int, n_slots: int, chunk: int = 1024
     places = places.select(
         "source_id",
         "blocks",
+        "most",
         F.explode(
             F.expr(f"sequence(first_slot + part * {span}, first_slot + least(slots, (part + 1) * {span}) - 1)")
         ).alias("place"),
@@ -75,10 +84,16 @@ def schedule(plan: DataFrame, most_repeats: int, n_slots: int, chunk: int = 1024
     s = slots.join(places, "place").withColumn("chunk", F.expr(f"slot div {chunk}"))
     upto = Window.partitionBy("source_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counts = s.groupBy("source_id", "chunk").agg(F.count("*").alias("n"))
+    got = counts.groupBy("source_id").agg(F.sum("n").alias("n"))
     counts = counts.select("source_id", "chunk", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("ahead"))
     inside = Window.partitionBy("source_id", "chunk").orderBy("slot")
     s = s.withColumn("rank", F.row_number().over(inside) - 1).join(counts, ["source_id", "chunk"])
-    s = s.withColumn("rank", F.col("rank") + F.col("ahead")).filter(F.col("rank") < most_repeats * F.col("blocks"))
+    s = s.withColumn("rank", F.col("rank") + F.col("ahead")).filter("rank < most")
+    short = plan.filter(f"blocks <= {MIN_BLOCKS}").join(got, "source_id", "left").filter("coalesce(n, 0L) < slots")
+    short = short.withColumn("rank", F.explode(F.expr("sequence(coalesce(n, 0L), slots - 1)")))
+    short = short.withColumn("slot", n_slots + F.col("first_slot") + F.col("rank"))
+    columns = ["slot", "source_id", "blocks", "rank"]
+    s = s.select(columns).union(short.select(columns))
     return s.select("slot", "source_id", F.expr("rank % blocks").alias("block"), F.expr("rank div blocks").alias("pass"))
 
 
@@ -90,8 +105,9 @@ def mix_sources(
     Sources in code-point order (null last) weigh 1, 2, 3, repeating, and
     share all words; none gets more than ``most_repeats`` times its own.
     Each source's documents, shuffled by the md5 of doc_id, form one stream
-    of words cut into equal blocks; the schedule's slots read the blocks in
-    turn, over again when they run out. A word counts once per block read.
+    of words cut into equal blocks, at least ``MIN_BLOCKS`` (or one per word);
+    the schedule's slots read the blocks in turn, over again when they run
+    out. A word counts once per block read.
 
     Returns doc_id, source, size, source_size, target, taken - a row per
     input row. Null text has size 0 and is taken 0 times; ties of md5 order

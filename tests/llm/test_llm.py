@@ -96,6 +96,20 @@ def test_mix(spark, docs, empty):
     assert mixing.apply_mix(docs).columns == docs.columns
 
 
+def test_mix_takes_small_sources_whole(spark):
+    rows = [(0, "hot " * 700_000, "hot")] + [(100 + i, "tail " * (1 + i), f"t{i:03}") for i in range(70)] + [(900 + i, "none " * 3, None) for i in range(5)]
+    got = rows_of(mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)))
+    assert len(got) == len(rows)
+    assert all(r["target"] == 3 * r["source_size"] and r["taken"] == 3 * r["size"] for r in got if r["doc_id"])
+    # More sources than slots of the whole: none is dropped, and each takes its quota to the slot.
+    plan = mixing.source_plan(spark.createDataFrame([(f"s{i}", 1 + i % 3) for i in range(3000)], "source string, size long"), 3, 1024, 1 << 20)
+    n_slots = plan.agg(F.sum("slots")).first()[0]
+    slots = mixing.schedule(plan, 3, n_slots)
+    assert slots.select("slot").distinct().count() == slots.count()
+    reads = {r["source_id"]: r["count"] for r in rows_of(slots.groupBy("source_id").count())}
+    assert all(reads[r["source_id"]] == r["slots"] for r in rows_of(plan))
+
+
 def test_lm_score(spark, docs, empty):
     got = rows_of(lmscore.score_texts(docs, head_bound=20))
     data = corpus()
