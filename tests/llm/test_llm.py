@@ -131,6 +131,33 @@ def test_lm_score(spark, docs, empty):
     assert lmscore.score_texts(empty).count() == 0
 
 
+def test_lm_common_tokens_are_counted_exactly():
+    # In each batch 3,000 tokens come twice and one comes once: a cut of any task's counts loses the last.
+    def batches():
+        for b in range(3):
+            texts = [" ".join(f"b{b}t{i}" for i in range(3000)) for _ in range(2)] + ["everywhere"]
+            yield pa.RecordBatch.from_pydict({"fold": [1, 2, 3], "text": pa.array([t.encode() for t in texts], pa.binary())})
+
+    got = Counter()
+    for part in lmscore._common_tokens(batches()):
+        for token, n in zip(part.column("token").to_pylist(), part.column("n").to_pylist(), strict=True):
+            got[token] += n
+    assert got[b"everywhere"] == 3 and len(got) == 9001 and got[b"b0t0"] == 2
+    assert len(list(lmscore._common_tokens(batches(), most=1000))) == 3
+
+
+@pytest.mark.parametrize(("most", "keep"), [(300_000, 30_000), (60, 20), (5, 2)])
+def test_lm_common_tokens_do_not_depend_on_tasks(spark, most, keep):
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(300)]
+    texts = [(1 + i % 9, " ".join(rng.choices(vocab, [1 / (j + 1) for j in range(300)], k=40)).encode()) for i in range(120)] + [(0, b"held out " * 500)]
+    want = Counter(t for fold, x in texts if fold for t in x.split())
+    want = sorted(want, key=lambda t: (-want[t], t))[:12]
+    for tasks in (1, 5):
+        d = spark.createDataFrame(texts, "fold long, text binary").repartition(tasks)
+        assert lmscore.common_tokens(d, most, keep, 12) == want
+
+
 def test_lm_tokens_are_a_probability():
     rng = np.random.default_rng(0)
     model = lmscore.Model(
