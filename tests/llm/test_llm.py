@@ -158,6 +158,18 @@ def test_lm_common_tokens_do_not_depend_on_tasks(spark, most, keep):
         assert lmscore.common_tokens(d, most, keep, 12) == want
 
 
+def test_lm_slot_counts_are_exact_beyond_float32():
+    big, rare = 1 << 24, 5
+    columns = ["token", "kind", "n_train", "n_tune"]
+    kinds = (pa.binary(), pa.int32(), pa.int64(), pa.int64())
+    rows = [([b"a"], [0], [big], [0]), *[([b"a" + bytes([98 + i])], [0], [1], [0]) for i in range(rare)]]
+    tables = lmscore._gather_tables([pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(r, kinds, strict=True)], columns) for r in rows], ("n_train", "n_tune"))
+    seen = []
+    list(lmscore._sum_pieces(tables, lambda part: seen.append(part.reshape(4, -1)) or (part,)))
+    first = lmscore._slot(0, np.zeros(1, np.uint64), np.array([1]))[0]  # kind 0, first bit of a byte; both bytes of a token
+    assert seen[0][0, first] == 2 * big + 3 * rare  # all of these bytes start with a zero bit
+
+
 def test_lm_tokens_are_a_probability():
     rng = np.random.default_rng(0)
     model = lmscore.Model(
