@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkfolio.llm.text import row_slices
+from sparkfolio.llm.text import WORD, row_slices
 from sparkfolio.session import ship_package
 from sparkfolio.storage import materialise
 
@@ -111,9 +111,9 @@ def _slices(batches):
 
 
 def _classes(batches) -> Iterator[pa.RecordBatch]:
-    """A row per document (doc_id, cid, n), and rows of shingles frequent among documents met together (hot, seen)."""
+    """A row per document (doc_id, cid, n, sha256 of the text), and rows of shingles frequent among documents met together (hot, seen)."""
     pool, pooled, seen = [], 0, set()
-    names = ["doc_id", "cid", "n", "hot", "seen"]
+    names = ["doc_id", "cid", "n", "hot", "seen", "sha"]
     kind = None
 
     def frequent():
@@ -123,17 +123,19 @@ def _classes(batches) -> Iterator[pa.RecordBatch]:
             k = int(keep.sum())
             if k:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(k, kind), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(values[keep].view(np.int64)), pa.array(counts[keep])],
+                    [pa.nulls(k, kind), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(values[keep].view(np.int64)), pa.array(counts[keep]), pa.nulls(k, pa.binary())],
                     names,
                 )
 
     for part in _slices(batches):
         kind = part.schema.field("doc_id").type
-        sets = shingle_sets(part.column("text").to_pylist())
+        texts = part.column("text").to_pylist()
+        sets = shingle_sets(texts)
+        shas = pa.array([hashlib.sha256(t or b"").digest() for t in texts], pa.binary())
         cids = [class_of(s) for s in sets]
         n = len(sets)
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(cids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
+            [part.column("doc_id"), pa.array(cids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), shas],
             names,
         )
         for c, s in zip(cids, sets, strict=True):
@@ -443,12 +445,17 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFram
     share the least doc_id that is not null. Empty input: no rows. Extra
     columns are ignored.
     """
+    return _labelled(docs, share).select("doc_id", "n_shingles", "class_id", "component_id")
+
+
+def _labelled(docs: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """``near_duplicates`` with sha, the sha256 of the text, and label, a number of the component (null for the empty set)."""
     ship_package(docs.sparkSession)
     spark = docs.sparkSession
     kind = dict(docs.dtypes)["doc_id"]
     d = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
-    told = materialise(d.mapInArrow(_classes, f"doc_id {kind}, cid long, n long, hot long, seen long"), "nj-classes")
-    rows = told.filter("n is not null").select("doc_id", "cid", "n")
+    told = materialise(d.mapInArrow(_classes, f"doc_id {kind}, cid long, n long, hot long, seen long, sha binary"), "nj-classes")
+    rows = told.filter("n is not null").select("doc_id", "cid", "n", "sha")
     classes = materialise(rows.filter("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("rep")), "nj-reps")
 
     hot = told.filter("hot is not null").groupBy("hot").agg(F.sum("seen").alias("seen"))
@@ -501,18 +508,28 @@ def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFram
 
     whole = classes.join(label, classes["cid"] == label["node"], "left").select("cid", "rep", F.coalesce("label", "cid").alias("label"))
     least = whole.groupBy("label").agg(F.min("rep").alias("component_id"))
-    whole = whole.join(least, "label").select(F.col("cid").alias("_cid"), "component_id")
+    whole = whole.join(least, "label").select(F.col("cid").alias("_cid"), "component_id", "label")
     out = rows.join(whole, rows["cid"] == F.col("_cid"), "left")
     return out.select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("cid").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id")
-    )
+        "doc_id", F.col("n").alias("n_shingles"), F.col("cid").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"),
+        "sha", "label",
+    )
 
 
 def keep_one(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
-    """``docs`` with one row of each component: that of the least doc_id; columns unchanged."""
-    found = near_duplicates(docs, share).select("doc_id", "component_id")
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    repeated = not stay.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty()
-    ids = stay.select(F.col("doc_id").alias("_stay")).distinct()
-    out = docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_stay")), "left_semi")
-    return out.dropDuplicates(["doc_id", "text"]) if repeated else out
+    """``docs`` with one row of each component: that of the least doc_id, null last, then of the least sha256; columns unchanged.
+
+    Rows are told apart by doc_id and text, so null and repeated ids count row
+    by row; of rows equal in both, one stays. Rows without a word are linked
+    with nothing and all stay.
+    """
+    found = _labelled(docs, share).filter("label is not null")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha")
+    stay = found.groupBy("label").agg(F.min(row).alias("row"))
+    stay = materialise(stay.select(F.col("row.doc_id").alias("_stay"), F.col("row.sha").alias("_sha")), "nj-stay")
+    wordy = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    mine = F.unhex(F.sha2(docs["text"].cast("binary"), 256))
+    out = docs.filter(wordy).join(stay, docs["doc_id"].eqNullSafe(F.col("_stay")) & (mine == F.col("_sha")), "left_semi")
+    if out.count() > stay.count():
+        out = out.dropDuplicates(["doc_id", "text"])
+    return out.union(docs.filter(~wordy))

@@ -394,6 +394,19 @@ def test_near_duplicates(spark, empty, seed):
     assert jaccard.near_duplicates(empty).count() == 0
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    one, two, three, four = (" ".join(f"{c}{i}" for i in range(40)) for c in "abcd")
+    rows = [
+        (None, one), (None, one), (None, one + " more"),  # near copies, all without id: one stays
+        (None, two), (7, two), (8, two),  # 7 stays, not the null id beside it
+        (7, three), (9, three + " more"), (9, three),  # another component's least id is 7, too
+        (5, four), (5, four + " more"), (5, four),  # near copies that share an id
+        (None, None), (None, ""), (6, " "), (6, " "),
+    ]
+    got = Counter((r["doc_id"], (r["text"] or "")[:1]) for r in rows_of(jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))))
+    assert got == Counter({(None, "a"): 1, (7, "b"): 1, (7, "c"): 1, (5, "d"): 1, (None, ""): 2, (6, " "): 2})
+
+
 def test_quality(spark, empty):
     rng = random.Random(4)
     good = [" ".join(rng.choice(("the", "of", "river", "stone", "light")) + str(rng.randint(0, 99)) for _ in range(80)) + "." for _ in range(200)]
