@@ -35,7 +35,9 @@ def format_windows(turns: DataFrame, budget: int = 2048, history: int = 256, ove
     crosses a multiple forms its own. So new turns of a window stay within S
     unless a single turn exceeds it; turns are never split. A later window
     starts with the leading system turn and as many of the turns just before
-    it as fit in ``history`` (at most S) tokens; these are repeated, hence masked.
+    it as fit in ``history`` tokens; these are repeated, hence masked. A system
+    turn of at least budget - history tokens leaves S = 1: every turn is a
+    window of its own, with system turn and history, and exceeds the budget.
 
     Returns one row per window: conv_id, window, text, n_repeated (leading
     turns that repeat), loss_spans (start, len in code points: the escaped
@@ -66,7 +68,6 @@ def format_windows(turns: DataFrame, budget: int = 2048, history: int = 256, ove
         F.max("end").alias("stop"),
         F.sum("body_tok").alias("new_tok"),
         F.max("sys_tok").alias("sys_tok"),
-        F.min(F.least(F.lit(history).cast("long"), F.col("span"))).alias("reach"),
     )
     along = conv.orderBy("cut")
     none = F.array().cast(f"array<{_TURN}>")
@@ -75,12 +76,14 @@ def format_windows(turns: DataFrame, budget: int = 2048, history: int = 256, ove
         "lead_turn", F.first(F.expr("filter(turns, t -> t.ord = 1 and t.role = 'system')")).over(along)
     )
     wins = wins.withColumn(
-        "tail", F.expr("filter(turns, t -> t.before >= stop - reach and not (t.ord = 1 and t.role = 'system'))")
+        "tail", F.expr(f"filter(turns, t -> t.before >= stop - {history} and not (t.ord = 1 and t.role = 'system'))")
     )
-    # With reach <= span, at most three earlier windows hold history (see the cutting rule).
-    earlier = F.flatten(F.array(*(F.coalesce(F.lag("tail", k).over(along), none) for k in (3, 2, 1))))
-    wins = wins.withColumn("earlier", earlier)
-    wins = wins.withColumn("past", F.expr("filter(earlier, t -> t.before >= start - reach)"))
+    # Windows that start within the history, and the last one before them, which can reach into it.
+    by_start = conv.orderBy("start")
+    near = F.flatten(F.collect_list("tail").over(by_start.rangeBetween(-history, -1)))
+    far = F.coalesce(F.last("tail").over(by_start.rangeBetween(Window.unboundedPreceding, -history - 1)), none)
+    wins = wins.withColumn("earlier", F.concat(far, near))
+    wins = wins.withColumn("past", F.expr(f"filter(earlier, t -> t.before >= start - {history})"))
     wins = wins.withColumn("again", F.when(F.col("window") == 0, none).otherwise(F.concat("lead_turn", "past")))
     wins = wins.withColumn("n_repeated", F.size("again"))
 

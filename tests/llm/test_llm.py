@@ -77,6 +77,29 @@ def test_chat_round_trip_and_budget(spark):
     assert chat.read_back(chat.format_windows(df.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("system", [0, 100, 150, 159, 400])
+def test_chat_repeats_history_after_a_long_system_turn(spark, system):
+    rng = random.Random(system)
+    sizes = [rng.choice((1, 2, 9, 30, 90)) for _ in range(60)]
+    rows = [(1, 0, "system", "s " * system)] + [(1, 1 + i, "user", f"t{i} " * n) for i, n in enumerate(sizes)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    wins = sorted(rows_of(chat.format_windows(df, budget=200, history=40)), key=lambda w: w["window"])
+    new = 0
+    for w in wins:
+        texts = w["text"].split("</turn>\n")[:-1]
+        fresh = len(texts) - w["n_repeated"]
+        if w["window"]:
+            fits = 0  # turns before this window that fit in the history together
+            while new - 1 - fits >= 0 and sum(n + 3 for n in sizes[new - 1 - fits : new]) <= 40:
+                fits += 1
+            assert w["n_repeated"] == 1 + fits and texts[0].startswith("<turn:system>")
+            assert [x.split(">")[1].split(" ")[0] for x in texts[1 : 1 + fits]] == [f"t{i}" for i in range(new - fits, new)]
+            new += fresh
+        else:
+            new += fresh - 1
+    assert new == 60
+
+
 def test_mix(spark, docs, empty):
     got = rows_of(mixing.mix_sources(docs))
     assert len(got) == docs.count()
