@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkfolio.llm.text import WORD, row_slices
+from sparkfolio.llm.text import WORD, row_slices, word_hashes
 from sparkfolio.session import ship_package
 from sparkfolio.storage import materialise
 
@@ -26,50 +25,6 @@ PARTNERS = (2, 32)  # neighbours tried in longer ones, in rounds, before all are
 _BITS = 22  # of the hashed set of documents that candidates name
 
 
-_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
-_BYTE_CODE = np.random.default_rng(5).integers(0, 1 << 64, 256, _U)
-_POWER = np.cumprod(np.full((1 << 16) + 1, 0xD1342543DE82EF95, _U))
-
-
-def _word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Start and 64-bit hash of each word of a lower-cased text: a polynomial of its bytes, mixed with its length.
-
-    Works in blocks that end after a blank, so memory beyond the text is bounded but for longer words.
-    """
-    data = np.frombuffer(text, np.uint8)
-    block = len(_POWER) - 1
-    starts, hashes, at = [], [], 0
-    while at < len(data):
-        stop = min(at + block, len(data))
-        if stop < len(data) or stop - at == block:
-            gaps = np.flatnonzero(_SPACE[data[at:stop]])
-            if len(gaps):
-                stop = at + int(gaps[-1]) + 1
-            else:  # a word as long as a block or longer stands alone
-                more = re.compile(rb"[\x20\x09-\x0D]").search(text, stop)
-                stop = more.start() if more else len(data)
-                word = text[at:stop]
-                starts.append(np.array([at]))
-                hashes.append(np.array([xxhash.xxh64_intdigest(word)], _U))
-                at = stop
-                continue
-        part = data[at:stop]
-        edge = np.diff(_SPACE[part].view(np.int8), prepend=1, append=1)
-        first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-        if len(first):
-            sums = np.zeros(len(part) + 1, _U)
-            np.cumsum(_BYTE_CODE[part] * _POWER[: len(part)], out=sums[1:])
-            # The power that all words share makes the sum independent of the word's place.
-            h = (sums[last] - sums[first]) * _POWER[block - first] + (last - first).astype(_U)
-            h = (h ^ h >> _U(32)) * _U(0xD6E8FEB86659FD93)
-            starts.append(first + at)
-            hashes.append(h ^ h >> _U(32))
-        at = stop
-    if not starts:
-        return np.zeros(0, np.int64), np.zeros(0, _U)
-    return np.concatenate(starts), np.concatenate(hashes)
-
-
 def _distinct(values: np.ndarray) -> np.ndarray:
     values = np.sort(values)
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
@@ -78,7 +33,7 @@ def _distinct(values: np.ndarray) -> np.ndarray:
 def shingle_sets(texts: list[bytes | None]) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's word 5-grams; fewer words: of the whole sequence."""
     sizes = np.fromiter((len(t) + 1 if t else 1 for t in texts), np.int64, len(texts))
-    starts, ids = _word_hashes(b" ".join(t or b"" for t in texts).lower())
+    starts, _, ids = word_hashes(b" ".join(t or b"" for t in texts).lower())
     cuts = np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)])).tolist()
     h = np.zeros(max(0, len(ids) - SHINGLE + 1), _U)
     for j in range(SHINGLE):

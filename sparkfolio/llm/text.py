@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
+import numpy as np
+import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,3 +59,50 @@ def row_slices(batch, most_bytes: int, size_of: Callable[[int], int]) -> Iterato
             start, total = i + 1, 0
     if start < batch.num_rows:
         yield range(start, batch.num_rows)
+
+
+_U = np.uint64
+SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BYTE_CODE = np.random.default_rng(5).integers(0, 1 << 64, 256, _U)
+_POWER = np.cumprod(np.full((1 << 16) + 1, 0xD1342543DE82EF95, _U))
+
+
+def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, length and 64-bit hash of each word of a lower-cased text: a polynomial of its bytes, mixed with its length.
+
+    Works in blocks that end after a blank, so memory beyond the text is bounded but for longer words.
+    """
+    data = np.frombuffer(text, np.uint8)
+    block = len(_POWER) - 1
+    starts, lengths, hashes, at = [], [], [], 0
+    while at < len(data):
+        stop = min(at + block, len(data))
+        if stop < len(data) or stop - at == block:
+            gaps = np.flatnonzero(SPACE[data[at:stop]])
+            if len(gaps):
+                stop = at + int(gaps[-1]) + 1
+            else:  # a word as long as a block or longer stands alone
+                more = re.compile(rb"[\x20\x09-\x0D]").search(text, stop)
+                stop = more.start() if more else len(data)
+                word = text[at:stop]
+                starts.append(np.array([at]))
+                lengths.append(np.array([stop - at]))
+                hashes.append(np.array([xxhash.xxh64_intdigest(word)], _U))
+                at = stop
+                continue
+        part = data[at:stop]
+        edge = np.diff(SPACE[part].view(np.int8), prepend=1, append=1)
+        first, last = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        if len(first):
+            sums = np.zeros(len(part) + 1, _U)
+            np.cumsum(_BYTE_CODE[part] * _POWER[: len(part)], out=sums[1:])
+            # The power that all words share makes the sum independent of the word's place.
+            h = (sums[last] - sums[first]) * _POWER[block - first] + (last - first).astype(_U)
+            h = (h ^ h >> _U(32)) * _U(0xD6E8FEB86659FD93)
+            starts.append(first + at)
+            lengths.append(last - first)
+            hashes.append(h ^ h >> _U(32))
+        at = stop
+    if not starts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, _U)
+    return np.concatenate(starts), np.concatenate(lengths), np.concatenate(hashes)

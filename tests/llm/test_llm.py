@@ -13,7 +13,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sparkfolio.llm import chat, decontam, hostrules, jaccard, licenses, lmscore, mixing, quality, shuffle, urls
+from sparkfolio.llm import chat, decontam, hostrules, jaccard, licenses, lmbits, lmscore, mixing, quality, shuffle, urls
+from sparkfolio.llm import text as llm_text
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, rid long, size long"
 
@@ -154,65 +155,130 @@ def test_lm_score(spark, docs, empty):
     assert lmscore.score_texts(empty).count() == 0
 
 
-def test_lm_common_tokens_are_counted_exactly():
-    # In each batch 3,000 tokens come twice and one comes once: a cut of any task's counts loses the last.
-    def batches():
-        for b in range(3):
-            texts = [" ".join(f"b{b}t{i}" for i in range(3000)) for _ in range(2)] + ["everywhere"]
-            yield pa.RecordBatch.from_pydict({"fold": [1, 2, 3], "text": pa.array([t.encode() for t in texts], pa.binary())})
-
-    got = Counter()
-    for part in lmscore._common_tokens(batches()):
-        for token, n in zip(part.column("token").to_pylist(), part.column("n").to_pylist(), strict=True):
-            got[token] += n
-    assert got[b"everywhere"] == 3 and len(got) == 9001 and got[b"b0t0"] == 2
-    assert len(list(lmscore._common_tokens(batches(), most=1000))) == 3
-
-
-@pytest.mark.parametrize(("most", "keep"), [(300_000, 30_000), (60, 20), (5, 2)])
-def test_lm_common_tokens_do_not_depend_on_tasks(spark, most, keep):
-    rng = random.Random(8)
-    vocab = [f"w{i}" for i in range(300)]
-    texts = [(1 + i % 9, " ".join(rng.choices(vocab, [1 / (j + 1) for j in range(300)], k=40)).encode()) for i in range(120)] + [(0, b"held out " * 500)]
-    want = Counter(t for fold, x in texts if fold for t in x.split())
-    want = sorted(want, key=lambda t: (-want[t], t))[:12]
-    for tasks in (1, 5):
-        d = spark.createDataFrame(texts, "fold long, text binary").repartition(tasks)
-        assert lmscore.common_tokens(d, most, keep, 12) == want
-
-
-def test_lm_slot_counts_are_exact_beyond_float32():
-    big, rare = 1 << 24, 5
-    columns = ["token", "kind", "n_train", "n_tune"]
-    kinds = (pa.binary(), pa.int32(), pa.int64(), pa.int64())
-    rows = [([b"a"], [0], [big], [0]), *[([b"a" + bytes([98 + i])], [0], [1], [0]) for i in range(rare)]]
-    tables = lmscore._gather_tables([pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(r, kinds, strict=True)], columns) for r in rows], ("n_train", "n_tune"))
-    seen = []
-    list(lmscore._sum_pieces(tables, lambda part: seen.append(part.reshape(4, -1)) or (part,)))
-    first = lmscore._slot(0, np.zeros(1, np.uint64), np.array([1]))[0]  # kind 0, first bit of a byte; both bytes of a token
-    assert seen[0][0, first] == 2 * big + 3 * rare  # all of these bytes start with a zero bit
-
-
-def test_lm_tokens_are_a_probability():
+def test_lm_score_does_not_depend_on_layout_or_head(spark, docs):
+    def scores(d, **params):
+        return sorted((r["doc_id"] or -1, r["n_tokens"], r["score"], r["bits_per_byte"]) for r in rows_of(lmscore.score_texts(d, **params)))
+
+    want = scores(docs)
+    for got in (scores(docs.repartition(1)), scores(docs.repartition(7, "lang", "text")), scores(docs, head_bound=3)):
+        assert [x[:2] for x in got] == [x[:2] for x in want]
+        assert max(abs(x - y) for a, b in zip(got, want, strict=True) for x, y in zip(a[2:], b[2:], strict=True)) < 1e-6
+
+
+def test_lm_score_tells_copies_and_word_order(spark):
+    rng = random.Random(2)
+    vocab = [f"w{i}" for i in range(500)]
+    rows = [(i, " ".join(rng.choices(vocab, k=rng.randint(30, 200)))) for i in range(120)]
+    fold = lambda d: zlib.crc32(str(d).encode()) % 10
+    twin = next(t for i, t in rows if fold(i) and len(t) > 400)
+    words = twin.split()
+    rng.shuffle(words)
+    held = next(i for i in range(1000, 2000) if not fold(i))
+    other = next(i for i in range(held + 1, 2000) if not fold(i))
+    trained = next(i for i in range(1000, 2000) if fold(i))
+    rows += [(held, twin), (other, " ".join(words))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in rows_of(lmscore.score_texts(d))}
+    assert got[held]["score"] > 0.3 * got[other]["score"]  # its runs are known; those of the shuffled words aren't
+    assert got[held]["base_score"] == pytest.approx(got[other]["base_score"])
+    once = {r["doc_id"]: r["score"] for r in got.values() if r["n_tokens"] > 40}
+    assert got[held]["score"] / got[held]["n_tokens"] > max(s / got[i]["n_tokens"] for i, s in once.items() if i != held)
+    # A training text doesn't know itself, only its copy.
+    alone = {r["doc_id"]: r["score"] for r in rows_of(lmscore.score_texts(spark.createDataFrame([*rows[:-2], (trained, " ".join(words))], d.schema)))}
+    both = {r["doc_id"]: r["score"] for r in rows_of(lmscore.score_texts(spark.createDataFrame([*rows[:-2], (trained, twin)], d.schema)))}
+    assert both[trained] > 0.3 * alone[trained]
+    bits = got[held]["score"] * -math.log2(10) / (len(twin.encode()) + 1)
+    assert got[held]["bits_per_byte"] == pytest.approx(bits)
+
+
+def test_lm_runs_against_plain_code():
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(9)], k=n)).encode() for n in (0, 1, 2, 3, 4, 60, 300)] * 2 + [None, b"A a\n B"]
+    t = lmscore.read_tokens(texts)
+    q = lmscore.read_runs(t)
+    found = {(int(x), int(p - t.first[x])): (int(a), int(r), int(o), int(n), bool(s)) for p, x, a, r, o, n, s in zip(q.place, q.text, q.anchor, q.run, q.own, q.times, q.alike, strict=True)}
+    told = 0
+    by_anchor, by_run = {}, {}
+    for x, raw in enumerate(texts):
+        words = [*(raw or b"").lower().split(), lmscore.END]
+        assert t.first[x + 1] - t.first[x] == len(words)
+        seen = Counter()
+        for i, w in enumerate(words):
+            assert t.before[t.first[x] + i] == seen[w]
+            seen[w] += 1
+        assert [w.as_py() for w in t.words(np.arange(t.first[x], t.first[x + 1]))] == words
+        places = sorted(p for y, p in found if y == x)
+        assert (places[0] == 3 if len(words) > 3 else not places)
+        runs = [(p, tuple(words[p - 3 : p]), tuple(words[p:stop])) for p, stop in zip(places, [*places, len(words)][1:], strict=True)]
+        last = {}
+        for p, context, run in runs:
+            a, r, own, times, alike = found[x, p]
+            context = (p == 3, context)
+            assert by_anchor.setdefault(a, context) == context and by_run.setdefault(r, run) == run
+            want = lmscore.NONE if a not in last else lmscore.OWN_HIT if last[a] == run else lmscore.OWN_MISS
+            mine = [z for y, c, z in runs if ((y == 3), c) == context]
+            assert (own, times, alike) == (want, len(mine), len(set(mine)) == 1)
+            last[a] = run
+            told += own != lmscore.NONE
+    assert told > 5 and len(by_anchor) == len(set(by_anchor.values()))
+
+
+def test_lm_online_mixing_against_plain_code():
+    rng = np.random.default_rng(3)
+    sizes, block, gates = [0, 1, 7, 30, 4], 3, 2
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    x, bits, gate = rng.normal(0, 2, (first[-1], 3)), rng.integers(0, 2, first[-1]).astype(bool), rng.integers(0, gates, first[-1])
+    got = lmbits.mix_online(x, bits, first, gate, gates, block)
+    for lo, hi in zip(first, first[1:]):
+        w = [[lmbits.START_WEIGHT] * 3 for _ in range(gates)]
+        seen = [8.0] * lmbits.BINS
+        true = [8 / (1 + math.exp(-((i + 0.5) / lmbits.BINS * 16 - 8))) for i in range(lmbits.BINS)]
+        for at in range(lo, hi, block):
+            steps = [[0.0] * 3 for _ in range(gates)]
+            cells = []
+            for i in range(at, min(at + block, hi)):
+                t = sum(a * b for a, b in zip(w[gate[i]], x[i], strict=True))
+                p = 1 / (1 + math.exp(-t))
+                cell = min(max(int((t + 8) / 16 * lmbits.BINS), 0), lmbits.BINS - 1)
+                mixed = min(max((p + true[cell] / seen[cell]) / 2, 1e-5), 1 - 1e-5)
+                assert got[i] == pytest.approx(math.log10(mixed if bits[i] else 1 - mixed))
+                cells.append((cell, bits[i]))
+                for k in range(3):
+                    steps[gate[i]][k] += lmbits.RATE * (bits[i] - p) * x[i][k]
+            w = [[min(max(a + b, -4), 4) for a, b in zip(u, v, strict=True)] for u, v in zip(w, steps, strict=True)]
+            for cell, bit in cells:
+                seen[cell] += 1
+                true[cell] += bit
+
+
+def test_lm_known_bits_are_a_sequential_estimate():
+    a, b, p, counts = 1.5, 9.5, 1.0, [0, 0]
+    for bit in (0, 1, 1, 0, 0, 1):
+        p *= (counts[bit] + (a if bit else b)) / (sum(counts) + a + b)
+        counts[bit] += 1
+    assert lmscore.kt(3, 3, a, b) == pytest.approx(math.log10(p))
+
+
+def test_lm_words_are_a_probability():
     rng = np.random.default_rng(0)
-    model = lmscore.Model(
-        rng.normal(0, 1, lmscore.N_SLOTS).astype(np.float16), rng.integers(0, 9, lmscore.N_SLOTS).astype(np.uint8),
-        np.full((lmscore.N_GATES, lmscore.N_CTX), 0.2), np.full((lmscore.N_GATES, lmscore.APM_BINS), 0.4),
+    model = lmbits.Speller(
+        rng.normal(0, 1, lmbits.N_SLOTS).astype(np.float16), rng.integers(0, 9, lmbits.N_SLOTS).astype(np.uint8),
+        np.full((lmbits.N_GATES, lmbits.N_CTX), 0.2), np.full((lmbits.N_GATES, lmbits.APM_BINS), 0.4),
     )
     # All continuations of "a" by one byte, closed or open, share out the mass of the prefix.
-    _, _, ctx, position, _ = lmscore._contexts([b"a"], 0)
-    ctx = lmscore._of_kind(ctx, 1)
+    _, _, ctx, position, _ = lmbits.contexts([b"a"], 0)
     total = 0.0
     for byte in range(256):
         p = 1.0
         for b in range(8):
             node, bit = (1 << b) | byte >> (8 - b), byte >> (7 - b) & 1
-            x, gate = lmscore._inputs(model, [c[:1] for c in ctx], np.array([node]), position[:1])
+            x, gate = lmbits.inputs(model, [c[1:] for c in ctx], np.array([node]), position[1:])
             t = np.clip(np.einsum("gk,kg->g", model.weights[gate], x), -12, 12)
-            q = (lmscore._squash(t) + lmscore._refine(model.apm, gate, t)[0]) / 2
+            q = (lmbits.squash(t) + lmbits.refine(model.apm, gate, t)[0]) / 2
             p *= float(q[0] if bit else 1 - q[0])
         total += p
     assert total == pytest.approx(1)
+    assert model.log10([b"ab", b"c", b"ab"])[0] == pytest.approx(model.log10([b"ab"])[0])
 
 
 def test_urls(spark):
@@ -357,13 +423,13 @@ def brute_components(data):
 
 
 def test_shingles_of_words_around_a_block():
-    block = len(jaccard._POWER) - 1
+    block = len(llm_text._POWER) - 1
     rng = random.Random(4)
     for size in (block - 1, block, block + 1, 2 * block):
         for lead in (0, 1, 5, block - 2):
             text = b"r" * lead + b" " + b"Q" * size + b"\n\x0b tail\x1cend of it here"
             for t in (text, text[:-1] + b" " + b"q" * size):
-                starts, hashes = jaccard._word_hashes(t.lower())
+                starts, _, hashes = llm_text.word_hashes(t.lower())
                 words = t.lower().split()
                 assert starts.tolist() == [m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", t)]
                 assert len(set(hashes.tolist())) == len(set(words))
