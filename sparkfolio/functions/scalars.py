@@ -23,8 +23,42 @@ def present(c: Column | str) -> Column:
     return F.coalesce(col(c) != "", F.lit(False))
 
 
+_BLANKS = r"[\s\x1c-\x1f\x85\p{Z}]+"
+
+
+def strip(c: Column | str) -> Column:
+    """Without white space, Unicode's included, at either end."""
+    return F.regexp_replace(col(c), f"^{_BLANKS}|{_BLANKS}$", "")
+
+
+def blank(c: Column | str) -> Column:
+    """Null, empty or white space only; never null itself."""
+    return F.coalesce(strip(c) == "", F.lit(True))
+
+
 def blank_to_null(c: Column | str) -> Column:
-    return F.when(F.trim(col(c)) != "", col(c))
+    return F.when(strip(c) != "", col(c))
+
+
+def first_filled(*columns: Column | str) -> Column:
+    """The first of the columns that is neither null nor empty."""
+    return F.coalesce(*(F.nullif(col(c), F.lit("")) for c in columns))
+
+
+def bilingual(primary: Column | str, other: Column | str, hint: str, missing: str) -> Column:
+    """The primary text unless blank; else the other one behind ``hint``; else ``missing``."""
+    return F.when(~blank(primary), col(primary)).when(~blank(other), F.concat(F.lit(hint), col(other))).otherwise(F.lit(missing))
+
+
+def absolute_url(url: Column | str, host: str, fallback: Column) -> Column:
+    """A url as it is where it starts with http, behind ``host`` otherwise; ``fallback`` where it is empty."""
+    u = F.coalesce(col(url), F.lit(""))
+    return F.when(u == "", fallback).when(F.startswith(u, F.lit("http")), u).otherwise(F.concat(F.lit(host), u))
+
+
+def table_cell(c: Column | str, most: int) -> Column:
+    """Text for a cell of a Markdown table: pipes escaped, then cut to ``most`` characters."""
+    return F.substring(F.replace(F.coalesce(col(c), F.lit("")), F.lit("|"), F.lit("\\|")), 1, most)
 
 
 def like_any_case(c: Column | str, needle: str) -> Column:
@@ -62,24 +96,23 @@ def normalize_date(c: Column | str) -> Column:
 
 
 def strict_date(c: Column | str) -> Column:
-    """Blank or YYYY-MM-DD in form."""
-    return F.coalesce(col(c) == "", F.lit(True)) | F.coalesce(col(c).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.lit(False))
+    """Null, empty or YYYY-MM-DD in form; a newline may follow."""
+    return F.coalesce(col(c) == "", F.lit(True)) | F.coalesce(col(c).rlike(r"^\d{4}-\d{2}-\d{2}\n?\z"), F.lit(False))
 
 
 def date_span(c: Column | str) -> Column:
     """struct(start, end) of a "Y.M.D - Y.M.D" span with any of . / - between parts; nulls without one."""
-    p = r"(\d{4}[./-]\d{1,2}[./-]\d{1,2})\s*[-–—~]\s*(\d{4}[./-]\d{1,2}[./-]\d{1,2})"
+    p = r"(\d{4}[./-]\d{1,2}[./-]\d{1,2})\s*[-–—]\s*(\d{4}[./-]\d{1,2}[./-]\d{1,2})"
     side = lambda i: F.regexp_replace(F.nullif(F.regexp_extract(col(c), p, i), F.lit("")), "[./]", "-")
     return F.struct(side(1).alias("start"), side(2).alias("end"))
 
 
 def long_date_span(c: Column | str) -> Column:
-    """struct(start, end) of "Month D, YYYY - Month D, YYYY" or "- Ongoing" (end null)."""
-    one = r"([A-Z][a-z]+ \d{1,2}, \d{4})"
-    p = one + r"\s*[-–—]\s*(?:Ongoing|" + one + ")"
+    """struct(start, end) of "Month D, YYYY - Month D, YYYY" as written; "- Ongoing" has a null end."""
+    one = r"[A-Za-z]+\s+\d{1,2},\s+\d{4}"
+    p = f"({one})\\s*[-–—]\\s*(Ongoing|{one})"
     side = lambda i: F.nullif(F.regexp_extract(col(c), p, i), F.lit(""))
-    iso = lambda x: F.date_format(F.try_to_timestamp(x, F.lit("MMMM d, yyyy")), "yyyy-MM-dd")
-    return F.struct(iso(side(1)).alias("start"), iso(side(2)).alias("end"))
+    return F.struct(side(1).alias("start"), F.when(F.lower(side(2)) != "ongoing", side(2)).alias("end"))
 
 
 def format_duration(start: Column | str, end: Column | str) -> Column:
@@ -146,30 +179,54 @@ def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.try_divide(part * F.lit(100.0), whole), digits)
 
 
-def artist_sentence(names: Column, most: int = 15) -> Column:
-    """Names that aren't blank, trimmed, each once in order, the first ``most`` joined; a suffix tells of more."""
-    clean = F.array_distinct(F.filter(F.transform(names, lambda x: F.trim(x)), lambda x: x != ""))
-    return F.concat(
-        F.array_join(F.slice(clean, 1, most), ", "), F.when(F.size(clean) > most, F.lit(" and others")).otherwise(F.lit(""))
-    )
+def artist_list(names: Column) -> Column:
+    """Names that aren't blank, stripped, each once in order."""
+    return F.array_distinct(F.filter(F.transform(names, strip), lambda x: x != ""))
 
 
-def synthesize_concept(title: Column | str, preface: Column | str, names: Column) -> Column:
-    """A preface of 50 characters or more in one line (300 at most), else a sentence on the artists; blank title: empty."""
-    body = F.trim(F.replace(col(preface), F.lit("\n"), F.lit(" ")))
-    sentence = artist_sentence(names)
-    about = F.when(sentence != "", F.concat(F.trim(col(title)), F.lit(" presents works by "), sentence, F.lit("."))).otherwise(F.trim(col(title)))
-    return (
-        F.when(F.coalesce(F.trim(col(title)), F.lit("")) == "", F.lit(""))
-        .when(F.length(F.trim(col(preface))) >= 50, F.substring(body, 1, 300))
-        .otherwise(about)
-    )
+# The sentences that concepts are made of, {t} the title, {s} the source, {a} the artists.
+NO_ARTISTS = {"moma": "展览《{t}》", "aic": "芝加哥艺术博物馆展览《{t}》", "generic": "{s} 展览《{t}》", "whitney": "Whitney Museum of American Art exhibition: {t}"}
+WITH_ARTISTS = " 的作品。"
+ARTISTS_ARE = "展出艺术家包括 "
+MORE_ARTISTS = " 等"
+MOST_ARTISTS = 15
+
+
+def artist_sentence(names: Column, most: int = MOST_ARTISTS) -> Column:
+    """The first ``most`` of the artists, joined by commas; a suffix tells of more."""
+    clean = artist_list(names)
+    return F.concat(F.array_join(F.slice(clean, 1, most), ", "), F.when(F.size(clean) > most, F.lit(MORE_ARTISTS)).otherwise(F.lit("")))
+
+
+def synthesize_concept(kind: str, title: Column | str, names: Column | None = None, preface: Column | str | None = None, source: Column | str | None = None) -> Column:
+    """A concept from what is known of a record; ``kind`` is one of ``NO_ARTISTS``. Empty without a title.
+
+    A preface of 50 characters or more, in one line and cut to 300, comes
+    first (kinds aic and whitney), else a sentence on the title and artists
+    (whitney: title only).
+    """
+    t = F.coalesce(col(title), F.lit(""))
+    pieces = []
+    for part in NO_ARTISTS[kind].replace("{t}", "|{t}|").replace("{s}", "|{s}|").split("|"):
+        if part:
+            pieces.append({"{t}": t, "{s}": col(source) if source is not None else F.lit("")}.get(part, F.lit(part)))
+    plain = F.concat(*pieces)
+    told = plain
+    if kind != "whitney":
+        none = F.array().cast("array<string>")
+        sentence = artist_sentence(none if names is None else F.coalesce(names, none))
+        told = F.when(sentence != "", F.concat(plain, F.lit(ARTISTS_ARE), sentence, F.lit(WITH_ARTISTS))).otherwise(plain)
+    if kind in ("aic", "whitney"):
+        body = strip(F.lit(None).cast("string") if preface is None else preface)
+        told = F.when(F.length(body) >= 50, F.substring(F.replace(body, F.lit("\n"), F.lit(" ")), 1, 300)).otherwise(told)
+    return F.when(t == "", F.lit("")).otherwise(told)
 
 
 def fence_stripped(c: Column | str) -> Column:
-    """The body of the first fenced block (with or without a json tag), else the trimmed text."""
-    inside = F.regexp_extract(col(c), r"(?s)```(?:json)?\s*(.*?)```", 1)
-    return F.trim(F.when(F.contains(col(c), F.lit("```")) & (inside != ""), inside).otherwise(col(c)))
+    """The body of a fence that the text starts with, without a json tag, backticks, blanks and newlines; other text as it is."""
+    body = F.element_at(F.split(col(c), "```"), 2)
+    body = F.when(F.startswith(body, F.lit("json")), F.substring(body, 5, 1 << 30)).otherwise(body)
+    return F.when(F.startswith(col(c), F.lit("```")), F.regexp_replace(body, r"^[` \n]+|[` \n]+$", "")).otherwise(col(c))
 
 
 def parse_interval_seconds(text: str) -> int | None:

@@ -12,8 +12,11 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkfolio.functions.scalars import ascii_lower, extract_year, like_any_case, present, year_prefix
+from sparkfolio.functions.scalars import ascii_lower, extract_year, json_list, like_any_case, present, year_prefix
 
+# Parts of names that stand for no artist, fields of a parent that a keyword is looked for in, columns of a gallery page.
+SEARCHED = ("title", "preface", "concept", "curators", "location", "preface_en", "concept_en")
+GALLERY = "id source title curators start_date end_date location city url tags".split()
 PLACEHOLDERS = ("various", "unknown", "multiple")
 
 
@@ -97,11 +100,12 @@ def search(
     source: str = "",
     year_from: int = 0,
     year_to: int = 0,
-    parent_fields: tuple[str, ...] = ("title", "source", "city"),
+    parent_fields: tuple[str, ...] | None = None,
     child_fields: tuple[str, ...] = ("artist_name", "work_title"),
 ) -> DataFrame:
-    """Parents that match all given conditions; a keyword may match the parent or any child."""
+    """Parents that match all given conditions; a keyword may match the parent (those of its searched fields that it has) or any child."""
     out = parents
+    parent_fields = parent_fields or tuple(c for c in SEARCHED if c in parents.columns)
     if source:
         out = out.filter(F.col("source") == source)
     if year_from:
@@ -126,11 +130,58 @@ def page(df: DataFrame, limit: int, offset: int = 0, chronological: bool = False
 
 
 def with_child_count(parents: DataFrame, children: DataFrame) -> DataFrame:
+    """Parents with the number of their children, 0 without any. All children are counted once, before the join."""
     counts = children.groupBy(F.col("exhibition_id").alias("id")).agg(F.count("*").alias("artwork_count"))
     return parents.join(counts, "id", "left").withColumn("artwork_count", F.coalesce("artwork_count", F.lit(0)))
 
 
+def page_with_child_count(shown: DataFrame, children: DataFrame) -> DataFrame:
+    """A page's rows (a few, by their limit) with the number of their children; only those children are counted."""
+    few = F.broadcast(shown.select(F.col("id").alias("exhibition_id")))
+    return with_child_count(shown, children.join(few, "exhibition_id", "left_semi"))
+
+
+def gallery(parents: DataFrame, children: DataFrame, limit: int = 20, offset: int = 0, **conditions) -> DataFrame:
+    """A gallery page with the total of matches: the gallery's columns, lists decoded (curators that aren't JSON as one name), artwork_count, total."""
+    hits = search(parents, children, **conditions)
+    shown = page(hits.select(*GALLERY), limit, offset)
+    shown = shown.withColumns({"curators": json_list("curators", keep_raw=True), "tags": json_list("tags")})
+    total = hits.agg(F.count("*").alias("total"))
+    return page_with_child_count(shown, children).join(F.broadcast(total))  # one row
+
+
 def detail(parents: DataFrame, children: DataFrame, parent_id: int) -> DataFrame:
     """One parent's row beside its children by (artist_name, work_title); the filter reaches both scans."""
     kids = children.filter(F.col("exhibition_id") == parent_id)
     return parents.filter(F.col("id") == parent_id).join(kids.drop("id"), F.col("id") == F.col("exhibition_id"), "left").orderBy("artist_name", "work_title")
+
+
+def detail_record(parents: DataFrame, children: DataFrame, parent_id: int, fields: tuple[str, ...] = ("id", "artist_name", "work_title", "medium")) -> DataFrame:
+    """One parent's row with its lists decoded and its children as one array, by (artist_name, work_title)."""
+    kids = children.filter(F.col("exhibition_id") == parent_id)
+    art = kids.agg(F.array_sort(F.collect_list(F.struct("artist_name", "work_title", *(c for c in fields if c not in ("artist_name", "work_title"))))).alias("_a"))
+    art = art.select(F.transform("_a", lambda x: F.struct(*(x[c].alias(c) for c in fields))).alias("artworks"))
+    one = parents.filter(F.col("id") == parent_id).withColumns({"curators": json_list("curators", keep_raw=True), "tags": json_list("tags")})
+    return one.join(F.broadcast(art))  # one row
+
+
+def statistics(parents: DataFrame, children: DataFrame) -> DataFrame:
+    """One row: total_exhibitions, total_artworks, and the ranked lists museum_stats, top_artists, medium_stats, city_stats.
+
+    Each list is ranked as a relation and has one entry for each source, city
+    or rank, so one row holds it.
+    """
+
+    def ranked(df: DataFrame, name: str, key: str) -> DataFrame:
+        rows = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("o"), F.col("name"))))
+        return df.agg(F.transform(rows, lambda x: F.struct(x["name"].alias(key), (-x["o"]).alias("count"))).alias(name))
+
+    out = totals(parents, children).toDF("total_exhibitions", "total_artworks")
+    for part in (
+        ranked(count_by(parents, "source"), "museum_stats", "source"),
+        ranked(top_artists(children), "top_artists", "artist_name"),
+        ranked(top_mediums(children), "medium_stats", "medium"),
+        ranked(by_city(parents), "city_stats", "city"),
+    ):
+        out = out.join(F.broadcast(part))  # one row each
+    return out

@@ -1,4 +1,4 @@
-"""Structured extraction: cached calls, response parsing, validity, enrichment plans."""
+"""Structured extraction: content gates, cached calls, response parsing, validity."""
 
 from __future__ import annotations
 
@@ -7,92 +7,147 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkfolio.functions.scalars import cache_key, fence_stripped, present
+from sparkfolio.functions.scalars import cache_key, fence_stripped, present, strip
 
+# A record's text fields, lists of texts, and the fields of its artworks; titles that say nothing.
+TEXTS = "title preface concept preface_en concept_en biographies biographies_cn credits start_date end_date location city".split()
+LISTS = ("curators", "images")
+WORK = "artist_name work_title work_year medium dimensions caption".split()
 NO_TITLE = ("N/A", "n/a", "NA", "null", "")
-RECORD = (
-    "struct<title:string,preface:string,concept:string,curators:array<string>,start_date:string,end_date:string,"
-    "location:string,city:string,artworks:array<struct<artist_name:string,work_title:string,work_year:string,"
-    "medium:string,dimensions:string,caption:string>>>"
+
+RECORD = "struct<{}>".format(
+    ",".join([*(f"{c}:string" for c in TEXTS), *(f"{c}:array<string>" for c in LISTS), "artworks:array<struct<{}>>".format(",".join(f"{c}:string" for c in WORK))])
 )
+MOST_HTML = 5 * 1024 * 1024
+LEAST_TEXT = 100
+
+
+def page_gate(html: Column, text: Column) -> Column:
+    """Why a fetched page isn't extracted: too_large (characters of the page), too_short (of its cleaned text), else null."""
+    return F.when(F.length(html) > MOST_HTML, "too_large").when(F.coalesce(F.length(strip(text)), F.lit(0)) < LEAST_TEXT, "too_short")
+
+
+def _kind(value: Column) -> Column:
+    return F.regexp_extract(F.coalesce(F.schema_of_variant(value), F.lit("VOID")), "^([A-Z]+)", 1)
 
 
 def parse_response(raw: Column) -> Column:
-    """struct(record, ok): the first object of a fenced or plain JSON answer, typed strictly.
+    """struct(record, ok): the object (or a list's first) of a plain or fenced JSON answer, typed strictly.
 
-    A record is refused as a whole if its title is absent or any text field
-    holds another type; unknown keys drop, absent lists read as empty.
+    Refused as a whole: text that isn't JSON, an absent or null title, a text
+    that is of another type, a list that isn't one (null included) or holds
+    other than texts, artworks that aren't objects of texts. Unknown keys
+    drop, absent lists read as empty.
     """
     body = fence_stripped(raw)
-    one = F.when(F.startswith(body, F.lit("[")), F.get_json_object(body, "$[0]")).otherwise(body)
-    record = F.from_json(one, RECORD)
-    v = F.try_parse_json(one)
-    texts = ("title", "preface", "concept", "start_date", "end_date", "location", "city")
-    kinds = [F.coalesce(F.schema_of_variant(F.try_variant_get(v, f"$.{c}", "variant")), F.lit("VOID")) for c in texts]
-    typed = F.lit(True)
-    for k in kinds:
-        typed = typed & k.isin("STRING", "VOID")
-    ok = F.coalesce(record.isNotNull() & record["title"].isNotNull() & typed, F.lit(False))
-    return F.struct(F.when(ok, record).alias("record"), ok.alias("ok"))
+    v = F.try_parse_json(body)
+    first = F.try_variant_get(v, "$[0]", "variant")
+    v = F.when(_kind(v) == "ARRAY", first).otherwise(v)
+    at = lambda c: F.try_variant_get(v, f"$.{c}", "variant")
+    record = F.from_json(F.to_json(v), RECORD)
+    empty_list = F.array().cast("array<string>")
+    empty_works = F.expr("array()").cast("array<struct<{}>>".format(",".join(f"{c}:string" for c in WORK)))
+
+    def listed(c: str, fits: Callable[[Column], Column]) -> Column:
+        """Absent, or a list whose entries fit."""
+        entries = F.try_variant_get(v, f"$.{c}", "array<variant>")
+        return at(c).isNull() | (entries.isNotNull() & F.forall(entries, fits))
+
+    text = lambda x: _kind(x) == "STRING"
+    works = lambda x: F.coalesce(
+        (_kind(x) == "OBJECT") & _all(_kind(F.try_variant_get(x, f"$.{c}", "variant")).isin("STRING", "VOID") for c in WORK), F.lit(False)
+    )
+    typed = _all([*(_kind(at(c)).isin("STRING", "VOID") for c in TEXTS), *(listed(c, text) for c in LISTS), listed("artworks", works)])
+    ok = F.coalesce((_kind(v) == "OBJECT") & (_kind(at("title")) == "STRING") & typed, F.lit(False))
+    fields = [*(record[c].alias(c) for c in TEXTS), *(F.coalesce(record[c], empty_list).alias(c) for c in LISTS), F.coalesce(record["artworks"], empty_works).alias("artworks")]
+    return F.struct(F.when(ok, F.struct(*fields)).alias("record"), ok.alias("ok"))
+
+
+def _all(tests) -> Column:
+    out = F.lit(True)
+    for t in tests:
+        out = out & t
+    return out
 
 
 def valid_result(title: Column, start: Column, end: Column, preface: Column, concept: Column) -> Column:
-    """A title that says something, and a date or 30 characters of text; a concept given needs 20."""
-    text = F.trim(F.concat_ws(" ", F.coalesce(preface, F.lit("")), F.coalesce(concept, F.lit(""))))
+    """A title that says something, and a date or 30 characters of text; a concept given needs 20, blanks at its ends apart."""
+    text = F.array_join(F.filter(F.array(preface, concept), lambda x: x != ""), " ")
     c = F.coalesce(concept, F.lit(""))
     dated = present(start) | present(end)
-    return ~F.coalesce(F.trim(title), F.lit("")).isin(*NO_TITLE) & (dated | (F.length(text) >= 30)) & ((c == "") | (F.length(c) >= 20))
+    said = ~F.coalesce(title, F.lit("")).isin(*NO_TITLE)
+    return said & (dated | (F.length(strip(text)) >= 30)) & ((c == "") | (F.length(strip(c)) >= 20))
 
 
 def cached_extract(pages: DataFrame, cache: DataFrame, extract: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
-    """(answers for all pages, new cache rows): only pages missing in the cache reach ``extract``; failures aren't cached.
+    """(answers of all pages, new cache rows) of pages (url, source, city, text).
 
-    ``pages`` has url, text; ``cache`` cache_key, result_json. A corrupted
-    cache entry counts as a miss.
+    Keys are those of "source:city" and the text. Only pages missing in the
+    cache (cache_key, result_json) reach ``extract``, which gives a raw
+    answer; answers that don't parse or say too little become null and aren't
+    cached. A corrupted cache entry counts as a miss.
     """
-    keyed = pages.withColumn("cache_key", cache_key("url", "text"))
-    good = cache.filter(F.try_parse_json("result_json").isNotNull()).select("cache_key", "result_json")
+    where = F.concat(F.coalesce("source", F.lit("")), F.lit(":"), F.coalesce("city", F.lit("")))
+    keyed = pages.withColumn("cache_key", cache_key(where, "text"))
+    good = cache.filter(F.try_parse_json("result_json").isNotNull()).select("cache_key", "result_json").dropDuplicates(["cache_key"])
     hits = keyed.join(good, "cache_key")
-    misses = keyed.join(good.select("cache_key"), "cache_key", "left_anti").withColumn("result_json", extract(F.col("text")))
-    fresh = misses.filter(F.try_parse_json("result_json").isNotNull()).select("cache_key", "result_json")
+    misses = keyed.join(good.select("cache_key"), "cache_key", "left_anti").withColumn("_r", parse_response(extract(F.col("text"))))
+    r = F.col("_r.record")
+    fine = F.col("_r.ok") & valid_result(r["title"], r["start_date"], r["end_date"], r["preface"], r["concept"])
+    misses = misses.withColumn("result_json", F.when(fine, F.to_json(r))).drop("_r")
+    fresh = misses.filter(F.col("result_json").isNotNull()).select("cache_key", "result_json")
     return hits.unionByName(misses.select(*hits.columns)), fresh.dropDuplicates(["cache_key"])
 
 
-ENRICH_FIELDS = {
-    "concept": "concept is null or concept = '' or length(concept) < 50",
-    "preface": "preface is null or preface = ''",
-    "curators": "curators is null or curators = '[]'",
-    "dates": "start_date is null or start_date = ''",
-    "images": "images is null or images = '[]'",
-}
-
-
-def enrichment_candidates(df: DataFrame, fields: tuple[str, ...] = ("concept", "preface", "curators", "dates"), parser_key: str | None = None) -> DataFrame:
-    """Rows of the parser (any, by default) that lack one of the fields; unknown fields select all rows."""
-    tests = [ENRICH_FIELDS[f] for f in fields if f in ENRICH_FIELDS]
-    out = df.filter(F.col("parser_key") == parser_key) if parser_key else df
-    return out.filter(F.expr(" or ".join(f"({t})" for t in tests))) if tests else out
-
-
-def enrichment_tiers(df: DataFrame) -> DataFrame:
-    """The tier that each candidate needs: parse the page again, synthesise from artists, or images only."""
-    tier = (
-        F.when(F.expr(ENRICH_FIELDS["preface"]) | F.expr(ENRICH_FIELDS["dates"]), 1)
-        .when(F.expr(ENRICH_FIELDS["concept"]), 2)
-        .when(F.expr(ENRICH_FIELDS["images"]), 3)
-        .otherwise(0)
-    )
-    return df.withColumn("tier", tier)
-
-
-EVENT_WORDS = (
-    "talk tour workshop screening performance concert lecture symposium conversation reading launch party class course "
-    "film festival family event conference seminar"
-).split()
+# Words and parts of words that tell an event from an exhibition, types of event links.
+EVENT_KEYWORDS = [
+    "talk",
+    "workshop",
+    "symposium",
+    "seminar",
+    "conference",
+    "lecture",
+    "conversation",
+    "screening",
+    "film",
+    "performance",
+    "concert",
+    "recital",
+    "study-evening",
+    "celebration",
+    "launch",
+    "reading",
+    "discussion",
+    "panel",
+    "gala",
+    "dinner",
+    "salon",
+    "tour",
+    "school-visit",
+    "podcast",
+    "marathon",
+    "park-nights",
+    "saturday-talks",
+    "book-club",
+    "study-day",
+]
+EVENT_PARTS = "-talks|-nights|workshop|symposium|seminar|conference|lecture|conversation|screening|performance|concert|launch|reading|discussion|panel|tour|podcast|marathon"
+EVENT_TYPES = ("events", "live", "publication", "digital", "education", "research")
+
+EVENT_PATTERN = r"(?i)\b(" + "|".join(EVENT_KEYWORDS) + r")s?\b|(" + EVENT_PARTS + ")"
+
+
+def names_event(c: Column) -> Column:
+    """Whether a text holds an event word or a part of one."""
+    return F.coalesce(c.rlike(EVENT_PATTERN), F.lit(False))
+
+
+def is_event_type(url: Column) -> Column:
+    """Whether a link's ``?type=`` is one of events."""
+    u = F.coalesce(url, F.lit(""))
+    return u.contains("?type=") & u.rlike("type=(" + "|".join(EVENT_TYPES) + ")")
 
 
 def is_event(url: Column, title: Column) -> Column:
-    """Whether a url or title names an event rather than an exhibition."""
-    p = r"(?i)\b(" + "|".join(EVENT_WORDS) + r")s?\b"
-    u, t = F.coalesce(url, F.lit("")), F.coalesce(title, F.lit(""))
-    return u.rlike(p) | t.rlike(p) | u.contains("/archive/") | u.rlike(r"\?type=(talk|tour|workshop|screening|performance|event)")
+    """Whether a stored record is an event or an archive page rather than an exhibition."""
+    return F.coalesce(url, F.lit("")).contains("/archive/") | names_event(url) | names_event(title)

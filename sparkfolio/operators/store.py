@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfolio.functions.scalars import slug
@@ -15,7 +15,9 @@ def new_parents(target: DataFrame, incoming: DataFrame, order: str, required: tu
     ok = incoming
     for c in required:
         ok = ok.filter(F.col(c).isNotNull())
-    first = ok.withColumn("_rn", F.row_number().over(Window.partitionBy("url").orderBy(order))).filter("_rn = 1").drop("_rn")
+    rest = [c for c in ok.columns if c != "url"]
+    first = ok.groupBy("url").agg(F.min_by(F.struct(*rest), order).alias("_r"))
+    first = first.select(*(F.col("url") if c == "url" else F.col(f"_r.{c}").alias(c) for c in ok.columns))
     return first.join(target.select("url"), "url", "left_anti")
 
 
@@ -54,6 +56,11 @@ def last_writer_wins(rows: DataFrame, key: str, version: str) -> DataFrame:
     return best.select(key, "r.*")
 
 
+def cleared(cache: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(the empty cache, how many rows went)."""
+    return cache.limit(0), cache.agg(F.count("*").alias("removed"))
+
+
 def skip_existing(incoming: DataFrame, target: DataFrame, key: str = "url") -> tuple[DataFrame, DataFrame]:
     """(rows to process, rows already stored)."""
     keys = target.select(key)
@@ -75,6 +82,23 @@ def map_by(df: DataFrame, key: str, dimension: DataFrame, dim_key: str, value: s
     return df.join(d, F.col(key) == F.col("_k"), "left").drop("_k")
 
 
+def backfill_series(parents: DataFrame, series: DataFrame) -> DataFrame:
+    """Changes (id, series_id) of records without a series (null or 0) whose parser key is a series' key."""
+    s = F.broadcast(series.select(F.col("id").alias("_series"), F.col("series_key").alias("parser_key")))
+    return parents.filter(F.coalesce("series_id", F.lit(0)) == 0).join(s, "parser_key").select("id", F.col("_series").alias("series_id"))
+
+
+def backfill_institution_type(df: DataFrame, value: str = "museum") -> tuple[DataFrame, DataFrame]:
+    """(all rows with the type filled, changed rows only)."""
+    return backfill(df, "institution_type", F.lit(value))
+
+
+def mapped_keys(df: DataFrame, keys: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(all rows with an empty parser_key taken from a map of sources, changed rows only); other sources stay empty."""
+    value = F.coalesce(*(F.when(F.col("source") == s, F.lit(k)) for s, k in keys.items()))
+    return backfill(df, "parser_key", value)
+
+
 def parser_key_from_source(source: str = "source") -> Column:
     return slug(source)
 

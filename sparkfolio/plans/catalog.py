@@ -1,85 +1,21 @@
-"""Queries of every operator over the star-schema tables, each with the SQL it must agree with.
-
-Roles: orders are parents (id, source, title, city, start_date, url), lineitem
-children, events the run log, documents text records, pages fetched pages.
-"""
+"""Queries of the operators over the star-schema tables, each with the SQL it must agree with; ``records`` has more of them."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfolio.functions import html as H
 from sparkfolio.functions import scalars as X
 from sparkfolio.operators import analytics as A
-from sparkfolio.operators import extraction as V
+from sparkfolio.operators import enrichment as E
 from sparkfolio.operators import quality as Q
 from sparkfolio.operators import runlog as R
 from sparkfolio.operators import store as W
+from sparkfolio.plans.roles import CHILDREN, ORACLE_SQL, PARENTS, QUERIES, RUNS, children, parents, query, role, run_log
 from sparkfolio.session import load_table
 from sparkfolio.sources import files as S
-from sparkfolio.sources.sites import sites
+from sparkfolio.sources.sites import series
 from sparkfolio.streaming import runs as ST
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-#: The roles' definitions; the same text is valid in both engines.
-PARENTS = """SELECT o_orderkey AS id, o_orderpriority AS source, concat('Customer ', CAST(o_custkey % 500 AS string)) AS title,
- CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 7 = 0 THEN '' ELSE concat('City ', CAST(o_custkey % 40 AS string)) END AS city,
- CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE substr(CAST(o_orderdate AS string), 1, 10) END AS start_date,
- CASE WHEN o_orderkey % 17 = 0 THEN '' ELSE substr(CAST(o_orderdate AS string), 1, 4) END AS end_date,
- concat('https://example.org/exhibitions/', CAST(o_orderkey % 9000 AS string)) AS url,
- CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE lower(substr(o_orderpriority, 3)) END AS parser_key,
- CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE concat('Order of status ', o_orderstatus, ' for ', o_orderpriority, CASE WHEN o_orderkey % 3 = 0 THEN ' with a longer closing remark' ELSE '' END) END AS concept,
- CASE WHEN o_orderkey % 4 = 0 THEN '[]' ELSE '["A","B"]' END AS curators FROM orders"""
-CHILDREN = """SELECT l_orderkey * 100 + l_linenumber AS id, l_orderkey AS exhibition_id, l_linenumber AS line, s_name AS artist_name,
- CASE WHEN l_partkey % 50 = 0 THEN '' WHEN l_partkey % 51 = 0 THEN s_name ELSE p_name END AS work_title,
- CASE WHEN l_partkey % 9 = 0 THEN '' ELSE concat(p_type, ' ', l_returnflag) END AS medium
- FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey"""
-RUNS = """SELECT event_id AS id, concat(event_type, '-', CAST(user_id % 30 AS string)) AS parser_key, ts AS started_at,
- CAST(floor(value) AS bigint) AS urls_discovered, CASE WHEN event_id % 6 = 0 THEN CAST(0 AS bigint) ELSE CAST(floor(value / 2) AS bigint) END AS saved,
- CASE WHEN event_type = 'error' AND event_id % 2 = 0 THEN 'failed' ELSE '' END AS error_message,
- CASE WHEN event_id % 9 = 0 THEN 'dry_run' ELSE 'full' END AS run_type FROM events"""
-_TABLES = {PARENTS: ("orders",), CHILDREN: ("lineitem", "supplier", "part"), RUNS: ("events",)}
-
-
-def role(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    return spark.sql(
-        text.replace("FROM orders", "FROM {orders}").replace("FROM lineitem JOIN supplier", "FROM {lineitem} JOIN {supplier}")
-        .replace("JOIN part ON", "JOIN {part} ON").replace("FROM events", "FROM {events}"),
-        **{t: load_table(spark, sf_dir, t) for t in _TABLES[text]},
-    )
-
-
-def query(oracle: str | None = None, with_: dict[str, str] | None = None):
-    """Register a function of (spark, sf_dir) under its name, with its oracle over named roles."""
-
-    def add(f):
-        QUERIES[f.__name__] = f
-        if oracle:
-            roles = {"parents": PARENTS, "children": CHILDREN, "runs": RUNS} | (with_ or {})
-            used = [f"{k} AS ({v})" for k, v in roles.items() if f" {k}" in oracle.replace("(", " ").replace(",", " ") or k in (with_ or {})]
-            ORACLE_SQL[f.__name__] = (f"WITH {', '.join(used)} " if used else "") + oracle
-        return f
-
-    return add
-
-
-def parents(s, d):
-    return role(s, d, PARENTS)
-
-
-def children(s, d):
-    return role(s, d, CHILDREN)
-
-
-def run_log(s, d):
-    return role(s, d, RUNS)
-
-
 _NAMED = "artist_name <> '' AND lower(artist_name) NOT LIKE '%various%' AND lower(artist_name) NOT LIKE '%unknown%' AND lower(artist_name) NOT LIKE '%multiple%'"
 _YEAR = "CAST(nullif(regexp_extract(start_date, '\\b(19[0-9]{2}|20[0-9]{2})\\b', 1), '') AS INTEGER)"
 
@@ -151,7 +87,7 @@ def cooccurrence_nodes(s, d):
     return A.cooccurrence_nodes(kids, A.cooccurrence_links(kids))
 
 
-_SEARCH = "SELECT id FROM parents WHERE lower(title) LIKE '%customer 12%' OR lower(city) LIKE '%customer 12%' OR lower(source) LIKE '%customer 12%' UNION SELECT exhibition_id FROM children WHERE lower(artist_name) LIKE '%customer 12%' OR lower(work_title) LIKE '%customer 12%'"
+_SEARCH = "SELECT id FROM parents WHERE " + " OR ".join(f"lower({c}) LIKE '%customer 12%'" for c in "title preface concept curators location preface_en concept_en".split()) + " UNION SELECT exhibition_id FROM children WHERE lower(artist_name) LIKE '%customer 12%' OR lower(work_title) LIKE '%customer 12%'"
 
 
 @query(_SEARCH)
@@ -170,7 +106,7 @@ def search_year_range(s, d):
 )
 def exhibitions_page(s, d):
     hits = A.search(parents(s, d), children(s, d), source="2-HIGH")
-    shown = A.with_child_count(A.page(hits, 20, 40), children(s, d))
+    shown = A.page_with_child_count(A.page(hits, 20, 40), children(s, d))
     return shown.join(F.broadcast(hits.agg(F.count("*").alias("total")))).select("id", "title", "start_date", "artwork_count", "total")
 
 
@@ -212,25 +148,30 @@ def missing_fields_rollup(s, d):
     return Q.missing_cube(parents(s, d), "parser_key", _rules())
 
 
-_DUP = "count(*) AS cnt, min(id) AS first_id, string_agg(id::VARCHAR, ',' ORDER BY id) AS ids FROM parents"
+_DUP = "count(*) AS cnt, min(id) AS first_id, max(id) AS last_id FROM parents"
 
 
-@query(f"SELECT parser_key, title, {_DUP} GROUP BY 1, 2 HAVING count(*) > 1")
+@query(f"SELECT parser_key, title, {_DUP} WHERE title IS NOT NULL AND title <> '' GROUP BY 1, 2 HAVING count(*) > 1")
 def dup_exact(s, d):
-    return Q.duplicate_groups(parents(s, d), ["parser_key", "title"])
+    return Q.duplicate_groups(Q.titled(parents(s, d)), ["parser_key", "title"])
 
 
-@query(f"SELECT parser_key, title, start_date, {_DUP} WHERE start_date IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) > 1")
+@query(f"SELECT parser_key, title, start_date, {_DUP} WHERE title IS NOT NULL AND title <> '' AND start_date IS NOT NULL GROUP BY 1, 2, 3 HAVING count(*) > 1")
 def dup_near(s, d):
-    return Q.duplicate_groups(parents(s, d).filter("start_date is not null"), ["parser_key", "title", "start_date"])
+    return Q.duplicate_groups(Q.titled(parents(s, d)).filter("start_date is not null"), ["parser_key", "title", "start_date"])
 
 
-@query(f"SELECT url, {_DUP} GROUP BY 1 HAVING count(*) > 1")
+@query(f"SELECT url, {_DUP} WHERE url IS NOT NULL AND url <> '' GROUP BY 1 HAVING count(*) > 1")
 def dup_url(s, d):
-    return Q.duplicate_groups(parents(s, d), ["url"])
+    return Q.duplicate_groups(parents(s, d).filter("url <> ''"), ["url"])
 
 
-@query("SELECT md5(text) AS text_md5, count(*) AS cnt, min(doc_id) AS first_id, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id) AS ids FROM documents GROUP BY text HAVING count(*) > 1")
+@query("SELECT first_id, cnt, id FROM (SELECT id, min(id) OVER w AS first_id, count(*) OVER w AS cnt FROM parents WHERE title <> '' WINDOW w AS (PARTITION BY parser_key, title)) WHERE cnt > 1")
+def dup_members(s, d):
+    return Q.duplicate_members(Q.titled(parents(s, d)), ["parser_key", "title"])
+
+
+@query("SELECT md5(text) AS text_md5, count(*) AS cnt, min(doc_id) AS first_id, max(doc_id) AS last_id FROM documents GROUP BY text HAVING count(*) > 1")
 def dup_documents(s, d):
     keyed = load_table(s, d, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"))
     return Q.duplicate_groups(keyed, ["text_md5"], "doc_id")
@@ -246,103 +187,221 @@ def normalize_dates(s, d):
     return p.select("id", "raw", X.normalize_date("raw").alias("n")).select("id", "raw", "n.value", "n.changed")
 
 
-_ISSUES = """SELECT id, source, parser_key, unnest(list_filter([
- CASE WHEN length(trim(coalesce(title, ''))) < 3 THEN {'field': 'title', 'severity': 'error'} END,
- CASE WHEN lower(trim(coalesce(title, ''))) IN ('home', 'about', 'news', 'contact', '404') THEN {'field': 'title', 'severity': 'warn'} END,
- CASE WHEN NOT (start_date IS NULL OR start_date = '' OR regexp_matches(start_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$')) THEN {'field': 'start_date', 'severity': 'warn'} END,
- CASE WHEN NOT (end_date IS NULL OR end_date = '' OR regexp_matches(end_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$')) THEN {'field': 'end_date', 'severity': 'warn'} END,
- CASE WHEN start_date <> '' AND end_date <> '' AND start_date > end_date THEN {'field': 'dates', 'severity': 'error'} END,
- CASE WHEN trim(coalesce(concept, '')) = '' THEN {'field': 'concept', 'severity': 'warn'} END,
- CASE WHEN trim(coalesce(concept, '')) <> '' AND length(trim(concept)) < 50 THEN {'field': 'concept', 'severity': 'info'} END,
- CASE WHEN coalesce(city, '') = '' THEN {'field': 'city', 'severity': 'warn'} END,
- CASE WHEN coalesce(parser_key, '') = '' THEN {'field': 'parser_key', 'severity': 'error'} END], lambda x: x IS NOT NULL)) AS i FROM parents"""
+# The record check as its rules read: a title is missing or short, else noise; dates compare only where both are strict.
+_NOISE = "home menu exhibitions exhibition about contact visit support donate shop search events news education collections artists programs gallery museum foundation press privacy terms cookies subscribe newsletter login sign_up loading back next previous close open more less"
+_NOISE_SQL = ", ".join("'" + w.replace("_", " ") + "'" for w in _NOISE.split())
+_STRICT = "regexp_matches({}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')"
+_ISSUES = f"""SELECT id, source, i.field AS field, i.severity AS severity, i.detail AS detail FROM (SELECT id, source, unnest(list_filter([
+ CASE WHEN coalesce(title, '') = '' OR length(trim(title)) < 3 THEN {{'field': 'title', 'severity': 'error', 'detail': 'Missing or too short'}}
+   WHEN lower(trim(title)) IN ({_NOISE_SQL}) THEN {{'field': 'title', 'severity': 'error', 'detail': concat('Noise word: ''', trim(title), '''')}} END,
+ CASE WHEN start_date <> '' AND NOT {_STRICT.format('start_date')} THEN {{'field': 'start_date', 'severity': 'warn', 'detail': concat('Non-standard format: ''', start_date, '''')}} END,
+ CASE WHEN end_date <> '' AND NOT {_STRICT.format('end_date')} THEN {{'field': 'end_date', 'severity': 'warn', 'detail': concat('Non-standard format: ''', end_date, '''')}} END,
+ CASE WHEN {_STRICT.format('start_date')} AND {_STRICT.format('end_date')} AND start_date > end_date THEN {{'field': 'dates', 'severity': 'error', 'detail': concat('start_date (', start_date, ') > end_date (', end_date, ')')}} END,
+ CASE WHEN coalesce(concept, '') = '' THEN {{'field': 'concept', 'severity': 'warn', 'detail': 'Missing'}}
+   WHEN length(trim(concept)) < 50 THEN {{'field': 'concept', 'severity': 'warn', 'detail': concat('Too short (', length(trim(concept)), ' chars)')}} END,
+ CASE WHEN coalesce(preface, '') = '' THEN {{'field': 'preface', 'severity': 'info', 'detail': 'Missing'}} END,
+ CASE WHEN coalesce(city, '') = '' THEN {{'field': 'city', 'severity': 'warn', 'detail': 'Missing'}} END,
+ CASE WHEN coalesce(parser_key, '') = '' THEN {{'field': 'parser_key', 'severity': 'error', 'detail': 'Empty'}} END], lambda x: x IS NOT NULL)) AS i FROM parents)
+ UNION ALL SELECT p.id, p.source, 'artwork', 'warn', concat('ID ', c.id, ': ', array_to_string(list_filter([CASE WHEN trim(artist_name) = '' THEN 'missing artist_name' END,
+   CASE WHEN trim(work_title) = '' THEN 'missing work_title' END, CASE WHEN trim(artist_name) = trim(work_title) AND artist_name <> '' THEN 'artist_name == work_title (possible hallucination)' END], lambda x: x IS NOT NULL), ', '))
+   FROM children c JOIN parents p ON p.id = c.exhibition_id WHERE trim(artist_name) = '' OR trim(work_title) = '' OR (trim(artist_name) = trim(work_title) AND artist_name <> '')"""
+_WITH_ISSUES = {"parents": PARENTS, "children": CHILDREN, "issues": _ISSUES}
+
+
+def _issues(s, d):
+    return Q.record_issues(parents(s, d), children(s, d))
+
+
+@query("SELECT * FROM issues", _WITH_ISSUES)
+def validate_records(s, d):
+    return _issues(s, d)
+
 
+@query("SELECT field, severity, count(*) AS n FROM issues GROUP BY 1, 2", _WITH_ISSUES)
+def issue_counts(s, d):
+    return Q.issue_counts(_issues(s, d))
 
-def _validated(s, d):
-    return Q.validate(parents(s, d), Q.record_checks())
 
+_RATES = (
+    "SELECT p.source, count(*) AS total, count(c.id) AS with_issues, count(*) FILTER (c.errors > 0) AS with_errors, round(count(c.id) * 100.0::DOUBLE / count(*), 1) AS issue_rate "
+    "FROM parents p LEFT JOIN (SELECT id, count(*) FILTER (severity = 'error') AS errors FROM issues GROUP BY id) c ON c.id = p.id GROUP BY 1"
+)
 
-@query("SELECT id, i.field AS field, i.severity AS severity FROM issues", {"parents": PARENTS, "issues": _ISSUES})
-def validate_records(s, d):
-    return _validated(s, d).select("id", F.explode("issues").alias("i")).select("id", "i.field", "i.severity")
 
+@query(_RATES, _WITH_ISSUES)
+def source_issue_rate(s, d):
+    return Q.issue_rates(parents(s, d), _issues(s, d))
 
-@query("SELECT i.field AS field, i.severity AS severity, count(*) AS n FROM issues GROUP BY 1, 2", {"parents": PARENTS, "issues": _ISSUES})
-def issue_counts(s, d):
-    return Q.issue_counts(_validated(s, d))
+
+# The extraction check over documents (concept), with titles, dates and works made of their ids.
+_NOISE_B = "home homepage menu untitled exhibition exhibitions current upcoming past archive about visit tickets shop support contact news press events program education research collection collections artists"
+EXTRACTED = """SELECT id, source, CASE WHEN id % 7 = 0 THEN 'Archive' WHEN id % 11 = 0 THEN 'x ' ELSE title END AS title, start_date, end_date, CASE WHEN id % 13 = 0 THEN 'Too short a concept' ELSE concept END AS concept, preface, city,
+ CASE WHEN id % 3 = 0 THEN '' ELSE 'An artist' END AS artist, CASE WHEN id % 4 = 0 THEN '' ELSE 'A work' END AS work, id % 5 AS n FROM parents"""
+_EXTRACTION_ISSUES = f"""SELECT id, source, list_filter([
+ CASE WHEN coalesce(title, '') = '' OR length(trim(title)) < 3 THEN 'title missing or too short' WHEN lower(title) IN ({", ".join(f"'{w}'" for w in _NOISE_B.split())}) THEN concat('title looks like noise: ''', title, '''') END,
+ CASE WHEN start_date <> '' AND NOT {_STRICT.format('start_date')} THEN concat('start_date invalid format (expected YYYY-MM-DD): ''', start_date, '''') END,
+ CASE WHEN end_date <> '' AND NOT {_STRICT.format('end_date')} THEN concat('end_date invalid format (expected YYYY-MM-DD): ''', end_date, '''') END,
+ CASE WHEN concept <> '' AND length(trim(concept)) < 30 THEN 'concept too short (< 30 chars)' END, CASE WHEN coalesce(concept, '') = '' THEN 'concept is missing' END,
+ CASE WHEN coalesce(preface, '') = '' THEN 'preface is missing' END, CASE WHEN n > 0 AND work = '' THEN 'artworks[0] missing work_title' END,
+ CASE WHEN n > 1 THEN 'artworks[1] missing work_title' END, CASE WHEN n > 0 AND artist = '' AND n < 2 THEN 'all artworks missing artist_name' END,
+ CASE WHEN coalesce(city, '') = '' THEN 'city is missing' END], lambda x: x IS NOT NULL) AS issues FROM extracted"""
+_WITH_EXTRACTED = {"parents": PARENTS, "extracted": EXTRACTED, "checked": _EXTRACTION_ISSUES}
+
+
+def _extraction(s, d):
+    p = parents(s, d)
+    title = F.when(F.col("id") % 7 == 0, "Archive").when(F.col("id") % 11 == 0, "x ").otherwise(F.col("title"))
+    work = F.struct(F.when(F.col("id") % 3 == 0, "").otherwise("An artist").alias("artist_name"), F.when(F.col("id") % 4 == 0, "").otherwise("A work").alias("work_title"))
+    second = F.struct(F.lit("Another").alias("artist_name"), F.lit(None).cast("string").alias("work_title"))
+    n = F.col("id") % 5
+    works = F.when(n == 0, F.array().cast("array<struct<artist_name:string,work_title:string>>")).when(n == 1, F.array(work)).otherwise(F.array(work, second))
+    return Q.extraction_issues(p.withColumns({"title": title, "concept": F.when(F.col("id") % 13 == 0, "Too short a concept").otherwise(F.col("concept")), "artworks": works}))
+
+
+@query("SELECT id, issue FROM (SELECT id, unnest(issues) AS issue FROM checked)", _WITH_EXTRACTED)
+def validate_extraction(s, d):
+    return _extraction(s, d).select("id", F.explode("issues").alias("issue"))
+
+
+_VERDICT_KEYS = "SELECT DISTINCT source AS parser_key, CASE WHEN source = '5-LOW' THEN 'REST_API' ELSE 'HTML_LLM' END AS strategy, CASE WHEN source = '4-NOT SPECIFIED' THEN 0 ELSE 3 END AS urls_found FROM parents"
 
 
 @query(
-    "SELECT p.source, count(*) AS total, count(c.id) AS with_issues, count(*) FILTER (c.errors > 0) AS with_errors, round(count(c.id) * 100.0::DOUBLE / count(*), 2) AS issue_rate "
-    "FROM parents p LEFT JOIN (SELECT id, count(*) FILTER (i.severity = 'error') AS errors FROM issues GROUP BY id) c ON c.id = p.id GROUP BY 1",
-    {"parents": PARENTS, "issues": _ISSUES},
+    "SELECT k.parser_key, coalesce(r.tested, 0) AS tested, coalesce(r.n, 0) AS n_issues, CASE WHEN strategy <> 'HTML_LLM' THEN 'SKIPPED' WHEN urls_found = 0 THEN 'NO_URLS' WHEN r.tested IS NULL THEN 'NO_RESULTS' "
+    "WHEN r.n::DOUBLE / r.tested = 0 THEN 'PASS' WHEN r.n::DOUBLE / r.tested <= 2 THEN 'WARN' ELSE 'FAIL' END AS verdict FROM keys k "
+    "LEFT JOIN (SELECT source, count(*) AS tested, sum(len(issues))::BIGINT AS n FROM checked WHERE source <> '3-MEDIUM' AND (source <> '2-HIGH' OR len(issues) < 2) GROUP BY 1) r ON r.source = k.parser_key",
+    _WITH_EXTRACTED | {"keys": _VERDICT_KEYS},
 )
-def source_issue_rate(s, d):
-    return Q.issue_rates(_validated(s, d))
+def llm_verdict(s, d):
+    keys = parents(s, d).select(F.col("source").alias("parser_key")).distinct().withColumns(
+        {"strategy": F.when(F.col("parser_key") == "5-LOW", "REST_API").otherwise("HTML_LLM"), "urls_found": F.when(F.col("parser_key") == "4-NOT SPECIFIED", 0).otherwise(3)}
+    )
+    r = _extraction(s, d).filter((F.col("source") != "3-MEDIUM") & ((F.col("source") != "2-HIGH") | (F.size("issues") < 2)))
+    return Q.verdicts(r.select(F.col("source").alias("parser_key"), "issues"), keys)
+
+
+@query("SELECT issue, count(*) AS n FROM (SELECT unnest(issues) AS issue FROM checked) GROUP BY 1 ORDER BY n DESC, issue LIMIT 30", _WITH_EXTRACTED)
+def issue_breakdown(s, d):
+    return Q.issue_breakdown(_extraction(s, d))
 
 
 @query(
-    "SELECT source, records, mean_issues, CASE WHEN mean_issues = 0 THEN 'PASS' WHEN mean_issues <= 2 THEN 'WARN' ELSE 'FAIL' END AS verdict FROM "
-    "(SELECT p.source, count(*) AS records, round(avg(coalesce(c.n, 0)), 4) AS mean_issues FROM parents p LEFT JOIN (SELECT id, count(*) AS n FROM issues GROUP BY id) c ON c.id = p.id GROUP BY 1)",
-    {"parents": PARENTS, "issues": _ISSUES},
+    "SELECT id, CASE WHEN id % 4 = 1 THEN 'curators is not a list: str' WHEN id % 4 = 2 THEN 'artworks is not a list: dict' WHEN id % 4 = 3 THEN 'artworks[1] is not a dict: int' END AS issue FROM parents WHERE id % 4 <> 0"
 )
-def llm_verdict(s, d):
-    return Q.verdicts(_validated(s, d), "source")
+def typed_issues(s, d):
+    j = F.when(F.col("id") % 4 == 1, F.lit('{"curators":"x","artworks":[]}')).when(F.col("id") % 4 == 2, F.lit('{"artworks":{"a":1}}')).when(F.col("id") % 4 == 3, F.lit('{"artworks":[{},7]}')).otherwise(F.lit("{}"))
+    return parents(s, d).select("id", F.explode(Q.typed_issues(j)).alias("issue"))
 
 
-@query("SELECT exhibition_id, count(*) AS n FROM children WHERE exhibition_id NOT IN (SELECT id FROM parents WHERE id % 3 <> 0) GROUP BY 1 ORDER BY 1 LIMIT 100")
+@query("SELECT id, exhibition_id FROM children WHERE exhibition_id NOT IN (SELECT id FROM parents WHERE id % 3 <> 0) ORDER BY 1 LIMIT 100")
 def artworks_orphaned(s, d):
-    few = parents(s, d).filter("id % 3 <> 0").select(F.col("id").alias("exhibition_id"))
-    kids = children(s, d).join(few, "exhibition_id", "left_anti")
-    return kids.groupBy("exhibition_id").agg(F.count("*").alias("n")).orderBy("exhibition_id").limit(100)
+    return Q.orphans(children(s, d), parents(s, d).filter("id % 3 <> 0")).select("id", "exhibition_id")
 
 
-_KINDS = "SELECT *, unnest(list_filter([CASE WHEN trim(artist_name) = '' OR trim(work_title) = '' THEN 'missing' END, CASE WHEN artist_name <> '' AND artist_name = work_title THEN 'same_name' END], lambda x: x IS NOT NULL)) AS kind FROM children"
+_KINDS = """SELECT c.id, c.exhibition_id, p.source, unnest(list_filter([
+ CASE WHEN trim(artist_name) = '' OR trim(work_title) = '' THEN {'t': 'missing_field', 'd': concat('Missing: ', CASE WHEN trim(artist_name) = '' AND trim(work_title) = '' THEN 'artist_name, work_title' WHEN trim(artist_name) = '' THEN 'artist_name' ELSE 'work_title' END)} END,
+ CASE WHEN f AND lower(trim(artist_name)) = lower(trim(work_title)) THEN {'t': 'suspicious', 'd': concat('artist_name == work_title: ''', substr(trim(artist_name), 1, 50), '''')} END,
+ CASE WHEN f AND (regexp_matches(artist_name, 'https?://') OR regexp_matches(work_title, 'https?://')) THEN {'t': 'suspicious', 'd': concat('URL detected in name: artist=''', substr(trim(artist_name), 1, 30), ''', title=''', substr(trim(work_title), 1, 30), '''')} END,
+ CASE WHEN f AND (length(trim(artist_name)) > 200 OR length(trim(work_title)) > 200) THEN {'t': 'suspicious', 'd': concat('Abnormally long: artist=', length(trim(artist_name)), ' chars, title=', length(trim(work_title)), ' chars')} END], lambda x: x IS NOT NULL)) AS k
+ FROM (SELECT *, trim(artist_name) <> '' AND trim(work_title) <> '' AS f FROM children) c JOIN parents p ON p.id = c.exhibition_id"""
+_WITH_KINDS = {"parents": PARENTS, "children": CHILDREN, "kinds": _KINDS}
 
 
-@query("SELECT exhibition_id, line, artist_name FROM kinds WHERE kind = 'missing'", {"children": CHILDREN, "kinds": _KINDS})
+@query("SELECT id, exhibition_id, source, 'warn' AS severity, k.d AS detail FROM kinds WHERE k.t = 'missing_field' AND source = '1-URGENT'", _WITH_KINDS)
 def artworks_missing(s, d):
-    return Q.child_issues(children(s, d)).filter("kind = 'missing'").select("exhibition_id", "line", "artist_name")
+    found = Q.child_issues(children(s, d), parents(s, d), "1-URGENT").filter("type = 'missing_field'")
+    return found.select("id", "exhibition_id", "source", "severity", "detail")
 
 
-@query("SELECT kind, count(*) AS n FROM kinds GROUP BY 1", {"children": CHILDREN, "kinds": _KINDS})
+@query("SELECT id, k.d AS detail FROM kinds WHERE k.t = 'suspicious'", _WITH_KINDS)
 def artworks_suspicious(s, d):
-    return Q.child_issues(children(s, d)).groupBy("kind").agg(F.count("*").alias("n"))
+    return Q.child_issues(children(s, d), parents(s, d)).filter("type = 'suspicious'").select("id", "detail")
 
 
-_COUNTED = "SELECT p.id, coalesce(c.n, 0)::BIGINT AS artwork_count FROM parents p LEFT JOIN (SELECT exhibition_id, count(*) AS n FROM children GROUP BY 1) c ON c.exhibition_id = p.id"
+@query("SELECT k.t AS type, 'warn' AS severity, count(*) AS n FROM kinds GROUP BY 1", _WITH_KINDS)
+def artwork_issue_counts(s, d):
+    return Q.child_issues(children(s, d), parents(s, d)).groupBy("type", "severity").agg(F.count("*").alias("n"))
 
 
-@query("SELECT * FROM counted WHERE artwork_count = 0", {"parents": PARENTS, "children": CHILDREN, "counted": _COUNTED})
+@query("SELECT p.id, p.title FROM parents p WHERE site_key NOT IN ('aic', 'wikidata', 'rijksmuseum', 'met', 'whitney', 'tate') AND NOT EXISTS (SELECT 1 FROM children c WHERE c.exhibition_id = p.id AND line > 1) ORDER BY 1 LIMIT 50")
 def artworks_zero(s, d):
-    return Q.child_count_outliers(parents(s, d), children(s, d), 1, 1 << 40).select("id", "artwork_count")
+    p = parents(s, d).withColumn("parser_key", F.when(F.col("site_key") == "tate", "met").otherwise(F.col("site_key")))
+    return Q.zero_children(p, children(s, d).filter("line > 1")).select("id", "title")
 
 
-@query("SELECT * FROM counted WHERE artwork_count > 8", {"parents": PARENTS, "children": CHILDREN, "counted": _COUNTED})
+@query("SELECT * FROM (SELECT exhibition_id AS id, count(*) AS artwork_count FROM children GROUP BY 1) WHERE artwork_count > 5 ORDER BY artwork_count DESC, id LIMIT 20")
 def artworks_excessive(s, d):
-    return Q.child_count_outliers(parents(s, d), children(s, d), 0, 8).select("id", "artwork_count")
+    return Q.excessive_children(parents(s, d), children(s, d), 5).select("id", "artwork_count")
 
 
 @query("SELECT exhibition_id, line, min(artist_name) AS artist_name FROM children GROUP BY 1, 2")
 def artworks_keep_first(s, d):
-    return Q.keep_first(children(s, d), ["exhibition_id", "line"], "artist_name").select("exhibition_id", "line", "artist_name")
+    return Q.keep_first(children(s, d).select("exhibition_id", "line", "artist_name"), ["exhibition_id", "line"], "artist_name")
 
 
-@query("SELECT light, count(*) AS n FROM (SELECT CASE WHEN urls_discovered >= 5 OR (run_type <> 'full' AND urls_discovered > 0) THEN 'PASS' WHEN urls_discovered > 0 THEN 'WARN' ELSE 'FAIL' END AS light FROM runs) GROUP BY 1")
+@query(
+    "SELECT light, CASE light WHEN 'PASS' THEN 'green' WHEN 'WARN' THEN 'yellow' ELSE 'red' END AS colour, count(*) AS n FROM (SELECT CASE WHEN id % 10 = 1 THEN CASE id % 3 WHEN 0 THEN 'TIMEOUT' WHEN 1 THEN 'BLOCKED_SSL' ELSE 'FAIL' END "
+    "WHEN u >= 5 OR (run_type <> 'full' AND u > 0) THEN 'PASS' WHEN u > 0 THEN 'WARN' WHEN id % 4 = 0 THEN 'BLOCKED_403' ELSE 'ZERO_URLS' END AS light FROM (SELECT *, urls_discovered % 9 AS u FROM runs)) GROUP BY 1, 2"
+)
 def traffic_lights(s, d):
-    r = run_log(s, d)
-    light = Q.traffic_light(F.col("urls_discovered"), F.col("run_type") == "full", F.col("error_message"))
-    return r.groupBy(light.alias("light")).agg(F.count("*").alias("n"))
+    raised = F.when(F.col("id") % 10 == 1, F.when(F.col("id") % 3 == 0, "read Timeout").when(F.col("id") % 3 == 1, "bad certificate").otherwise("boom"))
+    light = Q.traffic_light(F.col("urls_discovered") % 9, F.col("run_type") == "full", F.when(F.col("id") % 4 == 0, "403"), raised)
+    r = run_log(s, d).select(light.alias("light"))
+    return r.groupBy("light", Q.light_colour(F.col("light")).alias("colour")).agg(F.count("*").alias("n"))
+
+
+# A failed run's output by kind, and what the rules make of it.
+_OUTPUTS = {
+    0: ("403 by Cloudflare", "BLOCKED_403", "cloudflare", False), 1: ("HTTP 403", "BLOCKED_403", "http_403", False), 2: ("bad certificate", "BLOCKED_SSL", "ssl_error", True),
+    3: ("Playwright is required", "NEEDS_PLAYWRIGHT", "playwright_missing", True), 4: ("read Timeout", "TIMEOUT", "slow_response", False),
+    5: ("No exhibition URLs discovered", "ZERO_URLS", "no_urls_found", True), 6: ("Error fetching page", "ZERO_URLS", "fetch_error", True),
+    7: ("json cannot decode", "ZERO_URLS", "json_decode", True), 8: ("nothing", "ZERO_URLS", "unknown", False), 9: ("'discovered': 7, done", "PASS", None, False),
+    10: ("发现 URL数  : 12", "PASS", None, False),
+}
+_LOG = "concat('start', chr(10), CASE id % 11 " + " ".join(f"WHEN {k} THEN '{v[0].replace(chr(39), chr(39) * 2)}'" for k, v in _OUTPUTS.items()) + " END, chr(10), '  Failed step ', CAST(id % 7 AS string), '  ')"
+_sql = lambda x: "NULL" if x is None else str(x).lower() if isinstance(x, bool) else f"'{x}'"
+_DIAGNOSED = (
+    "SELECT id, CASE id % 11 WHEN 9 THEN 7 WHEN 10 THEN 12 ELSE 0 END AS urls_found, "
+    + ", ".join(f"CASE WHEN id % 23 = 5 AND id % 11 > 4 THEN {slow} ELSE CASE id % 11 " + " ".join(f"WHEN {k} THEN {_sql(v[i])}" for k, v in _OUTPUTS.items()) + f" END END AS {c}" for i, c, slow in ((1, "status", "'TIMEOUT'"), (2, "error_type", "'slow_response'"), (3, "fixable", "false")))
+    + ", concat(CASE WHEN id % 11 = 6 THEN 'Error fetching page | ' ELSE '' END, 'Failed step ', id % 7) AS error_detail FROM runs"
+)
 
 
-_LOG = "concat('saved: ', CAST(saved AS string), chr(10), '\"HTTP/1.1 ', CASE WHEN id % 3 = 0 THEN '403' ELSE '200' END, chr(10), 'Error: code ', CAST(id % 5 AS string))"
+def _diagnosed(s, d):
+    r = run_log(s, d).withColumn("log", F.expr(_LOG))
+    return r.select("id", Q.diagnose_log(F.col("log"), F.when(F.col("id") % 23 == 5, 89.5).otherwise(3.0)).alias("g")).select("id", "g.*")
 
 
-@query("SELECT id, saved, CASE WHEN id % 3 = 0 THEN 403 ELSE 200 END AS http_status, concat('code ', CAST(id % 5 AS string)) AS last_error, CASE WHEN id % 3 = 0 THEN 'BLOCKED' ELSE 'ERROR' END AS status, false AS fixable FROM runs")
+@query(_DIAGNOSED)
 def log_diagnosis(s, d):
-    r = run_log(s, d).withColumn("log", F.expr(_LOG))
-    out = r.select("id", Q.log_counters(F.col("log")).alias("c"), Q.diagnose_log(F.col("log")).alias("g"))
-    return out.select("id", "c.saved", "c.http_status", "c.last_error", "g.status", "g.fixable")
+    return _diagnosed(s, d).drop("suggestion")
+
+
+@query("SELECT count(*) FILTER (urls_found > 0) AS recovered, count(*) FILTER (fixable) AS fixable, count(*) FILTER (NOT fixable AND urls_found = 0) AS unfixable FROM diagnosed", {"runs": RUNS, "diagnosed": _DIAGNOSED})
+def diagnosis_summary(s, d):
+    return Q.diagnosis_summary(_diagnosed(s, d))
+
+
+_STATS_LOG = "concat('{''discovered'': ', CAST(urls_discovered AS string), ', ''saved'': 1}', chr(10), '{\"saved\": ', CAST(saved AS string), '}', chr(10), 'HTTP Request: GET https://x \"HTTP/1.1 ', CASE WHEN id % 3 = 0 THEN '403 Forbidden' ELSE '200 OK' END, '\"', chr(10), 'ValueError: code ', CAST(id % 5 AS string), ' ', chr(10), 'end')"
+
+
+@query(
+    "SELECT id, urls_discovered AS discovered, saved, 0::BIGINT AS failed, CASE WHEN id % 3 = 0 THEN 403 ELSE 200 END AS http_status, CASE WHEN id % 2 = 1 THEN concat('ValueError: code ', id % 5) END AS error FROM runs"
+)
+def log_counters(s, d):
+    r = run_log(s, d).withColumn("log", F.expr(_STATS_LOG))
+    out = r.select("id", Q.run_statistics(F.col("log")).alias("c"), Q.last_http_status(F.col("log")).alias("http_status"), Q.last_error(F.col("log"), F.col("id") % 2).alias("error"))
+    return out.select("id", "c.discovered", "c.saved", "c.failed", "http_status", "error")
+
+
+@query(
+    "SELECT id, CASE WHEN id % 10 = 0 THEN 'SKIPPED' WHEN id % 10 = 1 THEN 'FAIL' WHEN id % 10 = 2 THEN 'PASS' WHEN id % 10 = 3 THEN 'BLOCKED_403' WHEN id % 10 = 4 THEN 'BLOCKED_SSL' WHEN id % 10 = 5 THEN 'TIMEOUT' WHEN id % 10 = 6 THEN 'NEEDS_PLAYWRIGHT' ELSE 'ZERO_URLS' END AS status FROM runs"
+)
+def health_status(s, d):
+    k = F.col("id") % 10
+    log = F.when(k == 3, "HTTP 403").when(k == 4, "bad certificate").when(k == 5, "timed out").when(k == 6, "Playwright is required").otherwise("nothing")
+    status = Q.health_status(F.when(k == 0, "BLOCKED_SPA"), (k == 1).cast("int"), (k == 2).cast("int"), log)
+    return run_log(s, d).select("id", status.alias("status"))
 
 
 # --- run log ---------------------------------------------------------------------------------------------------------
@@ -405,7 +464,7 @@ def session_counts(s, d):
 
 # --- writes ----------------------------------------------------------------------------------------------------------
 _STORED = "SELECT id, url, title, source FROM parents WHERE id % 10 = 0"
-_FIRSTS = "SELECT id, url, title, source FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY id) AS rn FROM parents) WHERE rn = 1 AND url NOT IN (SELECT url FROM stored)"
+_FIRSTS = "SELECT id, url, title, source FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY id) AS rn FROM parents WHERE title IS NOT NULL) WHERE rn = 1 AND url NOT IN (SELECT url FROM stored)"
 
 
 def _stored(s, d):
@@ -444,10 +503,36 @@ def force_upsert(s, d):
     return W.upsert(p, p.filter("id % 10 = 0").withColumn("title", F.lit("new")), "id")
 
 
-@query("SELECT id, parser_key, r_regionkey AS new_r_regionkey FROM parents LEFT JOIN region ON r_name = upper(parser_key)")
+_SERIES = "(VALUES (1, 'venice_biennale'), (7, 'liverpool_biennale')) s(sid, k)"
+
+
+@query(f"SELECT id, s.sid::BIGINT AS series_id FROM parents JOIN {_SERIES} ON s.k = site_key WHERE series_id IS NULL OR series_id = 0")
 def backfill_series(s, d):
-    out = W.map_by(parents(s, d).withColumn("k", F.upper("parser_key")), "k", load_table(s, d, "region"), "r_name", "r_regionkey")
-    return out.select("id", "parser_key", "new_r_regionkey")
+    return W.backfill_series(parents(s, d).withColumn("parser_key", F.col("site_key")), series(s))
+
+
+@query("SELECT id, 'museum' AS institution_type FROM parents WHERE coalesce(institution_type, '') = ''")
+def backfill_institution_type(s, d):
+    _, changed = W.backfill_institution_type(parents(s, d))
+    return changed.select("id", "institution_type")
+
+
+@query("SELECT source, CASE source WHEN '1-URGENT' THEN 'urgent_key' WHEN '2-HIGH' THEN 'high_key' END AS parser_key, count(*) AS n FROM parents WHERE parser_key IS NULL AND source IN ('1-URGENT', '2-HIGH') GROUP BY 1, 2")
+def backfill_mapped_keys(s, d):
+    _, changed = W.mapped_keys(parents(s, d), {"1-URGENT": "urgent_key", "2-HIGH": "high_key"})
+    return changed.groupBy("source", "parser_key").agg(F.count("*").alias("n"))
+
+
+@query("SELECT coalesce(parser_key, 'none') AS name, count(*) AS n FROM (SELECT coalesce(parser_key, replace(replace(replace(lower(source), ' ', '_'), '''', ''), '.', '')) AS parser_key FROM parents) GROUP BY 1")
+def key_distribution(s, d):
+    filled, _ = W.backfill(parents(s, d), "parser_key", W.parser_key_from_source())
+    return A.count_by(filled.withColumn("parser_key", F.coalesce("parser_key", F.lit("none"))), "parser_key")
+
+
+@query("SELECT count(*) AS removed FROM (SELECT DISTINCT url FROM parents)")
+def cache_clear(s, d):
+    _, removed = W.cleared(parents(s, d).select("url").distinct())
+    return removed
 
 
 @query("SELECT id, replace(replace(replace(lower(source), ' ', '_'), '''', ''), '.', '') AS parser_key FROM parents WHERE parser_key IS NULL")
@@ -467,7 +552,7 @@ def cache_key(s, d):
     return parents(s, d).filter("concept <> ''").select("id", X.cache_key("url", "concept").alias("cache_key"))
 
 
-@query("SELECT url, arg_max(title, id) AS title, max(id) AS id FROM parents GROUP BY 1")
+@query("SELECT url, arg_max({'t': title}, id).t AS title, max(id) AS id FROM parents GROUP BY 1")
 def cache_upsert(s, d):
     return W.last_writer_wins(parents(s, d).select("url", "title", "id"), "url", "id").select("url", "title", "id")
 
@@ -478,24 +563,43 @@ def enrich_guarded(s, d):
 
 
 # --- ingestion -------------------------------------------------------------------------------------------------------
-@query("SELECT o_custkey::VARCHAR AS exhibition_id, arg_min(concat('Show ', o_orderstatus), o_orderkey) AS title, min(o_orderkey) AS first_pos, count(*) FILTER (o_orderkey % 3 <> 0) AS n_artworks, count(DISTINCT o_orderstatus) FILTER (o_orderkey % 3 = 0) AS n_curators FROM orders GROUP BY 1")
+@query(
+    "SELECT o_custkey::VARCHAR AS exhibition_id, arg_min(concat('Show ', o_orderstatus), o_orderkey) AS title, min(o_orderkey) AS first_pos, "
+    "concat(CASE WHEN o_custkey % 2 = 0 THEN 'https://www.moma.org/calendar/exhibitions/' ELSE 'https://www.x.org/' END, o_custkey) AS url, "
+    "coalesce(string_agg(concat(o_orderpriority, ' ', o_orderkey), '|' ORDER BY o_orderkey) FILTER (o_orderkey % 4 > 1), '') AS artworks, "
+    "coalesce(string_agg(concat(o_orderpriority, ' ', o_orderkey, ', Dutch, 1950'), '|' ORDER BY o_orderkey) FILTER (o_orderkey % 4 > 1), '') AS captions, "
+    "coalesce(array_to_string(list_distinct_in_order, ','), '') AS curators FROM (SELECT *, (SELECT list(c ORDER BY k) FROM (SELECT concat('Curator ', o_orderstatus) AS c, min(o_orderkey) AS k FROM orders i WHERE i.o_custkey = o.o_custkey AND i.o_orderkey % 4 = 0 GROUP BY 1)) AS list_distinct_in_order FROM orders o) GROUP BY o_custkey, list_distinct_in_order"
+)
 def csv_fold(s, d):
-    o = load_table(s, d, "orders")
+    o, k = load_table(s, d, "orders"), F.col("o_orderkey") % 4
+    name = F.when(k == 0, F.concat(F.lit("Curator "), "o_orderstatus")).otherwise(F.concat_ws(" ", "o_orderpriority", F.col("o_orderkey").cast("string")))
     rows = o.select(
         F.col("o_custkey").cast("string").alias("ExhibitionID"),
         F.concat(F.lit("Show "), "o_orderstatus").alias("ExhibitionTitle"),
         F.date_format("o_orderdate", "M/d/yyyy").alias("ExhibitionBeginDate"),
         F.lit("").alias("ExhibitionEndDate"),
-        F.lit("").alias("ExhibitionURL"),
-        F.col("o_orderstatus").alias("DisplayName"),
-        F.when(F.col("o_orderkey") % 3 == 0, "Curator").otherwise("Artist").alias("ExhibitionRole"),
-        F.lit("").alias("Nationality"),
-        F.lit("").alias("ConstituentBeginDate"),
+        F.when(F.col("o_custkey") % 2 == 0, "").otherwise(F.concat(F.lit("x.org/"), F.col("o_custkey").cast("string"))).alias("ExhibitionURL"),
+        F.concat(F.lit(" "), name).alias("DisplayName"),
+        F.when(k == 0, "Organizer").when(k == 1, "Designer").when(k == 2, "").otherwise("Artist").alias("ExhibitionRole"),
+        F.lit("Dutch").alias("Nationality"),
+        F.lit("1950").alias("ConstituentBeginDate"),
         F.lit("").alias("ConstituentEndDate"),
         F.col("o_orderkey").alias("pos"),
     )
     out = S.fold_exhibitions(rows)
-    return out.select("exhibition_id", "title", F.col("pos").alias("first_pos"), F.size("artworks").cast("long").alias("n_artworks"), F.size("curators").cast("long").alias("n_curators"))
+    joined = lambda c, f: F.array_join(F.transform("artworks", lambda x: x[f]), "|").alias(c)
+    return out.select("exhibition_id", "title", F.col("pos").alias("first_pos"), "url", joined("artworks", "artist_name"), joined("captions", "caption"), F.array_join("curators", ",").alias("curators"))
+
+
+@query(
+    "SELECT o_custkey::VARCHAR AS exhibition_id, count(*) AS n FROM orders o JOIN (SELECT o_custkey AS c, min(o_orderkey) AS first FROM orders WHERE o_orderdate >= DATE '1996-01-01' GROUP BY 1) f ON f.c = o.o_custkey AND o.o_orderkey >= f.first GROUP BY 1"
+)
+def csv_fold_since(s, d):
+    rows = load_table(s, d, "orders").select(
+        F.col("o_custkey").cast("string").alias("ExhibitionID"), F.lit("Show").alias("ExhibitionTitle"), F.date_format("o_orderdate", "M/d/yyyy").alias("BeginDate"),
+        F.col("o_orderkey").cast("string").alias("DisplayName"), F.lit("Artist").alias("Role"), F.col("o_orderkey").alias("pos"),
+    )
+    return S.fold_exhibitions(rows, 1996).select("exhibition_id", F.size("artworks").cast("long").alias("n"))
 
 
 @query("SELECT o.o_orderkey::VARCHAR AS objectid, coalesce(f.s_name, 'Unknown') AS artist_name FROM orders o LEFT JOIN (SELECT l_orderkey, arg_min(s_name, l_linenumber * 1000000 + l_suppkey) AS s_name FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1) f ON f.l_orderkey = o.o_orderkey")
@@ -519,71 +623,37 @@ def positional_zip(s, d):
     return S.zip_artworks(p).select("id", "artist_name", "work_title")
 
 
-@query(
-    "SELECT p.id, CASE WHEN length(trim(concept)) >= 50 THEN substr(trim(replace(concept, chr(10), ' ')), 1, 300) WHEN a.names IS NULL OR a.names = '' THEN trim(title) ELSE concat(trim(title), ' presents works by ', a.names, '.') END AS concept FROM parents p LEFT JOIN "
-    "(SELECT exhibition_id, concat(array_to_string(list_slice(l, 1, 15), ', '), CASE WHEN len(l) > 15 THEN ' and others' ELSE '' END) AS names FROM (SELECT exhibition_id, list_sort(list_distinct(list(artist_name))) AS l FROM children GROUP BY 1)) a ON a.exhibition_id = p.id"
-)
-def concept_synthesis(s, d):
-    names = children(s, d).groupBy(F.col("exhibition_id").alias("id")).agg(F.array_sort(F.collect_set("artist_name")).alias("names"))
-    p = parents(s, d).join(names, "id", "left")
-    empty = F.array().cast("array<string>")
-    return p.select("id", X.synthesize_concept("title", "concept", F.coalesce("names", empty)).alias("concept"))
-
-
-# --- pages and extraction --------------------------------------------------------------------------------------------
-@query()
-def page_links(s, d):
-    p = load_table(s, d, "pages")
-    return p.select("page_id", F.explode(H.page_links(F.col("html"), F.col("url"), [], ["/"])).alias("link"))
-
-
-@query()
-def page_clean_text(s, d):
-    return load_table(s, d, "pages").select("page_id", H.clean_html("html").alias("text"))
-
-
-@query()
-def page_images(s, d):
-    return load_table(s, d, "pages").select("page_id", H.page_images(F.col("html"), F.col("url")).alias("images"))
+_ARTISTS = "SELECT exhibition_id, list_sort(list_distinct(list(trim(artist_name)) FILTER (trim(artist_name) <> ''))) AS l FROM children GROUP BY 1"
+_BY = "concat(array_to_string(list_slice(l, 1, 3), ', '), CASE WHEN len(l) > 3 THEN ' 等' ELSE '' END)"
+_ARTIST_SENTENCE = "concat('展出艺术家包括 ', array_to_string(list_slice(l, 1, 15), ', '), CASE WHEN len(l) > 15 THEN ' 等' ELSE '' END, ' 的作品。')"
+_PREFACED = "CASE WHEN length(trim(preface)) >= 50 THEN substr(replace(trim(preface), chr(10), ' '), 1, 300) ELSE {} END"
 
 
-@query()
-def page_fields(s, d):
-    return load_table(s, d, "pages").select("page_id", H.page_fields(F.col("html")).alias("f")).select("page_id", "f.*")
+def _with_artists(plain: str) -> str:
+    return f"concat({plain}, CASE WHEN len(l) > 0 THEN {_ARTIST_SENTENCE} ELSE '' END)"
 
 
-@query("SELECT conv_id, turn, CASE WHEN turn % 4 = 3 THEN NULL ELSE concat(role, ' ', conv_id::VARCHAR) END AS title, turn % 4 <> 3 AS ok FROM conversations")
-def llm_response_parse(s, d):
-    c = load_table(s, d, "conversations")
-    body = F.to_json(F.struct(F.concat_ws(" ", "role", F.col("conv_id").cast("string")).alias("title"), F.col("text").alias("concept")))
-    numeric = F.to_json(F.struct(F.concat_ws(" ", "role", "conv_id").alias("title"), F.col("turn").alias("concept")))
-    raw = (
-        F.when(F.col("turn") % 4 == 0, body)
-        .when(F.col("turn") % 4 == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
-        .when(F.col("turn") % 4 == 2, F.concat(F.lit("["), body, F.lit("]")))
-        .otherwise(numeric)
-    )
-    return c.select("conv_id", "turn", V.parse_response(raw).alias("r")).select("conv_id", "turn", "r.record.title", "r.ok")
-
-
-@query("SELECT id, (coalesce(start_date, '') <> '' OR coalesce(end_date, '') <> '' OR length(trim(concat_ws(' ', '', coalesce(concept, '')))) >= 30) AND (coalesce(concept, '') = '' OR length(concept) >= 20) AS valid FROM parents")
-def llm_validity(s, d):
-    p = parents(s, d)
-    ok = V.valid_result(F.col("title"), F.col("start_date"), F.col("end_date"), F.lit(None).cast("string"), F.col("concept"))
-    return p.select("id", ok.alias("valid"))
-
-
-@query("SELECT id, CASE WHEN start_date IS NULL OR start_date = '' THEN 1 WHEN concept IS NULL OR concept = '' OR length(concept) < 50 THEN 2 ELSE 0 END AS tier FROM parents")
-def enrichment_tiers(s, d):
-    p = parents(s, d).withColumns({"preface": F.lit("set"), "images": F.lit('["a"]')})
-    return V.enrichment_tiers(p).select("id", "tier")
+@query(
+    f"SELECT p.id, CASE WHEN coalesce(title, '') = '' THEN '' WHEN p.id % 4 = 0 THEN {_with_artists(chr(39) + '展览《' + chr(39) + ', title, ' + chr(39) + '》' + chr(39))} "
+    f"WHEN p.id % 4 = 1 THEN {_PREFACED.format(_with_artists(chr(39) + '芝加哥艺术博物馆展览《' + chr(39) + ', title, ' + chr(39) + '》' + chr(39)))} "
+    f"WHEN p.id % 4 = 2 THEN {_PREFACED.format('concat(' + chr(39) + 'Whitney Museum of American Art exhibition: ' + chr(39) + ', title)')} "
+    f"ELSE {_with_artists('source, ' + chr(39) + ' 展览《' + chr(39) + ', title, ' + chr(39) + '》' + chr(39))} END AS concept FROM parents p LEFT JOIN artists a ON a.exhibition_id = p.id",
+    {"parents": PARENTS, "children": CHILDREN, "artists": _ARTISTS},
+)
+def concept_synthesis(s, d):
+    p = parents(s, d).join(E.artist_names(children(s, d)), "id", "left")
+    kind = F.col("id") % 4
+    told = [X.synthesize_concept(k, "title", F.col("names"), "preface", "source") for k in ("moma", "aic", "whitney", "generic")]
+    return p.select("id", F.coalesce(*(F.when(kind == i, c) for i, c in enumerate(told))).alias("concept"))
 
 
-@query()
-def site_capabilities(s, d):
-    return sites(s)
+@query(
+    f"SELECT exhibition_id AS id, {_BY} AS names FROM artists",
+    {"children": CHILDREN.replace("l_orderkey AS exhibition_id", "l_suppkey AS exhibition_id"), "artists": "SELECT exhibition_id, list_sort(list_distinct(list(line::VARCHAR))) AS l FROM children GROUP BY 1"},
+)
+def artist_list(s, d):
+    kids = role(s, d, CHILDREN.replace("l_orderkey AS exhibition_id", "l_suppkey AS exhibition_id")).withColumn("artist_name", F.concat(F.lit(" "), F.col("line").cast("string")))
+    return E.artist_names(kids).select("id", X.artist_sentence(F.col("names"), 3).alias("names"))
 
 
-@query("SELECT id, 'https://example.org/exhibitions/' || (id % 9000)::VARCHAR AS url, id % 9000 AS number FROM parents")
-def id_from_url(s, d):
-    return parents(s, d).select("id", "url", X.last_number_in_path("url", "/exhibitions/").alias("number"))
+from sparkfolio.plans import records  # noqa: E402, F401 - registers its queries

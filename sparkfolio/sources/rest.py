@@ -23,8 +23,13 @@ def fetch_json(url: str) -> dict:
 class RestPages(DataSource):
     """``spark.read.format("rest_pages").options(url="...{page}...", first=1, last=9).load()``.
 
-    Rows (page, body): the raw JSON of each page. A page that can't be read
-    after Spark's task retries fails the job; with ``lenient`` it is left out.
+    Rows (page, body): the raw JSON of each page; pages are read side by side.
+    ``step`` multiplies the number in the url (offsets). A page that can't be
+    read after Spark's task retries fails the job; with ``lenient`` its body
+    is null, where ``reached_pages`` stops. Without ``last``, pages are read
+    one after another until one has no items (under ``items``, "data") or is
+    the last one that its ``total`` (a path such as pagination.total_pages)
+    names: one task, as nothing tells how many there are.
     """
 
     fetch: Callable[[str], dict] = staticmethod(fetch_json)
@@ -45,11 +50,27 @@ class _Reader(DataSourceReader):
         self.options, self.fetch = dict(options), fetch
 
     def partitions(self) -> list[Page]:
-        return [Page(n) for n in range(int(self.options.get("first", 1)), int(self.options["last"]) + 1)]
+        first = int(self.options.get("first", 1))
+        return [Page(n) for n in range(first, int(self.options["last"]) + 1)] if "last" in self.options else [Page(first)]
 
-    def read(self, partition: Page) -> Iterator[tuple[int, str]]:
+    def _body(self, number: int) -> dict | None:
         try:
-            yield partition.number, json.dumps(self.fetch(self.options["url"].format(page=partition.number)), ensure_ascii=False)
+            return self.fetch(self.options["url"].replace("{page}", str(number * int(self.options.get("step", 1)))))
         except OSError:
             if self.options.get("lenient", "false") != "true":
                 raise
+            return None
+
+    def read(self, partition: Page) -> Iterator[tuple[int, str | None]]:
+        number = partition.number
+        while True:
+            body = self._body(number)
+            yield number, None if body is None else json.dumps(body, ensure_ascii=False)
+            if "last" in self.options or not body or not body.get(self.options.get("items", "data")):
+                return
+            total = body
+            for part in self.options.get("total", "").split("."):
+                total = total.get(part) if part and isinstance(total, dict) else None
+            if "total" in self.options and number >= (total if isinstance(total, int) else 1):
+                return
+            number += 1

@@ -70,19 +70,27 @@ yokohama_triennale|Yokohama Triennale|Yokohama|triennial|HTML_LLM|1|0||
 zkm|ZKM|Karlsruhe|museum|HTML_LLM|1|1||yes
 """.strip()
 
-# Series key, name, city, founded year of periodic exhibitions.
+# Periodic exhibitions as name, key, city, country, founded year, description.
 SERIES = """
-venice_biennale|Venice Biennale|Venice|1895
-documenta|Documenta|Kassel|1955
-whitney_biennial|Whitney Biennial|New York|1932
-saopaulo_biennial|São Paulo Biennial|São Paulo|1951
-sydney_biennale|Sydney Biennale|Sydney|1973
-berlin_biennale|Berlin Biennale|Berlin|1998
-liverpool_biennial|Liverpool Biennial|Liverpool|1998
-sharjah_biennale|Sharjah Biennial|Sharjah|1993
-taipei_biennale|Taipei Biennial|Taipei|1992
-yokohama_triennale|Yokohama Triennale|Yokohama|2001
+Venice Biennale|venice_biennale|Venice|Italy|1895|International Art Exhibition of la Biennale di Venezia
+Documenta|documenta|Kassel|Germany|1955|Quinquennial contemporary art exhibition
+Berlin Biennale|berlin_biennale|Berlin|Germany|1998|Berlin Biennale for Contemporary Art
+São Paulo Biennial|saopaulo_biennial|São Paulo|Brazil|1951|Bienal de São Paulo
+Istanbul Biennial|istanbul_biennale|Istanbul|Turkey|1987|Istanbul Biennial
+Lyon Biennale|lyon_biennale|Lyon|France|1991|Biennale de Lyon
+Liverpool Biennial|liverpool_biennale|Liverpool|UK|1999|Liverpool Biennial of Contemporary Art
+Taipei Biennial|taipei_biennale|Taipei|Taiwan|1998|Taipei Biennial
+Yokohama Triennale|yokohama_triennale|Yokohama|Japan|2001|Yokohama Triennale
+Sydney Biennale|sydney_biennale|Sydney|Australia|1973|Biennale of Sydney
+Sharjah Biennial|sharjah_biennale|Sharjah|UAE|1993|Sharjah Biennial
+Gwangju Biennale|gwangju_biennale|Gwangju|South Korea|1995|Gwangju Biennale
+Whitney Biennial|whitney_biennial|New York|USA|1932|Whitney Biennial
 """.strip()
+# Strategies with a past to collect, and badges of institution types.
+HISTORY_STRATEGIES = ("CSV_LOCAL", "CSV_REMOTE", "REST_API", "SPARQL")
+BADGES = {"biennial": " [双年展]", "triennial": " [三年展]"}
+# Sites whose curators are worth a second look.
+HIGH_VALUE_SITES = ("tate", "mori", "mplus", "serpentine", "momat", "whitney", "psa", "ucca", "whitney_biennial")
 
 
 def sites(spark: SparkSession) -> DataFrame:
@@ -100,8 +108,21 @@ def sites(spark: SparkSession) -> DataFrame:
     )
 
 
+def capabilities(site_rows: DataFrame) -> DataFrame:
+    """(key, strategy_label, has_history, badge) of sites, by key."""
+    badge = F.coalesce(*(F.when(F.col("institution_type") == k, F.lit(v)) for k, v in BADGES.items()), F.lit(""))
+    history = (F.col("extra_lists") > 0) | F.col("history") | F.col("strategy").isin(*HISTORY_STRATEGIES)
+    return site_rows.select("key", F.lower("strategy").alias("strategy_label"), history.alias("has_history"), badge.alias("badge")).orderBy("key")
+
+
+def high_value(site_rows: DataFrame) -> DataFrame:
+    """Keys of high-value sites that are registered."""
+    keys = site_rows.sparkSession.createDataFrame([(k,) for k in HIGH_VALUE_SITES], "key string")
+    return keys.intersect(site_rows.select("key"))
+
+
 def series(spark: SparkSession) -> DataFrame:
+    """The periodic exhibitions by name; ids are places in the seed."""
     rows = [(i, *x.split("|")) for i, x in enumerate(SERIES.splitlines(), 1)]
-    return spark.createDataFrame(rows, "id long, series_key string, series_name string, city string, founded string").withColumn(
-        "founded", F.col("founded").cast("int")
-    )
+    names = "id long, series_name string, series_key string, city string, country string, founded_year string, description string"
+    return spark.createDataFrame(rows, names).withColumn("founded_year", F.col("founded_year").cast("int")).orderBy("series_name")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,12 +20,28 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _own:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         _own[app] = "file://" + tempfile.mkdtemp(prefix="sparkfolio-")
     return _own[app]
 
 
+_made: set[str] = set()
+
+
+def _own_folder(spark: SparkSession) -> str:
+    """This application's folder under the shared one; it goes when the driver exits."""
+    app = spark.sparkContext.applicationId
+    folder = f"{shared_dir(spark)}/sparkfolio/{app}"
+    if app not in _made:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _made.add(app)
+    return folder
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet to the shared folder and return the written table.
 
@@ -33,6 +50,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     ship_package(spark)
-    path = f"{shared_dir(spark)}/sparkfolio/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
