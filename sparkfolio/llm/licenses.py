@@ -20,20 +20,34 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: (label, short notice). A line or a window of words holds a notice if it has the stated share of its distinct words.
+#: (label, notice). A window of words holds a notice if it has the stated share of its distinct words and all that tell it from others.
 TEMPLATES = (
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("gpl", "this work is licensed under the gnu general public license version 3"),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"),
+    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation"),
+    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
     ("apache", "licensed under the apache license version 2 0"),
-    ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("mit", "released under the mit license"),
+    ("mit", "licensed under the mit license"),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "released under the bsd license"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
     ("cc-by", "licensed under cc by 4 0"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("mit", "released under the mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license"),
+    ("cc-by-nc", "licensed under cc by nc 4 0"),
 )
+#: Notices of at most so many distinct words must have every word that notices of other labels lack.
+SHORT = 12
 
 
 class Templates:
@@ -47,6 +61,9 @@ class Templates:
         self.need = [math.ceil(share * len(s) - 1e-9) for s in self.sets]
         #: Words in a window: as long as the notice, with room for foreign words in the same share.
         self.reach = [int(len(alnum_words(text.encode())) / (share or 1) + 1e-9) for _, text in templates]
+        self.must = [self._must(t) for t in range(len(self.sets))]
+        #: Templates that say more: a window of one is none of the other, which has it all but for what tells it apart.
+        self.beaten = [[u for u in range(len(self.sets)) if self._beats(u, t)] for t in range(len(self.sets))]
         self.order = {w: i for i, w in enumerate(sorted(set().union(*map(set, self.sets)), key=rank))} if self.sets else {}
         self.index: dict[bytes, list[tuple[int, int]]] = {}
         for t, (words, need) in enumerate(zip(self.sets, self.need, strict=True)):
@@ -54,6 +71,22 @@ class Templates:
                 self.index.setdefault(w, []).append((t, place))
         self.prefix = frozenset(self.index)
 
+    def _must(self, t: int) -> frozenset[bytes]:
+        """Words that tell a template from those of other labels."""
+        words = set(self.sets[t])
+        others = [set(s) for s, label in zip(self.sets, self.labels, strict=True) if label != self.labels[t]]
+        out: set[bytes] = set()
+        for u in others:
+            if len(words & u) >= self.need[t]:
+                out |= words - u
+        if len(words) <= SHORT:
+            out |= words.difference(*others)
+        return frozenset(out)
+
+    def _beats(self, u: int, t: int) -> bool:
+        known = set(self.sets[t])
+        return self.labels[u] != self.labels[t] and len(known & set(self.sets[u])) >= self.need[t] and not self.must[u] <= known
+
     def match(self, block: list[bytes]) -> dict[int, float]:
         """Containment of each template that the block holds to the stated share; exact."""
         words = set(block)
@@ -69,16 +102,16 @@ class Templates:
         out = {}
         for t in shared:
             n = sum(w in words for w in self.sets[t])
-            if n >= self.need[t]:
+            if n >= self.need[t] and self.must[t] <= words:
                 out[t] = n / len(self.sets[t])
         return out
 
-    def windows(self, words: list[bytes], t: int) -> list[tuple[int, float]]:
-        """(first word, containment) of the best window of each run of overlapping windows that hold template t."""
-        wanted = set(self.sets[t])
+    def windows(self, words: list[bytes], t: int) -> list[tuple[int, int, float]]:
+        """(first word, last word, containment) of each run of overlapping windows that hold template t; the first and best of the run."""
+        wanted, must = set(self.sets[t]), self.must[t]
         at = [i for i, w in enumerate(words) if w in wanted]
         inside: Counter[bytes] = Counter()
-        runs: list[list[int]] = []  # last word, distinct words, length less than 0, first word
+        runs: list[list[int]] = []  # first word of the best, last word, distinct words of the best
         left = 0
         for right in at:
             inside[words[right]] += 1
@@ -88,31 +121,33 @@ class Templates:
                 if not inside[w]:
                     del inside[w]
                 left += 1
-            if len(inside) >= max(1, self.need[t]):
-                found = [right, len(inside), at[left] - right, at[left]]
-                if runs and at[left] <= runs[-1][0]:
-                    runs[-1] = [right, *max(runs[-1][1:], found[1:])]
+            if len(inside) >= max(1, self.need[t]) and must <= inside.keys():
+                if runs and at[left] <= runs[-1][1]:
+                    runs[-1][1] = right
+                    if len(inside) > runs[-1][2]:
+                        runs[-1][0], runs[-1][2] = at[left], len(inside)
                 else:
-                    runs.append(found)
-        return [(first, n / len(wanted)) for _, n, _, first in runs]
+                    runs.append([at[left], right, len(inside)])
+        return [(first, last, n / len(wanted)) for first, last, n in runs]
 
     def blocks(self, text: bytes, words: list[bytes]) -> list[tuple[int, int, float]]:
-        """(line, template, containment) of every line and window of words that holds a template; windows count at their first line."""
+        """(line of the first word, template, containment) of every run of windows that hold a template and none that says more."""
         whole = self.match(words)
         if not whole:
             return []
-        found: dict[tuple[int, int], float] = {}
+        found = {t: self.windows(words, t) for t in whole}
         ends, total = [], 0
-        for number, line in enumerate(text.split(b"\n")):
-            own = alnum_words(line)
-            total += len(own)
+        for line in text.split(b"\n"):
+            total += len(alnum_words(line))
             ends.append(total)
-            found |= {(number, t): share for t, share in self.match(own).items()}
-        for t in whole:
-            for first, share in self.windows(words, t):
-                key = bisect_right(ends, first), t
-                found[key] = max(share, found.get(key, 0.0))
-        return [(line, t, share) for (line, t), share in sorted(found.items())]
+        out: dict[tuple[int, int], float] = {}
+        for t, runs in found.items():
+            more = [run for u in self.beaten[t] for run in found.get(u, ())]
+            for first, last, share in runs:
+                if not any(a <= last and first <= b for a, b, _ in more):
+                    key = bisect_right(ends, first), t
+                    out[key] = max(share, out.get(key, 0.0))
+        return [(line, t, share) for (line, t), share in sorted(out.items())]
 
 
 def places(words: list[bytes], phrases: list[tuple[list[bytes], str]]) -> list[tuple[int, int]]:
@@ -174,12 +209,15 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, share:
 
     A first pass counts in how many documents each template word occurs, over
     all documents; that order puts rare words first. A second pass looks at
-    every text, then at its lines: words of a template's prefix find
-    candidates, length and positions bound the overlap, and a set comparison
-    decides. Templates that the text as a whole holds are also looked for in
-    every window of its words, across lines, so every line and every window
-    (as long as the notice divided by ``share``) with at least ``share`` of a
-    template's distinct words is found, however the notice is wrapped.
+    every text: words of a template's prefix find candidates, length and
+    positions bound the overlap, and a set comparison decides. Templates that
+    the text as a whole holds are then looked for in every window of its
+    words (as long as the notice divided by ``share``), across lines: every
+    window with at least ``share`` of a template's distinct words, and all
+    words that tell it from templates of other labels, is found, however the
+    notice is wrapped. Where a template that says more stands (a
+    non-commercial licence over the plain one), only that one counts. Words
+    further apart than a window don't make a notice.
 
     Returns doc_id, n_words, n_base, first_word, last_word, base_labels,
     labels, score and blocks (first line, label, share), a row per input row.
