@@ -9,7 +9,7 @@ from sparkfolio.llm.text import WORD
 
 #: Turn markup. Escaped texts and roles contain neither "<" nor ">", so it can't be forged.
 OPEN, OPEN_END, CLOSE = "<turn:", ">", "</turn>\n"
-_TURN = "struct<ord:int,before:bigint,role:string,text:string>"
+_TURN = "struct<ord:int,before:bigint,tok:bigint,role:string,text:string>"
 
 
 def escape(col: Column) -> Column:
@@ -29,24 +29,26 @@ def unescape(col: Column) -> Column:
 def format_windows(turns: DataFrame, budget: int = 2048, history: int = 256, overhead: int = 3) -> DataFrame:
     """Format conversations (conv_id, turn, role, text) as training windows.
 
-    A turn costs its words plus ``overhead`` tokens. With S = budget - history
-    - tokens of a leading system turn, prefix sums cut each conversation at
-    multiples of S: turns inside one multiple form a window, a turn that
-    crosses a multiple forms its own. So new turns of a window stay within S
-    unless a single turn exceeds it; turns are never split. A later window
-    starts with the leading system turn and as many of the turns just before
-    it as fit in ``history`` tokens; these are repeated, hence masked. A system
-    turn of at least budget - history tokens leaves S = 1: every turn is a
-    window of its own, with system turn and history, and exceeds the budget.
+    A turn costs its words plus ``overhead`` tokens. The room that a leading
+    system turn leaves of ``budget`` is shared between history (half of it,
+    at most ``history``) and a span S of new turns: prefix sums cut each
+    conversation at multiples of S, turns inside one multiple form a window,
+    a turn that crosses a multiple forms its own. Turns are never split. A
+    later window starts with the leading system turn and as many of the turns
+    just before it as fit in ``history`` tokens and in what its new turns
+    leave of the budget; these are repeated, hence masked. So a window, with
+    all that it repeats, stays within ``budget`` unless the system turn and
+    one new turn alone exceed it; such a window repeats no other turn.
 
     Returns one row per window: conv_id, window, text, n_repeated (leading
     turns that repeat), loss_spans (start, len in code points: the escaped
-    text of each new assistant turn) and n_tokens.
+    text of each new assistant turn) and n_tokens, of all its turns.
 
     Null text or role: empty. Rows order by (turn, role, text), null turns
     first; repeated rows are kept as turns. A null conv_id is one
     conversation. Empty input: no rows. Extra columns are ignored.
-    A conversation's turns meet in one task, sorted and spilled, not held.
+    A conversation's turns meet in one task, where they are sorted and
+    spilled; its text as a whole is one value when it is read back.
     """
     conv = Window.partitionBy("conv_id")
     order = conv.orderBy(F.col("turn").asc_nulls_first(), "role", "text")
@@ -59,11 +61,11 @@ def format_windows(turns: DataFrame, budget: int = 2048, history: int = 256, ove
     t = t.withColumn("sys_tok", F.first(F.when(first_system, F.col("tok")).otherwise(0)).over(order))
     t = t.withColumn("body_tok", F.when(first_system, F.lit(0)).otherwise(F.col("tok")).cast("long"))
     t = t.withColumn("end", F.sum("body_tok").over(order)).withColumn("before", F.expr("end - body_tok"))
-    t = t.withColumn("span", F.greatest(F.lit(1).cast("long"), F.lit(budget - history) - F.col("sys_tok")))
+    t = t.withColumn("span", F.expr(f"greatest(1L, {budget} - sys_tok - least({history}, greatest(0L, {budget} - sys_tok) div 2))"))
     t = t.withColumn("a", F.expr("before div span")).withColumn("b", F.expr("greatest(end - 1, before) div span"))
     t = t.withColumn("cut", F.expr("case when a = b then 2 * a else 2 * a + 1 end"))
     wins = t.groupBy("conv_id", "cut").agg(
-        F.sort_array(F.collect_list(F.struct("ord", "before", "role", "text"))).alias("turns"),
+        F.sort_array(F.collect_list(F.struct("ord", "before", "tok", "role", "text"))).alias("turns"),
         F.min("before").alias("start"),
         F.max("end").alias("stop"),
         F.sum("body_tok").alias("new_tok"),
@@ -83,7 +85,8 @@ def format_windows(turns: DataFrame, budget: int = 2048, history: int = 256, ove
     near = F.flatten(F.collect_list("tail").over(by_start.rangeBetween(-history, -1)))
     far = F.coalesce(F.last("tail").over(by_start.rangeBetween(Window.unboundedPreceding, -history - 1)), none)
     wins = wins.withColumn("earlier", F.concat(far, near))
-    wins = wins.withColumn("past", F.expr(f"filter(earlier, t -> t.before >= start - {history})"))
+    wins = wins.withColumn("reach", F.expr(f"greatest(0L, least({history}, {budget} - sys_tok - new_tok))"))
+    wins = wins.withColumn("past", F.expr("filter(earlier, t -> t.before >= start - reach)"))
     wins = wins.withColumn("again", F.when(F.col("window") == 0, none).otherwise(F.concat("lead_turn", "past")))
     wins = wins.withColumn("n_repeated", F.size("again"))
 
@@ -116,7 +119,7 @@ def format_windows(turns: DataFrame, budget: int = 2048, history: int = 256, ove
         F.expr("array_join(transform(parts, p -> p.s), '')").alias("text"),
         "n_repeated",
         spans.alias("loss_spans"),
-        (F.col("new_tok") + F.col("sys_tok")).alias("n_tokens"),
+        F.expr("new_tok + sys_tok + if(window = 0, 0L, aggregate(past, 0L, (n, t) -> n + t.tok))").alias("n_tokens"),
     )
 
 
