@@ -8,13 +8,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from sparkfolio.session import ship_package
 from sparkfolio.storage import materialise
 
 #: Bytes counted for a row besides its text.
 ROW_BYTES = 16
-_MAX_BUCKETS = 1 << 20
+_MAX_BUCKETS = 1 << 22
+_MAX_TASKS = 1 << 16  # several buckets share a task beyond
+ADDED = ("_size", "_crc", "_shard", "_slot")
 
 
 def _shuffle_buckets(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.RecordBatch]:
@@ -49,35 +52,41 @@ def _shuffle_buckets(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[p
 def shuffle_into_shards(docs: DataFrame, n_shards: int = 40, seed: int = 17, bucket_bytes: int = 16 << 20) -> DataFrame:
     """All rows of ``docs`` in a seeded uniform order, cut into shards whose row counts differ by one at most.
 
-    Pass one scatters rows by a seeded hash of doc_id, text and input
-    partition (which spreads repeated rows) into buckets of about
-    ``bucket_bytes`` (more where 2**20 buckets don't suffice). Pass two permutes
-    each bucket in memory and writes it. A row's place in the whole order is
-    its bucket's offset plus its place there; equal slices of it are shards.
+    Equal rows are first counted (partial counts combine before the shuffle,
+    so a row that makes up a third of the input is one row there) and then
+    numbered; pass one scatters rows by a seeded hash of all their columns and
+    that number into buckets of about ``bucket_bytes``, so copies spread like
+    any other rows. Pass two permutes each bucket in memory and writes it. A
+    row's place in the whole order is its bucket's offset plus its place
+    there; equal slices of it are shards. The order depends on the rows and
+    the seed alone, not on how the input is split or ordered.
 
     Returns the columns of ``docs`` with _size (UTF-8 bytes of the text plus
-    16), _crc (of the text), _shard and _slot (from 0, gapless in each shard).
-    Null text: 16 bytes, crc of empty text. Repeated rows each have a slot.
-    Empty input: no rows. Reruns on the same input splits give the same order.
+    16), _crc (of the text), _shard and _slot (from 0, gapless in each shard);
+    input columns of these names are replaced. Null text: 16 bytes, crc of
+    empty text. Repeated rows each have a slot. Empty input: no rows. There
+    are at most 2**22 buckets, whose offsets are broadcast: beyond 64 TB of
+    text they grow in proportion.
     """
     ship_package(docs.sparkSession)
-    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).cast("long")
-    total = docs.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    kept = [c for c in docs.columns if c not in ADDED]
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    names = {c: f"c{i}" for i, c in enumerate(kept)}
+    is_map = {c: isinstance(kinds[c], MapType) for c in kept}
+    col = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    d = docs.select(*(F.map_entries(col(c)).alias(n) if is_map[c] else col(c).alias(n) for c, n in names.items()))
+    text = F.col(names["text"])
+    size = (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long")
+    total = d.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     n_buckets = min(_MAX_BUCKETS, max(1, -(-total // bucket_bytes)))
-    own = F.xxhash64(F.col("doc_id"), F.col("text"), F.spark_partition_id(), F.lit(seed))
-    d = docs.withColumns(
-        {
-            "_size": size,
-            "_crc": F.crc32(F.coalesce("text", F.lit("")).cast("binary")),
-            "_key": own,
-            "_bucket": F.pmod(own, F.lit(n_buckets)).cast("long"),
-            "_place": F.lit(0).cast("long"),
-        }
-    )
-    d = d.repartition(n_buckets, "_bucket").sortWithinPartitions("_bucket", "_key", "_size", "_crc")
+    d = d.groupBy(*names.values()).agg(F.count("*").alias("_n"))
+    d = d.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_n")
+    d = d.withColumn("_key", F.xxhash64(*names.values(), "_copy", F.lit(seed)))
+    d = d.withColumns({"_bucket": F.pmod("_key", F.lit(n_buckets)).cast("long"), "_place": F.lit(0).cast("long")})
+    d = d.repartition(min(n_buckets, _MAX_TASKS), "_bucket").sortWithinPartitions("_bucket", "_key", "_copy").drop("_copy", "_key")
     d = materialise(d.mapInArrow(lambda b: _shuffle_buckets(b, seed), d.schema), "shuffled")
     counts = d.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    along = Window.orderBy("_bucket")  # a row per bucket, 2**20 at most
+    along = Window.orderBy("_bucket")  # a row per bucket, 2**22 at most
     counts = counts.select(
         "_bucket",
         (F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_ahead"),
@@ -87,4 +96,7 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 40, seed: int = 17, buc
     d = d.join(F.broadcast(counts), "_bucket").withColumn("_at", F.col("_ahead") + F.col("_place"))
     d = d.withColumn("_shard", F.expr(f"cast((_at * {n_shards}) div _all as int)"))
     d = d.withColumn("_slot", F.expr(f"_at - (_shard * _all + {n_shards - 1}) div {n_shards}"))
-    return d.select(*docs.columns, "_size", "_crc", "_shard", "_slot")
+    return d.select(
+        *((F.map_from_entries(n) if is_map[c] else F.col(n)).alias(c) for c, n in names.items()),
+        size.alias("_size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("_crc"), "_shard", "_slot",
+    )
