@@ -98,7 +98,7 @@ def schedule(plan: DataFrame, most_repeats: int, n_slots: int, chunk: int = 1024
 
 
 def mix_sources(
-    docs: DataFrame, most_repeats: int = 3, min_slots: int = 65536, max_block: int = 1 << 20, buckets: int = 256
+    docs: DataFrame, most_repeats: int = 3, min_slots: int = 65536, max_block: int = 1 << 20, bucket_words: int = 1 << 26
 ) -> DataFrame:
     """How many words of each document a weighted mix of sources takes.
 
@@ -122,6 +122,8 @@ def mix_sources(
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     d = sized.join(plan.withColumnRenamed("source", "plan_source"), F.col("source").eqNullSafe(F.col("plan_source")))
     d = d.select("doc_id", "source", "size", "source_id", "source_size", "target", "blocks", "block_words", key.alias("md5"))
+    # Buckets of a source follow its size: one for each ``bucket_words`` words, 256 at least.
+    buckets = F.greatest(F.lit(256).cast("long"), F.expr(f"source_size div {bucket_words}"))
     d = d.withColumn("bucket", F.conv(F.substring("md5", 1, 8), 16, 10).cast("long") % buckets)
     upto = Window.partitionBy("source_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = d.groupBy("source_id", "bucket").agg(F.sum("size").alias("n"))
@@ -149,6 +151,8 @@ def apply_mix(docs: DataFrame, **params) -> DataFrame:
         F.col("doc_id").alias("_mix_id"),
         F.expr("case when size = 0 then 1 else cast(floor(taken / size + 0.5) as int) end").alias("_mix_copies"),
     )
-    out = docs.join(mix, docs["doc_id"].eqNullSafe(mix["_mix_id"])).filter("_mix_copies > 0")
+    named = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # no name can clash
+    key = named[f"c{docs.columns.index('doc_id')}"]
+    out = named.join(mix, key.eqNullSafe(mix["_mix_id"])).filter("_mix_copies > 0")
     out = out.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-    return out.select(*(docs[c] for c in docs.columns))
+    return out.select(*named.columns).toDF(*docs.columns)
