@@ -31,17 +31,21 @@ def _grams(ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def winnow(grams: np.ndarray, w: int) -> np.ndarray:
-    """Positions whose hash is the least of some w consecutive ones; all of them if there are fewer than w."""
+    """Positions of the rightmost least hash of each w consecutive ones (of all, if there are fewer).
+
+    Equal stretches of w hashes choose the same place in themselves.
+    """
     n = len(grams)
-    if n <= w:
-        return np.flatnonzero(grams == grams.min()) if n else np.zeros(0, np.int64)
+    if not n:
+        return np.zeros(0, np.int64)
+    w = min(w, n)
+    at = np.arange(n - w + 1)
     least = grams[: n - w + 1].copy()
     for j in range(1, w):
-        np.minimum(least, grams[j : n - w + 1 + j], out=least)
-    keep = np.zeros(n, bool)
-    for j in range(w):
-        keep[j : n - w + 1 + j] |= grams[j : n - w + 1 + j] == least
-    return np.flatnonzero(keep)
+        here = grams[j : n - w + 1 + j]
+        at = np.where(here <= least, np.arange(j, n - w + 1 + j), at)
+        np.minimum(least, here, out=least)
+    return np.unique(at)
 
 
 class Items:
@@ -58,7 +62,7 @@ class Items:
         self.vocab: dict[bytes, int] = {}
         self.words = [np.array([self.vocab.setdefault(x, len(self.vocab) + 1) for x in t], np.int64) for t in by_words]
         self.ids = list(by_words.values())
-        self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.places: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for e, words in enumerate(self.words):
             if len(words) < window:
@@ -66,8 +70,9 @@ class Items:
             else:
                 grams = _grams(words, k)
                 for p in winnow(grams, self.w).tolist():
-                    self.places[int(grams[p])].append((e, p))
+                    self.places[int(grams[p])][e].append(p)
         self.prints = np.array(sorted(self.places), _U)
+        self.places = {g: dict(x) for g, x in self.places.items()}
         self.short = {m: dict(x) for m, x in self.short.items()}
         self.short_prints = {m: np.array(sorted(x), _U) for m, x in self.short.items()}
 
@@ -98,14 +103,21 @@ class Items:
             at, h = hits(self.k, self.prints, self.w)
             doc_of = np.searchsorted(first, at, side="right") - 1
             done: dict[tuple[int, int, int], int] = {}  # of a document, item and diagonal: how far it is explored
+            wide: dict[tuple[int, int], tuple[int, int]] = {}  # of a document and item: the hit run that reaches furthest
             for p, g, d in zip(at.tolist(), h.tolist(), doc_of.tolist(), strict=True):
-                for e, q in self.places[g]:
-                    if done.get((d, e, p - q), -1) > p:
-                        continue
-                    lo, hi = self.extend(ids, p, e, q)
-                    done[d, e, p - q] = max(hi, p + 1)
-                    if hi - lo >= self.window:
-                        add(d, e, lo - int(first[d]), hi - int(first[d]))
+                for e, places in self.places[g].items():
+                    lo, hi = wide.get((d, e), (p, p))
+                    if lo <= max(p - self.w + 1, int(first[d])) and hi >= p + self.window:
+                        continue  # every window that this fingerprint stands for lies in that run
+                    for q in places:
+                        if done.get((d, e, p - q), -1) > p:
+                            continue
+                        lo, hi = self.extend(ids, p, e, q)
+                        done[d, e, p - q] = max(hi, p + 1)
+                        if hi - lo >= self.window:
+                            add(d, e, lo - int(first[d]), hi - int(first[d]))
+                            if hi > wide.get((d, e), (0, 0))[1]:
+                                wide[d, e] = lo, hi
         for m, prints in self.short_prints.items():
             at, h = hits(m, prints, 1)
             doc_of = np.searchsorted(first, at, side="right") - 1
