@@ -119,8 +119,11 @@ def fit_forest(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, bi
 
 def _feature_rows(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x = [features(t) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(x, pa.list_(pa.float64()))], ["y", "x"])
+        texts = batch.column("text")
+        for rows in row_slices(batch, 4 << 20, lambda i: 64 + (texts[i].as_buffer().size if texts[i].is_valid else 0)):  # noqa: B023
+            part = batch.slice(rows.start, len(rows))
+            x = [features(t) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(x, pa.list_(pa.float64()))], ["y", "x"])
 
 
 def train_quality(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000) -> Forest:
