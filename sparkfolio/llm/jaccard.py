@@ -484,7 +484,7 @@ def keep_one(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
     stay = materialise(stay.select(F.col("row.doc_id").alias("_stay"), F.col("row.sha").alias("_sha")), "nj-stay")
     wordy = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
     mine = F.unhex(F.sha2(docs["text"].cast("binary"), 256))
-    out = docs.filter(wordy).join(stay, docs["doc_id"].eqNullSafe(F.col("_stay")) & (mine == F.col("_sha")), "left_semi")
+    out = docs.filter(wordy).join(stay, docs["doc_id"].eqNullSafe(stay["_stay"]) & (mine == stay["_sha"]), "left_semi")
     if out.count() > stay.count():
         out = out.dropDuplicates(["doc_id", "text"])
     return out.union(docs.filter(~wordy))
