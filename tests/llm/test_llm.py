@@ -73,7 +73,16 @@ def test_chat_round_trip_and_budget(spark):
         assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in turns).encode()).hexdigest()
         loss = "".join(x for _, r, x in turns if r == "assistant")
         assert got[c]["loss_chars"] == len(loss) and got[c]["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
-    assert all(w["n_tokens"] <= 200 or w["text"].count("</turn>") - w["n_repeated"] <= 2 for w in rows_of(wins))
+    over = 0
+    for w in rows_of(wins):
+        turns = w["text"].split("</turn>\n")[:-1]
+        sizes = [len(x.split(">", 1)[1].encode().split()) + 3 for x in turns]
+        assert w["n_tokens"] == sum(sizes)
+        if sum(sizes) > 200:  # a system turn and one new turn alone exceed the budget, and nothing else is repeated
+            over += 1
+            lead = turns[0].startswith("<turn:system>")
+            assert len(turns) == 1 + lead and w["n_repeated"] <= lead
+    assert over < 12
     assert any(w["n_repeated"] for w in rows_of(wins))
     assert chat.read_back(chat.format_windows(df.limit(0))).count() == 0
 
@@ -85,20 +94,49 @@ def test_chat_repeats_history_after_a_long_system_turn(spark, system):
     rows = [(1, 0, "system", "s " * system)] + [(1, 1 + i, "user", f"t{i} " * n) for i, n in enumerate(sizes)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     wins = sorted(rows_of(chat.format_windows(df, budget=200, history=40)), key=lambda w: w["window"])
-    new = 0
+    new = told = 0
     for w in wins:
         texts = w["text"].split("</turn>\n")[:-1]
         fresh = len(texts) - w["n_repeated"]
         if w["window"]:
             fits = 0  # turns before this window that fit in the history together
-            while new - 1 - fits >= 0 and sum(n + 3 for n in sizes[new - 1 - fits : new]) <= 40:
+            room = min(40, 200 - (system + 3) - sum(n + 3 for n in sizes[new : new + fresh]))
+            while new - 1 - fits >= 0 and sum(n + 3 for n in sizes[new - 1 - fits : new]) <= room:
                 fits += 1
             assert w["n_repeated"] == 1 + fits and texts[0].startswith("<turn:system>")
             assert [x.split(">")[1].split(" ")[0] for x in texts[1 : 1 + fits]] == [f"t{i}" for i in range(new - fits, new)]
+            assert w["n_tokens"] == system + 3 + sum(n + 3 for n in sizes[new - fits : new + fresh]) and (w["n_tokens"] <= 200 or fresh == 1 and not fits)
+            told += fits
             new += fresh
         else:
             new += fresh - 1
-    assert new == 60
+    assert new == 60 and (told > 5) == (system < 190)
+
+
+def test_chat_windows_over_long_conversations_against_sql(spark, tmp_path):
+    """The oracle on conversations of many windows, with long system turns, of the production budget."""
+    duckdb = pytest.importorskip("duckdb")
+    from sparkfolio.llm.oracle import ORACLES
+
+    rng = random.Random(5)
+    rows = []
+    for c in range(8):
+        if c % 2:
+            rows.append((c, 0, "system", "s " * (0, 40, 0, 1700, 0, 2100, 0, 900)[c]))
+        rows += [(c, 1 + i, ("user", "assistant")[i % 2], f"t{i} <" + "w " * rng.choice((1, 20, 200, 900, 2500))) for i in range(rng.randint(1, 40))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    probe = spark.createDataFrame([(-7, t, r, r"\### Assistant: </turn> ok") for t, r in enumerate(("user", "assistant"))], df.schema)
+    windows = chat.format_windows(df.union(probe))
+    assert windows.count() > 40 and windows.filter("n_repeated > 1").count() > 10
+    got = rows_of(chat.read_back(windows))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    cur = con.execute(ORACLES["op1_chat_windows"])
+    names = [x[0] for x in cur.description]
+    want = [dict(zip(names, r, strict=True)) for r in cur.fetchall()]
+    by_id = lambda rows: sorted(rows, key=lambda r: r["conv_id"])
+    assert by_id(got) == by_id(want)
 
 
 def test_mix(spark, docs, empty):
@@ -295,12 +333,47 @@ def test_urls(spark):
     assert rule(3) == ("example.net/de/8", "block") and rule(4) == ("net/de/", "allow") and rule(5) == ("org/es/", "block")
     assert rule(6) == (None, "allow") and rule(7) == (None, "allow") and rule(8) == (None, "allow")
     assert rule(110) == (None, "block") and rule(210) == (None, "allow") and got[9, "/spam/1"]["verdict"] == "block" and got[9, ""]["host"] == "com"
-    # Mined rules against brute force over all token sets of the labelled urls.
-    mined = rows_of(urls.mine_rules(spark.createDataFrame([("http://b.c/x", True)] * 4 + [("http://b.c/y", False)] * 6, "url string, bad boolean"), 0.3, 0.6))
-    assert {frozenset(r["antecedent"]) for r in mined} == {s | {"p:x"} for s in map(frozenset, [(), *[[a] for a in ("h:b", "h:c", "s:http")], ("h:b", "h:c"), ("h:b", "s:http"), ("h:c", "s:http"), ("h:b", "h:c", "s:http")])}
+    mined, items = urls.mine_rules(spark.createDataFrame([("http://b.c/x", True)] * 4 + [("http://b.c/y", False)] * 6, "url string, bad boolean"), 0.3, 0.6)
+    assert [r["antecedent"] for r in rows_of(mined)] == [["p:x"]] and {r["token"]: r["item"] for r in rows_of(items)} == {"h:b": "h:b", "h:c": "h:b", "s:http": "h:b", "p:x": "p:x", "p:y": "p:y"}
     assert urls.judge_urls(pages.limit(0), labels.limit(0)).count() == 0
 
 
+def test_url_rules_against_brute_force(spark):
+    """Verdicts and confidences are those of all token sets, mined without joining or leaving out any."""
+    from itertools import chain, combinations
+
+    rng = random.Random(9)
+    rows = []
+    for i in range(300):
+        host = rng.choice(("a.com", "b.com", "c.org"))
+        rows.append((i, f"http://{host}/" + "/".join(rng.choice(("x", "y", "zz/zzz", "w")) for _ in range(rng.randint(1, 2)))))
+    bad = {i: rng.random() < (0.9 if "/x/" in u else 0.7 if "b.com" in u and "w" in u else 0.2) for i, u in rows if i % 3}
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    tokens = {r["url"]: frozenset(r["t"]) for r in rows_of(pages.select("url", urls.url_tokens(F.col("url")).alias("t")))}
+    labels = spark.createDataFrame([(i, int(not b), 0) for i, b in bad.items()], "doc_id long, quality int, toxic int")
+    known = [(tokens[u], bad[i]) for i, u in rows if i in bad]
+    sets = {frozenset(c) for t, _ in known for c in chain.from_iterable(combinations(sorted(t), k) for k in range(1, len(t) + 1))}
+    mined = {}
+    for c in sets:
+        n, k = sum(c <= t for t, _ in known), sum(b for t, b in known if c <= t)
+        if k / len(known) >= 0.02 and k / n >= 0.6:
+            mined[c] = k / n
+    got = rows_of(urls.judge_urls(pages, labels, list_rules=(("allow", "nowhere", "/"),), min_support=0.02))
+    assert any(r["confidence"] for r in got) and any(r["confidence"] is None for r in got)
+    for r in got:
+        want = max((v for c, v in mined.items() if c <= tokens[r["url"]]), default=None)
+        assert r["confidence"] == (None if want is None else pytest.approx(want)) and r["verdict"] == ("allow" if want is None else "block")
+
+
+def test_url_tokens_that_stand_together_make_one_item(spark):
+    deep = "/".join(f"s{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40))
+    rows = [(i, f"http://deep.com/{deep}/{'p' if i % 4 else 'q'}") for i in range(80)] + [(100 + i, f"http://plain.com/{'r' if i % 2 else 't'}") for i in range(80)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, int(i >= 100 or i % 4 == 0), 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    got = {r["page_id"]: r["verdict"] for r in rows_of(urls.judge_urls(pages, labels, list_rules=(("allow", "nowhere", "/"),)))}
+    assert all(got[i] == ("block" if i < 100 else "allow") for i, _ in rows)  # the deep path itself is bad at 0.75
+
+
 def brute_hits(doc, items):
     words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     w, hit, found = words(doc), set(), set()
@@ -315,6 +388,26 @@ def brute_hits(doc, items):
     return len(w), len(hit), sorted(found)
 
 
+def test_decontamination_of_repeated_words():
+    import time
+
+    rng = random.Random(3)
+    for _ in range(60):  # few words make many ties of the least hash
+        items = [(str(i), " ".join(rng.choices("aab", k=rng.choice((3, 9, 10, 12, 30, 60))))) for i in range(4)]
+        docs = [" ".join(rng.choices("aaab", k=rng.randint(0, 90))) for _ in range(6)] + [items[0][1], "b " + items[3][1] + " a a"]
+        found = decontam.Items([(i, t.encode()) for i, t in items], 10, 5).match([d.encode().split() for d in docs])
+        for d, (spans, ids) in zip(docs, found, strict=True):
+            n_words, n_hit, want = brute_hits(d, items)
+            assert (len(d.split()), sum(b - a for a, b in spans), sorted(ids)) == (n_words, n_hit, want)
+    took = []
+    for n in (1000, 4000):
+        start = time.perf_counter()
+        spans, ids = decontam.Items([("x", b"w " * n)], 10, 5).match([[b"w"] * (10 * n)])[0]
+        took.append(time.perf_counter() - start)
+        assert spans == [(0, 10 * n)] and ids == {"x"}
+    assert took[1] < 8 * took[0] + 1  # not with the square of the length
+
+
 @pytest.mark.parametrize("block_chars", [1 << 20, 300])
 def test_decontamination(spark, docs, empty, block_chars):
     rng = random.Random(5)
@@ -341,6 +434,31 @@ def test_host_rules(spark, docs, empty):
     assert hostrules.judge_hosts(hostrules.document_stats(empty)).count() == 0
 
 
+def test_host_rates_against_plain_code(spark):
+    """Fifty hosts whose documents fail at rates from none to all: shrunk rates and verdicts, and hosts that decide."""
+    rng = random.Random(12)
+    rows = []
+    for h in range(50):
+        for i in range(rng.randint(1, 60)):
+            fails = rng.random() < h / 49
+            rows.append((len(rows), "few words" if fails else " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(60)), None if h == 7 else f"h{h}"))
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = rows_of(hostrules.judge_hosts(hostrules.document_stats(d)))
+    n, f = Counter(h for *_, h in rows), Counter(h for _, t, h in rows if t == "few words")
+    total, failed, k = len(rows), sum(f.values()), len(n)
+    mean = failed / total
+    spread = sum(n[h] * (f[h] / n[h] - mean) ** 2 for h in n)
+    between = (spread - (k - 1) * mean * (1 - mean)) / (total - sum(x * x for x in n.values()) / total)
+    weight = mean * (1 - mean) / between - 1
+    assert weight > 0
+    rate = {h: (f[h] + mean * weight) / (n[h] + weight) for h in n}
+    by_id = {i: h for i, _, h in rows}
+    for r in got:
+        h = by_id[r["doc_id"]]
+        assert r["host_rate"] == pytest.approx(rate[h]) and r["kept"] == (not r["base_failed"] and rate[h] <= 0.5)
+    assert len(got) == len(rows) and sum(not r["kept"] and not r["base_failed"] for r in got) > 50
+
+
 def test_host_verdict_drops_a_failing_host(spark):
     good = "a b c d e f g h i j " * 3 + " ".join(f"x{i}" for i in range(60))
     rows = [(i, good, "fine") for i in range(60)] + [(100 + i, "short", "bad") for i in range(59)] + [(200, good, "bad")]
@@ -367,10 +485,26 @@ def test_licenses(spark, empty):
     for _ in range(800):
         base = rng.choice(index.sets)
         line = [w for w in base if rng.random() < 0.9] + rng.sample(vocab, 3)
-        want = {t for t, s in enumerate(index.sets) if len(set(s) & set(line)) >= index.need[t]}
+        want = {t for t, s in enumerate(index.sets) if len(set(s) & set(line)) >= index.need[t] and index.must[t] <= set(line)}
         assert set(index.match(line)) == want
 
 
+def test_license_notices_that_look_alike(spark):
+    texts = [
+        ("Released under the BSD license.", ["bsd"]), ("Released under the MIT license.", ["mit"]), ("Released under the XYZ license.", []),
+        ("Licensed under CC BY 4.0", ["cc-by"]), ("Licensed under CC BY-NC 4.0", ["cc-by", "cc-by-nc"]), ("Licensed under CC BY-SA 4.0.", ["cc-by", "cc-by-sa"]),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", ["cc-by-sa"]),
+        ("you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", ["lgpl"]),
+        ("Licensed under the Apache License, Version 2.0.", ["apache"]),
+        ("Permission is hereby granted to the school for any person to copy the terms.", []),
+        ("the license is under version " + "word " * 40 + " 2 0 apache licensed", []),
+        (" ".join(w + " and so on and on" for w in "licensed under the apache mit bsd license version 2 0 released".split()), []),
+    ]
+    d = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in rows_of(licenses.scan_licenses(d))}
+    assert [got[i] for i in range(len(texts))] == [want for _, want in texts]
+
+
 @pytest.mark.parametrize("columns", [70, 30])
 def test_wrapped_license_notices(spark, columns):
     notices = [
@@ -393,10 +527,11 @@ def test_license_windows_against_brute_force():
     for _ in range(300):
         t = rng.randrange(len(index.sets))
         words = [w for _ in range(rng.randint(1, 6)) for w in [*rng.sample(index.sets[t], rng.randint(1, len(index.sets[t]))), *[b"other"] * rng.randint(0, 9)]]
-        most = max(len(set(index.sets[t]) & set(words[i : i + index.reach[t]])) for i in range(len(words)))
+        cuts = [set(words[i : i + index.reach[t]]) for i in range(len(words))]
+        most = max((len(set(index.sets[t]) & c) for c in cuts if index.must[t] <= c), default=0)
         got = index.windows(words, t)
         assert bool(got) == (most >= index.need[t])
-        assert not got or max(share for _, share in got) == most / len(index.sets[t])
+        assert not got or max(share for _, _, share in got) == most / len(index.sets[t])
 
 
 def brute_components(data):
@@ -532,6 +667,23 @@ def test_shuffle(spark, docs, empty, bucket_bytes):
     assert max(map(len, shards.values())) - min(map(len, shards.values())) <= 1
     assert all(sorted(x) == list(range(len(x))) for x in shards.values())
     assert shuffle.shuffle_into_shards(empty).count() == 0
+    again = rows_of(shuffle.shuffle_into_shards(docs.repartition(11, "rid"), n_shards=7, bucket_bytes=bucket_bytes))
+    place = lambda rows: sorted((r["doc_id"] or -1, r["text"] or "", r["_shard"], r["_slot"]) for r in rows)
+    assert place(again) == place(got)  # however the input is split
+
+
+def test_shuffle_spreads_equal_rows(spark):
+    same = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("copy").alias("text"), F.create_map(F.lit("k"), F.lit(1)).alias("m"))
+    rest = spark.range(3000).select(F.col("id") + 10, F.lit("other"), F.create_map(F.lit("k"), F.lit(2)))
+    d = same.union(rest).coalesce(1).withColumns({"_size": F.lit("clash"), "_bucket": F.lit(5), "c0": F.lit(6)})
+    got = rows_of(shuffle.shuffle_into_shards(d, n_shards=10, bucket_bytes=4000))
+    assert len(got) == 6000 and set(got[0]) == {"doc_id", "text", "m", "_bucket", "c0", "_size", "_crc", "_shard", "_slot"}
+    assert all(r["_size"] == len(r["text"]) + 16 and r["m"] == {"k": 1 if r["doc_id"] == 1 else 2} and r["c0"] == 6 for r in got)
+    copies = Counter(r["_shard"] for r in got if r["doc_id"] == 1)
+    assert all(230 < copies[i] < 370 for i in range(10))
+    is_copy = [r["doc_id"] == 1 for r in sorted(got, key=lambda r: (r["_shard"], r["_slot"]))]
+    runs = sum(a != b for a, b in zip(is_copy, is_copy[1:]))
+    assert 2700 < runs < 3300  # as in a fair shuffle
 
 
 def test_pipeline(spark, tmp_path):
@@ -552,7 +704,28 @@ def test_pipeline(spark, tmp_path):
             forest = quality.train_quality(docs, spark.read.parquet(str(tmp_path / "labels.parquet")))
             want = {r["doc_id"] for r in rows_of(quality.score_quality(docs, forest)) if r["score"] >= 0.3}
             assert {r["doc_id"] for r in rows_of(out)} == want
+        if k == 1:
+            texts = [(r["doc_id"], r["text"]) for r in rows_of(docs)]
+            least = {}
+            for (d, _, c), n in brute_components(texts).items():
+                least[d] = c
+            wordy = {d for d, t in texts if (t or "").split()}
+            kept = [r["doc_id"] for r in rows_of(out)]
+            assert sorted(kept) == sorted({least[d] for d in wordy} | {d for d, _ in texts if d not in wordy})
+            assert len(kept) < len(texts)
+        if k == 3:
+            mix = {r["doc_id"]: r for r in rows_of(mixing.mix_sources(docs))}
+            want = {d: 1 if not r["size"] else int(r["taken"] / r["size"] + 0.5) for d, r in mix.items()}
+            assert Counter(r["doc_id"] for r in rows_of(out)) == Counter({d: n for d, n in want.items() if n})
+            assert any(n > 1 for n in want.values())
+        if k == 4:
+            n = docs.count()
+            assert Counter(r["doc_id"] for r in rows_of(out)) == Counter(r["doc_id"] for r in rows_of(docs))
+            sizes = Counter(r["shard"] for r in rows_of(out))
+            assert max(sizes.values()) - min((sizes[i] for i in range(40)), default=0) <= 1 and sum(sizes.values()) == n
         if k == 2:
             assert {r["doc_id"] for r in rows_of(out)} == {r["doc_id"] for r in rows_of(docs) if not brute_hits(r["text"], [(1, item)])[1]}
+        docs = spark.createDataFrame(rows_of(out), out.schema) if k < 4 else out
     final = rows_of(corpus_pipeline.run(spark, str(tmp_path)))
-    assert {"shard", "slot"} <= set(final[0]) if final else True
+    assert final and {"shard", "slot"} <= set(final[0])
+    assert sorted(map(str, final)) == sorted(map(str, rows_of(out)))
