@@ -9,7 +9,7 @@ from sparkfolio.llm.decontam import drop_contaminated
 from sparkfolio.llm.jaccard import keep_one
 from sparkfolio.llm.mixing import apply_mix
 from sparkfolio.llm.quality import keep_good
-from sparkfolio.llm.shuffle import shuffle_into_shards
+from sparkfolio.llm.shuffle import ADDED, shuffle_into_shards
 from sparkfolio.session import load_table
 from sparkfolio.storage import materialise
 
@@ -35,9 +35,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with shard and slot of a uniform shuffle."""
-    d = shuffle_into_shards(docs)
-    return d.select(*docs.columns, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))
+    """Documents with shard and slot of a uniform shuffle; columns of these names are replaced."""
+    d = shuffle_into_shards(docs.drop("shard", "slot"))
+    return d.withColumns({"shard": F.col("_shard"), "slot": F.col("_slot")}).drop(*ADDED)
 
 
 STAGES = [
