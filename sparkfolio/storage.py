@@ -42,7 +42,7 @@ def _own_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as parquet to the shared folder and return the written table.
 
     Cuts lineage durably: a lost executor rereads the files instead of
@@ -51,5 +51,5 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     ship_package(spark)
     path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
