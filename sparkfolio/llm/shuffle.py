@@ -52,9 +52,9 @@ def _shuffle_buckets(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[p
 def shuffle_into_shards(docs: DataFrame, n_shards: int = 40, seed: int = 17, bucket_bytes: int = 16 << 20) -> DataFrame:
     """All rows of ``docs`` in a seeded uniform order, cut into shards whose row counts differ by one at most.
 
-    Equal rows are first counted (partial counts combine before the shuffle,
-    so a row that makes up a third of the input is one row there) and then
-    numbered; pass one scatters rows by a seeded hash of all their columns and
+    Where hashes tell of equal rows, these are first counted (partial counts
+    combine before the shuffle, so a row that makes up a third of the input is
+    one row there) and then numbered; pass one scatters rows by a seeded hash of all their columns and
     that number into buckets of about ``bucket_bytes``, so copies spread like
     any other rows. Pass two permutes each bucket in memory and writes it. A
     row's place in the whole order is its bucket's offset plus its place
@@ -79,12 +79,16 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 40, seed: int = 17, buc
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long")
     total = d.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     n_buckets = min(_MAX_BUCKETS, max(1, -(-total // bucket_bytes)))
-    d = d.groupBy(*names.values()).agg(F.count("*").alias("_n"))
-    d = d.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_n")
+    found = d.groupBy(F.xxhash64(*names.values()).alias("_h")).agg(F.count("*").alias("_n"))
+    if found.filter("_n > 1").isEmpty():  # no equal rows: each is its own first copy
+        d = d.withColumn("_copy", F.lit(1).cast("long"))
+    else:
+        d = d.groupBy(*names.values()).agg(F.count("*").alias("_n"))
+        d = d.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_n")
     d = d.withColumn("_key", F.xxhash64(*names.values(), "_copy", F.lit(seed)))
     d = d.withColumns({"_bucket": F.pmod("_key", F.lit(n_buckets)).cast("long"), "_place": F.lit(0).cast("long")})
     d = d.repartition(min(n_buckets, _MAX_TASKS), "_bucket").sortWithinPartitions("_bucket", "_key", "_copy").drop("_copy", "_key")
-    d = materialise(d.mapInArrow(lambda b: _shuffle_buckets(b, seed), d.schema), "shuffled")
+    d = materialise(d.mapInArrow(lambda b: _shuffle_buckets(b, seed), d.schema), "shuffled", "zstd")
     counts = d.groupBy("_bucket").agg(F.count("*").alias("_n"))
     along = Window.orderBy("_bucket")  # a row per bucket, 2**22 at most
     counts = counts.select(
