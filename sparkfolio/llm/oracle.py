@@ -104,10 +104,50 @@ reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r
 SELECT d.doc_id, coalesce(sz.n, 0) AS n_shingles, c.component_id FROM d LEFT JOIN sz USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1) c USING (doc_id)
 """
 
+# crc32 has no SQL function: the table of the polynomial 0xEDB88320, bytes folded one by one.
+_CRC_TABLE = "SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i::BIGINT, list_transform(range(8), lambda k: 0::BIGINT)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t"
+_CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split({}, ''), lambda x: ascii(x)::BIGINT)), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295)"
+
+BASE3 = rf"""
+WITH crc AS ({_CRC_TABLE}), ids AS (SELECT DISTINCT doc_id FROM documents),
+fold AS (SELECT doc_id, CASE WHEN doc_id IS NULL THEN 0 ELSE {_CRC.format("doc_id::VARCHAR")} % 10 END AS f FROM ids, crc),
+d AS MATERIALIZED (SELECT row_number() OVER () AS row, x.doc_id, f, list_append(regexp_extract_all({_LOW.format("coalesce(text, '')")}, '{_WORD}'), chr(10)) AS w FROM documents x JOIN fold ON fold.doc_id IS NOT DISTINCT FROM x.doc_id),
+tok AS (SELECT row, f, unnest(w) AS t FROM d),
+c AS (SELECT t, count(*)::DOUBLE AS c FROM tok WHERE f <> 0 GROUP BY t),
+n AS (SELECT coalesce(sum(c), 0) AS n, count(*) AS v FROM c),
+s AS (SELECT row, count(*) AS n_tokens, count(c.c) AS n_known, sum(log10((coalesce(c.c, 0) + 0.1) / (n.n + 0.1 * (n.v + 1)))) AS base FROM tok LEFT JOIN c USING (t), n GROUP BY row)
+SELECT doc_id, f = 0 AS held_out, n_tokens, n_known, n.n::BIGINT AS train_tokens, round(base, 5) AS base_score FROM d JOIN s USING (row), n
+"""
+
+BASE4 = r"""
+WITH p AS MATERIALIZED (SELECT row_number() OVER () AS row, page_id, translate(coalesce(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(regexp_extract(url, '^[\s\S]*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+r(verdict, h, q) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
+best AS (SELECT row, arg_max({'r': concat(h, q), 'v': verdict}, length(h || q)) AS b FROM p x JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q) GROUP BY row)
+SELECT page_id, host, path, b.r AS rule, b.v AS verdict FROM p x LEFT JOIN best USING (row)
+"""
+
+_PHRASES = "(VALUES (['gnu','general','public','license'], 'gpl'), (['apache','license'], 'apache'), (['cc','by'], 'cc-by'), (['mit','license'], 'mit')) v(ph, label)"
+BASE7 = rf"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '{_ALNUM}') AS w FROM documents),
+hit AS (SELECT row, i - 1 AS pos, label FROM (SELECT row, w, ph, label, unnest(list_filter(range(1, len(w) - len(ph) + 2), lambda i: w[i] = ph[1] AND w[i : i + len(ph) - 1] = ph)) AS i FROM d, {_PHRASES})),
+h AS (SELECT row, count(*) AS n, min(pos) AS a, max(pos) AS b, string_agg(DISTINCT label, ',' ORDER BY label) AS l FROM hit GROUP BY row)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0) AS n_base, a AS first_word, b AS last_word, coalesce(l, '') AS base_labels, true AS kept FROM d LEFT JOIN h USING (row)
+"""
+
+BASE10 = """
+WITH t AS (SELECT count(*) AS n, sum(coalesce(strlen(text), 0) + 16)::BIGINT AS size FROM documents),
+s AS (SELECT i::INTEGER AS shard, (((i + 1) * n + 39) // 40 - (i * n + 39) // 40)::BIGINT AS k, size FROM t, range(40) r(i))
+SELECT shard, k AS n, 0::BIGINT AS first, k - 1 AS last, k AS slots, size AS total_size FROM s WHERE k > 0
+"""
+
 ORACLES: dict[str, str] = {
     "op1_chat_windows": OP1,
     "op2_source_mix": OP2,
     "op5_decontamination": OP5,
     "op6_host_rules": OP6,
     "op8_jaccard_join": OP8,
+    "base_lm_score": BASE3,
+    "base_url_rules": BASE4,
+    "base_license_scan": BASE7,
+    "base_sharding": BASE10,
 }

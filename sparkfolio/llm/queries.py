@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkfolio.llm import chat, decontam, hostrules, jaccard, licenses, lmscore, mixing, quality, shuffle, urls
@@ -97,11 +97,38 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What SQL can express of operators whose method it can't: the same results, without the method's own columns.
+def base_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and unigram scores of op3_lm_score."""
+    return op3_lm_score(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 5).alias("base_score"))
+
+
+def base_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts, paths, list rules and their verdicts of op4_url_rules."""
+    out = op4_url_rules(spark, sf_dir)
+    return out.select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("verdict"))
+
+
+def base_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and phrases of op7_license_scan; and that its labels have the phrases'."""
+    out = op7_license_scan(spark, sf_dir)
+    kept = F.size(F.array_except(F.split("base_labels", ","), F.split(F.concat("labels", F.lit(",")), ","))) == 0
+    return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", kept.alias("kept"))
+
+
+def base_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, bytes and slots of each shard of op10_sharding; bytes only over all."""
+    out = op10_sharding(spark, sf_dir).groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("first"), F.max("slot").alias("last"), F.count_distinct("slot").alias("slots"), F.sum("size").alias("size"))
+    total = F.sum("size").over(Window.partitionBy())
+    return out.select("shard", "n", "first", "last", "slots", total.alias("total_size"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_windows, op2_source_mix, op3_lm_score, op4_url_rules, op5_decontamination,
         op6_host_rules, op7_license_scan, op8_jaccard_join, op9_quality, op10_sharding,
+        base_lm_score, base_url_rules, base_license_scan, base_sharding,
     )
 }
 ORACLE_SQL = ORACLES
