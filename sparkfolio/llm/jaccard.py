@@ -22,6 +22,7 @@ _U = np.uint64
 _HOT_BUFFER = 1 << 22  # shingles counted together when looking for frequent ones
 SHORT = 64  # rows of a token that are compared with each other at once
 PARTNERS = (2, 32)  # neighbours tried in longer ones, in rounds, before all are
+BLOCK = 4096  # rows of a token that meet in one place; of more, blocks are compared pair by pair of blocks
 _BITS = 22  # of the hashed set of documents that candidates name
 
 
@@ -220,16 +221,18 @@ def _runs(batches, share) -> Iterator[pa.RecordBatch]:
         first = (t[-1], hg[-1], hn[-1], hp[-1])
 
 
-def _long_run(label, n, p, c, share) -> Iterator[np.ndarray]:
-    """Pairs of one token's rows with different labels that pass the filters, rows of equal (label, n, pos) taken together."""
-    order = np.lexsort((p, n, label))
-    label, n, p, c = (x[order] for x in (label, n, p, c))
+def _long_run(label, n, p, c, side, share) -> Iterator[np.ndarray]:
+    """Pairs of one token's rows with different labels, of different sides or none, that pass the filters; rows of equal (side, label, n, pos) taken together."""
+    order = np.lexsort((p, n, label, side))
+    label, n, p, c, side = (x[order] for x in (label, n, p, c, side))
     new = np.ones(len(c), bool)
-    new[1:] = (label[1:] != label[:-1]) | (n[1:] != n[:-1]) | (p[1:] != p[:-1])
+    new[1:] = (label[1:] != label[:-1]) | (n[1:] != n[:-1]) | (p[1:] != p[:-1]) | (side[1:] != side[:-1])
     at = np.append(np.flatnonzero(new), len(c))
-    label, n, p = (x[at[:-1]] for x in (label, n, p))
+    label, n, p, side = (x[at[:-1]] for x in (label, n, p, side))
     for i in range(len(label) - 1):
         ok = (label[i + 1 :] != label[i]) & fits(n[i], p[i], n[i + 1 :], p[i + 1 :], share)
+        if side[i]:
+            ok &= side[i + 1 :] != side[i]
         for j in (np.flatnonzero(ok) + i + 1).tolist():
             mine, other = c[at[i] : at[i + 1]], c[at[j] : at[j + 1]]
             for k in range(0, len(mine), 1000):
@@ -248,9 +251,10 @@ def _partners(t, label, n, p, c, share, partners: int) -> Iterator[np.ndarray]:
 
 
 def _cross(batches, share, partners: int | None = None, most: int = 1 << 20, short: int = SHORT) -> Iterator[pa.RecordBatch]:
-    """From rows (token, label, n, pos, cid) sorted by token: pairs of different labels that pass the filters.
+    """From rows (token, label, n, pos, cid, side) sorted by token: pairs of different labels that pass the filters.
 
-    Tokens with up to ``short`` rows are compared at each distance at once and
+    Rows of side 1 only pair with those of side 2; side 0 is a token, or a
+    block of one, within itself. Tokens with up to ``short`` rows are compared at each distance at once and
     give all pairs; others give all, one by one, or those of a few partners.
     """
     made: list[np.ndarray] = []
@@ -266,20 +270,20 @@ def _cross(batches, share, partners: int | None = None, most: int = 1 << 20, sho
         for i in range(0, len(a), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(a[i : i + 100_000]), pa.array(b[i : i + 100_000])], ["a", "b"])
 
-    def compare(t, label, n, p, c):
+    def compare(t, label, n, p, c, side):
         first = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
         length = np.diff(np.append(first, len(t)))
         brief = np.repeat(length <= short, length)
         for d in range(1, min(short, int(length.max()))):
             i = np.flatnonzero((t[d:] == t[:-d]) & brief[d:])
-            i = i[(label[i] != label[i + d]) & fits(n[i], p[i], n[i + d], p[i + d], share)]
+            i = i[(label[i] != label[i + d]) & fits(n[i], p[i], n[i + d], p[i + d], share) & ((side[i] == 0) | (side[i] != side[i + d]))]
             if len(i):
                 yield np.stack([c[i], c[i + d]])
         for at, m in zip(first[length > short].tolist(), length[length > short].tolist(), strict=True):
             if partners:
                 yield from _partners(*(x[at : at + m] for x in (t, label, n, p, c)), share, partners)
             else:
-                yield from _long_run(*(x[at : at + m] for x in (label, n, p, c)), share)
+                yield from _long_run(*(x[at : at + m] for x in (label, n, p, c, side)), share)
 
     def take(pieces):
         total = sum(x.shape[1] for x in made)
@@ -334,6 +338,25 @@ def _verify(batches, share) -> Iterator[pa.RecordBatch]:
             yield batch.slice(rows.start, len(rows)).select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def blocked(rows: DataFrame, partners: int | None) -> DataFrame:
+    """Rows (token, k, label, n, pos, cid) of tokens with k rows, dealt so that about ``BLOCK`` of a token meet: token, label, n, pos, cid, side.
+
+    Where neighbours are tried, each block stands alone. Where all pairs are,
+    each two blocks of a token meet once, as sides 1 and 2, and each block
+    meets itself.
+    """
+    d = rows.withColumn("_b", F.ceil(F.col("k") / BLOCK)).withColumn("_mine", F.pmod(F.xxhash64("cid"), F.col("_b")))
+    one = F.col("_b") <= 1
+    if partners:
+        d = d.withColumn("token", F.when(one, F.col("token")).otherwise(F.xxhash64("token", "_mine"))).withColumn("side", F.lit(0))
+    else:
+        d = d.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_b") - 1)))
+        low, high = F.least("_mine", "_other"), F.greatest("_mine", "_other")
+        d = d.withColumn("side", F.when(low == high, 0).when(F.col("_mine") == low, 1).otherwise(2))
+        d = d.withColumn("token", F.when(one, F.col("token")).otherwise(F.xxhash64("token", low, high)))
+    return d.select("token", "label", "n", "pos", "cid", "side")
+
+
 def links_among(docs: DataFrame, classes: DataFrame, pairs: DataFrame, share=SHARE) -> DataFrame:
     """Those of the class pairs (a, b) whose sets reach the similarity, by comparing the whole sets.
 
@@ -445,10 +468,10 @@ def _labelled(docs: DataFrame, share: tuple[int, int]) -> DataFrame:
         mixed = mixed.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("k").alias("k")).filter("lo <> hi")
         mixed = materialise(mixed.select("token", "k"), "nj-mixed")
         own = span.filter((F.col("lo") != F.col("hi")) & (F.lit(i == 0) | (F.col("k") > SHORT)))
-        own = known.join(own.select("gid"), "gid", "left_semi")
-        own = own.select(F.col("gid").alias("token"), "label", "n", F.lit(0).alias("pos"), "cid")
-        open_rows = index_rows.join(mixed.select("token"), "token", "left_semi").join(known.drop("n"), "gid")
-        rest = open_rows.select("token", "label", "n", "pos", "cid").union(own)
+        own = known.join(own.select("gid", "k"), "gid")
+        own = own.select(F.col("gid").alias("token"), "k", "label", "n", F.lit(0).alias("pos"), "cid")
+        open_rows = index_rows.join(mixed, "token").join(known.drop("n"), "gid")
+        rest = blocked(open_rows.select("token", "k", "label", "n", "pos", "cid").union(own), partners)
         rest = rest.repartition("token").sortWithinPartitions("token")
         rest = rest.mapInArrow(lambda b, partners=partners: _cross(b, share, partners), "a long, b long").distinct()
         rest = materialise(rest.join(tried, ["a", "b"], "left_anti"), "nj-rest")

@@ -584,7 +584,7 @@ def test_shingles_of_words_around_a_block():
 def test_pairs_of_a_token_in_short_and_long_runs(rows_a_batch):
     rng = random.Random(rows_a_batch)
     rows = sorted(
-        (token, rng.randrange(5), rng.randrange(20, 40), rng.randrange(8), rng.randrange(300))
+        (token, rng.randrange(5), rng.randrange(20, 40), rng.randrange(8), rng.randrange(300), rng.choice((1, 2)) if token % 3 == 0 else 0)
         for token in range(60)
         for _ in range(rng.choice((1, 2, 5, 64, 65, 150)))
     )
@@ -592,16 +592,18 @@ def test_pairs_of_a_token_in_short_and_long_runs(rows_a_batch):
         (min(x[4], y[4]), max(x[4], y[4]))
         for i, x in enumerate(rows)
         for y in rows[i + 1 :]
-        if x[0] == y[0] and x[1] != y[1] and jaccard.fits(x[2], x[3], y[2], y[3])
+        if x[0] == y[0] and x[1] != y[1] and (x[5] == 0 or x[5] != y[5]) and jaccard.fits(x[2], x[3], y[2], y[3])
     }
-    columns = ["token", "label", "n", "pos", "cid"]
+    columns = ["token", "label", "n", "pos", "cid", "side"]
     batches = [pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*rows[i : i + rows_a_batch], strict=True)], columns) for i in range(0, len(rows), rows_a_batch)]
     got = [pair for b in jaccard._cross(batches, jaccard.SHARE, most=500) for pair in zip(*(c.to_pylist() for c in b.columns), strict=True)]
     assert set(got) == want
 
 
-@pytest.mark.parametrize("seed", [3, 11])
-def test_near_duplicates(spark, empty, seed):
+@pytest.mark.parametrize(("seed", "block"), [(3, 4096), (11, 4096), (5, 20)])
+def test_near_duplicates(spark, empty, monkeypatch, seed, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "PARTNERS", jaccard.PARTNERS if block > 20 else ())
     data = corpus(seed, 250)
     base = " ".join(f"c{i}" for i in range(60)).split(" ")
     rng = random.Random(seed)
