@@ -87,7 +87,8 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 40, seed: int = 17, buc
         d = d.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_n")
     d = d.withColumn("_key", F.xxhash64(*names.values(), "_copy", F.lit(seed)))
     d = d.withColumns({"_bucket": F.pmod("_key", F.lit(n_buckets)).cast("long"), "_place": F.lit(0).cast("long")})
-    d = d.repartition(min(n_buckets, _MAX_TASKS), "_bucket").sortWithinPartitions("_bucket", "_key", "_copy").drop("_copy", "_key")
+    tasks = min(n_buckets, _MAX_TASKS)
+    d = d.repartitionById(tasks, (F.col("_bucket") % tasks).cast("int")).sortWithinPartitions("_bucket", "_key", "_copy").drop("_copy", "_key")
     d = materialise(d.mapInArrow(lambda b: _shuffle_buckets(b, seed), d.schema), "shuffled", "zstd")
     counts = d.groupBy("_bucket").agg(F.count("*").alias("_n"))
     along = Window.orderBy("_bucket")  # a row per bucket, 2**22 at most
