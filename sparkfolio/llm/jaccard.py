@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -313,22 +314,26 @@ def _cross(batches, share, partners: int | None = None, most: int = 1 << 20, sho
 
 
 def _wanted_texts(batches, wanted) -> Iterator[pa.RecordBatch]:
-    """(doc_id, cid, text) of documents whose hashed id is in the bitmap ``wanted``."""
+    """(doc_id, cid, packed text) of documents whose hashed id is in the bitmap ``wanted``."""
+    pack = zstandard.ZstdCompressor(level=3).compress
     for part in _slices(batches):
         part = part.filter(pa.array(wanted.value[part.column("h").to_numpy()]))
         if part.num_rows:
-            cids = [class_of(s) for s in shingle_sets(part.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cids, pa.int64()), part.column("text")], ["doc_id", "cid", "text"])
+            texts = part.column("text").to_pylist()
+            cids = [class_of(s) for s in shingle_sets(texts)]
+            packed = pa.array([None if t is None else pack(t) for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(cids, pa.int64()), packed], ["doc_id", "cid", "text"])
 
 
 def _verify(batches, share) -> Iterator[pa.RecordBatch]:
     part, whole = share
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
         texts = batch.column("ta"), batch.column("tb")
-        for rows in row_slices(batch, 4 << 20, lambda i: 64 + sum(x[i].as_buffer().size for x in texts)):  # noqa: B023
+        for rows in row_slices(batch, 1 << 20, lambda i: 64 + sum(x[i].as_buffer().size for x in texts)):  # noqa: B023
             place = {c: (x, i) for i in rows for c, x in ((a[i], texts[0]), (b[i], texts[1]))}
-            sets = dict(zip(place, shingle_sets([x[i].as_py() for x, i in place.values()]), strict=True))
+            sets = dict(zip(place, shingle_sets([unpack(x[i].as_py()) for x, i in place.values()]), strict=True))
             keep = []
             for i in rows:
                 u, v = sets[a[i]], sets[b[i]]
@@ -360,7 +365,7 @@ def blocked(rows: DataFrame, partners: int | None) -> DataFrame:
 def links_among(docs: DataFrame, classes: DataFrame, pairs: DataFrame, share=SHARE) -> DataFrame:
     """Those of the class pairs (a, b) whose sets reach the similarity, by comparing the whole sets.
 
-    Texts move rather than their sets, which take several times the space.
+    Texts move, packed, rather than their sets, which take several times the space.
     """
     spark = docs.sparkSession
     named = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cid")
@@ -480,9 +485,11 @@ def _labelled(docs: DataFrame, share: tuple[int, int]) -> DataFrame:
             if not more.isEmpty():
                 links = links.union(more)
                 label = materialise(components(links), "nj-label")
-        tried, index_rows = tried.union(rest), index_rows.join(mixed.filter(F.col("k") > SHORT).select("token"), "token", "left_semi")
+        tried = tried.union(rest)
         if mixed.filter(F.col("k") > SHORT).isEmpty() and span.filter(F.col("k") > SHORT).isEmpty():
             break
+        if partners:  # written, so that later rounds move the rows of long tokens only
+            index_rows = materialise(index_rows.join(mixed.filter(F.col("k") > SHORT).select("token"), "token", "left_semi"), "nj-long")
 
     whole = classes.join(label, classes["cid"] == label["node"], "left").select("cid", "rep", F.coalesce("label", "cid").alias("label"))
     least = whole.groupBy("label").agg(F.min("rep").alias("component_id"))
