@@ -20,7 +20,7 @@ SHINGLE = 5
 #: A pair links when 100 * intersection >= 75 * union.
 SHARE = (75, 100)
 _U = np.uint64
-_HOT_BUFFER = 1 << 22  # shingles counted together when looking for frequent ones
+_HOT_BUFFER = 1 << 21  # shingles counted together when looking for frequent ones
 SHORT = 64  # rows of a token that are compared with each other at once
 PARTNERS = (2, 32)  # neighbours tried in longer ones, in rounds, before all are
 BLOCK = 4096  # rows of a token that meet in one place; of more, blocks are compared pair by pair of blocks
@@ -63,7 +63,7 @@ def class_of(shingles: np.ndarray) -> int | None:
 def _slices(batches):
     for batch in batches:
         texts = batch.column("text")
-        for rows in row_slices(batch, 4 << 20, lambda i: 64 + (texts[i].as_buffer().size if texts[i].is_valid else 0)):  # noqa: B023
+        for rows in row_slices(batch, 2 << 20, lambda i: 64 + (texts[i].as_buffer().size if texts[i].is_valid else 0)):  # noqa: B023
             yield batch.slice(rows.start, len(rows))
 
 
@@ -139,7 +139,7 @@ def _prefixes(batches, hot, share) -> Iterator[pa.RecordBatch]:
                 gid.append(np.full(p, g))
                 size.append(np.full(p, n))
                 pos.append(np.arange(p))
-        if len(seen) > 500_000:
+        if len(seen) > 200_000:
             seen.clear()
             known.clear()
         names = ["token", "gid", "n", "pos"]
