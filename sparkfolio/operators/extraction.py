@@ -39,10 +39,13 @@ def parse_response(raw: Column) -> Column:
     other than texts, artworks that aren't objects of texts. Unknown keys
     drop, absent lists read as empty.
     """
-    body = fence_stripped(raw)
-    v = F.try_parse_json(body)
-    first = F.try_variant_get(v, "$[0]", "variant")
-    v = F.when(_kind(v) == "ARRAY", first).otherwise(v)
+    # Bound as lambda variables, so the text is parsed once.
+    whole = F.transform(F.array(F.try_parse_json(fence_stripped(raw))), lambda v: F.when(_kind(v) == "ARRAY", F.try_variant_get(v, "$[0]", "variant")).otherwise(v))
+    return F.transform(whole, _checked)[0]
+
+
+def _checked(v: Column) -> Column:
+    """struct(record, ok) of a parsed answer."""
     at = lambda c: F.try_variant_get(v, f"$.{c}", "variant")
     record = F.from_json(F.to_json(v), RECORD)
     empty_list = F.array().cast("array<string>")
