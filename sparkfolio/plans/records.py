@@ -143,7 +143,7 @@ def high_value_sites(s, d):
 
 
 @query(
-    "SELECT 'NGA' AS source, 'NGA Permanent Collection' AS title, 'Selected works from the NGA collection.' AS preface, 'NGA' AS location, 'Washington' AS city, 'https://auto-curation.internal/collection/nga' AS url, 'nga' AS parser_key, 'museum' AS institution_type, count(*) AS n_artworks FROM children"
+    "SELECT 'NGA' AS source, 'NGA Permanent Collection' AS title, 'Selected works from the NGA collection.' AS preface, 'NGA' AS location, 'Washington' AS city, 'https://collections.internal/collection/nga' AS url, 'nga' AS parser_key, 'museum' AS institution_type, count(*) AS n_artworks FROM children"
 )
 def synthetic_parent(s, d):
     return S.synthetic_parent(children(s, d), "NGA", "Washington", "nga")

@@ -274,11 +274,14 @@ def all_urls(*sets: DataFrame) -> DataFrame:
     return out.distinct().orderBy("url")
 
 
-def synthetic_parent(children: DataFrame, source: str, city: str, parser_key: str, institution_type: str = "museum") -> DataFrame:
-    """A parent made up for works without an exhibition, with the number of its children; its url is the same every time."""
+def synthetic_parent(children: DataFrame, source: str, city: str, parser_key: str, institution_type: str = "museum", base: str = "https://collections.internal/collection/") -> DataFrame:
+    """A parent made up for works without an exhibition, with the number of its children.
+
+    Its url is ``base`` and the key, the same every time; pass the base that stored records have.
+    """
     return children.agg(F.count("*").alias("n_artworks")).select(
         F.lit(source).alias("source"), F.lit(f"{source} Permanent Collection").alias("title"), F.lit(f"Selected works from the {source} collection.").alias("preface"),
-        F.lit(source).alias("location"), F.lit(city).alias("city"), F.lit(f"https://auto-curation.internal/collection/{parser_key}").alias("url"),
+        F.lit(source).alias("location"), F.lit(city).alias("city"), F.lit(base + parser_key).alias("url"),
         F.lit(parser_key).alias("parser_key"), F.lit(institution_type).alias("institution_type"), "n_artworks",
     )
 
