@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkfolio.llm import chat, decontam, hostrules, jaccard, licenses, lmscore, mixing, quality, shuffle, urls
+from sparkfolio.llm import chat, decontam, hostrules, jaccard, licenses, lmscore, mixing, packing, periodic, quality, resample, shuffle, urls
 from sparkfolio.llm.oracle import ORACLES
-from sparkfolio.llm.text import fold_of
+from sparkfolio.llm.text import WORD, fold_of, let
 from sparkfolio.session import load_table
 
 PROBE = r"\### Assistant: </turn> ok"
@@ -97,6 +97,50 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack_documents(load_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def _repeating(doc_id: Column, text: Column) -> Column:
+    """The text; that of one document in ten with its tail replaced by repeats of a part of it."""
+    h = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")))
+    g = F.floor(h / 10)
+
+    def changed(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        places = F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)
+        return F.when(n > 0, F.array_join(F.transform(places, lambda i: words[F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")]), " ")).otherwise("")
+
+    return F.when(h % 10 == 0, let(F.regexp_extract_all(text, F.lit(f"({WORD})")), changed)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents")
+    found = periodic.periodic_runs(docs.select("doc_id", _repeating(F.col("doc_id"), F.col("text")).alias("text")))
+    none = F.lit(None).cast(periodic.RUN)
+    longer = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    best = F.aggregate("runs", none, lambda best, r: F.when(longer(best, r), r).otherwise(best))  # runs stand by start and period
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("_best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"_best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * _best.length div _best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.importance_resample(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 # What SQL can express of operators whose method it can't: the same results, without the method's own columns.
 def base_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and unigram scores of op3_lm_score."""
@@ -128,6 +172,7 @@ QUERIES = {
     for f in (
         op1_chat_windows, op2_source_mix, op3_lm_score, op4_url_rules, op5_decontamination,
         op6_host_rules, op7_license_scan, op8_jaccard_join, op9_quality, op10_sharding,
+        op11_packing, op12_periodic_runs, op13_importance_resampling,
         base_lm_score, base_url_rules, base_license_scan, base_sharding,
     )
 }
