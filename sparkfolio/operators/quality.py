@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfolio.functions.scalars import percent, strict_date, strip
+from sparkfolio.operators.store import first_of
 
 
 def missing_rules() -> dict[str, Column]:
@@ -55,10 +56,8 @@ def titled(df: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The row of least ``order`` for each key; partial minima combine before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_r"))
-    return best.select(*(F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns))
+    """The row of least ``order`` for each key; nulls last, ties by the other columns."""
+    return first_of(df, keys, order)
 
 
 def issue(when: Column, field: str, severity: str, detail: Column | str = "") -> Column:

@@ -6,18 +6,49 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from sparkfolio.functions.scalars import slug
 
 
+def _has_order(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return all(_has_order(f.dataType) for f in kind.fields)
+    return _has_order(kind.elementType) if isinstance(kind, ArrayType) else not isinstance(kind, (MapType, VariantType))
+
+
+def _places(df: DataFrame, names: list[str]) -> list[Column]:
+    """Columns to compare rows by; those of a type without an order as JSON."""
+    return [F.col(c) if _has_order(df.schema[c].dataType) else F.to_json(F.struct(c)) for c in names]
+
+
+def first_of(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The row of least ``order`` of each key, whole; partial minima combine before the shuffle.
+
+    A null order comes last. Rows of equal order are told apart by their
+    other columns in turn (nulls first), so the choice doesn't depend on how
+    the input is split.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    least = F.struct(F.col(order).isNull(), *_places(df, [order, *rest]))
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), least).alias("_r"))
+    return best.select(*(F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns))
+
+
+def last_of(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The row of greatest ``order`` of each key; a null order gives way to any other, ties as in ``first_of``."""
+    rest = [c for c in df.columns if c not in keys]
+    most = F.struct(F.col(order).isNotNull(), *_places(df, [order, *rest]))
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), most).alias("_r"))
+    return best.select(*(F.col(c) if c in keys else F.col(f"_r.{c}").alias(c) for c in df.columns))
+
+
 def new_parents(target: DataFrame, incoming: DataFrame, order: str, required: tuple[str, ...] = ("source", "title", "url")) -> DataFrame:
     """Rows of ``incoming`` that an insert-or-ignore adds: required columns set, first per url, url not stored yet."""
     ok = incoming
     for c in required:
         ok = ok.filter(F.col(c).isNotNull())
-    rest = [c for c in ok.columns if c != "url"]
-    first = ok.groupBy("url").agg(F.min_by(F.struct(*rest), order).alias("_r"))
-    first = first.select(*(F.col("url") if c == "url" else F.col(f"_r.{c}").alias(c) for c in ok.columns))
+    first = first_of(ok, ["url"], order)
     return first.join(target.select("url"), "url", "left_anti")
 
 
@@ -29,7 +60,9 @@ def new_children(children: DataFrame, added: DataFrame, parent_key: str = "exhib
     """Children of newly added parents only, with both names set, each (parent, artist, work) once."""
     ok = children.filter(F.col("artist_name").isNotNull() & F.col("work_title").isNotNull())
     ok = ok.join(added.select(F.col("id").alias(parent_key)), parent_key, "left_semi")
-    return ok.dropDuplicates([parent_key, "artist_name", "work_title"])
+    keys = [parent_key, "artist_name", "work_title"]
+    rest = [c for c in ok.columns if c not in keys]
+    return first_of(ok, keys, rest[0]) if rest else ok.distinct()
 
 
 def delete_cascade(parents: DataFrame, children: DataFrame, doomed: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -50,10 +83,8 @@ def upsert(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
 
 
 def last_writer_wins(rows: DataFrame, key: str, version: str) -> DataFrame:
-    """The latest row of each key; partial maxima before the shuffle."""
-    cols = [c for c in rows.columns if c != key]
-    best = rows.groupBy(key).agg(F.max_by(F.struct(*cols), version).alias("r"))
-    return best.select(key, "r.*")
+    """The latest row of each key, its columns after the key; see ``last_of`` for nulls and ties."""
+    return last_of(rows, [key], version).select(key, *(c for c in rows.columns if c != key))
 
 
 def cleared(cache: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -656,4 +656,4 @@ def artist_list(s, d):
     return E.artist_names(kids).select("id", X.artist_sentence(F.col("names"), 3).alias("names"))
 
 
-from sparkfolio.plans import records  # noqa: E402, F401 - registers its queries
+from sparkfolio.plans import records, stored  # noqa: E402, F401 - register their queries

@@ -42,6 +42,12 @@ def _own_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A path of its own under this application's folder."""
+    ship_package(spark)
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as parquet to the shared folder and return the written table.
 
@@ -49,7 +55,6 @@ def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataF
     recomputing, and later plans know the table's size.
     """
     spark = df.sparkSession
-    ship_package(spark)
-    path = f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
