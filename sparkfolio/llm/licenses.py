@@ -20,34 +20,69 @@ PHRASES = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: (label, notice). A window of words holds a notice if it has the stated share of its distinct words and all that tell it from others.
+# Fixed values: (label, notice) of public licenses: their notices and paragraphs whole, and names of at most four words,
+# all of which a share of 0.8 asks for.
 TEMPLATES = (
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("gpl", "this work is licensed under the gnu general public license version 3"),
-    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"),
-    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation"),
-    ("apache", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at"),
-    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
-    ("apache", "licensed under the apache license version 2 0"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("mit", "released under the mit license"),
-    ("mit", "licensed under the mit license"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
-    ("bsd", "released under the bsd license"),
-    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
-    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
-    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
-    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
-    ("cc-by", "licensed under cc by 4 0"),
-    ("cc-by-sa", "licensed under cc by sa 4 0"),
-    ("cc-by-nc", "licensed under cc by nc 4 0"),
+    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("gpl", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("gpl", "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    ("gpl", "You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
+    ("gpl", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("gpl", "This work is licensed under the GNU General Public License version 3"),
+    ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("lgpl", "You should have received a copy of the GNU Lesser General Public License along with this library; if not, write to the Free Software Foundation"),
+    ("lgpl", "Lesser General Public License"),
+    ("agpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("agpl", "You should have received a copy of the GNU Affero General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."),
+    ("agpl", "GNU Affero General Public"),
+    ("fdl", "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation"),
+    ("apache", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
+    ("apache", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("apache", "Licensed to the Apache Software Foundation (ASF) under one or more contributor license agreements. See the NOTICE file distributed with this work for additional information regarding copyright ownership."),
+    ("apache", "Licensed under the Apache License, Version 2.0"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("mit", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
+    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    ("bsd", "bsd license"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("isc", "isc license"),
+    ("zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("boost", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software"),
+    ("boost", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)"),
+    ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("mpl", "Mozilla Public License"),
+    ("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("epl", "Eclipse Public License"),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("cc0", "CC0 1.0 Universal"),
+    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+    ("cc-by-nc-nd", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"),
+    ("cc-by-sa", "CC BY-SA"),
+    ("cc-by-nc", "CC BY-NC"),
+    ("cc-by-nd", "CC BY-ND"),
+    ("cc-by-nc-sa", "CC BY-NC-SA"),
+    ("cc-by-nc-nd", "CC BY-NC-ND"),
+    ("mit", "SPDX-License-Identifier: MIT"),
+    ("isc", "SPDX-License-Identifier: ISC"),
+    ("apache", "SPDX-License-Identifier: Apache"),
+    ("bsd", "SPDX-License-Identifier: BSD"),
+    ("gpl", "SPDX-License-Identifier: GPL"),
+    ("lgpl", "SPDX-License-Identifier: LGPL"),
+    ("agpl", "SPDX-License-Identifier: AGPL"),
+    ("mpl", "SPDX-License-Identifier: MPL"),
 )
-#: Notices of at most so many distinct words must have every word that notices of other labels lack.
-SHORT = 12
 
 
 class Templates:
@@ -61,9 +96,6 @@ class Templates:
         self.need = [math.ceil(share * len(s) - 1e-9) for s in self.sets]
         #: Words in a window: as long as the notice, with room for foreign words in the same share.
         self.reach = [int(len(alnum_words(text.encode())) / (share or 1) + 1e-9) for _, text in templates]
-        self.must = [self._must(t) for t in range(len(self.sets))]
-        #: Templates that say more: a window of one is none of the other, which has it all but for what tells it apart.
-        self.beaten = [[u for u in range(len(self.sets)) if self._beats(u, t)] for t in range(len(self.sets))]
         self.order = {w: i for i, w in enumerate(sorted(set().union(*map(set, self.sets)), key=rank))} if self.sets else {}
         self.index: dict[bytes, list[tuple[int, int]]] = {}
         for t, (words, need) in enumerate(zip(self.sets, self.need, strict=True)):
@@ -71,22 +103,6 @@ class Templates:
                 self.index.setdefault(w, []).append((t, place))
         self.prefix = frozenset(self.index)
 
-    def _must(self, t: int) -> frozenset[bytes]:
-        """Words that tell a template from those of other labels."""
-        words = set(self.sets[t])
-        others = [set(s) for s, label in zip(self.sets, self.labels, strict=True) if label != self.labels[t]]
-        out: set[bytes] = set()
-        for u in others:
-            if len(words & u) >= self.need[t]:
-                out |= words - u
-        if len(words) <= SHORT:
-            out |= words.difference(*others)
-        return frozenset(out)
-
-    def _beats(self, u: int, t: int) -> bool:
-        known = set(self.sets[t])
-        return self.labels[u] != self.labels[t] and len(known & set(self.sets[u])) >= self.need[t] and not self.must[u] <= known
-
     def match(self, block: list[bytes]) -> dict[int, float]:
         """Containment of each template that the block holds to the stated share; exact."""
         words = set(block)
@@ -102,13 +118,13 @@ class Templates:
         out = {}
         for t in shared:
             n = sum(w in words for w in self.sets[t])
-            if n >= self.need[t] and self.must[t] <= words:
+            if n >= self.need[t]:
                 out[t] = n / len(self.sets[t])
         return out
 
     def windows(self, words: list[bytes], t: int) -> list[tuple[int, int, float]]:
         """(first word, last word, containment) of each run of overlapping windows that hold template t; the first and best of the run."""
-        wanted, must = set(self.sets[t]), self.must[t]
+        wanted = set(self.sets[t])
         at = [i for i, w in enumerate(words) if w in wanted]
         inside: Counter[bytes] = Counter()
         runs: list[list[int]] = []  # first word of the best, last word, distinct words of the best
@@ -121,7 +137,7 @@ class Templates:
                 if not inside[w]:
                     del inside[w]
                 left += 1
-            if len(inside) >= max(1, self.need[t]) and must <= inside.keys():
+            if len(inside) >= max(1, self.need[t]):
                 if runs and at[left] <= runs[-1][1]:
                     runs[-1][1] = right
                     if len(inside) > runs[-1][2]:
@@ -130,24 +146,37 @@ class Templates:
                     runs.append([at[left], right, len(inside)])
         return [(first, last, n / len(wanted)) for first, last, n in runs]
 
-    def blocks(self, text: bytes, words: list[bytes]) -> list[tuple[int, int, float]]:
-        """(line of the first word, template, containment) of every run of windows that hold a template and none that says more."""
+    def blocks(self, text: bytes, words: list[bytes]) -> list[tuple[int, int, float, bool]]:
+        """(line of the first word, template, containment, best) of every run of windows that hold a template.
+
+        ``best``: no overlapping run of another label holds a greater share of
+        its template, nor the same share of one with more words.
+        """
         whole = self.match(words)
         if not whole:
             return []
-        found = {t: self.windows(words, t) for t in whole}
+        runs = [(first, last, t, share) for t in whole for first, last, share in self.windows(words, t)]
         ends, total = [], 0
         for line in text.split(b"\n"):
             total += len(alnum_words(line))
             ends.append(total)
-        out: dict[tuple[int, int], float] = {}
-        for t, runs in found.items():
-            more = [run for u in self.beaten[t] for run in found.get(u, ())]
-            for first, last, share in runs:
-                if not any(a <= last and first <= b for a, b, _ in more):
-                    key = bisect_right(ends, first), t
-                    out[key] = max(share, out.get(key, 0.0))
-        return [(line, t, share) for (line, t), share in sorted(out.items())]
+        rank = lambda t, share: (share, len(self.sets[t]))
+        out: dict[tuple[int, int], tuple[float, bool]] = {}
+        reach: list[tuple[int, int, int, float]] = []  # runs that may overlap those to come
+        better = dict.fromkeys(range(len(runs)), False)
+        for k, (first, last, t, share) in sorted(enumerate(runs), key=lambda x: x[1][:2]):
+            reach = [r for r in reach if r[1] >= first]
+            for _, _, j, _ in reach:
+                _, _, u, other = runs[j]
+                if self.labels[u] != self.labels[t]:
+                    better[k] |= rank(u, other) > rank(t, share)
+                    better[j] |= rank(t, share) > rank(u, other)
+            reach.append((first, last, k, share))
+        for k, (first, _, t, share) in enumerate(runs):
+            key = bisect_right(ends, first), t
+            had = out.get(key, (0.0, False))
+            out[key] = max(share, had[0]), had[1] or not better[k]
+        return [(line, t, share, best) for (line, t), (share, best) in sorted(out.items())]
 
 
 def places(words: list[bytes], phrases: list[tuple[list[bytes], str]]) -> list[tuple[int, int]]:
@@ -178,25 +207,25 @@ def _scan(batches, templates: Templates, phrases) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text")
         for rows in row_slices(batch, 4 << 20, lambda i: 64 + (texts[i].as_buffer().size if texts[i].is_valid else 0)):  # noqa: B023
-            out: dict[str, list] = {c: [] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "blocks")}
+            out: dict[str, list] = {c: [] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "best_labels", "score", "blocks")}
             for i in rows:
                 text = texts[i].as_py()
                 words = alnum_words(text)
                 hits = places(words, phrases)
                 base = {phrases[k][1] for _, k in hits}
-                blocks = [{"line": line, "label": templates.labels[t], "share": share} for line, t, share in templates.blocks(text, words)]
-                best = max((b["share"] for b in blocks), default=0.0)
+                blocks = [{"line": line, "label": templates.labels[t], "share": share, "best": best} for line, t, share, best in templates.blocks(text, words)]
+                most = max((b["share"] for b in blocks), default=0.0)
                 labels = base | {b["label"] for b in blocks}
                 starts = [p for p, _ in hits]
                 for c, v in (
                     ("n_words", len(words)), ("n_base", len(hits)), ("first_word", min(starts, default=None)),
                     ("last_word", max(starts, default=None)), ("base_labels", sorted(base)), ("labels", sorted(labels)),
-                    ("score", 1.0 if hits else best), ("blocks", blocks),
+                    ("best_labels", sorted({b["label"] for b in blocks if b["best"]})), ("score", 1.0 if hits else most), ("blocks", blocks),
                 ):
                     out[c].append(v)
             kinds = (
-                pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.float64(),
-                pa.list_(pa.struct([("line", pa.int32()), ("label", pa.string()), ("share", pa.float64())])),
+                pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.list_(pa.string()), pa.float64(),
+                pa.list_(pa.struct([("line", pa.int32()), ("label", pa.string()), ("share", pa.float64()), ("best", pa.bool_())])),
             )
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").slice(rows.start, len(rows)), *(pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True))],
@@ -213,14 +242,15 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, share:
     positions bound the overlap, and a set comparison decides. Templates that
     the text as a whole holds are then looked for in every window of its
     words (as long as the notice divided by ``share``), across lines: every
-    window with at least ``share`` of a template's distinct words, and all
-    words that tell it from templates of other labels, is found, however the
-    notice is wrapped. Where a template that says more stands (a
-    non-commercial licence over the plain one), only that one counts. Words
-    further apart than a window don't make a notice.
+    window with at least ``share`` of a template's distinct words is found,
+    however the notice is wrapped, and overlapping windows make one block.
+    Words further apart than a window don't make a notice. Notices that are
+    alike are all reported, each with its share; ``best`` tells those that no
+    overlapping block of another label outdoes in share, then in words.
 
     Returns doc_id, n_words, n_base, first_word, last_word, base_labels,
-    labels, score and blocks (first line, label, share), a row per input row.
+    labels (of phrases and all blocks), best_labels (of the best blocks),
+    score and blocks (first line, label, share, best), a row per input row.
     ``score`` is 1 with a phrase, else the best share, else 0. Null text:
     empty. Empty input: no rows. Extra columns are ignored. Templates and
     phrases are parameters of a few entries; the frequency table has at most
@@ -237,5 +267,5 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, share:
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
         lambda b: _scan(b, index, split),
         f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, "
-        "labels array<string>, score double, blocks array<struct<line:int,label:string,share:double>>",
+        "labels array<string>, best_labels array<string>, score double, blocks array<struct<line:int,label:string,share:double,best:boolean>>",
     )

@@ -64,6 +64,7 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join("base_labels", ",").alias("base_labels"),
         F.array_join("labels", ",").alias("labels"),
         "score",
+        F.array_join("best_labels", ",").alias("best_labels"),
     )
 
 
