@@ -16,6 +16,7 @@ from sparkfolio.storage import materialise
 #: Bytes counted for a row besides its text.
 ROW_BYTES = 16
 _MAX_BUCKETS = 1 << 22
+_MOST_SENT = 1 << 22  # hashes of 8 bytes; more of them are joined by a shuffle of the rows
 _MAX_TASKS = 1 << 16  # several buckets share a task beyond
 ADDED = ("_size", "_crc", "_shard", "_slot")
 
@@ -52,10 +53,11 @@ def _shuffle_buckets(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[p
 def shuffle_into_shards(docs: DataFrame, n_shards: int = 40, seed: int = 17, bucket_bytes: int = 16 << 20) -> DataFrame:
     """All rows of ``docs`` in a seeded uniform order, cut into shards whose row counts differ by one at most.
 
-    Where hashes tell of equal rows, these are first counted (partial counts
-    combine before the shuffle, so a row that makes up a third of the input is
-    one row there) and then numbered; pass one scatters rows by a seeded hash of all their columns and
-    that number into buckets of about ``bucket_bytes``, so copies spread like
+    Rows whose hash another row has are first counted (partial counts combine
+    before the shuffle, so a row that makes up a third of the input is one row
+    there) and then numbered; no others are grouped. Pass one scatters rows by
+    a seeded hash of all their columns and that number into buckets of about
+    ``bucket_bytes``, so copies spread like
     any other rows. Pass two permutes each bucket in memory and writes it. A
     row's place in the whole order is its bucket's offset plus its place
     there; equal slices of it are shards. The order depends on the rows and
@@ -79,12 +81,14 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 40, seed: int = 17, buc
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("long")
     total = d.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     n_buckets = min(_MAX_BUCKETS, max(1, -(-total // bucket_bytes)))
-    found = d.groupBy(F.xxhash64(*names.values()).alias("_h")).agg(F.count("*").alias("_n"))
-    if found.filter("_n > 1").isEmpty():  # no equal rows: each is its own first copy
-        d = d.withColumn("_copy", F.lit(1).cast("long"))
-    else:
-        d = d.groupBy(*names.values()).agg(F.count("*").alias("_n"))
-        d = d.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_n")
+    # Rows whose hash no other row has are their own first copies; the others, equal or not, are counted and numbered.
+    hashed = d.withColumn("_h", F.xxhash64(*names.values()))
+    shared = materialise(hashed.groupBy("_h").agg(F.count("*").alias("_n")).filter("_n > 1").select("_h"), "shuffle-shared")
+    if shared.count() <= _MOST_SENT:
+        shared = F.broadcast(shared)
+    alone = hashed.join(shared, "_h", "left_anti").drop("_h").withColumn("_copy", F.lit(1).cast("long"))
+    groups = hashed.join(shared, "_h", "left_semi").groupBy("_h", *names.values()).agg(F.count("*").alias("_n")).drop("_h")
+    d = alone.unionByName(groups.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))).drop("_n"))
     d = d.withColumn("_key", F.xxhash64(*names.values(), "_copy", F.lit(seed)))
     d = d.withColumns({"_bucket": F.pmod("_key", F.lit(n_buckets)).cast("long"), "_place": F.lit(0).cast("long")})
     tasks = min(n_buckets, _MAX_TASKS)
