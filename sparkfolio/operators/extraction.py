@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfolio.functions.scalars import cache_key, fence_stripped, present, strip
+from sparkfolio.storage import materialise
 
 # A record's text fields, lists of texts, and the fields of its artworks; titles that say nothing.
 TEXTS = "title preface concept preface_en concept_en biographies biographies_cn credits start_date end_date location city".split()
@@ -85,21 +86,24 @@ def valid_result(title: Column, start: Column, end: Column, preface: Column, con
 def cached_extract(pages: DataFrame, cache: DataFrame, extract: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
     """(answers of all pages, new cache rows) of pages (url, source, city, text).
 
-    Keys are those of "source:city" and the text. Only pages missing in the
-    cache (cache_key, result_json) reach ``extract``, which gives a raw
-    answer; answers that don't parse or say too little become null and aren't
-    cached. A corrupted cache entry counts as a miss.
+    Keys are those of "source:city" and the text. ``extract`` gets the text
+    of each key missing in the cache (cache_key, result_json) once, however
+    many pages have it, and gives a raw answer; answers that don't parse or
+    say too little become null and aren't cached. A corrupted cache entry
+    counts as a miss. The new cache rows are written first, so that no answer
+    is asked for again by those who read the result.
     """
     where = F.concat(F.coalesce("source", F.lit("")), F.lit(":"), F.coalesce("city", F.lit("")))
     keyed = pages.withColumn("cache_key", cache_key(where, "text"))
     good = cache.filter(F.try_parse_json("result_json").isNotNull()).select("cache_key", "result_json").dropDuplicates(["cache_key"])
     hits = keyed.join(good, "cache_key")
-    misses = keyed.join(good.select("cache_key"), "cache_key", "left_anti").withColumn("_r", parse_response(extract(F.col("text"))))
+    misses = keyed.join(good.select("cache_key"), "cache_key", "left_anti")
+    asked = misses.select("cache_key", "text").dropDuplicates(["cache_key"]).withColumn("_r", parse_response(extract(F.col("text"))))
     r = F.col("_r.record")
     fine = F.col("_r.ok") & valid_result(r["title"], r["start_date"], r["end_date"], r["preface"], r["concept"])
-    misses = misses.withColumn("result_json", F.when(fine, F.to_json(r))).drop("_r")
-    fresh = misses.filter(F.col("result_json").isNotNull()).select("cache_key", "result_json")
-    return hits.unionByName(misses.select(*hits.columns)), fresh.dropDuplicates(["cache_key"])
+    asked = materialise(asked.select("cache_key", F.when(fine, F.to_json(r)).alias("result_json")), "extracted")
+    answered = misses.join(asked, "cache_key")
+    return hits.unionByName(answered.select(*hits.columns)), asked.filter("result_json IS NOT NULL")
 
 
 # Words and parts of words that tell an event from an exhibition, types of event links.

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from sparkfolio.functions.scalars import normalize_date
 from sparkfolio.operators import quality as Q
 from sparkfolio.operators import store as W
+from sparkfolio.operators.isolation import isolate
+from sparkfolio.operators.pages import PageDirectory
+from sparkfolio.operators.searchindex import SearchIndex
 from sparkfolio.plans.roles import CHILDREN, PARENTS, children, parents, query
+from sparkfolio.session import load_table
 from sparkfolio.sources.recordstore import RecordStore
 from sparkfolio.storage import new_folder
 
@@ -123,3 +129,84 @@ def store_cache(s, d):
     store.put_cache("two", rows.filter("version % 3 = 0"))
     store.put_cache("two", rows.filter("version % 3 = 0"))
     return store.read("cache")
+
+
+# --- rows that fail --------------------------------------------------------------------------------------------------
+def _word_counts(frame):
+    """An extractor that can't take some documents."""
+    for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+        if doc_id % 100 == 7:
+            raise ValueError(f"document {doc_id} can't be read")
+        if text is None:
+            raise TypeError("no text")
+    return frame.assign(n_words=[len(t.split(" ")) for t in frame["text"]])[["doc_id", "n_words"]]
+
+
+@query(
+    "SELECT doc_id, CASE WHEN doc_id % 100 <> 7 THEN len(string_split(text, ' ')) END AS n_words, CASE WHEN doc_id % 100 = 7 THEN concat('ValueError: document ', doc_id, ' can''t be read') "
+    "WHEN text IS NULL THEN 'TypeError: no text' END AS error FROM documents"
+)
+def isolated_extraction(s, d):
+    """A batch function that one document in a hundred makes fail: the others' results, and those documents' errors."""
+    docs = load_table(s, d, "documents").select("doc_id", "text")
+    results, errors = isolate(docs, _word_counts, "doc_id long, n_words long", ["doc_id"])
+    none = F.lit(None)
+    return results.withColumn("error", none.cast("string")).unionByName(errors.select("doc_id", none.cast("long").alias("n_words"), "error"))
+
+
+# --- search and pages ------------------------------------------------------------------------------------------------
+_SEARCHED_SQL = (
+    "SELECT id FROM parents WHERE {} UNION SELECT exhibition_id FROM children WHERE exhibition_id IN (SELECT id FROM parents) AND (lower(artist_name) LIKE '{{0}}' OR lower(work_title) LIKE '{{0}}')"
+).format(" OR ".join(f"lower({c}) LIKE '{{0}}'" for c in "title preface concept curators location preface_en concept_en".split()))
+
+
+def _index(s, d):
+    return SearchIndex.build(s, new_folder(s, "index"), parents(s, d), children(s, d))
+
+
+@query(_SEARCHED_SQL.format("%customer 12%"), {"parents": PARENTS, "children": CHILDREN})
+def search_index(s, d):
+    """The keyword search of search_union by the index."""
+    return _index(s, d).search("CUSTOMER 12")
+
+
+@query(
+    " UNION ALL ".join(f"SELECT '{k.replace('%', '*')}' AS keyword, count(*) AS n FROM ({_SEARCHED_SQL.format('%' + k.lower() + '%')})" for k in ("Supplier#00000000%", "er_12", "zz", "no such words")),
+    {"parents": PARENTS, "children": CHILDREN},
+)
+def search_index_keywords(s, d):
+    """Matches of keywords with wildcards, too short for the index, and that nothing has."""
+    index = _index(s, d)
+    counts = [index.search(k).agg(F.count("*").alias("n")).select(F.lit(k.replace("%", "*")).alias("keyword"), "n") for k in ("Supplier#00000000%", "er_12", "zz", "no such words")]
+    return reduce(lambda a, b: a.unionByName(b), counts)
+
+
+def _scraped(s, d):
+    day = F.when(F.col("id") % 31 != 0, F.coalesce("start_date", F.lit("1999-09-09")))
+    return parents(s, d).select("id", "source", "title", "start_date").withColumn("scraped_at", F.concat(day, F.lit(" "), F.expr("lpad(string(id % 24), 2, '0')"), F.lit(":"), F.expr("lpad(string(id % 60), 2, '0')"), F.lit(":00")))
+
+
+_DAY = "CASE WHEN id % 31 <> 0 THEN coalesce(start_date, '1999-09-09') END"
+_ROWS = f"SELECT id, source, title, start_date, {_DAY} || ' ' || lpad((id % 24)::VARCHAR, 2, '0') || ':' || lpad((id % 60)::VARCHAR, 2, '0') || ':00' AS scraped_at FROM parents"
+
+
+@query(
+    f"SELECT id, scraped_at, total FROM (SELECT *, row_number() OVER (ORDER BY scraped_at DESC NULLS LAST, id DESC) AS rn, count(*) OVER () AS total FROM rows_) WHERE rn > total * 9 // 10 AND rn <= total * 9 // 10 + 30",
+    {"parents": PARENTS, "rows_": _ROWS},
+)
+def page_by_scraped_at(s, d):
+    """A page at nine tenths of the records by scraped_at, and the total, from the directory."""
+    pages = PageDirectory.build(s, new_folder(s, "pages"), _scraped(s, d), [("scraped_at", True), ("id", True)], part_rows=2000)
+    total = pages.total().first()[0]
+    return pages.page(30, total * 9 // 10).select("id", "scraped_at", F.lit(total).alias("total"))
+
+
+@query(
+    "SELECT id, start_date, total FROM (SELECT *, row_number() OVER (ORDER BY start_date DESC NULLS LAST, id DESC) AS rn, count(*) OVER () AS total FROM parents WHERE source = '2-HIGH') WHERE rn > total // 2 AND rn <= total // 2 + 20"
+)
+def page_of_source(s, d):
+    """A page in the middle of one source's records by start_date, and the source's total."""
+    rows = parents(s, d).select("id", "source", "start_date")
+    pages = PageDirectory.build(s, new_folder(s, "pages"), rows, [("start_date", True), ("id", True)], group="source", part_rows=2000)
+    total = pages.total("2-HIGH").first()[0]
+    return pages.page(20, total // 2, "2-HIGH").select("id", "start_date", F.lit(total).alias("total"))
