@@ -9,19 +9,21 @@ def _escaped(c: str) -> str:
     return rf"replace(replace(replace({c}, '\', '\b'), '<', '\l'), '>', '\g')"
 
 
-OP1 = rf"""
+def chat_sql(budget: int = 256, history: int = 64) -> str:
+    """SQL of the chat windows."""
+    return rf"""
 WITH t0 AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 t1 AS (SELECT *, len(regexp_extract_all(text, '{_WORD}')) + 3 AS tok,
   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS ord FROM t0),
 t2 AS (SELECT *, ord = 1 AND role = 'system' AS lead,
   max(CASE WHEN ord = 1 AND role = 'system' THEN tok ELSE 0 END) OVER (PARTITION BY conv_id) AS sys_tok FROM t1),
-t3 AS (SELECT *, CASE WHEN lead THEN 0 ELSE tok END AS body, greatest(1, 2048 - sys_tok - least(256, greatest(0, 2048 - sys_tok) // 2)) AS span FROM t2),
+t3 AS (SELECT *, CASE WHEN lead THEN 0 ELSE tok END AS body, greatest(1, {budget} - sys_tok - least({history}, greatest(0, {budget} - sys_tok) // 2)) AS span FROM t2),
 t4 AS (SELECT *, sum(body) OVER (PARTITION BY conv_id ORDER BY ord) AS stop FROM t3),
 t5 AS (SELECT *, stop - body AS before,
   length({_escaped('role')}) + length({_escaped('text')}) + 15 AS chars FROM t4),
 t6 AS (SELECT *, CASE WHEN before // span = greatest(stop - 1, before) // span THEN 2 * (before // span) ELSE 2 * (before // span) + 1 END AS cut FROM t5),
-wins AS (SELECT conv_id, cut, min(before) AS start, greatest(0, least(256, 2048 - max(sys_tok) - sum(body))) AS reach, min(cut) OVER (PARTITION BY conv_id) AS first_cut FROM t6 GROUP BY conv_id, cut),
+wins AS (SELECT conv_id, cut, min(before) AS start, greatest(0, least({history}, {budget} - max(sys_tok) - sum(body))) AS reach, min(cut) OVER (PARTITION BY conv_id) AS first_cut FROM t6 GROUP BY conv_id, cut),
 again AS (SELECT w.conv_id, sum(t.chars) AS chars FROM wins w JOIN t6 t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND w.cut > w.first_cut
   AND t.cut < w.cut AND (t.lead OR t.before >= w.start - w.reach) GROUP BY 1)
 SELECT t.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY ord)) AS turns_sha256,
@@ -141,7 +143,7 @@ SELECT shard, k AS n, 0::BIGINT AS first, k - 1 AS last, k AS slots, size AS tot
 """
 
 ORACLES: dict[str, str] = {
-    "op1_chat_windows": OP1,
+    "op1_chat_windows": chat_sql(),
     "op2_source_mix": OP2,
     "op5_decontamination": OP5,
     "op6_host_rules": OP6,

@@ -16,7 +16,7 @@ PROBE = r"\### Assistant: </turn> ok"
 def op1_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = load_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], turns.schema)
-    return chat.read_back(chat.format_windows(turns.unionByName(probe)))
+    return chat.read_back(chat.format_windows(turns.unionByName(probe), budget=256, history=64))
 
 
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
