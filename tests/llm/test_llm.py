@@ -113,26 +113,27 @@ def test_chat_repeats_history_after_a_long_system_turn(spark, system):
     assert new == 60 and (told > 5) == (system < 190)
 
 
-def test_chat_windows_over_long_conversations_against_sql(spark, tmp_path):
-    """The oracle on conversations of many windows, with long system turns, of the production budget."""
+@pytest.mark.parametrize("budget,history", [(2048, 256), (256, 64)])
+def test_chat_windows_over_long_conversations_against_sql(spark, tmp_path, budget, history):
+    """The oracle on conversations of many windows, with long system turns."""
     duckdb = pytest.importorskip("duckdb")
-    from sparkfolio.llm.oracle import ORACLES
+    from sparkfolio.llm.oracle import chat_sql
 
     rng = random.Random(5)
     rows = []
     for c in range(8):
         if c % 2:
-            rows.append((c, 0, "system", "s " * (0, 40, 0, 1700, 0, 2100, 0, 900)[c]))
-        rows += [(c, 1 + i, ("user", "assistant")[i % 2], f"t{i} <" + "w " * rng.choice((1, 20, 200, 900, 2500))) for i in range(rng.randint(1, 40))]
+            rows.append((c, 0, "system", "s " * ((0, 40, 0, 1700, 0, 2100, 0, 900)[c] * budget // 2048)))
+        rows += [(c, 1 + i, ("user", "assistant")[i % 2], f"t{i} <" + "w " * max(1, rng.choice((1, 20, 200, 900, 2500)) * budget // 2048)) for i in range(rng.randint(1, 40))]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     df.write.parquet(f"{tmp_path}/conversations.parquet")
     probe = spark.createDataFrame([(-7, t, r, r"\### Assistant: </turn> ok") for t, r in enumerate(("user", "assistant"))], df.schema)
-    windows = chat.format_windows(df.union(probe))
+    windows = chat.format_windows(df.union(probe), budget, history)
     assert windows.count() > 40 and windows.filter("n_repeated > 1").count() > 10
     got = rows_of(chat.read_back(windows))
     con = duckdb.connect()
     con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
-    cur = con.execute(ORACLES["op1_chat_windows"])
+    cur = con.execute(chat_sql(budget, history))
     names = [x[0] for x in cur.description]
     want = [dict(zip(names, r, strict=True)) for r in cur.fetchall()]
     by_id = lambda rows: sorted(rows, key=lambda r: r["conv_id"])
@@ -388,37 +389,52 @@ def brute_hits(doc, items):
     return len(w), len(hit), sorted(found)
 
 
-def test_decontamination_of_repeated_words():
-    import time
-
-    rng = random.Random(3)
-    for _ in range(60):  # few words make many ties of the least hash
-        items = [(str(i), " ".join(rng.choices("aab", k=rng.choice((3, 9, 10, 12, 30, 60))))) for i in range(4)]
-        docs = [" ".join(rng.choices("aaab", k=rng.randint(0, 90))) for _ in range(6)] + [items[0][1], "b " + items[3][1] + " a a"]
-        found = decontam.Items([(i, t.encode()) for i, t in items], 10, 5).match([d.encode().split() for d in docs])
-        for d, (spans, ids) in zip(docs, found, strict=True):
-            n_words, n_hit, want = brute_hits(d, items)
-            assert (len(d.split()), sum(b - a for a, b in spans), sorted(ids)) == (n_words, n_hit, want)
-    took = []
-    for n in (1000, 4000):
-        start = time.perf_counter()
-        spans, ids = decontam.Items([("x", b"w " * n)], 10, 5).match([[b"w"] * (10 * n)])[0]
-        took.append(time.perf_counter() - start)
-        assert spans == [(0, 10 * n)] and ids == {"x"}
-    assert took[1] < 8 * took[0] + 1  # not with the square of the length
-
-
-@pytest.mark.parametrize("block_chars", [1 << 20, 300])
-def test_decontamination(spark, docs, empty, block_chars):
+def contaminated(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = decontam.find_contamination(docs, spark.createDataFrame(items, "item_id string, text string"))
+    return {r["doc_id"]: (r["n_words"], sum(s["stop"] - s["start"] for s in r["spans"]), r["items"]) for r in rows_of(found)}
+
+
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_decontamination_of_repeated_words(spark, seed):
+    rng = random.Random(seed)  # few words make many ties of the least hash
+    items = [(str(i), " ".join(rng.choices("aab", k=rng.choice((3, 9, 10, 12, 30, 60))))) for i in range(4)]
+    docs = [" ".join(rng.choices("aaab", k=rng.randint(0, 90))) for _ in range(80)] + [items[0][1], "b " + items[3][1] + " a a"]
+    got = contaminated(spark, docs, items)
+    for i, d in enumerate(docs):
+        n_words, n_hit, want = brute_hits(d, items)
+        assert got[i] == (n_words, n_hit, want)
+    n = 40_000
+    assert contaminated(spark, ["w " * n], [("x", "w " * 4000)]) == {0: (n, n, ["x"])}
+
+
+def test_decontamination_by_many_items(spark, monkeypatch):
+    """More fingerprints than the filter has bits for, many items of one passage, and a passage that most documents have."""
+    monkeypatch.setattr(decontam, "_MOST_BITS", 1 << 15)
+    rng = random.Random(8)
+    vocab = [f"v{i}" for i in range(3000)]
+    passage = " ".join(rng.choices(vocab, k=30))
+    items = [(f"i{i}", " ".join(rng.choices(vocab, k=rng.choice((4, 9, 40))))) for i in range(1500)] + [(f"p{i}", passage + f" own{i}") for i in range(40)]
+    docs = [" ".join([*rng.choices(vocab, k=20), *(passage.split() if i % 3 else rng.choice(items)[1].split()), *rng.choices(vocab, k=9)]) for i in range(150)]
+    got = contaminated(spark, docs, items)
+    assert all(got[i] == brute_hits(d, items) for i, d in enumerate(docs)) and len(got[1][2]) >= 40
+
+
+def test_decontamination(spark, docs, empty):
     rng = random.Random(5)
     data = corpus()
     items = [(i, " ".join((rng.choice(data)[1] or "q").split(" ")[:40])) for i in range(25)] + [(90, None), (91, "..."), (92, "A, b"), (92, "zz"), (93, "w1 " * 30)]
     table = spark.createDataFrame(items, "item_id long, text string")
-    got = rows_of(decontam.find_contamination(docs, table, block_chars=block_chars))
+    got = rows_of(decontam.find_contamination(docs, table))
     want = Counter((d, *map(str, brute_hits(t, items))) for d, t, *_rest in data)
     assert Counter((r["doc_id"], str(r["n_words"]), str(sum(s["stop"] - s["start"] for s in r["spans"])), str(r["items"])) for r in got) == want
     assert decontam.find_contamination(empty, table.limit(0)).count() == 0
-    assert decontam.drop_contaminated(docs, table).columns == docs.columns
+    assert decontam.find_contamination(docs, table.limit(0)).filter("size(spans) = 0 and size(items) = 0").count() == len(data)
+    kept = decontam.drop_contaminated(docs, table)
+    assert kept.columns == docs.columns
+    assert Counter((r["doc_id"], r["text"]) for r in rows_of(kept)) == Counter((d, t) for d, t, *_rest in data if not brute_hits(t, items)[1])
+    odd = docs.withColumnsRenamed({"lang": "_text", "source": "p.q", "rid": "_row"})
+    assert decontam.drop_contaminated(odd, table).columns == odd.columns and decontam.drop_contaminated(odd, table).count() == kept.count()
 
 
 def test_host_rules(spark, docs, empty):
