@@ -48,6 +48,18 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Paths of the tables that ``materialise`` wrote, in order.
+written: list[str] = []
+
+
+def drop_but_last(spark: SparkSession, since: int) -> None:
+    """Delete the tables written after the first ``since``, but for the last one, which nothing else may depend on."""
+    for name in written[since:-1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    del written[since:-1]
+
+
 def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as parquet to the shared folder and return the written table.
 
@@ -57,4 +69,5 @@ def materialise(df: DataFrame, label: str, compression: str = "snappy") -> DataF
     spark = df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path, compression=compression)
+    written.append(path)
     return spark.read.schema(df.schema).parquet(path)
