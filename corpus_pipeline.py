@@ -11,7 +11,7 @@ from sparkfolio.llm.mixing import apply_mix
 from sparkfolio.llm.quality import keep_good
 from sparkfolio.llm.shuffle import ADDED, shuffle_into_shards
 from sparkfolio.session import load_table
-from sparkfolio.storage import materialise
+from sparkfolio.storage import drop_but_last, materialise, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,10 +53,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``, each written before the next reads it."""
-    docs = load_table(spark, sf_dir, "documents")
+    """All stages over the documents of ``sf_dir``, each written before the next reads it.
+
+    When a stage's result is written, tables of its own and the result before
+    it go.
+    """
+    docs, before = load_table(spark, sf_dir, "documents"), len(written)
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = materialise(docs, f"stage{i}")
+            drop_but_last(spark, before)
     return docs
