@@ -17,9 +17,7 @@ from sparkfolio.operators import store as W
 from sparkfolio.plans.roles import CHILDREN, PARENTS, RUNS, children, parents, query, run_log
 from sparkfolio.session import load_table
 from sparkfolio.sources import files as S
-from sparkfolio.sources.sites import SERIES, SITES, capabilities, high_value, series, sites
-
-_TEXT = lambda x: "'" + x.replace("'", "''") + "'"
+from sparkfolio.sources.sites import capabilities, high_value, series, sites, with_records
 
 
 # --- scans -----------------------------------------------------------------------------------------------------------
@@ -86,17 +84,21 @@ def scan_image_map(s, d):
     return S.image_map(_landed(s, d, _IMAGES))
 
 
-@query("SELECT i * 100 AS \"offset\" FROM range(12) r(i)")
+@query("SELECT source, unnest(range(least(12, greatest(1, (n + 99) // 100)))) * 100 AS \"offset\" FROM (SELECT source, count(*) AS n FROM parents GROUP BY source)")
 def scan_offsets(s, d):
-    return S.offsets(s, 2345, limit_pages=12)
+    """The requests of a scan of each source, from the totals of its records."""
+    totals = parents(s, d).groupBy("source").agg(F.count("*").alias("n"))
+    return S.offsets_by(totals, "source", "n", limit_pages=12)
 
 
 @query(
     "SELECT 'yearly' AS scan, count(*) AS n, max(url) AS last FROM (SELECT 'https://t/' AS url UNION ALL SELECT concat('https://t/?y=', i) FROM range(2019, 2027) r(i)) UNION ALL "
     "SELECT 'archive', count(*), max(url) FROM (SELECT 'https://s/' AS url UNION ALL SELECT 'https://s/a/' UNION ALL SELECT concat('https://s/a/page/', i, '/') FROM range(2, 7) r(i)) UNION ALL "
-    "SELECT 'past', 2 + 19, 'https://m/past/' UNION ALL SELECT 'editions', 17, 'https://e/sb-9/'"
+    "SELECT 'past', 2 + 19, 'https://m/past/' UNION ALL SELECT 'editions', 17, 'https://e/sb-9/' UNION ALL "
+    "SELECT concat('records of ', site_key), hi - lo + 1, concat('https://x/', site_key, '?y=', hi) FROM (SELECT site_key, min(y) AS lo, max(y) AS hi FROM (SELECT site_key, CAST(substr(start_date, 1, 4) AS INTEGER) AS y FROM parents WHERE start_date <> '') GROUP BY site_key)"
 )
 def scan_listing_urls(s, d):
+    """Listings of fixed ranges, and of the years that each site has records of."""
     parts = {
         "yearly": S.yearly_listings(s, "https://t/", "https://t/?y={}", 2026, 2019),
         "archive": S.archive_listings(s, "https://s/", "https://s/a/", "https://s/a/page/{}/", 2026, 2023),
@@ -107,7 +109,10 @@ def scan_listing_urls(s, d):
     out = told[0]
     for t in told[1:]:
         out = out.union(t)
-    return out
+    year = F.substring("start_date", 1, 4).cast("int")
+    spans = parents(s, d).filter("start_date <> ''").groupBy("site_key").agg(F.min(year).alias("lo"), F.max(year).alias("hi"))
+    listed = S.listings_by(spans, "https://x/{}?y={}", "lo", "hi")
+    return out.union(listed.groupBy(F.concat(F.lit("records of "), "site_key").alias("scan")).agg(F.count("*").alias("n"), F.max("url").alias("last")))
 
 
 @query("SELECT url FROM parents UNION SELECT concat('https://example.org/exhibitions/', i) FROM range(8990, 9010) r(i) ORDER BY url")
@@ -115,35 +120,45 @@ def url_union(s, d):
     return S.all_urls(parents(s, d), S.listing_urls(s, "https://example.org/exhibitions/{}", 8990, 9009))
 
 
-@query("SELECT i AS id, v[1] AS series_name, v[2] AS series_key, v[3] AS city, v[4] AS country, v[5]::INTEGER AS founded_year, v[6] AS description FROM (SELECT row_number() OVER () AS i, string_split(x, '|') AS v FROM (SELECT unnest(string_split(" + _TEXT(SERIES) + ", chr(10))) AS x))")
+_SERIES = """(VALUES (1, 'Venice Biennale', 'venice_biennale', 'Venice', 'Italy', 1895), (2, 'Documenta', 'documenta', 'Kassel', 'Germany', 1955), (3, 'Berlin Biennale', 'berlin_biennale', 'Berlin', 'Germany', 1998),
+ (4, 'São Paulo Biennial', 'saopaulo_biennial', 'São Paulo', 'Brazil', 1951), (5, 'Istanbul Biennial', 'istanbul_biennale', 'Istanbul', 'Turkey', 1987), (6, 'Lyon Biennale', 'lyon_biennale', 'Lyon', 'France', 1991),
+ (7, 'Liverpool Biennial', 'liverpool_biennale', 'Liverpool', 'UK', 1999), (8, 'Taipei Biennial', 'taipei_biennale', 'Taipei', 'Taiwan', 1998), (9, 'Yokohama Triennale', 'yokohama_triennale', 'Yokohama', 'Japan', 2001),
+ (10, 'Sydney Biennale', 'sydney_biennale', 'Sydney', 'Australia', 1973), (11, 'Sharjah Biennial', 'sharjah_biennale', 'Sharjah', 'UAE', 1993), (12, 'Gwangju Biennale', 'gwangju_biennale', 'Gwangju', 'South Korea', 1995),
+ (13, 'Whitney Biennial', 'whitney_biennial', 'New York', 'USA', 1932)) v(id, series_name, series_key, city, country, founded_year)"""
+
+
+@query(f"SELECT v.*, (SELECT count(*) FROM parents WHERE site_key = v.series_key) AS n_records FROM {_SERIES}")
 def series_seed(s, d):
-    return series(s)
+    """The seed, each series with the number of its records."""
+    return with_records(series(s).drop("description"), parents(s, d), "series_key", "site_key")
 
 
-_SITES = "SELECT v[1] AS key, v[2] AS source, v[3] AS city, v[4] AS institution_type, v[5] AS strategy, v[6]::INTEGER AS patterns, v[7]::INTEGER AS extra_lists, v[8] AS flags, v[9] = 'yes' AS history, v[8] LIKE '%BLOCKED%' AS blocked FROM (SELECT string_split(x, '|') AS v FROM (SELECT unnest(string_split(" + _TEXT(SITES) + ", chr(10))) AS x))"
+_SITES = """SELECT * FROM (VALUES ('liverpool_biennial', 'Liverpool Biennial', 'Liverpool', 'biennial', 'HTML_LLM', 1, 0, '', false, false), ('moma', 'MoMA', 'New York', 'museum', 'CSV_REMOTE', 0, 0, '', true, false),
+ ('tate', 'Tate Modern', 'London', 'museum', 'HTML_LLM', 1, 0, '', true, false), ('venice_biennale', 'Venice Biennale', 'Venice', 'biennial', 'HTML_LLM', 3, 0, '', false, false)) v(key, source, city, institution_type, strategy, patterns, extra_lists, flags, history, blocked)"""
 
 
-@query(_SITES)
+@query("SELECT s.*, n AS n_records FROM sites s JOIN (SELECT site_key, count(*) AS n FROM parents GROUP BY 1) ON site_key = key", {"parents": PARENTS, "sites": _SITES})
 def site_rows(s, d):
-    return sites(s)
+    """The registered sites that have records."""
+    return with_records(sites(s), parents(s, d), "key", "site_key").filter("n_records > 0")
 
 
 @query(
     "SELECT key, lower(strategy) AS strategy_label, extra_lists > 0 OR history OR strategy IN ('CSV_LOCAL', 'CSV_REMOTE', 'REST_API', 'SPARQL') AS has_history, "
-    "CASE institution_type WHEN 'biennial' THEN ' [双年展]' WHEN 'triennial' THEN ' [三年展]' ELSE '' END AS badge FROM sites ORDER BY key",
-    {"sites": _SITES},
+    "CASE institution_type WHEN 'biennial' THEN ' [双年展]' WHEN 'triennial' THEN ' [三年展]' ELSE '' END AS badge FROM sites WHERE key IN (SELECT site_key FROM parents) ORDER BY key",
+    {"parents": PARENTS, "sites": _SITES},
 )
 def site_capabilities(s, d):
-    return capabilities(sites(s))
+    return capabilities(with_records(sites(s), parents(s, d), "key", "site_key").filter("n_records > 0"))
 
 
-@query("SELECT unnest(['tate', 'mori', 'mplus', 'serpentine', 'momat', 'whitney', 'psa', 'ucca', 'whitney_biennial']) AS key")
+@query("SELECT DISTINCT site_key AS key FROM parents WHERE site_key IN ('tate', 'mori', 'mplus', 'serpentine', 'momat', 'whitney', 'psa', 'ucca', 'whitney_biennial')")
 def high_value_sites(s, d):
-    return high_value(sites(s))
+    return high_value(parents(s, d).select(F.col("site_key").alias("key")))
 
 
 @query(
-    "SELECT 'NGA' AS source, 'NGA Permanent Collection' AS title, 'Selected works from the NGA collection.' AS preface, 'NGA' AS location, 'Washington' AS city, 'https://collections.internal/collection/nga' AS url, 'nga' AS parser_key, 'museum' AS institution_type, count(*) AS n_artworks FROM children"
+    "SELECT 'NGA' AS source, 'NGA Permanent Collection' AS title, 'Selected works from the NGA collection.' AS preface, 'NGA' AS location, 'Washington' AS city, 'https://example.org/collection/nga' AS url, 'nga' AS parser_key, 'museum' AS institution_type, count(*) AS n_artworks FROM children"
 )
 def synthetic_parent(s, d):
     return S.synthetic_parent(children(s, d), "NGA", "Washington", "nga")
@@ -422,9 +437,9 @@ def curator_changes(s, d):
 
 
 # --- batches ---------------------------------------------------------------------------------------------------------
-@query("SELECT key FROM sites WHERE key NOT IN ('aic', 'moma', 'serpentine', 'tate', 'mori', 'mplus', 'dia', 'flv', 'guggenheim', 'hayward', 'hirshhorn', 'lacma', 'mass_moca', 'whitechapel')", {"sites": _SITES})
+@query("SELECT DISTINCT site_key AS key FROM parents WHERE site_key NOT IN ('aic', 'moma', 'serpentine', 'tate', 'mori', 'mplus', 'dia', 'flv', 'guggenheim', 'hayward', 'hirshhorn', 'lacma', 'mass_moca', 'whitechapel')")
 def batch_keys(s, d):
-    return B.runnable(sites(s)).select("key")
+    return B.runnable(parents(s, d).select(F.col("site_key").alias("key")).distinct())
 
 
 _TIERS = {
@@ -436,15 +451,21 @@ _PLAN_ROWS = [(t, k) for t, keys in _TIERS.items() for k in keys.split()]
 _PLAN = "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{t}', '{k}')" for i, (t, k) in enumerate(_PLAN_ROWS)) + ") v(place, tier, key)"
 
 
-@query("SELECT place, tier, key, 600 AS timeout FROM plan_", {"plan_": _PLAN})
+_STORED_SITES = "SELECT site_key AS key, count(*) AS n FROM parents GROUP BY 1"
+
+
+@query("SELECT place, tier, p.key, 600 AS timeout, coalesce(n, 0) AS n_records FROM plan_ p LEFT JOIN held h ON h.key = p.key", {"parents": PARENTS, "plan_": _PLAN, "held": _STORED_SITES})
 def batch_plan(s, d):
-    return B.batch_plan(s)
+    """The batch, with the records that its sites have already."""
+    return with_records(B.batch_plan(s), parents(s, d), "key", "site_key").select("place", "tier", "key", "timeout", "n_records")
 
 
-@query("SELECT place, tier, key, 1200 AS timeout FROM plan_ WHERE place % 3 = 0", {"plan_": _PLAN})
+@query("SELECT place, tier, key, 1200 AS timeout FROM plan_ WHERE key NOT IN (SELECT key FROM held)", {"parents": PARENTS, "plan_": _PLAN, "held": _STORED_SITES})
 def batch_retries(s, d):
+    """The second run, of sites that the first left without records."""
     plan = B.batch_plan(s)
-    return B.retries(plan, plan.select("key", (F.col("place") % 3 != 0).alias("success")))
+    results = with_records(plan, parents(s, d), "key", "site_key")
+    return B.retries(plan, results.select("key", (F.col("n_records") > 0).alias("success")))
 
 
 @query("SELECT count(*) AS total_parsers, count(*) FILTER (id % 7 <> 0 OR id % 2 = 0) AS ok, count(*) FILTER (id % 7 = 0 AND id % 2 = 1) AS failed, coalesce(sum(CASE WHEN id % 7 <> 0 THEN saved WHEN id % 2 = 0 THEN 5 ELSE 0 END), 0)::BIGINT AS exhibitions_saved FROM runs")
@@ -454,10 +475,14 @@ def batch_summary(s, d):
     return B.batch_summary(B.with_retries(r, second))
 
 
-@query("SELECT 9 AS n, 9 AS distinct_n, true AS same")
+@query("SELECT least(700, count(*)) AS n, least(700, count(*)) AS distinct_n, true AS same, count(*) AS total FROM parents")
 def seeded_sample(s, d):
-    one, two = B.seeded_sample(sites(s), 9), B.seeded_sample(sites(s).repartition(5), 9)
-    return one.select("key").join(two.select("key"), "key").agg(F.count("*").cast("int").alias("n"), F.countDistinct("key").cast("int").alias("distinct_n"), (F.count("*") == 9).alias("same"))
+    """Two samples of the records by one seed, of two layouts."""
+    p = parents(s, d).select("id")
+    one, two = B.seeded_sample(p, 700, key="id"), B.seeded_sample(p.repartition(5), 700, key="id")
+    both = one.join(two, "id").agg(F.count("*").alias("n"), F.count_distinct("id").alias("distinct_n"))
+    every = p.agg(F.count("*").alias("total"))
+    return both.join(F.broadcast(every)).select("n", "distinct_n", (F.col("n") == F.least(F.lit(700), F.col("total"))).alias("same"), "total")  # one row
 
 
 _STORED = "SELECT DISTINCT url FROM parents WHERE id % 10 = 0"
@@ -624,12 +649,11 @@ def report_issues(s, d):
 
 
 @query(
-    "SELECT (row_number() OVER (ORDER BY g, key) - 1)::INTEGER AS place, CASE g WHEN 0 THEN concat('- `', key, '` — 4 URLs') WHEN 1 THEN concat('- `', key, '` — ssl_error — 尝试 verify=False') ELSE concat('- `', key, '` — TIMEOUT — No suggestion') END AS line FROM (SELECT key, length(key) % 3 AS g FROM sites)",
-    {"sites": _SITES},
+    "SELECT (row_number() OVER (ORDER BY g, key) - 1)::INTEGER AS place, CASE g WHEN 0 THEN concat('- `', key, '` — 4 URLs') WHEN 1 THEN concat('- `', key, '` — ssl_error — 尝试 verify=False') ELSE concat('- `', key, '` — TIMEOUT — No suggestion') END AS line FROM (SELECT DISTINCT site_key AS key, length(site_key) % 3 AS g FROM parents WHERE site_key <> '')"
 )
 def report_diagnosis(s, d):
     g = F.length("key") % 3
-    told = sites(s).select(
+    told = parents(s, d).select(F.col("site_key").alias("key")).filter("key <> ''").distinct().select(
         F.col("key").alias("site"), F.when(g == 0, 4).otherwise(0).alias("urls_found"), F.when(g == 1, "BLOCKED_SSL").otherwise("TIMEOUT").alias("status"), F.lit("ssl_error").alias("error_type"),
         (g == 1).alias("fixable"), F.when(g == 1, "尝试 verify=False").alias("suggestion"),
     )

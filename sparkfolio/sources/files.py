@@ -169,6 +169,13 @@ def offsets(spark: SparkSession, total: int, batch: int = 100, limit_pages: int
     return spark.range(min(n, limit_pages) if limit_pages else n).select((F.col("id") * batch).alias("offset"))
 
 
+def offsets_by(totals: DataFrame, key: str, total: str, batch: int = 100, limit_pages: int | None = None) -> DataFrame:
+    """(key, offset) of the requests that scans of many sources make, from each source's total; one at least."""
+    n = F.greatest(F.lit(1), F.ceil(F.col(total) / batch)).cast("long")
+    n = F.least(n, F.lit(limit_pages)) if limit_pages else n
+    return totals.select(key, F.explode(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: i * batch)).alias("offset"))
+
+
 def zip_artworks(df: DataFrame) -> DataFrame:
     """Artist i with work i; a missing work reads as the title, surplus works drop."""
     out = df.select("*", F.posexplode("artist_titles").alias("place", "artist_name"))
@@ -177,25 +184,25 @@ def zip_artworks(df: DataFrame) -> DataFrame:
 
 
 # Museums as entity, name, city; the query's terms.
-MUSEUMS = """
-Q19675|Louvre|Paris
-Q178065|Centre Pompidou|Paris
-Q189826|Tate Modern|London
-Q190804|Rijksmuseum|Amsterdam
-Q2501625|Stedelijk Museum Amsterdam|Amsterdam
-Q224124|Van Gogh Museum|Amsterdam
-Q51252|Uffizi|Florence
-Q160112|Museo del Prado|Madrid
-Q180788|National Gallery|London
-Q23402|Musée d'Orsay|Paris
-Q28450|Guggenheim Museum Bilbao|Bilbao
-Q1474887|Tate Britain|London
-Q151849|Serpentine Galleries|London
-Q1052661|Palais de Tokyo|Paris
-Q1471477|Mori Art Museum|Tokyo
-Q89568|M+ Museum|Hong Kong
-Q214078|SFMOMA|San Francisco
-""".strip()
+MUSEUMS = (
+    ("Q19675", "Louvre", "Paris"),
+    ("Q178065", "Centre Pompidou", "Paris"),
+    ("Q189826", "Tate Modern", "London"),
+    ("Q190804", "Rijksmuseum", "Amsterdam"),
+    ("Q2501625", "Stedelijk Museum Amsterdam", "Amsterdam"),
+    ("Q224124", "Van Gogh Museum", "Amsterdam"),
+    ("Q51252", "Uffizi", "Florence"),
+    ("Q160112", "Museo del Prado", "Madrid"),
+    ("Q180788", "National Gallery", "London"),
+    ("Q23402", "Musée d'Orsay", "Paris"),
+    ("Q28450", "Guggenheim Museum Bilbao", "Bilbao"),
+    ("Q1474887", "Tate Britain", "London"),
+    ("Q151849", "Serpentine Galleries", "London"),
+    ("Q1052661", "Palais de Tokyo", "Paris"),
+    ("Q1471477", "Mori Art Museum", "Tokyo"),
+    ("Q89568", "M+ Museum", "Hong Kong"),
+    ("Q214078", "SFMOMA", "San Francisco"),
+)
 SPARQL_VARIABLES = "exhibition exhibitionLabel museum museumLabel start end cityLabel".split()
 SPARQL_PATTERNS = (
     "?exhibition wdt:P31 wd:Q464980 .",
@@ -209,7 +216,7 @@ SPARQL_LANGUAGES = "en,fr,de,it,es,zh"
 
 def sparql_query(since: int | None = None, limit: int | None = None, museums: list[str] | None = None) -> str:
     """The query for exhibitions of the museums (entities), latest first, from the year ``since`` on."""
-    entities = museums or [m.split("|")[0] for m in MUSEUMS.splitlines()]
+    entities = museums or [q for q, _, _ in MUSEUMS]
     where = [
         "VALUES ?museum { " + " ".join(f"wd:{q}" for q in entities) + " }",
         *SPARQL_PATTERNS,
@@ -231,7 +238,7 @@ def sparql_bindings(pages: DataFrame) -> DataFrame:
     body = F.from_json("body", f"struct<results:struct<bindings:array<struct<{','.join(f'`{c}`:{cell}' for c in SPARQL_VARIABLES)}>>>>")
     b = pages.select(F.explode(body["results"]["bindings"]).alias("b"))
     b = b.select(*(F.col(f"b.`{c}`.value").alias(c) for c in SPARQL_VARIABLES))
-    rows = [("http://www.wikidata.org/entity/" + m.split("|")[0], *m.split("|")[1:]) for m in MUSEUMS.splitlines()]
+    rows = [("http://www.wikidata.org/entity/" + q, name, city) for q, name, city in MUSEUMS]
     known = pages.sparkSession.createDataFrame(rows, "museum string, _name string, _city string")
     b = b.join(F.broadcast(known), "museum", "left")
     number = F.coalesce(F.element_at(F.split("exhibition", "/"), -1), F.lit(""))
@@ -266,6 +273,14 @@ def _listings(spark: SparkSession, lead: list[str], template: str, first: int, l
     return head.union(rest)
 
 
+def listings_by(sites: DataFrame, template: str, first: str, last: str) -> DataFrame:
+    """(columns of ``sites``, number, url) of a listing for each number between two columns; the template's two {} are site_key and number."""
+    head, middle, tail = template.split("{}")
+    numbers = F.explode(F.sequence(F.col(first).cast("long"), F.greatest(F.col(first), F.col(last)).cast("long")))
+    out = sites.withColumn("number", numbers)
+    return out.withColumn("url", F.concat(F.lit(head), F.col("site_key"), F.lit(middle), F.col("number").cast("string"), F.lit(tail)))
+
+
 def all_urls(*sets: DataFrame) -> DataFrame:
     """The union of discovered and listed urls, each once, in order."""
     out = sets[0].select("url")
@@ -274,7 +289,7 @@ def all_urls(*sets: DataFrame) -> DataFrame:
     return out.distinct().orderBy("url")
 
 
-def synthetic_parent(children: DataFrame, source: str, city: str, parser_key: str, institution_type: str = "museum", base: str = "https://collections.internal/collection/") -> DataFrame:
+def synthetic_parent(children: DataFrame, source: str, city: str, parser_key: str, institution_type: str = "museum", base: str = "https://example.org/collection/") -> DataFrame:
     """A parent made up for works without an exhibition, with the number of its children.
 
     Its url is ``base`` and the key, the same every time; pass the base that stored records have.
