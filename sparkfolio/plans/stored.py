@@ -12,10 +12,11 @@ from sparkfolio.operators import store as W
 from sparkfolio.operators.isolation import isolate
 from sparkfolio.operators.pages import PageDirectory
 from sparkfolio.operators.searchindex import SearchIndex
-from sparkfolio.plans.roles import CHILDREN, PARENTS, children, parents, query
+from sparkfolio.plans.roles import CHILDREN, PARENTS, children, parents, query, run_log
 from sparkfolio.session import load_table
 from sparkfolio.sources.recordstore import RecordStore
 from sparkfolio.storage import new_folder
+from sparkfolio.streaming import monitors as M
 
 
 # --- null and equal orders -------------------------------------------------------------------------------------------
@@ -210,3 +211,44 @@ def page_of_source(s, d):
     pages = PageDirectory.build(s, new_folder(s, "pages"), rows, [("start_date", True), ("id", True)], group="source", part_rows=2000)
     total = pages.total("2-HIGH").first()[0]
     return pages.page(20, total // 2, "2-HIGH").select("id", "start_date", F.lit(total).alias("total"))
+
+
+# --- the run log as a stream -----------------------------------------------------------------------------------------
+def _log_stream(s, d, files, in_time=False):
+    """The run log in files of mixed times, or of one time after the other; two of them a micro-batch."""
+    folder = new_folder(s, "runs")
+    log = run_log(s, d)
+    if in_time:  # files are read in the order of their writing
+        second = F.unix_seconds(F.col("started_at").cast("timestamp"))
+        low, high = log.agg(F.min(second), F.max(second)).first()
+        part = F.floor((second - low) * files / (high - low + 1))
+        for i in range(files):
+            log.filter(part == i).coalesce(1).write.mode("append").parquet(folder)
+    else:
+        log.repartition(files, F.xxhash64("id")).write.parquet(folder)
+    return s.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+
+
+def _followed(s, verdicts):
+    path = new_folder(s, "verdicts")
+    query = M.keep_verdicts(verdicts, path)
+    query.awaitTermination()
+    return M.latest_verdicts(s, path)
+
+
+@query(
+    "SELECT parser_key, current, previous, round((previous - current) * 100.0::DOUBLE / previous, 2) AS drop_pct FROM (SELECT parser_key, max(urls_discovered) FILTER (rn = 1) AS current, "
+    "max(urls_discovered) FILTER (rn = 2) AS previous FROM (SELECT *, row_number() OVER (PARTITION BY parser_key ORDER BY started_at DESC, id DESC) AS rn FROM runs WHERE run_type <> 'dry_run') "
+    "GROUP BY 1) WHERE previous > 0 AND current < 0.8 * previous"
+)
+def stream_regression(s, d):
+    """run_regression as a stream over micro-batches in mixed order."""
+    return _followed(s, M.watch_regressions(_log_stream(s, d, 6))).filter("regressed").select("parser_key", "current", "previous", "drop_pct")
+
+
+@query(
+    "SELECT parser_key, last_run FROM (SELECT parser_key, max(started_at) AS last_run FROM runs GROUP BY 1) WHERE last_run + INTERVAL 12 HOUR <= (SELECT max(started_at) - INTERVAL 1 HOUR FROM runs)"
+)
+def stream_stale(s, d):
+    """Parsers whose last run the log's time has passed by half a day, by timers of a stream."""
+    return _followed(s, M.watch_staleness(_log_stream(s, d, 6, in_time=True), 0.5)).filter("stale").select("parser_key", F.col("at").alias("last_run"))

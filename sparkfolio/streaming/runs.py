@@ -19,5 +19,11 @@ def windowed_counts(events: DataFrame, width: str = "1 day", slide: str | None =
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 hour", key: str = "user_id") -> DataFrame:
-    out = events.withWatermark("ts", delay).groupBy(F.session_window("ts", gap).alias("w"), key).agg(F.count("*").alias("n"))
-    return out.select(key, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
+    """Runs of a key's events less than ``gap`` apart; a session ends ``gap`` after its last event.
+
+    Start and end are aggregates: as fields of the session window, a filter on
+    them would be pushed below the merging of sessions.
+    """
+    end = (F.max("ts") + F.expr(f"INTERVAL {gap}")).alias("session_end")
+    out = events.withWatermark("ts", delay).groupBy(F.session_window("ts", gap), key)
+    return out.agg(F.min("ts").alias("session_start"), end, F.count("*").alias("n")).select(key, "session_start", "session_end", "n")
