@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkfolio.llm.text import WORD, let
@@ -10,9 +12,9 @@ from sparkfolio.storage import materialise
 
 
 def document_stats(docs: DataFrame, key: str = "source") -> DataFrame:
-    """Base counts of each document (doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words).
+    """Base counts of each document (doc_id, host, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words).
 
-    Lines are cut at newlines; a line with a word that equals an earlier line
+    Lines with a word count, cut at newlines; one that equals an earlier line
     is a duplicate. Null text: all counts 0.
     """
     words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
@@ -26,9 +28,9 @@ def document_stats(docs: DataFrame, key: str = "source") -> DataFrame:
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))).alias("_lines"),
         repeats.cast("long").alias("n_repeat_words"),
-    )
+    ).select("doc_id", "host", "n_words", "word_chars", "n_symbols", "_lines.n_lines", "_lines.n_dup_lines", "n_repeat_words")
 
 
 #: Words inside a 3-word window that occurs twice or more: of each window its 64-bit hash with its place; sorted by
@@ -53,43 +55,73 @@ transform(array(words), w ->
 """
 
 
-def judge_hosts(stats: DataFrame, most_failed: float = 0.5, min_words: int = 50) -> DataFrame:
-    """Add base_failed, host_rate and kept to the counts of ``document_stats``.
+BASE = ("short", "repeats")
+_LEAST_WEIGHT = 0.01  # of a prior, in documents: hosts that fail wholly or not at all
+
+
+def rules(min_words: int = 50) -> dict[str, Column]:
+    """What a document can fail."""
+    words = F.col("n_words")
+    return {
+        "short": words < min_words,
+        "repeats": 100 * F.col("n_repeat_words") > 50 * words,
+        "symbols": 10 * F.col("n_symbols") > words,
+        "lines": 10 * F.col("n_dup_lines") > 3 * F.col("n_lines"),
+        "word_length": (F.col("word_chars") < 3 * words) | (F.col("word_chars") > 10 * words),
+    }
+
+
+def judge_hosts(stats: DataFrame, most_failed: float = 0.5, least_failed: float = 0.3, deviations: float = 3.0, min_words: int = 50) -> DataFrame:
+    """Add base_failed, host_rate, host_failed and kept to the counts of ``document_stats``.
 
-    A document fails with fewer than ``min_words`` words or over half of its
-    words repeated. A host's failure rate is shrunk to the mean of a beta
-    posterior whose prior is fitted to all hosts by moments; documents of
-    hosts whose shrunk rate exceeds ``most_failed`` go as well.
+    A document fails the base rules with fewer than ``min_words`` words or
+    over half of its words repeated; others look at symbols, duplicate lines
+    and word lengths. For each rule, a beta prior is fitted to all hosts'
+    failures by moments, and a host's rate is the mean of its posterior. A
+    host fails a rule if its rate is over ``deviations`` standard deviations
+    of the prior above the prior's mean; that limit is ``least_failed`` at
+    least and, for base rules, ``most_failed`` at most (what all hosts fail by
+    another rule tells none of them). Documents of hosts that fail a rule
+    (host_failed: their names, sorted) go as well; host_rate is the greatest
+    of the host's rates.
 
     A null host is a host of its own. With one host, or none varying, the
     prior weighs as many documents as the mean host has. Empty input: no
     rows. Stats are written once; hosts are pre-aggregated before the shuffle
     and joined back adaptively (a large host splits).
     """
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    s = materialise(stats.withColumn("base_failed", failed), "host-stats")
-    hosts = s.groupBy("host").agg(F.count("*").alias("n"), F.count_if("base_failed").alias("f"))
-    a, b = beta_prior(hosts)
-    hosts = hosts.select(F.col("host").alias("_host"), ((F.col("f") + a) / (F.col("n") + a + b)).alias("host_rate"))
-    out = s.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("host_rate") <= most_failed)).drop("_host")
-
-
-def beta_prior(hosts: DataFrame) -> tuple[float, float]:
-    """Moments fit of a beta prior to hosts' (n, f): the between-host variance beyond binomial noise sets its weight."""
-    m = hosts.agg(
-        F.sum("n").alias("n"),
-        F.sum("f").alias("f"),
-        F.count("*").alias("k"),
-        F.sum(F.col("f") * F.col("f") / F.col("n")).alias("q"),
-        F.sum(F.col("n") * F.col("n")).alias("nn"),
-    ).first()
-    if not m.n:
-        return 1.0, 1.0
-    mean = m.f / m.n
+    names = list(rules())
+    failed = {f"_{r}": when for r, when in rules(min_words).items()}
+    s = materialise(stats.withColumns(failed), "host-stats")
+    hosts = s.groupBy("host").agg(F.count("*").alias("n"), *(F.count_if(f"_{r}").alias(r) for r in names))
+    priors = beta_priors(hosts, names)
+    rate = {r: (F.col(r) + a) / (F.col("n") + a + b) for r, (a, b) in priors.items()}
+    limit = {}
+    for r, (a, b) in priors.items():
+        deviation = math.sqrt(a * b / ((a + b) ** 2 * (a + b + 1)))
+        limit[r] = max(least_failed, a / (a + b) + deviations * deviation)
+        if r in BASE:
+            limit[r] = min(most_failed, limit[r])
+    over = F.array_sort(F.array_compact(F.array(*(F.when(rate[r] > limit[r], F.lit(r)) for r in names))))
+    hosts = hosts.select(F.col("host").alias("_host"), F.greatest(*rate.values()).alias("host_rate"), over.alias("host_failed"))
+    out = s.withColumn("base_failed", F.col("_short") | F.col("_repeats")).drop(*failed)
+    out = out.join(hosts, F.col("host").eqNullSafe(F.col("_host")))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.size("host_failed") == 0)).drop("_host")
+
+
+def beta_priors(hosts: DataFrame, names: list[str]) -> dict[str, tuple[float, float]]:
+    """Moments fit of a beta prior to hosts' failures of each rule: the between-host variance beyond binomial noise sets its weight."""
+    n = F.col("n")
+    sums = [x for r in names for x in (F.sum(r).alias(f"f_{r}"), F.sum(F.col(r) * F.col(r) / n).alias(f"q_{r}"))]
+    m = hosts.agg(F.sum(n).alias("n"), F.count("*").alias("k"), F.sum(n * n).alias("nn"), *sums).first()
+    return {r: _beta(m.n, m.k, m.nn, m[f"f_{r}"], m[f"q_{r}"]) if m.n else (1.0, 1.0) for r in names}
+
+
+def _beta(n: int, k: int, nn: int, f: int, q: float) -> tuple[float, float]:
+    mean = f / n
     noise = mean * (1 - mean)
-    spread = m.q - m.n * mean * mean  # sum of n (rate - mean)^2
-    scale = m.n - m.nn / m.n
-    between = (spread - (m.k - 1) * noise) / scale if scale > 0 else 0.0
-    weight = noise / between - 1 if between > 0 and noise / between > 1 else m.n / m.k
+    spread = q - n * mean * mean  # sum of n (rate - mean)^2
+    scale = n - nn / n
+    between = (spread - (k - 1) * noise) / scale if scale > 0 else 0.0
+    weight = max(noise / between - 1, _LEAST_WEIGHT) if between > 0 else n / k
     return max(mean * weight, 1e-9), max((1 - mean) * weight, 1e-9)

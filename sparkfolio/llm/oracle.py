@@ -76,26 +76,42 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
 FROM dw LEFT JOIN words USING (row) LEFT JOIN items USING (row)
 """
 
-OP6 = rf"""
-WITH d AS (SELECT row_number() OVER () AS row, doc_id, source, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '{_WORD}'), []) AS w FROM documents),
+_RULES = {
+    "short": "n_words < 50",
+    "repeats": "100 * n_repeat_words > 50 * n_words",
+    "symbols": "10 * n_symbols > n_words",
+    "lines": "10 * n_dup_lines > 3 * n_lines",
+    "word_length": "word_chars < 3 * n_words OR word_chars > 10 * n_words",
+}
+
+
+def host_sql(host: str = "source") -> str:
+    """SQL of the host rules; ``host`` is an expression over documents."""
+    every = lambda text, sep=", ": sep.join(text.replace("$", r) for r in _RULES)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {host} AS host, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '{_WORD}'), []) AS w FROM documents),
 tri AS (SELECT row, i, array_to_string(w[i : i + 2], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, len(w) - 1)) AS i)),
 rep AS (SELECT row, i FROM (SELECT *, count(*) OVER (PARTITION BY row, g) AS c FROM tri) WHERE c > 1),
 rw AS (SELECT row, count(DISTINCT p) AS n FROM (SELECT row, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY row),
-ln AS (SELECT row, count(*) - count(DISTINCT l) AS n FROM (SELECT row, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY row),
-s AS (SELECT d.row, doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
-  len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(ln.n, 0)::BIGINT AS n_dup_lines, coalesce(rw.n, 0)::BIGINT AS n_repeat_words
+ln AS (SELECT row, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n FROM (SELECT row, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY row),
+s AS (SELECT d.row, doc_id, host, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_lines, 0) AS n_lines, coalesce(ln.n, 0)::BIGINT AS n_dup_lines, coalesce(rw.n, 0)::BIGINT AS n_repeat_words
   FROM d LEFT JOIN rw USING (row) LEFT JOIN ln USING (row)),
-b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s),
-h AS (SELECT source, count(*)::DOUBLE AS n, (count(*) FILTER (base_failed))::DOUBLE AS f FROM b GROUP BY source),
-m AS (SELECT sum(n) AS n, sum(f) AS f, count(*) AS k, sum(f * f / n) AS q, sum(n * n) AS nn FROM h),
-v AS (SELECT *, f / n AS mean, (f / n) * (1 - f / n) AS noise FROM m),
-bt AS (SELECT *, CASE WHEN n - nn / n > 0 THEN (q - n * mean * mean - (k - 1) * noise) / (n - nn / n) ELSE 0 END AS between_ FROM v),
-p AS (SELECT *, CASE WHEN between_ > 0 AND noise / between_ > 1 THEN noise / between_ - 1 ELSE n / k END AS weight FROM bt),
-r AS (SELECT h.source, (h.f + greatest(p.mean * p.weight, 1e-9)) / (h.n + greatest(p.mean * p.weight, 1e-9) + greatest((1 - p.mean) * p.weight, 1e-9)) AS rate FROM h, p)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept
-FROM b JOIN r ON r.source IS NOT DISTINCT FROM b.source
+b AS (SELECT *, {", ".join(f"{when} AS {r}" for r, when in _RULES.items())} FROM s),
+h AS (SELECT host, count(*)::DOUBLE AS n, {every("(count(*) FILTER ($))::DOUBLE AS f_$")} FROM b GROUP BY host),
+m AS (SELECT sum(n) AS n, count(*) AS k, sum(n * n) AS nn, {every("sum(f_$) AS f_$, sum(f_$ * f_$ / n) AS q_$")} FROM h),
+v AS (SELECT *, {every("(f_$ / n) * (1 - f_$ / n) AS noise_$")} FROM m),
+bt AS (SELECT *, {every("CASE WHEN n - nn / n > 0 THEN (q_$ - n * (f_$ / n) * (f_$ / n) - (k - 1) * noise_$) / (n - nn / n) ELSE 0 END AS between_$")} FROM v),
+wt AS (SELECT *, {every("CASE WHEN between_$ > 0 THEN greatest(noise_$ / between_$ - 1, 0.01) ELSE n / k END AS weight_$")} FROM bt),
+ab AS (SELECT *, {every("greatest(f_$ / n * weight_$, 1e-9) AS a_$, greatest((1 - f_$ / n) * weight_$, 1e-9) AS b_$")} FROM wt),
+mx AS (SELECT *, {every("greatest(0.3, a_$ / (a_$ + b_$) + 3 * sqrt(a_$ * b_$ / ((a_$ + b_$) * (a_$ + b_$) * (a_$ + b_$ + 1)))) AS most_$")} FROM ab),
+p AS (SELECT *, least(0.5, most_short) AS limit_short, least(0.5, most_repeats) AS limit_repeats, most_symbols AS limit_symbols, most_lines AS limit_lines, most_word_length AS limit_word_length FROM mx),
+r AS (SELECT h.host, {every("(h.f_$ + a_$) / (h.n + a_$ + b_$) > limit_$", " OR ")} AS bad FROM h, p)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, short OR repeats AS base_failed, NOT (short OR repeats) AND NOT bad AS kept
+FROM b JOIN r ON r.host IS NOT DISTINCT FROM b.host
 """
 
+
 OP8 = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOW.format("coalesce(text, '')")}, '{_WORD}') AS w FROM documents),
 sh AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g FROM d, LATERAL (SELECT unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i) WHERE len(w) > 0),
@@ -146,7 +162,8 @@ ORACLES: dict[str, str] = {
     "op1_chat_windows": chat_sql(),
     "op2_source_mix": OP2,
     "op5_decontamination": OP5,
-    "op6_host_rules": OP6,
+    "op6_host_rules": host_sql(),
+    "host_rules_of_sections": host_sql("concat(source, ' ', least(9, length(text) // 200))"),
     "op8_jaccard_join": OP8,
     "base_lm_score": BASE3,
     "base_url_rules": BASE4,

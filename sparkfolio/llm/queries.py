@@ -46,13 +46,24 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = hostrules.judge_hosts(hostrules.document_stats(load_table(spark, sf_dir, "documents")))
+def _judged_hosts(docs: DataFrame, key: str) -> DataFrame:
+    judged = hostrules.judge_hosts(hostrules.document_stats(docs, key))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
+def op6_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _judged_hosts(load_table(spark, sf_dir, "documents"), "source")
+
+
+def host_rules_of_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operator with a source's texts of like length as a host, so that hosts differ."""
+    section = F.least(F.lit(9), F.floor(F.length("text") / 200)).cast("string")
+    docs = load_table(spark, sf_dir, "documents").withColumn("section", F.when(F.col("text").isNotNull() & F.col("source").isNotNull(), F.concat("source", F.lit(" "), section)))
+    return _judged_hosts(docs, "section")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(load_table(spark, sf_dir, "documents"))
     return found.select(
@@ -174,7 +185,7 @@ QUERIES = {
         op1_chat_windows, op2_source_mix, op3_lm_score, op4_url_rules, op5_decontamination,
         op6_host_rules, op7_license_scan, op8_jaccard_join, op9_quality, op10_sharding,
         op11_packing, op12_periodic_runs, op13_importance_resampling,
-        base_lm_score, base_url_rules, base_license_scan, base_sharding,
+        base_lm_score, base_url_rules, base_license_scan, base_sharding, host_rules_of_sections,
     )
 }
 ORACLE_SQL = ORACLES

@@ -475,6 +475,50 @@ def test_host_rates_against_plain_code(spark):
     assert len(got) == len(rows) and sum(not r["kept"] and not r["base_failed"] for r in got) > 50
 
 
+def test_host_rules_each_have_their_rate(spark):
+    """Sixty hosts, of which three fail one rule each far more often than the others; a plain fit of each rule's prior."""
+    rng = random.Random(7)
+    word = lambda n=6: "".join(rng.choices("abcdefghijklmnop", k=n))
+    text = lambda: [word() for _ in range(70)]
+    faults = {
+        "symbols": lambda: " ".join(text() + ["#"] * 12),
+        "lines": lambda: "\n".join(["a line that comes again " + word()] + ["same line"] * 5 + [" ".join(text())]),
+        "word_length": lambda: " ".join(word(14) for _ in range(70)),
+    }
+    rows, share = [], {}
+    for h in range(60):
+        for _ in range(rng.randint(20, 50)):
+            rule = list(faults)[h] if h < 3 and rng.random() < 0.6 else rng.choice(list(faults)) if rng.random() < 0.06 else None
+            rows.append((len(rows), faults[rule]() if rule else " ".join(text()), None if h == 2 else f"h{h}"))
+    got = rows_of(hostrules.judge_hosts(hostrules.document_stats(spark.createDataFrame(rows, "doc_id long, text string, source string"))))
+    by_host = {}
+    for r in got:
+        by_host.setdefault(r["host"], []).append(r)
+    fails = {
+        "short": lambda r: r["n_words"] < 50, "repeats": lambda r: 100 * r["n_repeat_words"] > 50 * r["n_words"], "symbols": lambda r: 10 * r["n_symbols"] > r["n_words"],
+        "lines": lambda r: 10 * r["n_dup_lines"] > 3 * r["n_lines"], "word_length": lambda r: not 3 * r["n_words"] <= r["word_chars"] <= 10 * r["n_words"],
+    }
+    rates, bad = {}, {}
+    n = {h: len(rs) for h, rs in by_host.items()}
+    total, k = len(rows), len(n)
+    for rule, test in fails.items():
+        f = {h: sum(map(test, rs)) for h, rs in by_host.items()}
+        mean = sum(f.values()) / total
+        between = (sum(n[h] * (f[h] / n[h] - mean) ** 2 for h in n) - (k - 1) * mean * (1 - mean)) / (total - sum(x * x for x in n.values()) / total)
+        weight = max(mean * (1 - mean) / between - 1, 0.01) if between > 0 else total / k
+        a, b = max(mean * weight, 1e-9), max((1 - mean) * weight, 1e-9)
+        limit = max(0.3, a / (a + b) + 3 * math.sqrt(a * b / ((a + b) ** 2 * (a + b + 1))))
+        limit = min(0.5, limit) if rule in ("short", "repeats") else limit
+        for h in n:
+            rates.setdefault(h, []).append((f[h] + a) / (n[h] + a + b))
+            if rates[h][-1] > limit:
+                bad.setdefault(h, []).append(rule)
+    assert bad == {"h0": ["symbols"], "h1": ["lines"], None: ["word_length"]}
+    for r in got:
+        assert r["host_rate"] == pytest.approx(max(rates[r["host"]])) and r["host_failed"] == bad.get(r["host"], [])
+        assert r["kept"] == (not r["base_failed"] and r["host"] not in bad)
+
+
 def test_host_verdict_drops_a_failing_host(spark):
     good = "a b c d e f g h i j " * 3 + " ".join(f"x{i}" for i in range(60))
     rows = [(i, good, "fine") for i in range(60)] + [(100 + i, "short", "bad") for i in range(59)] + [(200, good, "bad")]
