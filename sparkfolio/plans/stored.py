@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sparkfolio.functions.scalars import normalize_date
 from sparkfolio.operators import quality as Q
 from sparkfolio.operators import store as W
+from sparkfolio.operators.dashboard import Dashboard
 from sparkfolio.operators.isolation import isolate
 from sparkfolio.operators.pages import PageDirectory
 from sparkfolio.operators.searchindex import SearchIndex
@@ -252,3 +253,49 @@ def stream_regression(s, d):
 def stream_stale(s, d):
     """Parsers whose last run the log's time has passed by half a day, by timers of a stream."""
     return _followed(s, M.watch_staleness(_log_stream(s, d, 6, in_time=True), 0.5)).filter("stale").select("parser_key", F.col("at").alias("last_run"))
+
+
+# --- the dashboard by changes ----------------------------------------------------------------------------------------
+_LEFT = "SELECT * FROM parents WHERE id % 10 <> 0"
+_LEFT_KIDS = "SELECT * FROM children WHERE exhibition_id % 10 <> 0"
+_NAMED_SQL = "artist_name <> '' AND lower(artist_name) NOT LIKE '%various%' AND lower(artist_name) NOT LIKE '%unknown%' AND lower(artist_name) NOT LIKE '%multiple%'"
+
+
+def _changed_dashboard(s, d):
+    """A dashboard of some records, to which others are added in two batches and from which some are taken between them."""
+    p, kids = parents(s, d), children(s, d)
+
+    def part(digits):
+        return [df.filter((F.col(key) % 10).isin(digits)) for df, key in ((p, "id"), (kids, "exhibition_id"))]
+
+    digits = [0, 1, 2, 3, 4, 5]
+    board = Dashboard.build(*part(digits))
+    for changed, sign in (([6, 7, 8], 1), ([0], -1), ([9], 1)):
+        digits = sorted({*digits, *changed}) if sign > 0 else [x for x in digits if x not in changed]
+        board = board.apply(*(df.withColumn("sign", F.lit(sign)) for df in part(changed)), part(digits)[1])
+    return board
+
+
+@query(
+    "SELECT 'parents' AS metric, NULL AS name, count(*) AS n FROM left_ UNION ALL SELECT 'children', NULL, count(*) FROM left_kids UNION ALL SELECT 'source', source, count(*) FROM left_ GROUP BY source "
+    "UNION ALL SELECT 'city', city, count(*) FROM left_ WHERE city <> '' GROUP BY city UNION ALL SELECT 'medium', medium, count(*) FROM left_kids WHERE trim(medium) <> '' GROUP BY medium "
+    f"UNION ALL SELECT * FROM (SELECT 'artist', artist_name, count(*) AS n FROM left_kids WHERE {_NAMED_SQL} GROUP BY 2 ORDER BY n DESC, 2 LIMIT 15)",
+    {"parents": PARENTS, "children": CHILDREN, "left_": _LEFT, "left_kids": _LEFT_KIDS},
+)
+def dashboard_counts(s, d):
+    """Figures after batches of inserts and deletes."""
+    board = _changed_dashboard(s, d)
+    out = board.totals().select(F.inline(F.array(*(F.struct(F.lit(m).alias("metric"), F.lit(None).cast("string").alias("name"), F.col(m).alias("n")) for m in ("parents", "children")))))
+    for metric, limit in (("source", None), ("city", None), ("medium", None), ("artist", 15)):
+        out = out.unionByName(board.ranking(metric, limit).select(F.lit(metric).alias("metric"), "name", "n"))
+    return out
+
+
+@query(
+    "SELECT a.artist_name AS source, b.artist_name AS target, count(*) AS weight FROM left_kids a JOIN left_kids b ON a.exhibition_id = b.exhibition_id AND a.artist_name < b.artist_name "
+    "WHERE a.artist_name IN (SELECT artist_name FROM top40) AND b.artist_name IN (SELECT artist_name FROM top40) GROUP BY 1, 2 HAVING count(*) >= 2 ORDER BY weight DESC, source, target LIMIT 300",
+    {"children": CHILDREN, "left_kids": _LEFT_KIDS, "top40": f"SELECT artist_name FROM left_kids WHERE {_NAMED_SQL} GROUP BY 1 ORDER BY count(*) DESC, artist_name LIMIT 40"},
+)
+def dashboard_links(s, d):
+    """Co-occurrence after batches of inserts and deletes, whose head of the ranking changes."""
+    return _changed_dashboard(s, d).cooccurrence()
