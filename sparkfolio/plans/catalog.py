@@ -602,6 +602,20 @@ def csv_fold_since(s, d):
     return S.fold_exhibitions(rows, 1996).select("exhibition_id", F.size("artworks").cast("long").alias("n"))
 
 
+@query("SELECT o_orderkey::VARCHAR AS objectid FROM orders WHERE lower(o_orderpriority) LIKE '%urgent%' AND year(o_orderdate) >= 1996")
+def classified_artworks(s, d):
+    """Artworks of a classification, since a year."""
+    objects = load_table(s, d, "orders").select(
+        F.col("o_orderkey").cast("string").alias("objectid"), F.lit("t").alias("title"), F.year("o_orderdate").cast("string").alias("beginyear"),
+        F.lit("").alias("displaydate"), F.lit("").alias("medium"), F.lit("").alias("dimensions"), F.col("o_orderpriority").alias("classification"),
+    )
+    people = load_table(s, d, "supplier").select(
+        F.col("s_suppkey").alias("constituentid"), F.col("s_name").alias("displayname"), F.lit("").alias("nationality"), F.lit("").alias("beginyear"), F.lit("").alias("endyear"), F.col("s_suppkey").alias("pos")
+    )
+    links = load_table(s, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("objectid"), F.col("l_suppkey").alias("constituentid"), F.col("l_linenumber").alias("pos"))
+    return S.artworks_with_artists(objects, links, people, since=1996, classification="Urgent").select("objectid")
+
+
 @query("SELECT o.o_orderkey::VARCHAR AS objectid, coalesce(f.s_name, 'Unknown') AS artist_name FROM orders o LEFT JOIN (SELECT l_orderkey, arg_min(s_name, l_linenumber * 1000000 + l_suppkey) AS s_name FROM lineitem JOIN supplier ON s_suppkey = l_suppkey GROUP BY 1) f ON f.l_orderkey = o.o_orderkey")
 def primary_artist_join(s, d):
     objects = load_table(s, d, "orders").select(

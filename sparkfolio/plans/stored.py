@@ -16,6 +16,7 @@ from sparkfolio.operators.searchindex import SearchIndex
 from sparkfolio.plans.roles import CHILDREN, PARENTS, children, parents, query, run_log
 from sparkfolio.session import load_table
 from sparkfolio.sources.recordstore import RecordStore
+from sparkfolio.sources.reportfile import batch_json, write_lines
 from sparkfolio.storage import new_folder
 from sparkfolio.streaming import monitors as M
 
@@ -299,3 +300,32 @@ def dashboard_counts(s, d):
 def dashboard_links(s, d):
     """Co-occurrence after batches of inserts and deletes, whose head of the ranking changes."""
     return _changed_dashboard(s, d).cooccurrence()
+
+
+# --- report files ----------------------------------------------------------------------------------------------------
+@query(
+    "SELECT count(*) AS total_parsers, count(*) FILTER (id % 7 <> 0) AS ok, count(*) FILTER (id % 7 = 0) AS failed, sum(saved)::BIGINT AS exhibitions_saved, sum(id)::BIGINT AS ids, "
+    "count(*) FILTER (id % 7 = 0) AS errors FROM runs"
+)
+def report_file_json(s, d):
+    """A batch's JSON report, written as one file and read back."""
+    results = run_log(s, d).select(F.col("id").alias("key"), (F.col("id") % 7 != 0).alias("success"), "saved", F.when(F.col("id") % 7 == 0, 'Exit "code" 1').alias("error"))
+    path = new_folder(s, "batch") + ".json"
+    write_lines(batch_json(results, "2024-01-31T00:00:00"), path)
+    told = s.read.option("multiLine", True).json(path)
+    r = F.col("results")
+    total = lambda f, start: F.aggregate(r, F.lit(start).cast("long"), f)
+    return told.select(
+        "total_parsers", "ok", "failed", "exhibitions_saved", total(lambda n, x: n + x["key"], 0).alias("ids"),
+        F.size(F.filter(r, lambda x: x["error"] == 'Exit "code" 1')).cast("long").alias("errors"),
+    )
+
+
+@query("SELECT (row_number() OVER (ORDER BY id) - 1)::INTEGER AS place, concat('- ', id, ' ', coalesce(title, 'None')) AS line FROM parents")
+def report_file_lines(s, d):
+    """A report of many lines, written as one file by many tasks; read back, each line with its number in the file."""
+    rows = parents(s, d).select("id", F.concat_ws(" ", F.lit("-"), F.col("id").cast("string"), F.coalesce("title", F.lit("None"))).alias("line"))
+    path = new_folder(s, "lines") + ".md"
+    write_lines(rows.select(F.col("id").alias("place"), "line"), path)
+    whole = s.read.text(path, wholetext=True)
+    return whole.select(F.posexplode(F.split(F.regexp_replace("value", "\n$", ""), "\n")).alias("place", "line"))

@@ -2,20 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from sparkfolio.functions.html import html_to_text
 from sparkfolio.functions.scalars import absolute_url, blank_to_null, caption, first_filled, present, strip
+from sparkfolio.storage import materialise
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, encoding: str = "ISO-8859-1") -> DataFrame:
-    """All-text CSV with quoted newlines; adds ``pos``, the row's place in the file."""
+    """All-text CSV with quoted newlines of a file or of many; adds ``pos``, the row's place in the files by name.
+
+    Many files are written once as a table with each row's number in its
+    task, where a file's rows stand together; the files' row counts by prefix
+    sum then give the place, however files share tasks.
+    """
     reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("encoding", encoding)
     if columns:
         reader = reader.schema(StructType([StructField(c, StringType()) for c in columns]))
-    return reader.csv(path).withColumn("pos", F.monotonically_increasing_id())
+    df = reader.csv(path)
+    number = F.monotonically_increasing_id()
+    if len(df.inputFiles()) < 2:
+        return df.withColumn("pos", number)
+    names = df.columns
+    table = materialise(df.select("*", F.col("_metadata.file_path").alias("_file"), number.alias("_n")), "csv")
+    files = table.groupBy("_file").agg(F.count("*").alias("_rows"), F.min("_n").alias("_first"))
+    along = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
+    files = files.select(F.col("_file"), (F.coalesce(F.sum("_rows").over(along), F.lit(0)) - F.col("_first")).alias("_ahead"))
+    return table.join(files, "_file").select(*names, (F.col("_n") + F.col("_ahead")).alias("pos"))
 
 
 def first_present(df: DataFrame, *names: str) -> Column:

@@ -1,5 +1,6 @@
 """Row isolation, the search index and the page directory against plain code."""
 
+import json
 import random
 
 import pandas as pd
@@ -11,6 +12,8 @@ from sparkfolio.operators import extraction as V
 from sparkfolio.operators.isolation import call_apart, isolate, waits
 from sparkfolio.operators.pages import PageDirectory
 from sparkfolio.operators.searchindex import SearchIndex, grams_in
+from sparkfolio.sources import files as S
+from sparkfolio.sources.reportfile import batch_json, write_lines
 
 
 def rows(df):
@@ -124,3 +127,46 @@ def test_page_directory(spark, tmp_path):
     assert none.page(5).count() == 0 and none.total().first()[0] == 0
     with pytest.raises(ValueError, match="no groups"):
         none.page(5, 0, "a")
+
+
+def test_positions_over_many_files(spark, tmp_path):
+    rng = random.Random(6)
+    data = [(str(rng.randrange(40)), f"Show {i}", rng.choice(("Artist", "Curator", "")), f'N{i} "x"\ny') for i in range(900)]
+    text = lambda rows: "ExhibitionID,ExhibitionTitle,ExhibitionRole,DisplayName,BeginDate\n" + "".join(f'{a},{b},{c},"{n.replace(chr(34), chr(34) * 2)}",1/2/2001\n' for a, b, c, n in rows)
+    one, many = tmp_path / "one.csv", tmp_path / "many"
+    many.mkdir()
+    one.write_text(text(data))
+    at = 0
+    for k in range(50):
+        n = rng.choice((0, 1, 5, 60)) if k < 49 else len(data)
+        (many / f"f{k:02}.csv").write_text(text(data[at : at + n]))
+        at += n
+    for path in (one, many):
+        rows = S.read_csv(spark, str(path))
+        assert [r.DisplayName for r in rows.orderBy("pos").collect()] == [n for *_, n in data] and [r.pos for r in rows.orderBy("pos").collect()] == list(range(900))
+    fold = lambda path: sorted(map(str, S.fold_exhibitions(S.read_csv(spark, str(path))).collect()))
+    assert fold(many) == fold(one)
+
+
+def test_report_files(spark, tmp_path):
+    path = str(tmp_path / "r.md")
+    lines = spark.createDataFrame([(i, f"line {i}" if i % 7 else None) for i in range(500)], "place long, line string").repartition(7)
+    write_lines(lines, path)
+    want = "".join(f"line {i}\n" if i % 7 else "\n" for i in range(500))
+    assert open(path).read() == want
+    with pytest.raises(FileExistsError):
+        write_lines(lines, path)
+    bad = lines.withColumn("line", F.when(F.col("place") == 400, F.raise_error(F.lit("no"))).otherwise(F.col("line")))
+    with pytest.raises(Exception, match="no"):
+        write_lines(bad, path, overwrite=True)
+    assert open(path).read() == want
+    with pytest.raises(Exception, match="no"):
+        write_lines(bad, str(tmp_path / "other.md"))
+    assert sorted(x.name for x in tmp_path.iterdir() if not x.name.endswith(".crc")) == ["r.md"]
+    results = spark.createDataFrame([("b", False, 0, 'a "quoted" error'), ("a", True, 5, None), ("c", True, None, None)], "key string, success boolean, saved long, error string")
+    write_lines(batch_json(results.repartition(3), "2024-01-01T00:00:00"), path, overwrite=True)
+    told = json.loads(open(path).read())
+    assert list(told) == ["timestamp", "dry_run", "total_parsers", "ok", "failed", "exhibitions_saved", "results"] and (told["ok"], told["failed"], told["exhibitions_saved"]) == (2, 1, 5)
+    assert [r["key"] for r in told["results"]] == ["a", "b", "c"] and told["results"][1] == {"key": "b", "success": False, "saved": 0, "error": 'a "quoted" error'}
+    write_lines(batch_json(results.limit(0), "x"), path, overwrite=True)
+    assert json.loads(open(path).read())["results"] == []
