@@ -158,6 +158,45 @@ s AS (SELECT i::INTEGER AS shard, (((i + 1) * n + 39) // 40 - (i * n + 39) // 40
 SELECT shard, k AS n, 0::BIGINT AS first, k - 1 AS last, k AS slots, size AS total_size FROM s WHERE k > 0
 """
 
+OP12 = rf"""
+WITH crc AS ({_CRC_TABLE}), ids AS (SELECT DISTINCT doc_id FROM documents),
+fold AS (SELECT doc_id, CASE WHEN doc_id IS NULL THEN 0 ELSE {_CRC.format("doc_id::VARCHAR")} END AS h FROM ids, crc),
+d0 AS (SELECT row_number() OVER () AS row, x.doc_id, h, coalesce(regexp_extract_all(text, '{_WORD}'), []) AS w FROM documents x JOIN fold ON fold.doc_id IS NOT DISTINCT FROM x.doc_id),
+d1 AS (SELECT *, len(w) AS n, CASE WHEN len(w) > 0 THEN h // 10 % len(w) END AS a FROM d0),
+d2 AS (SELECT *, 1 + (n - a) // (3 + h // 10 % 8) AS p FROM d1),
+d AS MATERIALIZED (SELECT row, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w FROM d2),
+words AS MATERIALIZED (SELECT row, n, unnest(range(n)) AS i, unnest(w) AS x FROM d),
+pairs AS (SELECT a.row, b.i - a.i AS p, a.i FROM words a JOIN words b ON a.row = b.row AND a.x = b.x AND b.i > a.i AND 3 * (b.i - a.i) <= a.n),
+stretches AS (SELECT row, p, min(i) AS start, count(*) + p AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY row, p ORDER BY i) AS g FROM pairs) GROUP BY row, p, g HAVING count(*) + p >= greatest(24, 3 * p)),
+runs AS MATERIALIZED (SELECT row, start, length, min(p) AS period FROM stretches GROUP BY row, start, length),
+told AS (SELECT row, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines FROM runs GROUP BY row),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY row ORDER BY length::DOUBLE / period DESC, start, period) AS rn FROM runs) WHERE rn = 1),
+gone AS (SELECT DISTINCT w.row, w.i FROM words w JOIN runs r ON r.row = w.row AND w.i >= r.start + r.period AND w.i < r.start + r.length),
+kept AS (SELECT row, string_agg(x, ' ' ORDER BY i) AS text FROM words w ANTI JOIN gone g ON g.row = w.row AND g.i = w.i GROUP BY row)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN told t ON t.row = d.row LEFT JOIN best b ON b.row = d.row LEFT JOIN kept k ON k.row = d.row
+"""
+
+OP13 = rf"""
+WITH crc AS ({_CRC_TABLE}),
+docs AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, coalesce(regexp_extract_all({_LOW.format('text')}, '{_ALNUM}'), []) AS w FROM documents),
+aims AS (SELECT coalesce(regexp_extract_all({_LOW.format('text')}, '{_ALNUM}'), []) AS w FROM benchmark),
+pieces AS MATERIALIZED (SELECT row, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM docs),
+aimed AS MATERIALIZED (SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS g FROM aims),
+grams AS MATERIALIZED (SELECT g, hex(g) AS x FROM (SELECT g FROM pieces UNION SELECT g FROM aimed)),
+hashed AS MATERIALIZED (SELECT g, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1])), 4294967295) % 10000 AS bucket FROM grams, crc),
+s AS (SELECT bucket, count(*)::DOUBLE AS s FROM pieces JOIN hashed USING (g) GROUP BY 1),
+t AS (SELECT bucket, count(*)::DOUBLE AS t FROM aimed JOIN hashed USING (g) GROUP BY 1),
+gains AS (SELECT r.i AS bucket, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000) / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000))))::BIGINT AS gain
+  FROM range(10000) r(i) LEFT JOIN s ON s.bucket = r.i LEFT JOIN t ON t.bucket = r.i),
+weights AS (SELECT row, count(*) AS n, floor(sum(gain) / count(*))::BIGINT AS weight FROM pieces JOIN hashed USING (g) JOIN gains USING (bucket) GROUP BY row),
+scored AS (SELECT doc_id, len(w) AS words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score FROM docs LEFT JOIN weights USING (row)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) FILTER (words >= 20) OVER () AS fit FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN words >= 20 AND rank <= 25 * fit // 100 THEN rank END AS rank FROM ranked
+"""
+
 ORACLES: dict[str, str] = {
     "op1_chat_windows": chat_sql(),
     "op2_source_mix": OP2,
@@ -165,6 +204,8 @@ ORACLES: dict[str, str] = {
     "op6_host_rules": host_sql(),
     "host_rules_of_sections": host_sql("concat(source, ' ', least(9, length(text) // 200))"),
     "op8_jaccard_join": OP8,
+    "op12_periodic_runs": OP12,
+    "op13_importance_resampling": OP13,
     "base_lm_score": BASE3,
     "base_url_rules": BASE4,
     "base_license_scan": BASE7,
