@@ -743,6 +743,50 @@ def test_quality(spark, empty):
     assert quality.keep_good(empty, labels.limit(0)).count() == 0
 
 
+def plain_boosting(x, y, trees, depth, bins, rate, ridge):
+    """Scores of the training rows by boosting that tries every cut of every feature with plain sums."""
+    n = len(y)
+    start = math.log((sum(y) + 1) / (n - sum(y) + 1))
+    total = [start] * n
+    cuts = [sorted(set(np.quantile([r[j] for r in x], np.linspace(0, 1, bins)[1:-1]).tolist())) for j in range(len(x[0]))]
+
+    def grow(rows, left, grad, hess, out):
+        part = lambda rows: sum(grad[i] for i in rows) ** 2 / (sum(hess[i] for i in rows) + ridge)
+        if not left:
+            value = rate * sum(grad[i] for i in rows) / (sum(hess[i] for i in rows) + ridge)
+            out.update(dict.fromkeys(rows, value))
+            return
+        best, pick = 0.0, (0, math.inf)
+        for j, places in enumerate(cuts):
+            for c in places:
+                low, high = [i for i in rows if x[i][j] <= c], [i for i in rows if x[i][j] > c]
+                gain = part(low) + part(high) - part(rows)
+                if gain > best + 1e-9:
+                    best, pick = gain, (j, c)
+        j, c = pick
+        grow([i for i in rows if x[i][j] <= c], left - 1, grad, hess, out)
+        grow([i for i in rows if x[i][j] > c], left - 1, grad, hess, out)
+
+    for _ in range(trees):
+        p = [1 / (1 + math.exp(-t)) for t in total]
+        out = {}
+        grow(list(range(n)), depth, [a - b for a, b in zip(y, p)], [b * (1 - b) for b in p], out)
+        total = [t + out[i] for i, t in enumerate(total)]
+    return [1 / (1 + math.exp(-t)) for t in total]
+
+
+@pytest.mark.parametrize("seed,depth,bins", [(1, 3, 9), (2, 2, 64), (3, 4, 5)])
+def test_boosting_against_plain_splits(seed, depth, bins):
+    rng = random.Random(seed)
+    x = [[rng.gauss(0, 1), rng.choice((0.0, 1.0, 1.0, 5.0)), rng.random() ** 4, 7.0] for _ in range(200)]
+    y = [float(a + b / 3 + rng.gauss(0, 0.7) > 0.6) for a, b, *_ in x]
+    forest = quality.fit_forest(np.array(x), np.array(y), trees=6, depth=depth, bins=bins, rate=0.3, ridge=2.0)
+    got, want = forest.score(np.array(x)), plain_boosting(x, y, 6, depth, bins, 0.3, 2.0)
+    assert got == pytest.approx(want, abs=1e-9) and max(want) - min(want) > 0.5
+    one = quality.fit_forest(np.array(x[:5]), np.ones(5), trees=3)
+    assert one.score(np.array(x[:2])) == pytest.approx(plain_boosting(x[:5], [1.0] * 5, 3, 4, 64, 0.15, 4.0)[:2], abs=1e-9)
+
+
 @pytest.mark.parametrize("bucket_bytes", [1 << 24, 4000])
 def test_shuffle(spark, docs, empty, bucket_bytes):
     got = rows_of(shuffle.shuffle_into_shards(docs, n_shards=7, bucket_bytes=bucket_bytes))
