@@ -89,7 +89,14 @@ class Prints:
     def _may_be(self, grams: np.ndarray) -> np.ndarray:
         if self.bits is None:
             return np.ones(len(grams), bool)
-        at = grams & _U(8 * len(self.bits) - 1)
+        out = self._set(grams)
+        some = np.flatnonzero(out)
+        out[some] = self._set(grams[some] >> _U(32))
+        return out
+
+    def _set(self, hashes: np.ndarray) -> np.ndarray:
+        """Whether the bit of each hash is set."""
+        at = hashes & _U(8 * len(self.bits) - 1)
         return (self.bits[(at >> _U(3)).astype(np.int64)] >> (at & _U(7)).astype(np.uint8) & np.uint8(1)).astype(bool)
 
     def __call__(self, docs: list[list[bytes]]) -> list[list[dict]]:
@@ -163,13 +170,14 @@ def _item_prints(items: DataFrame, window: int, k: int) -> DataFrame:
 
 
 def _filter_bits(prints: DataFrame) -> np.ndarray | None:
-    """A bitmap over fingerprints modulo its size, some sixteen bits for each, 32 MB at most; None without any."""
+    """A bitmap with two bits of each fingerprint set, by its low and its high half; some thousand bits for each, 32 MB at most. None without any."""
     n = prints.count()
     if not n:
         return None
-    size = min(_MOST_BITS, max(_BUCKET, 1 << (16 * n - 1).bit_length()))
-    at = F.pmod("print", F.lit(size)) + 1  # Spark's bitmaps count from 1
-    maps = prints.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
+    size = min(_MOST_BITS, max(_BUCKET, 1 << (1024 * n - 1).bit_length()))
+    halves = F.array(F.col("print"), F.shiftrightunsigned("print", 32))
+    at = F.pmod("half", F.lit(size)) + 1  # Spark's bitmaps count from 1
+    maps = prints.select(F.explode(halves).alias("half")).groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
     out = np.zeros(size // 8, np.uint8)
     for bucket, bits in maps.collect():  # at most 8192 of 4 KB
         out[(bucket - 1) * _BUCKET // 8 : bucket * _BUCKET // 8] = np.frombuffer(bits, np.uint8)
