@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
+from sparkfolio.sources.files import sparql_query
 
 class Page(InputPartition):
-    def __init__(self, number: int):
-        self.number = number
+    def __init__(self, number: int, follow: bool = False):
+        self.number, self.follow = number, follow
 
 
 def fetch_json(url: str) -> dict:
@@ -26,10 +27,13 @@ class RestPages(DataSource):
     Rows (page, body): the raw JSON of each page; pages are read side by side.
     ``step`` multiplies the number in the url (offsets). A page that can't be
     read after Spark's task retries fails the job; with ``lenient`` its body
-    is null, where ``reached_pages`` stops. Without ``last``, pages are read
-    one after another until one has no items (under ``items``, "data") or is
-    the last one that its ``total`` (a path such as pagination.total_pages)
-    names: one task, as nothing tells how many there are.
+    is null, where ``reached_pages`` stops. Without ``last``, a first request
+    reads how many pages there are from its ``total`` (a path such as
+    pagination.total_pages); where nothing tells, pages are read one after
+    another, in one task, until one has no items (under ``items``, "data").
+
+    With ``pushdown`` (and spark.sql.python.filterPushdown.enabled), filters
+    on ``page`` reach the requests: other pages aren't asked for.
     """
 
     fetch: Callable[[str], dict] = staticmethod(fetch_json)
@@ -42,16 +46,31 @@ class RestPages(DataSource):
         return "page int, body string"
 
     def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options, self.fetch)
+        kind = _PushingReader if self.options.get("pushdown", "false") == "true" else _Reader
+        return kind(self.options, self.fetch)
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options, fetch):
         self.options, self.fetch = dict(options), fetch
+        self.wanted: list[Callable[[int], bool]] = []
+
+    def _asked(self, number: int) -> bool:
+        return all(f(number) for f in self.wanted)
 
     def partitions(self) -> list[Page]:
-        first = int(self.options.get("first", 1))
-        return [Page(n) for n in range(first, int(self.options["last"]) + 1)] if "last" in self.options else [Page(first)]
+        first, last = int(self.options.get("first", 1)), self.options.get("last")
+        if last is None and "total" in self.options:
+            last = self._total(self._body(first))
+        if last is None:
+            return [Page(first, follow=True)]
+        return [Page(n) for n in range(first, max(first, int(last)) + 1) if self._asked(n)]
+
+    def _total(self, body: dict | None) -> int:
+        """Pages there are, by a page's own words; 1 where it has none."""
+        for part in self.options["total"].split("."):
+            body = body.get(part) if isinstance(body, dict) else None
+        return body if isinstance(body, int) else 1
 
     def _body(self, number: int) -> dict | None:
         try:
@@ -65,12 +84,70 @@ class _Reader(DataSourceReader):
         number = partition.number
         while True:
             body = self._body(number)
-            yield number, None if body is None else json.dumps(body, ensure_ascii=False)
-            if "last" in self.options or not body or not body.get(self.options.get("items", "data")):
-                return
-            total = body
-            for part in self.options.get("total", "").split("."):
-                total = total.get(part) if part and isinstance(total, dict) else None
-            if "total" in self.options and number >= (total if isinstance(total, int) else 1):
+            if self._asked(number):
+                yield number, None if body is None else json.dumps(body, ensure_ascii=False)
+            if not partition.follow or not body or not body.get(self.options.get("items", "data")):
                 return
             number += 1
+
+
+_COMPARED = {
+    EqualTo: lambda v: lambda n: n == v, In: lambda v: lambda n: n in v, GreaterThan: lambda v: lambda n: n > v, GreaterThanOrEqual: lambda v: lambda n: n >= v,
+    LessThan: lambda v: lambda n: n < v, LessThanOrEqual: lambda v: lambda n: n <= v,
+}
+
+
+class _PushingReader(_Reader):
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        """Take comparisons of the page's number; others stay with Spark."""
+        for f in filters:
+            if type(f) in _COMPARED and f.attribute == ("page",) and f.value is not None:
+                self.wanted.append(_COMPARED[type(f)](f.value))
+            else:
+                yield f
+
+
+class SparqlExhibitions(DataSource):
+    """``spark.read.format("sparql_exhibitions").option("url", "...{query}...").load()``: body, the JSON answer, and start_year, the year asked from.
+
+    A filter ``start_year >= y`` (or >) and the option ``limit`` become
+    part of the query that is sent; other filters stay with Spark. Without a
+    filter start_year is null. Parse bodies with ``sparql_bindings``.
+    """
+
+    fetch: Callable[[str], dict] = staticmethod(fetch_json)
+
+    @classmethod
+    def name(cls) -> str:
+        return "sparql_exhibitions"
+
+    def schema(self) -> str:
+        return "start_year int, body string"
+
+    def reader(self, schema) -> DataSourceReader:
+        kind = _PushingSparql if self.options.get("pushdown", "false") == "true" else _Sparql
+        return kind(self.options, self.fetch)
+
+
+class _Sparql(DataSourceReader):
+    since: int | None = None
+
+    def __init__(self, options, fetch):
+        self.options, self.fetch = dict(options), fetch
+
+    def read(self, partition) -> Iterator[tuple[int | None, str]]:
+        from urllib.parse import quote
+
+        limit = self.options.get("limit")
+        query = sparql_query(self.since, int(limit) if limit else None)
+        yield self.since, json.dumps(self.fetch(self.options["url"].replace("{query}", quote(query))), ensure_ascii=False)
+
+
+class _PushingSparql(_Sparql):
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            if isinstance(f, (GreaterThan, GreaterThanOrEqual)) and f.attribute == ("start_year",) and f.value is not None:
+                year = int(f.value) + isinstance(f, GreaterThan)
+                self.since = max(year, self.since or year)
+            else:
+                yield f

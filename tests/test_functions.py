@@ -1,5 +1,7 @@
 """Scalar functions, HTML, sources and writes on literal rows."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from sparkfolio.functions import html as H
@@ -150,6 +152,57 @@ def test_rest_pages(spark, tmp_path):
     assert read(first="4", last="5", lenient="true") == [(4, None), (5, None)]
 
 
+def test_filters_reach_the_requests(spark, tmp_path):
+    """Requests are files of a log, one each."""
+    from sparkfolio.sources.rest import RestPages, SparqlExhibitions
+
+    log = str(tmp_path / "log")
+    os.mkdir(log)
+
+    def answer(url):
+        import os
+        import tempfile
+
+        handle, name = tempfile.mkstemp(dir=log)
+        os.write(handle, url.encode())
+        os.close(handle)
+        if "query=" in url:
+            return {"results": {"bindings": []}}
+        number = int(url.rpartition("/")[2])
+        return {"data": [number] * (number < 9), "pagination": {"total_pages": 8}}
+
+    def asked():
+        out = sorted(open(f"{log}/{x}").read() for x in os.listdir(log))
+        for x in os.listdir(log):
+            os.remove(f"{log}/{x}")
+        return out
+
+    class Pages(RestPages):
+        fetch = staticmethod(answer)
+
+    class Sparql(SparqlExhibitions):
+        fetch = staticmethod(answer)
+
+    spark.dataSource.register(Pages)
+    spark.dataSource.register(Sparql)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        read = lambda **o: spark.read.format("rest_pages").options(url="x/{page}", pushdown="true", **o).load()
+        df = read(first="1", last="8").filter("page >= 3 AND page < 6 AND body LIKE '%data%'")
+        assert sorted(r.page for r in df.collect()) == [3, 4, 5] and asked() == ["x/3", "x/4", "x/5"]
+        assert sorted(r.page for r in read(total="pagination.total_pages").filter("page IN (2, 7, 99)").collect()) == [2, 7]
+        assert {*asked()} == {"x/1", "x/2", "x/7"}  # the first one to count
+        whole = read(total="pagination.total_pages")
+        assert whole.rdd.getNumPartitions() == 8 and sorted(r.page for r in whole.collect()) == list(range(1, 9))
+        asked()
+        assert sorted(r.page for r in read().filter("page > 6").collect()) == [7, 8, 9] and len(asked()) == 9  # nothing tells how many there are
+        found = spark.read.format("sparql_exhibitions").options(url="x?query={query}", pushdown="true", limit="7").load().filter("start_year > 1999")
+        assert [(r.start_year, "bindings" in r.body) for r in found.collect()] == [(2000, True)]
+        assert all("YEAR%28%3Fstart%29%20%3E%3D%202000" in q and "LIMIT%207" in q for q in asked())
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
 def test_fold(spark):
     cols = "ExhibitionID ExhibitionTitle ExhibitionBeginDate ExhibitionEndDate ExhibitionURL DisplayName ExhibitionRole Nationality ConstituentBeginDate ConstituentEndDate".split()
     rows = [
