@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual
 
 from sparkfolio.sources.files import sparql_query
 
@@ -151,3 +151,70 @@ class _PushingSparql(_Sparql):
                 self.since = max(year, self.since or year)
             else:
                 yield f
+
+
+class Slice(InputPartition):
+    """Items ``start`` to ``stop`` of a page, to its end without ``stop``."""
+
+    def __init__(self, number: int, start: int, stop: int | None):
+        self.number, self.start, self.stop = number, start, stop
+
+
+class RestFeed(DataSource):
+    """``spark.readStream.format("rest_feed").options(url="...{page}...", total="pagination.total_pages").load()``.
+
+    A stream of rows (page, place, record): the items of numbered pages that
+    grow at their end, each once. An offset is a page and how many of its
+    items are behind, so a batch can be read again as it was, and a last page
+    that has grown goes on where it was left. The stream starts at ``page``
+    and ``place`` (1 and 0 by default). Pages are read side by side; planning
+    a batch asks for two of them. Items may come behind the last one only.
+    """
+
+    fetch: Callable[[str], dict] = staticmethod(fetch_json)
+
+    @classmethod
+    def name(cls) -> str:
+        return "rest_feed"
+
+    def schema(self) -> str:
+        return "page int, place int, record string"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _Feed(self.options, self.fetch)
+
+
+class _Feed(DataSourceStreamReader):
+    def __init__(self, options, fetch):
+        self.options, self.fetch = dict(options), fetch
+
+    def _page(self, number: int) -> dict:
+        return self.fetch(self.options["url"].replace("{page}", str(number)))
+
+    def _items(self, body: dict) -> list:
+        return body.get(self.options.get("items", "data")) or []
+
+    def initialOffset(self) -> dict:
+        return {"page": int(self.options.get("page", 1)), "place": int(self.options.get("place", 0))}
+
+    def latestOffset(self) -> dict:
+        first = self.initialOffset()["page"]
+        body = told = self._page(first)
+        for part in self.options["total"].split("."):
+            told = told.get(part) if isinstance(told, dict) else None
+        last = max(first, told if isinstance(told, int) else first)
+        return {"page": last, "place": len(self._items(body if last == first else self._page(last)))}
+
+    def partitions(self, start: dict, end: dict) -> list[Slice]:
+        pages = range(start["page"], end["page"] + 1)
+        return [Slice(n, start["place"] if n == start["page"] else 0, end["place"] if n == end["page"] else None) for n in pages]
+
+    def read(self, partition: Slice) -> Iterator[tuple[int, int, str]]:
+        if partition.stop is not None and partition.stop <= partition.start:
+            return
+        items = self._items(self._page(partition.number))
+        for place in range(partition.start, len(items) if partition.stop is None else partition.stop):
+            yield partition.number, place, json.dumps(items[place], ensure_ascii=False)
+
+    def commit(self, end: dict) -> None:
+        pass

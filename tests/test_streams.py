@@ -1,6 +1,7 @@
 """Streams over files: the run log's monitors with restarts, first sights of urls, windows and sessions."""
 
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -98,3 +99,50 @@ def test_windows_and_sessions_as_streams(spark, tmp_path):
         end = F.col("window_start") + F.expr("INTERVAL 1 DAY") if name == "windows" else F.col("session_end")
         closed = whole.filter(end <= F.lit(rows[-1][3] - dt.timedelta(hours=1)).cast("timestamp"))
         assert sorted(map(str, spark.read.parquet(out).collect())) == sorted(map(str, closed.collect())) != []
+
+
+def test_a_feed_gives_each_record_once(spark, tmp_path):
+    """Pages that grow, a sink that breaks, restarts; new records are what isn't stored yet."""
+    from sparkfolio.operators.store import skip_existing
+    from sparkfolio.sources.rest import RestFeed
+
+    spark.dataSource.register(RestFeed)
+    pages, out, check = tmp_path / "pages", str(tmp_path / "out"), str(tmp_path / "check")
+    pages.mkdir()
+
+    def publish(n, size=10):
+        last = -(-n // size)
+        for k in range(1, last + 1):
+            items = [{"url": f"u{i}"} for i in range((k - 1) * size, min(n, k * size))]
+            (pages / f"{k}.json").write_text(json.dumps({"data": items, "pagination": {"total_pages": last}}))
+
+    fails = []
+
+    def store(df, batch):
+        found = df.select(F.get_json_object("record", "$.url").alias("url"), "page", "place")
+        found.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+        if fails:
+            raise OSError(fails.pop())
+
+    def run(where=check, **options):
+        stream = spark.readStream.format("rest_feed").options(url=f"file://{pages}/{{page}}.json", total="pagination.total_pages", **options).load()
+        stream.writeStream.foreachBatch(store).option("checkpointLocation", where).trigger(availableNow=True).start().awaitTermination()
+
+    publish(7)
+    run()
+    publish(34)
+    fails.append("lost")
+    with pytest.raises(Exception, match="lost"):
+        run()
+    publish(36)
+    run()
+    run()
+    publish(50)
+    run()
+    stored = spark.read.parquet(out)
+    assert sorted(r.url for r in stored.collect()) == sorted(f"u{i}" for i in range(50))
+    fresh, old = skip_existing(spark.createDataFrame([("u3",), ("u50",)], "url string"), stored)
+    assert [r.url for r in fresh.collect()] == ["u50"] and old.count() == 1
+    out = str(tmp_path / "later")
+    run(str(tmp_path / "check2"), page="3", place="4")
+    assert sorted(r.url for r in spark.read.parquet(out).collect()) == [f"u{i}" for i in range(24, 50)]
