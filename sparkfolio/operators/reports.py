@@ -29,18 +29,18 @@ def duplicate_report(groups: DataFrame, members: DataFrame, cells: list[Column],
     ``members`` (first_id, id) are joined to the shown groups only; of a
     group's ids the least ``most_ids`` are listed.
     """
-    n = groups.count()
-    out = _text(groups, [f"## {heading}: {n} groups", "", columns if n else none], 0)
-    if n == 0:
-        return out
+    at = lambda place, line: F.struct(F.lit(place).alias("place"), line.alias("line"))
+    total = groups.agg(F.count("*").alias("n"))  # one row, of the same job as the lines
+    title = F.concat(F.lit(f"## {heading}: "), F.col("n").cast("string"), F.lit(" groups"))
+    head = total.select(F.inline(F.array(at(0, title), at(1, F.lit("")), at(2, F.when(F.col("n") > 0, F.lit(columns)).otherwise(F.lit(none))))))
+    more = F.concat(F.lit("| ... | *"), (F.col("n") - shown).cast("string"), F.lit(" more groups* | | |"))
+    rest = total.filter(F.col("n") > shown).select(F.lit(3 + shown).alias("place"), more.alias("line"))
     top = groups.orderBy(F.desc("cnt"), "first_id").limit(shown)
     w = Window.partitionBy("first_id").orderBy("id")
     few = members.join(F.broadcast(top.select("first_id")), "first_id", "left_semi").withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= most_ids)
     ids = few.groupBy("first_id").agg(F.array_join(F.array_sort(F.collect_list("id")).cast("array<string>"), ",").alias("ids"))
     rows = _lines(top.join(ids, "first_id"), table_row(*cells, F.col("cnt"), F.col("ids")), [F.desc("cnt"), "first_id"], 3)
-    if n > shown:
-        rows = rows.union(_text(groups, [f"| ... | *{n - shown} more groups* | | |"], 3 + shown))
-    return out.union(rows)
+    return head.union(rows).union(rest)
 
 
 def exact_duplicate_report(groups: DataFrame, members: DataFrame) -> DataFrame:
