@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkfolio.functions.scalars import ascii_lower, extract_year, json_list, like_any_case, present, year_prefix
+from sparkfolio.storage import materialise
 
 # Parts of names that stand for no artist, fields of a parent that a keyword is looked for in, columns of a gallery page.
 SEARCHED = ("title", "preface", "concept", "curators", "location", "preface_en", "concept_en")
@@ -63,16 +64,24 @@ def timeline_wide(parents: DataFrame, sources: list[str], first: int = 1920, las
     return dated.groupBy("year").agg(*(F.count_if(F.col("source") == s).alias(f"s{i}") for i, s in enumerate(sources))).orderBy("year")
 
 
-def cooccurrence_links(children: DataFrame, top: int = 40, least: int = 2, limit: int = 300) -> DataFrame:
+def artist_shares(children: DataFrame) -> DataFrame:
+    """(exhibition_id, artist_name, k): rows of each named artist in each parent, written once for names, links and totals."""
+    return materialise(children.filter(named_artist()).groupBy("exhibition_id", "artist_name").agg(F.count("*").alias("k")), "artist-shares")
+
+
+def _totals_of(shares: DataFrame) -> DataFrame:
+    return shares.groupBy(F.col("artist_name").alias("name")).agg(F.sum("k").alias("n"))
+
+
+def links_of_shares(shares: DataFrame, top: int = 40, least: int = 2, limit: int = 300) -> DataFrame:
     """Pairs of the ``top`` artists met in one parent, weighted by row pairs.
 
-    Both sides are cut to the top names (a broadcast of ``top`` rows at most)
-    and pre-aggregated per (parent, name) before the self-join, so a parent
-    with k of the names gives at most top^2 / 2 rows whatever its size.
+    Both sides are cut to the top names (a broadcast of ``top`` rows at most),
+    so a parent with k of the names gives at most top^2 / 2 rows whatever its
+    size.
     """
-    names = top_artists(children, top).select(F.col("name").alias("artist_name"))
-    few = children.join(F.broadcast(names), "artist_name", "left_semi")
-    few = few.groupBy("exhibition_id", "artist_name").agg(F.count("*").alias("k"))
+    names = _totals_of(shares).orderBy(F.desc("n"), "name").limit(top).select(F.col("name").alias("artist_name"))
+    few = shares.join(F.broadcast(names), "artist_name", "left_semi")
     a = few.select("exhibition_id", F.col("artist_name").alias("source"), F.col("k").alias("ka"))
     b = few.select("exhibition_id", F.col("artist_name").alias("target"), F.col("k").alias("kb"))
     pairs = a.join(b, "exhibition_id").filter("source < target")
@@ -80,11 +89,14 @@ def cooccurrence_links(children: DataFrame, top: int = 40, least: int = 2, limit
     return out.filter(F.col("weight") >= least).orderBy(F.desc("weight"), "source", "target").limit(limit)
 
 
-def cooccurrence_nodes(children: DataFrame, links: DataFrame) -> DataFrame:
+def cooccurrence_links(children: DataFrame, top: int = 40, least: int = 2, limit: int = 300) -> DataFrame:
+    return links_of_shares(artist_shares(children), top, least, limit)
+
+
+def cooccurrence_nodes(shares: DataFrame, links: DataFrame) -> DataFrame:
     """Endpoints of links with totals, a drawing size, and size scaled over all nodes."""
     ends = links.select(F.col("source").alias("name")).union(links.select("target")).distinct()
-    counts = children.filter(named_artist()).groupBy(F.col("artist_name").alias("name")).agg(F.count("*").alias("n"))
-    out = ends.join(counts, "name")
+    out = ends.join(_totals_of(shares), "name")
     everything = Window.partitionBy()  # links are limited, so are their ends
     lo, hi = F.min("n").over(everything), F.max("n").over(everything)
     size = F.greatest(F.lit(6.0), F.least(F.lit(22.0), 6 + F.sqrt("n")))

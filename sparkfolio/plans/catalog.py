@@ -83,8 +83,8 @@ def cooccurrence_links(s, d):
     {"children": CHILDREN, "top40": _TOP40, "links": _LINKS},
 )
 def cooccurrence_nodes(s, d):
-    kids = children(s, d)
-    return A.cooccurrence_nodes(kids, A.cooccurrence_links(kids))
+    shares = A.artist_shares(children(s, d))
+    return A.cooccurrence_nodes(shares, A.links_of_shares(shares))
 
 
 _SEARCH = "SELECT id FROM parents WHERE " + " OR ".join(f"lower({c}) LIKE '%customer 12%'" for c in "title preface concept curators location preface_en concept_en".split()) + " UNION SELECT exhibition_id FROM children WHERE lower(artist_name) LIKE '%customer 12%' OR lower(work_title) LIKE '%customer 12%'"
