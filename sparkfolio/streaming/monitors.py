@@ -12,6 +12,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sparkfolio.functions.scalars import percent
 from sparkfolio.operators.store import last_of
+from sparkfolio.session import ship_package
 
 _TWO = "s1 long, i1 long, u1 long, s2 long, i2 long, u2 long"
 
@@ -39,6 +40,7 @@ def watch_regressions(runs: DataFrame, ratio: float = 0.8) -> DataFrame:
     nor do rows without start, id or parser. State is two runs a parser. Write
     it in update mode: the latest row of a parser holds.
     """
+    ship_package(runs.sparkSession)
     rows = runs.filter("run_type <> 'dry_run' AND started_at IS NOT NULL AND id IS NOT NULL AND parser_key IS NOT NULL")
     rows = rows.select("parser_key", F.unix_micros(F.col("started_at").cast("timestamp")).alias("started"), "id", F.col("urls_discovered").alias("urls"))
     kind = "parser_key string, started long, current long, previous long"
@@ -79,6 +81,7 @@ def watch_staleness(runs: DataFrame, days: float, delay: str = "1 hour") -> Data
     alive. Runs that come later than ``delay`` after younger ones of any
     parser are left out. State is a number a parser. Write it in update mode.
     """
+    ship_package(runs.sparkSession)
     rows = runs.filter("started_at IS NOT NULL AND parser_key IS NOT NULL")
     rows = rows.withColumn("started_at", F.col("started_at").cast("timestamp")).withWatermark("started_at", delay)
     rows = rows.select("parser_key", "started_at", F.unix_micros("started_at").alias("started"))
