@@ -16,7 +16,7 @@ from sparkfolio.operators.searchindex import SearchIndex
 from sparkfolio.plans.roles import CHILDREN, PARENTS, children, parents, query, run_log
 from sparkfolio.session import load_table
 from sparkfolio.sources.recordstore import RecordStore
-from sparkfolio.sources.reportfile import batch_json, write_lines
+from sparkfolio.sources.reportfile import batch_json, read_json_lines, write_lines
 from sparkfolio.storage import new_folder
 from sparkfolio.streaming import monitors as M
 
@@ -312,13 +312,10 @@ def report_file_json(s, d):
     results = run_log(s, d).select(F.col("id").alias("key"), (F.col("id") % 7 != 0).alias("success"), "saved", F.when(F.col("id") % 7 == 0, 'Exit "code" 1').alias("error"))
     path = new_folder(s, "batch") + ".json"
     write_lines(batch_json(results, "2024-01-31T00:00:00"), path)
-    told = s.read.option("multiLine", True).json(path)
-    r = F.col("results")
-    total = lambda f, start: F.aggregate(r, F.lit(start).cast("long"), f)
-    return told.select(
-        "total_parsers", "ok", "failed", "exhibitions_saved", total(lambda n, x: n + x["key"], 0).alias("ids"),
-        F.size(F.filter(r, lambda x: x["error"] == 'Exit "code" 1')).cast("long").alias("errors"),
-    )
+    head = "total_parsers long, ok long, failed long, exhibitions_saved long"
+    told, rows = read_json_lines(s, path, head, "key long, success boolean, saved long, error string")
+    sums = rows.agg(F.sum("key").alias("ids"), F.count_if(F.col("error") == 'Exit "code" 1').alias("errors"))
+    return told.join(F.broadcast(sums))  # one row each
 
 
 @query("SELECT (row_number() OVER (ORDER BY id) - 1)::INTEGER AS place, concat('- ', id, ' ', coalesce(title, 'None')) AS line FROM parents")

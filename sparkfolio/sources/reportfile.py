@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkfolio.storage import new_folder
+from sparkfolio.storage import materialise, new_folder
 
 
 def _path(spark: SparkSession, name: str):
@@ -59,9 +59,12 @@ def json_lines(rows: DataFrame, order: list[Column], head: dict[str, Column], fi
     """Lines of a JSON object: the fields of ``head``, aggregates over ``rows``, then ``field`` with all rows, an object a line.
 
     Null fields of rows are written as null. Places are numbers of a sort by
-    ``order``, given part by part, so rows needn't meet in one task.
+    ``order``, given part by part, so rows needn't meet in one task. Numbered
+    rows are written once: another sort may cut its parts elsewhere, and the
+    last row be another.
     """
     sorted_rows = rows.orderBy(*order).select(F.monotonically_increasing_id().alias("place"), F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"))
+    sorted_rows = materialise(sorted_rows, "report-rows")
     last = sorted_rows.agg(F.max("place").alias("_last"))
     body = sorted_rows.join(F.broadcast(last)).select((F.col("place") + 1).alias("place"), F.concat(F.lit("    "), "row", F.when(F.col("place") < F.col("_last"), ",").otherwise("")).alias("line"))
     fields = F.to_json(F.struct(*(c.alias(k) for k, c in head.items())), {"ignoreNullFields": "false"})
@@ -73,6 +76,22 @@ def json_lines(rows: DataFrame, order: list[Column], head: dict[str, Column], fi
     return start.select("x.*").unionByName(body).unionByName(end.select("x.*"))
 
 
+def read_json_lines(spark: SparkSession, path: str, head: str, row: str, field: str = "results") -> tuple[DataFrame, DataFrame]:
+    """The head (one row) and the rows of a file of ``json_lines``, of schemas ``head`` and ``row``, read line by line by many tasks.
+
+    Fails on lines that are no JSON, and unless all rows but one end in a comma.
+    """
+    lines = spark.read.text(path)
+    strict = {"mode": "FAILFAST"}
+    body = F.regexp_replace("value", ",$", "")
+    tops = lines.filter(F.startswith("value", F.lit('  "')) & (F.col("value") != f'  "{field}": ['))
+    told = tops.select(F.from_json(F.concat(F.lit("{"), body, F.lit("}")), head, strict).alias("x")).select("x.*")
+    rows = lines.filter(F.startswith("value", F.lit("    ")))
+    ends = rows.agg((F.count_if(~F.endswith("value", F.lit(","))) == F.least(F.count("*"), F.lit(1))).alias("_whole"))
+    told = told.join(F.broadcast(ends)).filter(F.col("_whole") | F.raise_error(F.lit(f"{path} isn't JSON")).cast("boolean")).drop("_whole")
+    return told, rows.select(F.from_json(body, row, strict).alias("x")).select("x.*")
+
+
 def batch_json(results: DataFrame, timestamp: str, dry_run: bool = False) -> DataFrame:
     """Lines of a batch's JSON report: when, whether dry, counts, and the result (key, success, saved, error) of each parser."""
     return json_lines(

@@ -13,7 +13,7 @@ from sparkfolio.operators.isolation import call_apart, isolate, waits
 from sparkfolio.operators.pages import PageDirectory
 from sparkfolio.operators.searchindex import SearchIndex, grams_in
 from sparkfolio.sources import files as S
-from sparkfolio.sources.reportfile import batch_json, write_lines
+from sparkfolio.sources.reportfile import batch_json, read_json_lines, write_lines
 
 
 def rows(df):
@@ -170,3 +170,30 @@ def test_report_files(spark, tmp_path):
     assert [r["key"] for r in told["results"]] == ["a", "b", "c"] and told["results"][1] == {"key": "b", "success": False, "saved": 0, "error": 'a "quoted" error'}
     write_lines(batch_json(results.limit(0), "x"), path, overwrite=True)
     assert json.loads(open(path).read())["results"] == []
+
+
+def test_a_report_of_many_rows_is_json(spark, tmp_path):
+    n, path = 60_000, str(tmp_path / "r.json")
+    # Sorts of whole rows and of keys alone are cut into other numbers of parts.
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "400k", "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    kept = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        results = spark.range(n).select(F.col("id").alias("key"), (F.col("id") % 7 != 0).alias("success"), F.lit(1).alias("saved"), F.concat(F.lit("e,"), F.sha2(F.col("id").cast("string"), 256)).alias("error"))
+        write_lines(batch_json(results.repartition(8), "x"), path)
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert [r["key"] for r in json.loads(open(path).read())["results"]] == list(range(n))
+    head, rows = read_json_lines(spark, path, "total_parsers long, ok long", "key long, error string")
+    assert [tuple(r) for r in head.collect()] == [(n, n - n // 7 - 1)] and rows.agg(F.sum("key"), F.count_if(F.length("error") == 66)).first()[:] == (n * (n - 1) // 2, n)
+    for good, bad in (('"key":5,', '"key":5'), ('}\n  ]', '},\n  ]')):
+        other = str(tmp_path / f"{len(bad)}.json")
+        open(other, "w").write(open(path).read().replace(good, bad, 1))
+        with pytest.raises(Exception):
+            read = read_json_lines(spark, other, "total_parsers long", "key long")
+            [x.collect() for x in read]
+    write_lines(batch_json(results.limit(0), "x"), path, overwrite=True)
+    head, rows = read_json_lines(spark, path, "total_parsers long", "key long")
+    assert head.first()[0] == 0 == rows.count()
