@@ -231,3 +231,7 @@ def test_site_capabilities_tell_of_every_site(spark, tmp_path):
     got = {r.key: r for r in catalog.QUERIES["site_capabilities"](spark, str(tmp_path)).collect()}
     assert len(got) == 61 and {k: r.n_records for k, r in got.items() if r.n_records} == {"moma": 2}
     assert got["yokohama_triennale"][1:] == ("html_llm", False, " [三年展]", 0) and got["mplus"].has_history
+
+
+def test_references_without_a_semicolon_are_read(spark):
+    assert one(spark, H.clean_html("h"), h="<h1>a &amp;&amp</h1><p>b &lt</p><p>c &am</p>") == "a &&\nb <\nc &am"
