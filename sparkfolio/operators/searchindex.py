@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import json
 import re
 from functools import reduce
-from operator import or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +14,7 @@ from sparkfolio.operators.analytics import SEARCHED
 from sparkfolio.storage import materialise
 
 GRAM = 3
-_MOST_LISTED = 2000  # candidates whose ids go into the scan's filter
+_MOST_LISTED = 2000  # texts or ids that go into a scan's filter
 
 
 def grams_of(text: Column) -> Column:
@@ -34,20 +33,22 @@ def grams_in(keyword: str) -> list[str]:
 
 
 class SearchIndex:
-    """Which parents have which pieces of text in their searched fields or their children's.
-
-    Under one folder: the distinct pairs (piece, parent id) and the pieces'
-    counts, sorted by piece, and the searched fields of parents and children,
-    sorted by id. Sorting is by ranges of both columns, so a piece that all
-    records have is spread over many files, and a lookup reads the row groups
-    of its pieces alone. A search intersects the rarest pieces of its keyword
-    and verifies the parents that have them all by the LIKE rule.
+    """Which texts have which pieces, and which parents have which texts in their searched fields or their children's.
+
+    Under one folder: the distinct texts, by their hash; the distinct pairs
+    (piece, hash of a text) and the pieces' counts, sorted by piece; who holds
+    a text, as rows (text, id, whether it is the parent's own); and the
+    parents' ids. Pairs are sorted by ranges of both columns, so a piece that
+    all texts have is spread over many files. Holders stay in the task that
+    read them, each file sorted by hash: a text that all records have is in
+    all files, and a lookup reads the row groups of its texts alone. A search
+    intersects the rarest pieces of its keyword, verifies the texts that have
+    them all by the LIKE rule, and looks up who holds those. Hashes only
+    order and filter: holders are matched by the text itself.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        about = json.loads(spark.read.text(f"{self.path}/fields").first()[0])
-        self.parent_fields, self.child_fields = tuple(about["parents"]), tuple(about["children"])
 
     @classmethod
     def build(
@@ -57,48 +58,53 @@ class SearchIndex:
         """Index parents by id and children by exhibition_id; null ids can't be found and are left out."""
         path = path.rstrip("/")
         parent_fields = parent_fields or tuple(c for c in SEARCHED if c in parents.columns)
-        about = json.dumps({"parents": parent_fields, "children": child_fields})
-        spark.createDataFrame([(about,)], "value string").coalesce(1).write.text(f"{path}/fields")
-        parents = parents.select("id", *parent_fields).filter("id IS NOT NULL")
-        kids = children.select(F.col("exhibition_id").alias("id"), *child_fields).filter("id IS NOT NULL")
-        for name, df in (("parents", parents), ("children", kids)):
-            df.repartitionByRange("id", *(F.xxhash64(c) for c in child_fields if c in df.columns)).sortWithinPartitions("id").write.parquet(f"{path}/{name}")
-        pairs = None
-        for df, fields in ((spark.read.parquet(f"{path}/parents"), parent_fields), (spark.read.parquet(f"{path}/children"), child_fields)):
-            found = F.array_distinct(F.flatten(F.array(*(grams_of(F.col(c)) for c in fields))))
-            part = df.select(F.explode(found).alias("gram"), "id")
-            pairs = part if pairs is None else pairs.unionByName(part)
-        pairs.distinct().repartitionByRange("gram", "id").sortWithinPartitions("gram", "id").write.parquet(f"{path}/pairs")
+        parts = ((parents, "id", parent_fields, True), (children, "exhibition_id", child_fields, False))
+        held = [df.select(F.col(key).alias("id"), F.explode(F.array(*fields)).alias("text"), F.lit(own).alias("own")) for df, key, fields, own in parts]
+        held = held[0].unionByName(held[1]).filter("id IS NOT NULL AND text IS NOT NULL").withColumn("h", F.xxhash64("text"))
+        held.sortWithinPartitions("h").write.parquet(f"{path}/holders")
+        parents.select("id").filter("id IS NOT NULL").write.parquet(f"{path}/ids")
+        texts = spark.read.parquet(f"{path}/holders").select("h", "text").distinct()
+        texts.repartitionByRange("h").sortWithinPartitions("h").write.parquet(f"{path}/texts")
+        pairs = spark.read.parquet(f"{path}/texts").select(F.explode(grams_of(F.col("text"))).alias("gram"), "h")
+        pairs.distinct().repartitionByRange("gram", "h").sortWithinPartitions("gram", "h").write.parquet(f"{path}/pairs")
         counts = spark.read.parquet(f"{path}/pairs").groupBy("gram").agg(F.count("*").alias("n"))
         counts.repartitionByRange("gram").sortWithinPartitions("gram").write.parquet(f"{path}/counts")
         return cls(spark, path)
 
+    def _table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{name}")
+
     def candidates(self, keyword: str, most: int = 4) -> DataFrame | None:
-        """Ids of parents that have the keyword's ``most`` rarest pieces; None if it has no piece, so that all must be looked at."""
+        """Hashes of texts that have the keyword's ``most`` rarest pieces; None if it has no piece, so that all must be looked at."""
         wanted = grams_in(keyword)
         if not wanted:
             return None
-        rows = self.spark.read.parquet(f"{self.path}/counts").filter(F.col("gram").isin(wanted)).collect()  # a row per piece of the keyword at most
+        rows = self._table("counts").filter(F.col("gram").isin(wanted)).collect()  # a row per piece of the keyword at most
         counts = {r["gram"]: r["n"] for r in rows}
         rarest = sorted(wanted, key=lambda g: (counts.get(g, 0), g))[:most]
-        pairs = self.spark.read.parquet(f"{self.path}/pairs")
+        pairs = self._table("pairs")
         if any(g not in counts for g in wanted):
-            return pairs.select("id").limit(0)
+            return pairs.select("h").limit(0)
         hits = pairs.filter(F.col("gram").isin(rarest))
-        return hits.groupBy("id").agg(F.count("*").alias("_n")).filter(F.col("_n") == len(rarest)).select("id")
+        return hits.groupBy("h").agg(F.count("*").alias("_n")).filter(F.col("_n") == len(rarest)).select("h")
+
+    @staticmethod
+    def _among(rows: DataFrame, found: DataFrame, label: str) -> DataFrame:
+        """Rows whose columns of ``found`` are among it; a few are put into the scan's filter, which skips row groups."""
+        found = materialise(found, label)
+        few = found.limit(_MOST_LISTED + 1).collect()
+        if len(few) > _MOST_LISTED:
+            return rows.join(found, found.columns, "left_semi")
+        listed = [F.col(c).isin([r[c] for r in few]) for c in found.columns if c != "text"]
+        return rows.filter(reduce(and_, listed)).join(F.broadcast(found), found.columns, "left_semi")  # _MOST_LISTED rows at most
 
     def search(self, keyword: str) -> DataFrame:
         """Ids of the parents that match, once each: the keyword in a field of their own or of a child, A-Z in any case, % and _ as wildcards."""
-        found = self.candidates(keyword)
-        parents, kids = self.spark.read.parquet(f"{self.path}/parents"), self.spark.read.parquet(f"{self.path}/children")
+        texts, found = self._table("texts"), self.candidates(keyword)
         if found is not None:
-            found = materialise(found, "search-candidates")
-            if found.count() <= _MOST_LISTED:  # few: their ids reach the scans, which skip row groups
-                ids = [r[0] for r in found.collect()]
-                parents, kids = parents.filter(F.col("id").isin(ids)), kids.filter(F.col("id").isin(ids))
-            else:
-                parents, kids = parents.join(found, "id", "left_semi"), kids.join(found, "id", "left_semi")
-        own = parents.filter(reduce(or_, (like_any_case(c, keyword) for c in self.parent_fields))).select("id")
+            texts = self._among(texts, found, "search-candidates")
+        hits = self._among(self._table("holders"), texts.filter(like_any_case("text", keyword)), "search-texts")
+        hits = materialise(hits.select("id", "own").distinct(), "search-hits")
         # Children of parents that aren't stored match nobody.
-        theirs = kids.filter(reduce(or_, (like_any_case(c, keyword) for c in self.child_fields))).select("id").join(parents.select("id"), "id", "left_semi")
-        return own.union(theirs).distinct()
+        theirs = self._among(self._table("ids"), hits.filter(~F.col("own")).select("id").distinct(), "search-children")
+        return hits.filter("own").select("id").union(theirs).distinct()
