@@ -197,3 +197,14 @@ def test_a_report_of_many_rows_is_json(spark, tmp_path):
     write_lines(batch_json(results.limit(0), "x"), path, overwrite=True)
     head, rows = read_json_lines(spark, path, "total_parsers long", "key long")
     assert head.first()[0] == 0 == rows.count()
+
+
+def test_pieces_grow_with_texts_not_with_records(spark, records, tmp_path):
+    parents, kids = records
+    shifted = parents.withColumn("id", F.col("id") + 1000), kids.withColumn("exhibition_id", F.col("exhibition_id") + 1000)
+    one = SearchIndex.build(spark, str(tmp_path / "one"), parents, kids)
+    two = SearchIndex.build(spark, str(tmp_path / "two"), parents.union(shifted[0]), kids.union(shifted[1]))
+    pairs = lambda index: spark.read.parquet(f"{index.path}/pairs").count()
+    assert pairs(one) == pairs(two) > 0
+    found = [sorted(r[0] for r in index.search("rose stone").collect()) for index in (one, two)]
+    assert found[0] and found[1] == sorted([*found[0], *(x + 1000 for x in found[0])])
