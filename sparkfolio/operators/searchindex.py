@@ -35,13 +35,12 @@ def grams_in(keyword: str) -> list[str]:
 class SearchIndex:
     """Which texts have which pieces, and which parents have which texts in their searched fields or their children's.
 
-    Under one folder: the distinct texts, by their hash; the distinct pairs
-    (piece, hash of a text) and the pieces' counts, sorted by piece; who holds
-    a text, as rows (text, id, whether it is the parent's own); and the
-    parents' ids. Pairs are sorted by ranges of both columns, so a piece that
-    all texts have is spread over many files. Holders stay in the task that
-    read them, each file sorted by hash: a text that all records have is in
-    all files, and a lookup reads the row groups of its texts alone. A search
+    Under one folder: the distinct texts, by their hash; the pairs (piece,
+    hash of a text), once for each text, and the pieces' counts; who holds a
+    text, as rows (text, id, whether it is the parent's own); and the parents'
+    ids. Pairs and holders stay in the task that makes them, each file sorted
+    by piece or hash: what all texts or records have is spread over all files,
+    and a lookup reads the row groups of its pieces and texts alone. A search
     intersects the rarest pieces of its keyword, verifies the texts that have
     them all by the LIKE rule, and looks up who holds those. Hashes only
     order and filter: holders are matched by the text itself.
@@ -65,8 +64,10 @@ class SearchIndex:
         parents.select("id").filter("id IS NOT NULL").write.parquet(f"{path}/ids")
         texts = spark.read.parquet(f"{path}/holders").select("h", "text").distinct()
         texts.repartitionByRange("h").sortWithinPartitions("h").write.parquet(f"{path}/texts")
-        pairs = spark.read.parquet(f"{path}/texts").select(F.explode(grams_of(F.col("text"))).alias("gram"), "h")
-        pairs.distinct().repartitionByRange("gram", "h").sortWithinPartitions("gram", "h").write.parquet(f"{path}/pairs")
+        # Dealt anew, since a small file of texts, read by one task, has many times its size in pieces.
+        dealt = spark.read.parquet(f"{path}/texts").repartition("h")
+        pairs = dealt.select(F.explode(grams_of(F.col("text"))).alias("gram"), "h")
+        pairs.sortWithinPartitions("gram", "h").write.parquet(f"{path}/pairs")
         counts = spark.read.parquet(f"{path}/pairs").groupBy("gram").agg(F.count("*").alias("n"))
         counts.repartitionByRange("gram").sortWithinPartitions("gram").write.parquet(f"{path}/counts")
         return cls(spark, path)
@@ -86,7 +87,7 @@ class SearchIndex:
         if any(g not in counts for g in wanted):
             return pairs.select("h").limit(0)
         hits = pairs.filter(F.col("gram").isin(rarest))
-        return hits.groupBy("h").agg(F.count("*").alias("_n")).filter(F.col("_n") == len(rarest)).select("h")
+        return hits.groupBy("h").agg(F.count_distinct("gram").alias("_n")).filter(F.col("_n") == len(rarest)).select("h")
 
     @staticmethod
     def _among(rows: DataFrame, found: DataFrame, label: str) -> DataFrame:
