@@ -290,6 +290,104 @@ def test_lm_online_mixing_against_plain_code():
                 true[cell] += bit
 
 
+def test_lm_known_tokens_are_mixed_bits_against_plain_code():
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(14)]
+    share = np.arange(14, 0, -1) / 105
+    texts = [" ".join(rng.choice(words, n, p=share)).encode() for n in (50, 0, 1, 30, 120)]
+    t, train = lmscore.read_tokens(texts), np.array([1, 1, 0, 0, 1])
+    ids = sorted(set(t.ids.tolist()))
+    coded, rest = np.array(ids[::2] + ids[1::4], np.uint64), ids[3::4]
+    coded.sort()
+    n = np.array([int(rng.integers(300, 9000)) for _ in coded])
+    c = lmscore.make_code(coded, n, 9500, np.full(32, 100.0), np.full(32, 9))
+    codes = [format(int(c.left[i]), f"0{c.bits}b")[: c.size[i]] for i in range(len(n) + 1)]
+    assert not any(a != b and b.startswith(a) for a in codes for b in codes) and len(set(codes)) == len(codes)
+    for i, x in enumerate(codes):  # each node counts the tokens below it
+        for d in range(len(x)):
+            for y in (0, 1):
+                below = [m for z, m in zip(codes, [*n, 9500], strict=True) if z.startswith(x[:d] + str(y))]
+                assert c.nodes[int("1" + x[:d], 2), y] == sum(below)
+    pairs = rng.integers(400, 5000, (lmscore.PAIR_CLASSES << lmscore.PAIR_DEPTH, 2)).astype(np.float32)
+    others = np.where(np.isin(t.ids, rest[:1]), 0, 40)
+    s = lmscore.read_symbols(t, c)
+    got = lmscore.bit_costs(t, s, train, others, c, pairs)
+    place = {int(h): i for i, h in enumerate(coded)}
+    log = lambda a, b, prior: math.log((b + prior) / (a + prior))
+    for lo, hi, mine in zip(t.first, t.first[1:], train, strict=False):
+        symbol = [place.get(int(h), len(n)) for h in t.ids[lo:hi]]
+        last = [lmscore.PAIR_CLASSES - 1, *(lmscore.PAIR_CLASSES - 2 if k == len(n) else int(c.left[k] << 8 >> c.bits) for k in symbol)]
+        every = Counter()
+        for k, b in zip(symbol, last, strict=False):
+            for d, y in enumerate(codes[k]):
+                every[0, codes[k][:d], y] += 1
+                every[b, codes[k][:d], y] += d < 8
+        x, bits, gate, of, extra, now, seen = [], [], [], [], [], Counter(), set()
+        for i, (k, b) in enumerate(zip(symbol, last, strict=False)):
+            h = int(t.ids[lo + i])
+            old, paths = h in seen, [("", codes[k], 0)]
+            add = 0.0
+            if k == len(n):
+                tail = format(h >> 56, "08b")
+                if old:
+                    paths.append(("hash", tail, 0))
+                    add = math.log10(now["times", h] / now["tail", tail])
+                elif others[lo + i]:
+                    paths.append(("level", format(6, "05b"), 1))
+                    add = -math.log10(10)
+            for name, path, levels in paths:
+                for d, y in enumerate(path):
+                    a = [now[name, path[:d], z] for z in "01"]
+                    row = [log(*a, 0.05), 0, 0, 0]
+                    if levels:
+                        row[1] = log(*c.levels[int("1" + path[:d], 2)], 0.4)
+                    elif not name:
+                        node = int("1" + path[:d], 2)
+                        row[1] = log(*(c.nodes[node, z] - mine * every[0, path[:d], str(z)] for z in (0, 1)), 0.4)
+                        if d < 8:
+                            row[2] = log(*(now["pair", b, path[:d], z] for z in "01"), 0.4)
+                            row[3] = log(*(pairs[b << 8 | node, z] - mine * every[b, path[:d], str(z)] for z in (0, 1)), 0.4)
+                    x.append(row)
+                    bits.append(y == "1")
+                    gate.append(2 * old + (name == "hash" or sum(a) > 0))
+                    of.append(i)
+            extra.append((add, old or others[lo + i] > 0))
+            if k == len(n):
+                paths = [*paths[:1], ("hash", tail, 0), *(p for p in paths if p[0] == "level")]
+                now["tail", tail] += 1
+            now["times", h] += 1
+            seen.add(h)
+            for name, path, _ in paths:
+                for d, y in enumerate(path):
+                    now[name, path[:d], y] += 1
+                    if not name:
+                        now["pair", b, path[:d], y] += 1
+        logp = lmbits.mix_online(np.array(x, np.float32), np.array(bits), np.array([0, len(x)]), np.array(gate), 4, 64)
+        want = [sum(p for p, j in zip(logp, of, strict=True) if j == i) + add if counted else 0 for i, (add, counted) in enumerate(extra)]
+        assert got[lo:hi] == pytest.approx(want, rel=1e-3, abs=1e-4)
+
+
+def test_lm_runs_predict_token_by_token(spark):
+    text = " ".join(f"w{i}" for i in range(40)).encode()
+    t = lmscore.read_tokens([text, b"w0 w1 w2"])
+    run = lmscore.check_bits(t.ids[3:13]).copy()
+    run[6] += 1  # the run fails at its seventh token
+    flags, hit = lmscore.match_costs(t, np.array([3]), pa.array([run.tobytes()], pa.binary()), np.array([5]), np.array([6]))
+    assert np.flatnonzero(flags).tolist() == list(range(3, 10)) and np.flatnonzero(hit).tolist() == list(range(3, 9))
+    # A text that leaves a known one halfway is told by the half that it shares.
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choices(words, k=60))) for i in range(200)]
+    fold = lambda d: zlib.crc32(str(d).encode()) % 10
+    known = next(x for i, x in rows if fold(i)).split()
+    held = [i for i in range(1000, 2000) if not fold(i)][:2]
+    stop = 10
+    left = known[:stop] + rng.sample(known[stop:], len(known) - stop)
+    other = rng.sample(known[:stop], stop) + left[stop:]
+    got = {r["doc_id"]: r for r in rows_of(lmscore.score_texts(spark.createDataFrame([*rows, (held[0], " ".join(left)), (held[1], " ".join(other))], "doc_id long, text string")))}
+    assert got[held[0]]["score"] > got[held[1]]["score"] + 8
+
+
 def test_lm_known_bits_are_a_sequential_estimate():
     a, b, p, counts = 1.5, 9.5, 1.0, [0, 0]
     for bit in (0, 1, 1, 0, 0, 1):
