@@ -384,29 +384,64 @@ def links_among(docs: DataFrame, classes: DataFrame, pairs: DataFrame, share=SHA
     return both.mapInArrow(lambda b: _verify(b, share), "a long, b long").distinct()
 
 
+def _contracted(batches, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) as edges from each node to the least one that it reaches over edges met together (about ``most`` at once)."""
+    held: list[np.ndarray] = []
+
+    def contract():
+        nodes, number = np.unique(np.concatenate(held, axis=1), return_inverse=True)
+        u, v = number.reshape(2, -1)
+        root = np.arange(len(nodes))
+        while (apart := root[u] != root[v]).any():
+            u, v = u[apart], v[apart]
+            np.minimum.at(root, np.maximum(root[u], root[v]), np.minimum(root[u], root[v]))
+            while (root[root] != root).any():
+                root = root[root]
+        own = np.flatnonzero(root != np.arange(len(nodes)))
+        held[:] = [np.stack([nodes[own], nodes[root[own]]])]
+
+    def give():
+        for i in range(0, held[0].shape[1], 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 100_000]) for x in held[0]], ["u", "v"])
+        held.clear()
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(np.stack([x.to_numpy() for x in batch.columns]))
+        if sum(x.shape[1] for x in held) > most:
+            contract()
+            if held[0].shape[1] > most // 2:
+                yield from give()
+    if held:
+        contract()
+        yield from give()
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, label): the least node of each connected component of edges (a, b), for nodes with an edge.
 
-    Alternates large-star and small-star rounds; minima are combined before
-    each shuffle and joined back, so a node with very many edges splits.
+    Each task first contracts the edges that it reads; rounds of a large star
+    and a small star follow until all that is left are stars. Minima are
+    combined before each shuffle and joined back, so a node with very many
+    edges splits.
     """
-    e = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    state = None
+    contracted = lambda x: materialise(x.mapInArrow(_contracted, "u long, v long"), "cc")
+    e = contracted(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")))
     for _ in range(most_rounds):
+        ends = e.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+        ends = ends.union(e.select("v", F.lit(0), F.lit(1))).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if ends.filter("up + down > 1 and up > 0").isEmpty():
+            break
         sym = e.union(e.select("v", "u"))
         low = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         big = sym.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = big.groupBy("u").agg(F.min("v").alias("m"))
         small = big.join(low, "u")
         small = small.select("v", "m").filter("v <> m").union(low.select("u", "m")).distinct()
-        e = materialise(small.toDF("u", "v"), "cc")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
+        e = contracted(small.toDF("u", "v"))
     else:
         raise RuntimeError("components did not settle")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(e.select("v", "v")).distinct()
+    return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(e.select("v", "v").distinct())
 
 
 def near_duplicates(docs: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
@@ -459,16 +494,16 @@ def _labelled(docs: DataFrame, share: tuple[int, int]) -> DataFrame:
         pairs = pairs.join(lead.select(F.col("gid").alias(c), F.col("lead").alias(f"lead_{c}")), c)
     trial = pairs.select("lead_a", "lead_b").union(inside).toDF("a", "b").filter("a <> b")
     trial = materialise(trial.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "nj-trial")
-    links = materialise(links_among(docs, classes, trial, share), "nj-links")
-    label = materialise(components(links), "nj-label")
+    label = materialise(components(links_among(docs, classes, trial, share)), "nj-label")
 
     # Tokens and groups that still see more than one component. The long ones first try a few partners, since
     # most of their classes then meet in one component, and are compared whole only where they do not.
-    tried, index_rows = trial, ran.filter("token is not null").select("token", "gid", "n", "pos")
+    tried, index_rows, told_by = trial, ran.filter("token is not null").select("token", "gid", "n", "pos"), None
     for i, partners in enumerate((*PARTNERS, None)):
-        known = members.join(label, members["cid"] == label["node"], "left")
-        known = materialise(known.select("gid", "cid", "n", F.coalesce("label", "cid").alias("label")), "nj-known")
-        span = known.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("k"))
+        if label is not told_by:
+            told_by, known = label, members.join(label, members["cid"] == label["node"], "left")
+            known = materialise(known.select("gid", "cid", "n", F.coalesce("label", "cid").alias("label")), "nj-known")
+            span = known.groupBy("gid").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("k"))
         mixed = index_rows.join(span, "gid").groupBy("token")
         mixed = mixed.agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("k").alias("k")).filter("lo <> hi")
         mixed = materialise(mixed.select("token", "k"), "nj-mixed")
@@ -483,8 +518,7 @@ def _labelled(docs: DataFrame, share: tuple[int, int]) -> DataFrame:
         if not rest.isEmpty():
             more = materialise(links_among(docs, classes, rest, share), "nj-more")
             if not more.isEmpty():
-                links = links.union(more)
-                label = materialise(components(links), "nj-label")
+                label = materialise(components(label.toDF("a", "b").union(more)), "nj-label")
         tried = tried.union(rest)
         if mixed.filter(F.col("k") > SHORT).isEmpty() and span.filter(F.col("k") > SHORT).isEmpty():
             break

@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from sparkfolio import storage
 from sparkfolio.llm import chat, decontam, hostrules, jaccard, licenses, lmbits, lmscore, mixing, quality, shuffle, urls
 from sparkfolio.llm import text as llm_text
 
@@ -804,6 +805,48 @@ def test_near_duplicates(spark, empty, monkeypatch, seed, block):
     assert jaccard.near_duplicates(empty).count() == 0
 
 
+def graph(seed):
+    """Edges of chains, stars and rings over random ids, some repeated, some loops; and each node's least id."""
+    rng = random.Random(seed)
+    edges, least = [], {}
+    for size in [2, 3, 3, 5, 9, 30, 200] * 3:
+        nodes = rng.sample(range(-(10**17), 10**17), size)
+        chain = list(zip(nodes, nodes[1:], strict=False))
+        edges += rng.choice((chain, chain + [(nodes[-1], nodes[0])], [(nodes[0], x) for x in nodes[1:]]))
+        least |= dict.fromkeys(nodes, min(nodes))
+    edges += [(b, a) for a, b in edges[::7]] + edges[::5] + [(a, a) for a, _ in edges[::9]]
+    rng.shuffle(edges)
+    return edges, least
+
+
+def test_components_settle_in_few_tables(spark):
+    edges, least = graph(2)
+    before = len(storage.written)
+    found = jaccard.components(spark.createDataFrame(edges, "a long, b long").repartition(3))
+    assert sorted((r["node"], r["label"]) for r in found.collect()) == sorted(least.items())
+    assert len(storage.written) - before <= 3  # rounds of stars alone: 8
+    assert jaccard.components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("most", [1, 40, 1 << 20])
+def test_edges_met_together_are_contracted(most):
+    edges, least = graph(5)
+    batches = [pa.RecordBatch.from_arrays([pa.array([x[k] for x in edges[i : i + 50] if x[0] != x[1]]) for k in (0, 1)], ["u", "v"]) for i in range(0, len(edges), 50)]
+    got = [e for b in jaccard._contracted(iter(batches), most) for e in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert all(v < u and least[u] == least[v] for u, v in got)
+    links = {}
+    for u, v in got:
+        links.setdefault(u, set()).add(v)
+        links.setdefault(v, set()).add(u)
+    for at in least.values():  # who was connected still is
+        reached, open_ = {at}, [at]
+        while open_:
+            open_ = [x for y in open_ for x in links[y] if x not in reached and not reached.add(x)]
+        assert reached == {x for x, y in least.items() if y == at}
+    if most == 1 << 20:
+        assert dict(got) == {x: y for x, y in least.items() if x != y}
+
+
 def test_keep_one_with_null_and_repeated_ids(spark):
     one, two, three, four = (" ".join(f"{c}{i}" for i in range(40)) for c in "abcd")
     rows = [
