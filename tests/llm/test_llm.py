@@ -805,6 +805,16 @@ def test_near_duplicates(spark, empty, monkeypatch, seed, block):
     assert jaccard.near_duplicates(empty).count() == 0
 
 
+def test_scoring_keeps_no_counts(spark):
+    data = corpus(2, 60)
+    docs = spark.createDataFrame(data, DOC)
+    before = len(storage.written)
+    found = lmscore.score_texts(docs)
+    names = [x.rsplit("/", 1)[1].rsplit("-", 1)[0] for x in storage.written[before:]]
+    assert {"lm-parts", "lm-runs", "lm-rare"} <= set(names) and "lm-counts" not in names, names
+    assert found.count() == found.filter("score < 0").count() == len(data)
+
+
 def graph(seed):
     """Edges of chains, stars and rings over random ids, some repeated, some loops; and each node's least id."""
     rng = random.Random(seed)

@@ -1,6 +1,8 @@
 """Writes: null and equal orders, batches that are run again or break off, buckets that stay as they are."""
 
 import os
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from sparkfolio.operators import quality as Q
 from sparkfolio.operators import reports as M
 from sparkfolio.operators import store as W
 from sparkfolio.sources.recordstore import RecordStore, Written
+from sparkfolio.storage import materialise
 
 PARENT = "id long, source string, title string, url string, city string"
 CHILD = "exhibition_id long, artist_name string, work_title string, year string"
@@ -18,6 +21,24 @@ def rows(df, *cols):
     return sorted((tuple(r[c] for c in cols or df.columns) for r in df.collect()), key=str)
 
 
+def test_written_tables_leave_no_shuffle_files(spark):
+    folders = [Path(x) for x in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    files = lambda: {p for x in folders for p in x.rglob("shuffle_*")}
+    before = files()
+    dealt = spark.range(20_000).withColumn("k", F.col("id") % 7).repartition(5, "id")
+    made = materialise(dealt, "dealt")
+    for _ in range(20):
+        if not (left := files() - before):
+            break
+        time.sleep(0.2)
+    assert not left
+    assert made.count() == dealt.count() == 20_000
+    other = materialise(dealt.groupBy("k").count(), "other")
+    assert rows(other) == rows(dealt.groupBy("k").count())
+    kept = dealt.groupBy("k").count()
+    assert rows(kept) == rows(kept)  # other queries' files stay
+
+
 def test_null_and_equal_orders(spark):
     old = spark.createDataFrame([], "id long, source string, title string, url string")
     new = spark.createDataFrame([(None, "s", "t", "u1"), (None, "s", "a", "u1"), (None, "s", "z", "u2"), (4, "s", "y", "u2")], old.schema)
