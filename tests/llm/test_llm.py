@@ -368,6 +368,50 @@ def test_lm_known_tokens_are_mixed_bits_against_plain_code():
         assert got[lo:hi] == pytest.approx(want, rel=1e-3, abs=1e-4)
 
 
+def test_lm_matched_tokens_are_counted_but_not_mixed(monkeypatch):
+    rng = np.random.default_rng(11)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.3, n) % 60).encode() for n in (200, 1, 0, 90)]
+    t, train = lmscore.read_tokens(texts), np.array([1, 0, 1, 1])
+    ids = np.unique(t.ids)[3:]
+    c = lmscore.make_code(ids, np.full(len(ids), 300), 400, np.full(32, 100.0), np.full(32, 9))
+    pairs = rng.integers(400, 5000, (lmscore.PAIR_CLASSES << lmscore.PAIR_DEPTH, 2)).astype(np.float32)
+    s, others = lmscore.read_symbols(t, c), np.full(len(t.ids), 40)
+    mixed, mix = [], lmscore.mix_online
+    monkeypatch.setattr(lmscore, "mix_online", lambda x, bits, *rest: mixed.append(len(bits)) or mix(x, bits, *rest))
+    whole = lmscore.bit_costs(t, s, train, others, c, pairs)
+    for hit in (t.at >= 50, rng.random(len(t.ids)) < 0.5, np.ones(len(t.ids), bool)):
+        got = lmscore.bit_costs(t, s, train, others, c, pairs, hit)
+        bits = s.size + np.where(s.rest, np.where(t.before > 0, lmscore.HASH_BITS, lmscore.LEVEL_BITS), 0)
+        assert mixed[-1] == bits[~hit].sum() < mixed[0] == bits.sum()
+        assert (got[hit] == 0).all() and (got[~hit] < 0).all()
+        early = np.flatnonzero(~hit & (t.at < np.array([np.flatnonzero(hit[a:b]).min(initial=b) for a, b in zip(t.first, t.first[1:])])[t.owner]))
+        assert got[early] == pytest.approx(whole[early])  # what a text has later is counted as before
+
+
+def test_lm_pairs_are_counted_by_path():
+    rng = np.random.default_rng(12)
+    t, train = lmscore.read_tokens([" ".join(f"w{i}" for i in rng.zipf(1.2, n) % 700).encode() for n in (900, 0, 400)]), np.array([True, True, False])
+    ids, n = np.unique(t.ids, return_counts=True)
+    c = lmscore.make_code(ids[n > 1], n[n > 1], int(n[n == 1].sum()), np.zeros(32), np.zeros(32, np.int64))
+    s = lmscore.read_symbols(t, c)
+    want = Counter()
+    for i in np.flatnonzero(train[t.owner]):
+        path = format(int(s.left[i]), f"0{c.bits}b")[: s.size[i]][: lmscore.PAIR_DEPTH]
+        for d, bit in enumerate(path):
+            want[int(s.pair[i]) << lmscore.PAIR_DEPTH | int("1" + path[:d], 2), int(bit)] += 1
+    zeros, ones = lmscore.pair_bits(lmscore.count_pairs(t, s, train, c.bits))
+    assert {(int(k), y): int(x[k]) for y, x in enumerate((zeros, ones)) for k in np.flatnonzero(x)} == want and len(want) > 500
+
+
+def test_lm_index_finds_hashes():
+    rng = np.random.default_rng(13)
+    for n in (0, 1, 2, 1000):
+        known = np.unique(np.concatenate([rng.integers(0, 1 << 64, n, np.uint64), rng.integers(0, 1 << 64, 1, np.uint64) + np.arange(min(n, 5), dtype=np.uint64)]))[:n]
+        asked = np.concatenate([known, known + np.uint64(1), known - np.uint64(1), np.array([0, (1 << 64) - 1], np.uint64)])
+        place = {int(h): i for i, h in enumerate(known)}
+        assert lmscore.Index(known).find(asked).tolist() == [place.get(int(h), len(known)) for h in asked]
+
+
 def test_lm_runs_predict_token_by_token(spark):
     text = " ".join(f"w{i}" for i in range(40)).encode()
     t = lmscore.read_tokens([text, b"w0 w1 w2"])
