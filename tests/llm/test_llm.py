@@ -412,6 +412,15 @@ def test_lm_index_finds_hashes():
         assert lmscore.Index(known).find(asked).tolist() == [place.get(int(h), len(known)) for h in asked]
 
 
+def test_lm_asks_for_anchors_that_others_have(spark):
+    rng = np.random.default_rng(14)
+    known, other = rng.integers(0, 1 << 64, (2, 3000), np.uint64)
+    bits = lmscore.usable_bits(spark.createDataFrame([(int(h),) for h in known.view(np.int64)], "a long"))
+    assert lmscore.has_bit(bits, known).all() and lmscore.has_bit(bits, other).mean() < 0.07
+    none = lmscore.usable_bits(spark.createDataFrame([], "a long"))
+    assert not lmscore.has_bit(none, other).any()
+
+
 def test_lm_runs_predict_token_by_token(spark):
     text = " ".join(f"w{i}" for i in range(40)).encode()
     t = lmscore.read_tokens([text, b"w0 w1 w2"])
