@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -29,7 +30,6 @@ CONTAINER_CLASSES = ("content", "exhibition-content")
 LEAST_CONTAINER, LEAST_PAGE = 300, 200
 IMAGE_NOISE = "logo|icon|avatar|pixel|tracking|badge|nav|footer"
 IMAGE_TYPES = r"\.jpg|\.jpeg|\.png|\.webp"
-MOST_HTML = 5 * 1024 * 1024
 
 
 def _batched(kind: str):
@@ -46,34 +46,57 @@ def _batched(kind: str):
 
 
 class _Tree(HTMLParser):
-    """Elements in order and text runs, each with the numbers of the elements around it; unclosed tags close with their parents."""
+    """Elements and text runs in order; unclosed tags close with their parents.
+
+    Of each element the one around it, and the span of the elements and runs
+    inside it, so a page takes time and memory in proportion to its length,
+    however deep its tags nest.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[int] = []
+        self.open: Counter[str] = Counter()
         self.elements: list[tuple[str, dict]] = []
-        self.paths: list[tuple[int, ...]] = []
-        self.runs: list[tuple[str, tuple[int, ...]]] = []
+        self.parents: list[int | None] = []
+        self.spans: list[tuple[int, int]] = []
+        self.first_runs: list[int] = []
+        self.runs: list[str] = []
 
     def handle_starttag(self, tag, attrs):
         self.elements.append((tag, {k: v or "" for k, v in reversed(attrs)}))
-        self.paths.append(tuple(self.stack))
+        self.parents.append(self.stack[-1] if self.stack else None)
+        self.spans.append((len(self.elements), len(self.runs)))
+        self.first_runs.append(len(self.runs))
         if tag not in VOID:
             self.stack.append(len(self.elements) - 1)
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.elements[self.stack[i]][0] == tag:
-                del self.stack[i:]
+        while self.open[tag]:
+            if self._leave() == tag:
                 return
 
+    def _leave(self) -> str:
+        """Close the innermost element; its tag."""
+        i = self.stack.pop()
+        self.spans[i] = (len(self.elements), len(self.runs))
+        tag = self.elements[i][0]
+        self.open[tag] -= 1
+        return tag
+
     def handle_data(self, data):
         if not self.stack or self.elements[self.stack[-1]][0] not in ("script", "style", "template"):
-            self.runs.append((data, tuple(self.stack)))
+            self.runs.append(data)
+
+    def close(self):
+        super().close()
+        while self.stack:
+            self._leave()
 
     def dropped(self) -> set[int]:
         """Elements that are no content."""
@@ -83,12 +106,28 @@ class _Tree(HTMLParser):
                 out.add(i)
         return out
 
+    def runs_in(self, element: int) -> list[str]:
+        return self.runs[self.first_runs[element] : self.spans[element][1]]
+
+    def runs_outside(self, gone: set[int]) -> list[str]:
+        """Text runs that no element of ``gone`` holds."""
+        out, at = [], 0
+        for i in sorted(gone):
+            out += self.runs[at : self.first_runs[i]]
+            at = max(at, self.spans[i][1])
+        return out + self.runs[at:]
+
     def text_in(self, element: int) -> str:
         """The stripped text runs inside an element, joined."""
-        return "".join(t.strip() for t, path in self.runs if element in path)
+        return "".join(t.strip() for t in self.runs_in(element))
+
+    def inside(self, element: int) -> range:
+        return range(element + 1, self.spans[element][0])
 
-    def inside(self, element: int) -> list[int]:
-        return [i for i, path in enumerate(self.paths) if element in path]
+    def around(self, element: int) -> Iterator[int]:
+        """The elements that hold an element, innermost first."""
+        while (element := self.parents[element]) is not None:
+            yield element
 
 
 def _classes(a: dict) -> list[str]:
@@ -124,17 +163,16 @@ def clean_text(page: str | None) -> str:
     for test in tests:
         first = next((i for i, (t, a) in enumerate(tree.elements) if test(t, a)), None)
         if first is not None:
-            text = tidy("\n".join(t for t, path in tree.runs if first in path))
+            text = tidy("\n".join(tree.runs_in(first)))
             if len(text) >= LEAST_CONTAINER:
                 return f"{meta}\n{text}" if meta else text
-    gone = tree.dropped()
-    text = tidy("\n".join(t for t, path in tree.runs if gone.isdisjoint(path)))
+    text = tidy("\n".join(tree.runs_outside(tree.dropped())))
     return f"{meta}\n{text}" if meta and len(text) < LEAST_PAGE else text
 
 
 def fragment_text(page: str | None) -> str | None:
     """Text runs of a fragment on lines of their own, stripped as a whole; null without any."""
-    return "\n".join(t for t, _ in _parse(page).runs).strip() or None
+    return "\n".join(_parse(page).runs).strip() or None
 
 
 @_batched("string")
@@ -222,7 +260,7 @@ def cards(page: str | None, base: str | None, detail: str, event: Callable[[str]
         for i in range(len(tree.elements)):
             if not is_link(i) or not re.search(detail, resolve(i)) or event(resolve(i)) or event(tree.text_in(i)):
                 continue
-            around = next((j for j in reversed(tree.paths[i]) if tree.elements[j][0] in ("div", "section", "article")), None)
+            around = next((j for j in tree.around(i) if tree.elements[j][0] in ("div", "section", "article")), None)
             tags = [] if around is None else [tree.text_in(j) for j in tree.inside(around) if is_link(j) and "?type=" in tree.elements[j][1]["href"]]
             out[resolve(i).rstrip("/") + "/"] = [x for x in dict.fromkeys(tags) if x] or DEFAULT_TAGS
     return out
@@ -259,11 +297,6 @@ def page_images(html: Column, base: Column, most: int = 8) -> Column:
     return F.slice(F.array_distinct(ok), 1, most)
 
 
-def gated(html: Column) -> Column:
-    """Pages over 5 Mi characters read as null, so no parser sees them."""
-    return F.when(F.length(html) <= MOST_HTML, html)
-
-
 def link_diagnosis(html: Column, base: Column, patterns: list[str], most: int = 10) -> Column:
     """struct(total, matched, candidates): links of a page, distinct ones that match, and, without any, paths that look like exhibitions."""
     all_links = anchors(html, base)

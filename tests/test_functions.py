@@ -235,3 +235,18 @@ def test_site_capabilities_tell_of_every_site(spark, tmp_path):
 
 def test_references_without_a_semicolon_are_read(spark):
     assert one(spark, H.clean_html("h"), h="<h1>a &amp;&amp</h1><p>b &lt</p><p>c &am</p>") == "a &&\nb <\nc &am"
+
+
+def test_page_clean_text_reads_pages_of_any_length(spark, tmp_path):
+    import duckdb
+
+    from sparkfolio.plans import catalog
+
+    html = "<html><nav>menu</nav><article><h1>A title</h1>" + ("<p>Words of an open <b>paragraph</b>." + "&amp; more" * 13) * 40_000 + "</article></html>"
+    assert len(html) > V.MOST_HTML
+    spark.createDataFrame([(1, html), (2, "<p>Short</p>")], "page_id bigint, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = {r.page_id: r.text for r in catalog.QUERIES["page_clean_text"](spark, str(tmp_path)).collect()}
+    assert got == dict(con.execute(catalog.ORACLE_SQL["page_clean_text"]).fetchall()) and got[1].count("paragraph") == 40_000
+    assert {r.page_id: r.gate for r in catalog.QUERIES["page_gates"](spark, str(tmp_path)).collect()} == {1: "too_large", 2: "too_short"}
